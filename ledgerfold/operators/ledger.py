@@ -344,6 +344,17 @@ def event_frame(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_seq(rows: DataFrame, order: list[str], first: int = 0) -> DataFrame:
+    """Add ``seq`` rising with ``order`` from ``first``; unique, with gaps.
+
+    The sort is range-partitioned and partitions number their own rows, so no task
+    sees all rows.
+    """
+    return rows.orderBy(*order).withColumn(
+        "seq", F.monotonically_increasing_id() + F.lit(first)
+    )
+
+
 def withdraw_events(rows: DataFrame) -> DataFrame:
     """``(identity_key, source_system, observed_at, note)`` as ``withdrawn`` events."""
     return event_frame(

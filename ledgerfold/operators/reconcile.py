@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,17 +13,18 @@ from pyspark.sql import Window as W
 from pyspark.sql.types import DoubleType
 
 from ledgerfold.functions import text as tx
-from ledgerfold.functions.jsonval import get_strings, let, text_of
+from ledgerfold.functions.jsonval import get_strings, json_object, quote, text_of
 from ledgerfold.functions.urls import safe_url, safe_urls
 from ledgerfold.operators.graph import (
     alias_index_merge,
     claimed_identifiers,
     related_identifiers,
 )
+from ledgerfold.operators.ledger import event_frame, with_seq
 from ledgerfold.operators.resolve import precedence_of
 from ledgerfold.operators.skew import HOT_ROWS, per_key_join
 from ledgerfold.session import checkpointed
-from ledgerfold.spec import UNKNOWN_PRECEDENCE, LedgerSpec
+from ledgerfold.spec import PROVENANCE_TYPE, UNKNOWN_PRECEDENCE, LedgerSpec
 
 # What a stated relation means for a merge.
 SAMENESS = (
@@ -34,6 +36,8 @@ SUPERSEDES = ("haspreprint", "isnewversionof", "obsoletes")
 VERSION_OF = ("isversionof",)
 HAS_VERSION = ("hasversion",)
 FUZZY_THRESHOLD = 0.90
+#: Records under one title that are still linked one by one.
+SPELLED_OUT = 20
 
 CANDIDATE = ["primary", "secondary", "kind", "confidence", "evidence", "automatic"]
 
@@ -185,110 +189,126 @@ def title_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.S
         yield pd.Series(out, dtype="float64")
 
 
-def _grams(title: Column, q: int) -> Column:
-    """``q``-grams of a title, each numbered by occurrence so that they form a set."""
-    plain = F.transform(
-        F.sequence(F.lit(1), F.length(title) - (q - 1)), lambda i: F.substring(title, i, F.lit(q))
-    )
-    return let(
-        plain,
-        lambda g: F.transform(
-            g,
-            lambda x, i: F.concat(
-                x,
-                F.lit("#"),
-                F.size(F.filter(F.slice(g, F.lit(1), i + 1), lambda y: y == x)).cast("string"),
-            ),
-        ),
-    )
-
-
 def similar_titles(
     titles: DataFrame, keys: list[str], threshold: float = FUZZY_THRESHOLD, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Pairs of different titles inside a block whose ratio reaches the threshold.
+    """Pairs of different titles inside a block that may reach the threshold.
 
     ``titles`` is distinct ``(keys..., title)``. All pairs of a block are never
     formed. The ratio is twice the matched characters over the total, and the
     matched characters are a common subsequence, so similar titles differ by few
     insertions and deletions and must share many q-grams. Each title is indexed
     under just enough of its rarest grams that two titles sharing as many as the
-    threshold demands meet in at least one; the length bound and the exact ratio
-    then decide. The index never misses a pair (see the brute-force test).
+    threshold demands meet in at least one. The index never misses a pair (see the
+    brute-force test); the exact ratio decides afterwards.
     """
     q = 3 if threshold >= 0.88 else 1
     width = F.length("title")
-    shortest = F.ceil(width * threshold / (2 - threshold))
-    total = width + shortest
+    total = width + F.ceil(width * threshold / (2 - threshold))
     need = total * 0.5 - (q - 1) - (2 * q - 1) / 2 * (1 - threshold) * total
-    need = F.greatest(F.ceil(need - 1e-9), F.lit(1))
-    sized = titles.filter(width >= q).select(*keys, "title", need.cast("int").alias("_need"))
-    grams = sized.select(*keys, "title", "_need", F.explode(_grams(F.col("title"), q)).alias("gram"))
+    need = F.greatest(F.ceil(need - 1e-9), F.lit(1)).cast("int")
+    # Titles this much apart in length are at most one class apart.
+    step = math.log((2 - threshold) / threshold) + 1e-9
+    length_class = F.floor(F.log(width) / step).cast("int")
+    sized = titles.filter(width >= q)
+    plain = sized.select(
+        *keys,
+        "title",
+        F.explode(
+            F.transform(
+                F.sequence(F.lit(1), width - (q - 1)),
+                lambda i: F.substring(F.col("title"), i, F.lit(q)),
+            )
+        ).alias("g"),
+    )
+    # Repeats are numbered, which turns the grams of a title into a set.
+    grams = (
+        plain.groupBy(*keys, "title", "g")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(*keys, "title", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("i"), "g")
+        .select(*keys, "title", F.concat("g", F.lit("#"), F.col("i").cast("string")).alias("gram"))
+    )
     counts = grams.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("rows"))
-    # A gram no other title of the block has can match nothing; it still counts
-    # towards the prefix, as it is among the rarest.
     weighed = per_key_join(
         grams, counts.withColumn("seen", F.col("rows")), [*keys, "gram"], hot_rows=hot_rows
     )
     place = F.row_number().over(W.partitionBy(*keys, "title").orderBy("seen", "gram"))
+    prefix = F.greatest(width - (q - 1) - need + 1, F.lit(1))
     indexed = (
         weighed.withColumn("_place", place)
-        .filter((F.col("_place") <= F.greatest(F.length("title") - (q - 1) - F.col("_need") + 1, F.lit(1)))
-                & (F.col("seen") > 1))
-        .select(*keys, "gram", "title")
+        .filter((F.col("_place") <= prefix) & (F.col("seen") > 1))
+        .select(*keys, "gram", "title", length_class.alias("size_class"))
     )
     left = indexed.withColumnRenamed("title", "left_title")
-    right = indexed.withColumnRenamed("title", "right_title")
+    near = F.explode(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: F.col("size_class") + d))
+    right = indexed.select(*keys, "gram", F.col("title").alias("right_title"), near.alias("size_class"))
     la, lb = F.length("left_title"), F.length("right_title")
-    met = (
-        left.join(right, [*keys, "gram"])
+    return (
+        left.join(right, [*keys, "gram", "size_class"])
         .filter((F.col("left_title") < F.col("right_title"))
                 & (F.least(la, lb) * 2.0 / (la + lb) >= threshold))
         .select(*keys, "left_title", "right_title")
         .distinct()
     )
-    return met
 
 
 def fuzzy_pairs(
-    records: DataFrame, keys: list[str], threshold: float = FUZZY_THRESHOLD
+    records: DataFrame,
+    keys: list[str],
+    threshold: float = FUZZY_THRESHOLD,
+    spelled_out: int = SPELLED_OUT,
 ) -> DataFrame:
     """Fuzzy links ``(keys, left, right, confidence)`` over ``(identity_key, keys, title)``.
 
-    Records with the same title in a block form a group; a group of n gives a star
-    of n-1 links at ratio 1, and two similar titles give one link between the
-    smallest identities of their groups. Every similar pair is connected through
-    these links; :func:`expand_fuzzy` spells the pairs out where they are few.
+    Titles are compared once each, however many records carry them. Groups of up
+    to ``spelled_out`` records under one title are linked record by record. Above
+    that a group is a star around its smallest identity, and the group's links to
+    other titles go through that identity: copies of one title stay all proposed
+    and all connected, without a number of rows that grows with their square.
     """
     rows = records.filter(F.col("title") != "")
     groups = rows.groupBy(*keys, "title").agg(
         F.min("identity_key").alias("head"), F.count(F.lit(1)).alias("rows")
     )
-    same = (
-        per_key_join(rows, groups.filter(F.col("rows") > 1), [*keys, "title"])
-        .filter(F.col("identity_key") != F.col("head"))
-        .select(*keys, F.col("head").alias("left"), F.col("identity_key").alias("right"),
-                F.lit(1.0).alias("confidence"))
-    )
-    heads = groups.drop("rows")
-    met = similar_titles(heads.select(*keys, "title"), keys, threshold)
-    linked = met.join(
-        heads.select(*keys, F.col("title").alias("left_title"), F.col("head").alias("a")), [*keys, "left_title"]
-    ).join(
-        heads.select(*keys, F.col("title").alias("right_title"), F.col("head").alias("b")), [*keys, "right_title"]
-    )
-    # The ratio depends on the order of its arguments: smaller identity first.
-    first = F.col("a") < F.col("b")
-    scored = linked.select(
+    few = F.col("rows") <= spelled_out
+    many = groups.filter(F.col("rows") > 1)
+    member = per_key_join(rows.select(*keys, "title", "identity_key"), many.filter(~few), [*keys, "title"])
+    star = member.filter(F.col("identity_key") != F.col("head")).select(
+        *keys, F.col("head").alias("left"), F.col("identity_key").alias("right"), F.lit(1.0).alias("confidence")
+    )
+    small = rows.join(many.filter(few).select(*keys, "title"), [*keys, "title"], "left_semi").select(
+        *keys, "title", "identity_key"
+    )
+    copies = (
+        small.withColumnRenamed("identity_key", "left")
+        .join(small.withColumnRenamed("identity_key", "right"), [*keys, "title"])
+        .filter(F.col("left") < F.col("right"))
+        .select(*keys, "left", "right", F.lit(1.0).alias("confidence"))
+    )
+    met = similar_titles(groups.select(*keys, "title"), keys, threshold)
+    # The ratio depends on the order of its arguments, so both are kept.
+    scored = met.select(
+        *keys, "left_title", "right_title",
+        title_ratio("left_title", "right_title").alias("lr"),
+        title_ratio("right_title", "left_title").alias("rl"),
+    ).filter(F.greatest("lr", "rl") >= threshold)
+    ends = (
+        rows.select(*keys, "title", "identity_key")
+        .join(groups.filter(few).select(*keys, "title"), [*keys, "title"], "left_semi")
+        .unionByName(groups.filter(~few).select(*keys, "title", F.col("head").alias("identity_key")))
+    )
+    side = lambda n: ends.select(*keys, F.col("title").alias(f"{n}_title"), F.col("identity_key").alias(n))
+    linked = (
+        scored.join(side("left").withColumnRenamed("left", "a"), [*keys, "left_title"])
+        .join(side("right").withColumnRenamed("right", "b"), [*keys, "right_title"])
+    )
+    across = linked.select(
         *keys,
         F.least("a", "b").alias("left"),
         F.greatest("a", "b").alias("right"),
-        title_ratio(
-            F.when(first, F.col("left_title")).otherwise(F.col("right_title")),
-            F.when(first, F.col("right_title")).otherwise(F.col("left_title")),
-        ).alias("confidence"),
+        F.when(F.col("a") < F.col("b"), F.col("lr")).otherwise(F.col("rl")).alias("confidence"),
     ).filter(F.col("confidence") >= threshold)
-    return same.unionByName(scored)
+    return star.unionByName(copies).unionByName(across)
 
 
 def first_author(effective: Column) -> Column:
@@ -351,12 +371,6 @@ def fuzzy_candidates(
     )
 
 
-def expand_fuzzy(links: DataFrame, members: DataFrame, keys: list[str]) -> DataFrame:
-    """Title links spelled out as member pairs; only for groups known to be small."""
-    side = lambda n: members.select(*keys, F.col("head").alias(n), F.col("identity_key").alias(f"{n}_member"))
-    return links.join(side("left"), [*keys, "left"]).join(side("right"), [*keys, "right"])
-
-
 def find_candidates(
     resolved: DataFrame, spec: LedgerSpec | None = None, threshold: float = FUZZY_THRESHOLD
 ) -> DataFrame:
@@ -507,7 +521,7 @@ def link_url(resolved: DataFrame) -> DataFrame:
 
 
 def merge_events(
-    plan: DataFrame, urls: DataFrame, links: DataFrame, observed_at: Column
+    plan: DataFrame, urls: DataFrame, links: DataFrame, observed_at: Column, first_seq: int = 0
 ) -> DataFrame:
     """Two annotations per merge: the primary gains the secondary's ways in, the
     secondary is suppressed and points back. Nothing is deleted.
@@ -515,9 +529,6 @@ def merge_events(
     ``merged_from`` is written as the one name each merge adds and unions in the
     fold, so absorbing n records costs n names and not n squared.
     """
-    from ledgerfold.functions.jsonval import json_object, quote
-    from ledgerfold.operators.ledger import event_frame
-
     carried = (
         merge_urls(plan, urls)
         .join(urls.withColumnRenamed("identity_key", "secondary"), ["secondary", "url"], "left")
@@ -566,23 +577,22 @@ def merge_events(
                      F.lit(" — retained and citable, removed from listings")).alias("note"),
         ),
     )
-    both = rows.select("place", F.explode(pair).alias("e")).select("place", "e.*")
+    both = rows.select("place", F.posexplode(pair).alias("side", "e")).select("place", "side", "e.*")
     return event_frame(
-        both.withColumn("event_type", F.lit("annotated"))
+        with_seq(both, ["place", "side"], first_seq)
+        .withColumn("event_type", F.lit("annotated"))
         .withColumn("actor", F.lit("reconcile"))
         .withColumn("observed_at", observed_at)
-    ).withColumn("place", F.lit(None).cast("string")).drop("place")
+    )
 
 
 def merge_proposals(candidates: DataFrame) -> DataFrame:
     """Fuzzy candidates as ``merge_proposal`` notices on their primary."""
-    from ledgerfold.functions.jsonval import json_object, quote
-
     notice = json_object(
         [
             ("kind", quote(F.col("kind"))),
             ("evidence", quote(F.col("evidence"))),
-            ("confidence", F.to_json(F.array("confidence")).substr(F.lit(2), F.length(F.to_json(F.array("confidence"))) - 2)),
+            ("confidence", F.col("confidence").cast("string")),
             ("other", quote(F.col("secondary"))),
             ("action", quote(F.lit("review required — no merge was applied"))),
         ]
@@ -609,12 +619,15 @@ def canonical_group(name: Column, groups: DataFrame, rows: DataFrame, out: str)
 
     ``groups`` is ``(name, aliases)``; a name beats an alias.
     """
-    names = groups.select(F.col("name").alias("_k"), F.col("name").alias("_n"), F.lit(0).alias("_p"))
-    aliases = groups.select(F.explode("aliases").alias("_k"), F.col("name").alias("_n"), F.lit(1).alias("_p"))
-    # A later group's alias replaces an earlier one's; register order is by name here.
-    lookup = names.unionByName(aliases).groupBy("_k").agg(
-        F.min_by("_n", F.struct("_p", F.col("_n"))).alias("_canon")
+    place = F.col("pos") if "pos" in groups.columns else F.lit(0)
+    names = groups.select(
+        F.col("name").alias("_k"), F.col("name").alias("_n"), F.struct(F.lit(1), place).alias("_p")
     )
+    aliases = groups.select(
+        F.explode("aliases").alias("_k"), F.col("name").alias("_n"), F.struct(F.lit(0), place).alias("_p")
+    )
+    # A name beats an alias; of two groups with one alias the later registered wins.
+    lookup = names.unionByName(aliases).groupBy("_k").agg(F.max_by("_n", "_p").alias("_canon"))
     key = F.lower(tx.strip(name))
     return (
         rows.withColumn("_k", key)
@@ -643,9 +656,6 @@ def promote_task_candidates(
     resolved: DataFrame, groups: DataFrame, spec: LedgerSpec, observed_at: Column
 ) -> DataFrame:
     """``annotated`` events for the promotions of resolved records."""
-    from ledgerfold.operators.ledger import event_frame
-    from ledgerfold.spec import PROVENANCE_TYPE
-
     extra = F.try_parse_json(F.element_at("effective", "extra"))
     cands = resolved.select(
         "identity_key",
