@@ -174,19 +174,27 @@ def one_per_pair(candidates: DataFrame) -> DataFrame:
 # -- fuzzy titles --------------------------------------------------------------
 
 
-@F.pandas_udf(DoubleType())
-def title_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """Matching-block similarity of two normalised titles, first argument first."""
-    for left, right in batches:
-        matcher = difflib.SequenceMatcher(None, autojunk=True)
-        out, last = [], None
-        for a, b in zip(left, right):
-            if b != last:
-                matcher.set_seq2(b)
-                last = b
-            matcher.set_seq1(a)
-            out.append(matcher.ratio())
-        yield pd.Series(out, dtype="float64")
+def title_ratio(left: Column | str, right: Column | str, threshold: float) -> Column:
+    """Matching-block similarity of two normalised titles, first argument first.
+
+    Pairs whose character counts alone rule the threshold out get 0 without the
+    full comparison, which is quadratic in the length.
+    """
+
+    @F.pandas_udf(DoubleType())
+    def ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for lefts, rights in batches:
+            matcher, out, last = difflib.SequenceMatcher(None), [], None
+            for a, b in zip(lefts, rights):
+                if b != last:
+                    matcher.set_seq2(b)
+                    last = b
+                matcher.set_seq1(a)
+                near = matcher.real_quick_ratio() >= threshold and matcher.quick_ratio() >= threshold
+                out.append(matcher.ratio() if near else 0.0)
+            yield pd.Series(out, dtype="float64")
+
+    return ratio(left, right)
 
 
 def similar_titles(
@@ -289,8 +297,8 @@ def fuzzy_pairs(
     # The ratio depends on the order of its arguments, so both are kept.
     scored = met.select(
         *keys, "left_title", "right_title",
-        title_ratio("left_title", "right_title").alias("lr"),
-        title_ratio("right_title", "left_title").alias("rl"),
+        title_ratio("left_title", "right_title", threshold).alias("lr"),
+        title_ratio("right_title", "left_title", threshold).alias("rl"),
     ).filter(F.greatest("lr", "rl") >= threshold)
     ends = (
         rows.select(*keys, "title", "identity_key")
@@ -405,6 +413,9 @@ def connected_components(pairs: DataFrame, left: str, right: str, max_rounds: in
         )
         return per_key_join(links, least, ["a"])
 
+    # Row count and the sum of row hashes tell whether a round changed anything.
+    mark = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
+    digest = edges.agg(mark).first()
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(b.alias("a"), a.alias("b")))
         large = hang(both).filter(b > a).select(b.alias("a"), F.col("m").alias("b")).distinct()
@@ -416,12 +427,9 @@ def connected_components(pairs: DataFrame, left: str, right: str, max_rounds: in
             .filter(a != b)
             .distinct()
         )
-        following = checkpointed(small)
-        moved = following.join(edges, ["a", "b"], "left_anti").isEmpty() and edges.join(
-            following, ["a", "b"], "left_anti"
-        ).isEmpty()
-        edges = following
-        if moved:
+        edges = checkpointed(small)
+        digest, before = edges.agg(mark).first(), digest
+        if digest == before:
             break
     else:
         raise RuntimeError("components did not settle")
