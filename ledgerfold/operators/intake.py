@@ -124,7 +124,7 @@ def resolve_or_drop(dois: DataFrame, answers: DataFrame) -> tuple[DataFrame, Dat
     best = (
         answers.filter(F.col("status") == 200)
         .groupBy("doi")
-        .agg(F.min_by(F.struct("agency", "payload"), F.coalesce(F.element_at(ranks, "agency"), F.lit(9))).alias("a"))
+        .agg(F.min_by(F.struct("agency", "payload"), F.coalesce(F.element_at(ranks, F.col("agency")), F.lit(9))).alias("a"))
         .select("doi", "a.agency", "a.payload")
     )
     asked = dois.withColumn("doi", tx.normalise_doi(F.col("raw")))

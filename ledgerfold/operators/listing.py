@@ -183,9 +183,10 @@ def matches(query: SearchQuery, facets: tuple[str, ...] = FACETS) -> Column:
 
 def facet_values(rows: DataFrame, facets: tuple[str, ...] = FACETS) -> DataFrame:
     """``(facet, value)`` per listed value; empty values are left out, repeats stay."""
-    pairs = F.flatten(
-        F.array(*[F.transform(F.col(f), lambda v, f=f: F.struct(F.lit(f).alias("facet"), v.alias("value"))) for f in facets])
-    )
+    def pairs_of(name: str) -> Column:
+        return F.transform(F.col(name), lambda v: F.struct(F.lit(name).alias("facet"), v.alias("value")))
+
+    pairs = F.flatten(F.array(*[pairs_of(f) for f in facets]))
     return rows.select(F.explode(pairs).alias("p")).select("p.*").filter(F.coalesce("value", F.lit("")) != "")
 
 
@@ -209,17 +210,13 @@ def sideways_counts(rows: DataFrame, query: SearchQuery, facets: tuple[str, ...]
                 hit = hit & hits[f]
         return hit
 
-    pairs = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.array_distinct(F.col(f)),
-                    lambda v, f=f: F.struct(F.lit(f).alias("facet"), v.alias("value"), others(f).alias("hit")),
-                )
-                for f in facets
-            ]
+    def pairs_of(name: str) -> Column:
+        return F.transform(
+            F.array_distinct(F.col(name)),
+            lambda v: F.struct(F.lit(name).alias("facet"), v.alias("value"), others(name).alias("hit")),
         )
-    )
+
+    pairs = F.flatten(F.array(*[pairs_of(f) for f in facets]))
     return (
         rows.select(F.explode(pairs).alias("p")).select("p.*")
         .filter(F.coalesce("value", F.lit("")) != "")

@@ -94,7 +94,7 @@ def infer_owner(resolved: DataFrame, organisations: DataFrame) -> DataFrame:
         tx.blank_to_null(text_of(F.element_at("effective", "owner_org"))).alias("stated"),
     ).join(known, "stated", "left")
     fallbacks = F.create_map(*[F.lit(x) for kv in SOURCE_OWNER.items() for x in kv])
-    wanted = F.coalesce(F.element_at(fallbacks, "source_system"), F.lit(DEFAULT_OWNER))
+    wanted = F.coalesce(F.element_at(fallbacks, F.col("source_system")), F.lit(DEFAULT_OWNER))
     names = organisations.select(F.col("name").alias("fallback"), F.lit(True).alias("fallback_known"))
     found = first_match(owner_signals(resolved), normalised_names(organisations))
     return (

@@ -1 +1,878 @@
-"""Queries."""
+"""Catalogue queries: documents read as published packages, and the other tables as
+registers, listings and intake batches."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerfold.functions import text as tx
+from ledgerfold.functions.jsonval import quote
+from ledgerfold.functions.urls import safe_url
+from ledgerfold.operators import (
+    classify,
+    exports,
+    extraction,
+    intake,
+    ledger,
+    licences,
+    listing,
+    organisations,
+    packages,
+    quality,
+    reports,
+)
+from ledgerfold.operators.listing import SearchQuery
+from ledgerfold.plans.registry import query, table
+from ledgerfold.sources.registers import licence_aliases
+
+STATUSES = ("open", "restricted", "embargoed", "registration-required", "metadata-only", "unknown")
+TYPES = ("dataset", "journal-article", "technical-report", "research-software", "other")
+LICENCES = ("cc-by", "mit", "notspecified", "cc-zero")
+
+# The same packages in SQL; every oracle on them starts here.
+PACKAGES = """
+WITH p AS (
+  SELECT d.doc_id AS id, 'doc-' || d.doc_id AS name, substr(split_part(text, chr(10), 1), 1, 60) AS title, text AS notes, lang,
+    (['cc-by', 'mit', 'notspecified', 'cc-zero'])[1 + d.doc_id % 4] AS licence,
+    CASE WHEN d.doc_id % 7 > 0 THEN (['open', 'restricted', 'embargoed', 'registration-required', 'metadata-only', 'unknown'])[1 + d.doc_id % 6] END AS status,
+    list_transform(range(d.doc_id % 8), lambda i: 'Author ' || i) AS authors,
+    CASE WHEN d.doc_id % 3 = 0 THEN '10.5072/doc.' || d.doc_id END AS doi,
+    CASE WHEN d.doc_id % 5 > 0 THEN CAST(2000 + d.doc_id % 25 AS VARCHAR) ELSE '' END AS published,
+    '2024-01-' || lpad(CAST(1 + d.doc_id % 28 AS VARCHAR), 2, '0') || 'T00:00:00Z' AS last_seen,
+    (['dataset', 'journal-article', 'technical-report', 'research-software', 'other'])[1 + d.doc_id % 5] AS rtype,
+    (['dataset', 'publication', 'report', 'software', 'other'])[1 + d.doc_id % 5] AS kind,
+    CASE WHEN d.doc_id % 10 = 0 THEN [source, 'zenodo'] ELSE [source] END AS systems,
+    CASE WHEN d.doc_id % 11 = 0 THEN ['task-' || (d.doc_id % 9), 'task-' || (d.doc_id % 9)] ELSE ['task-' || (d.doc_id % 9)] END AS tasks,
+    'org-' || (d.doc_id % 13) AS org, coalesce(l.toxic, 0) = 1 AS suppressed, coalesce(l.quality, 1) = 0 AS outside
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+shown AS (SELECT *, CASE coalesce(status, '') WHEN 'open' THEN 'open' WHEN 'restricted' THEN 'restricted' WHEN 'registration-required' THEN 'restricted'
+    WHEN 'embargoed' THEN 'embargoed' WHEN 'metadata-only' THEN 'embargoed' ELSE 'unknown' END AS availability
+  FROM p WHERE NOT suppressed AND NOT outside)
+"""
+
+
+def _pick(values: tuple[str, ...], n: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (n % len(values) + 1).cast("int"))
+
+
+def document_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    i = F.col("doc_id")
+    task = F.concat(F.lit("task-"), i % 9)
+    people = F.transform(
+        F.slice(F.sequence(F.lit(0), F.lit(8)), F.lit(1), (i % 8).cast("int")),
+        lambda n: F.concat(F.lit('{"name":"Author '), n.cast("string"), F.lit('"}')),
+    )
+    extras = packages.build_extras(
+        {
+            "access_status": F.when(i % 7 > 0, _pick(STATUSES, i)),
+            "authors": F.concat(F.lit("["), F.array_join(people, ","), F.lit("]")),
+            "doi": F.when(i % 3 == 0, F.concat(F.lit("10.5072/doc."), i)),
+            "identity_key": F.concat(F.lit("doc|"), i),
+            "inclusion_basis": F.when(F.col("quality") == 0, "none"),
+            "last_seen": F.concat(F.lit("2024-01-"), F.lpad((i % 28 + 1).cast("string"), 2, "0"), F.lit("T00:00:00Z")),
+            "published_date": F.when(i % 5 > 0, (i % 25 + 2000).cast("string")),
+            "resource_type": _pick(TYPES, i),
+            "resource_kind": F.lit("dataset"),
+            "source_systems": F.to_json(F.when(i % 10 == 0, F.array(F.col("source"), F.lit("zenodo"))).otherwise(F.array("source"))),
+            "source_url": F.concat(F.lit("https://example.org/doc/"), i),
+            "suppressed": F.when(F.col("toxic") == 1, "true"),
+            "task": F.to_json(F.when(i % 11 == 0, F.array(task, task)).otherwise(F.array(task))),
+        }
+    )
+    none = F.lit(None).cast("string")
+    return docs.join(labels, "doc_id", "left").select(
+        F.concat(F.lit("doc-"), i).alias("name"),
+        F.substring(F.substring_index("text", "\n", 1), 1, 60).alias("title"),
+        F.col("text").alias("notes"),
+        _pick(LICENCES, i).alias("license_id"),
+        F.array(F.struct(F.col("lang").alias("name"))).alias("tags"),
+        extras.alias("extras"),
+        F.array(F.struct(F.concat(F.lit("https://example.org/file/"), i).alias("url"), none.alias("name"),
+                         none.alias("description"), none.alias("format"))).alias("resources"),
+        F.concat(F.lit("org-"), i % 13).alias("owner_org"),
+        F.array(F.struct(task.alias("name"))).alias("groups"),
+        F.concat(F.lit("https://example.org/doc/"), i).alias("url"),
+        none.alias("version"),
+        F.lit("active").alias("state"),
+        F.lit(False).alias("private"),
+    )
+
+
+def listing_view(spark, sf_dir) -> DataFrame:
+    return listing.listing_rows(listing.listed(document_packages(spark, sf_dir)))
+
+
+FACET_SQL = PACKAGES + """
+, v AS (SELECT 'task' AS facet, unnest(tasks) AS value FROM shown UNION ALL SELECT 'kind', kind FROM shown
+  UNION ALL SELECT 'type', rtype FROM shown UNION ALL SELECT 'year', published FROM shown UNION ALL SELECT 'licence', licence FROM shown
+  UNION ALL SELECT 'source', unnest(systems) FROM shown UNION ALL SELECT 'institution', org FROM shown UNION ALL SELECT 'availability', availability FROM shown)
+"""
+
+
+@query("facets", FACET_SQL + "SELECT facet, value, CAST(count(*) AS BIGINT) AS n FROM v WHERE value <> '' GROUP BY facet, value")
+def facets(spark, sf_dir):
+    return listing.facet_counts(listing_view(spark, sf_dir))
+
+
+ASKED = SearchQuery({"kind": ["report", "dataset"], "licence": ["cc-by", "mit"], "task": ["task-1", "task-2", "task-3"]}, "The  an", 2, 7)
+
+SIDEWAYS = PACKAGES + """
+, t AS (SELECT *, lower(concat_ws(' ', title, array_to_string(authors, ' '), array_to_string(tasks, ' '), coalesce(doi, ''),
+    substr(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(notes, '<[^>]+>', ' ', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '\\s+', ' ', 'g')), 1, 600))) AS txt FROM shown),
+m AS (SELECT *, contains(txt, 'the') AND contains(txt, 'an') AS ht, kind IN ('report', 'dataset') AS hk, licence IN ('cc-by', 'mit') AS hl,
+  list_has_any(tasks, ['task-1', 'task-2', 'task-3']) AS hs FROM t)
+"""
+
+
+@query(
+    "facets_sideways",
+    SIDEWAYS + """
+, v AS (SELECT 'task' AS facet, unnest(list_distinct(tasks)) AS value, ht AND hk AND hl AS h FROM m UNION ALL SELECT 'kind', kind, ht AND hl AND hs FROM m
+  UNION ALL SELECT 'type', rtype, ht AND hk AND hl AND hs FROM m UNION ALL SELECT 'year', published, ht AND hk AND hl AND hs FROM m
+  UNION ALL SELECT 'licence', licence, ht AND hk AND hs FROM m UNION ALL SELECT 'source', unnest(list_distinct(systems)), ht AND hk AND hl AND hs FROM m
+  UNION ALL SELECT 'institution', org, ht AND hk AND hl AND hs FROM m UNION ALL SELECT 'availability', availability, ht AND hk AND hl AND hs FROM m)
+SELECT facet, value, CAST(count(*) FILTER (h) AS BIGINT) AS n FROM v WHERE value <> '' GROUP BY facet, value""",
+)
+def facets_sideways(spark, sf_dir):
+    return listing.sideways_counts(listing_view(spark, sf_dir), ASKED)
+
+
+@query(
+    "search_page",
+    SIDEWAYS + """
+, f AS (SELECT name, published, last_seen FROM m WHERE ht AND hk AND hl AND hs),
+c AS (SELECT greatest(1, least(2, CAST(ceil(count(*) / 7.0) AS INTEGER))) AS page FROM f)
+SELECT name, published FROM (SELECT *, row_number() OVER (ORDER BY published DESC, last_seen DESC, name) AS rn FROM f), c
+WHERE rn > (page - 1) * 7 AND rn <= page * 7""",
+)
+def search_page(spark, sf_dir):
+    rows = listing_view(spark, sf_dir)
+    order = [F.col("published").desc(), F.col("last_seen").desc(), F.col("name").asc()]
+    return listing.result_page(rows.filter(listing.matches(ASKED)), ASKED, order).select("name", "published")
+
+
+@query(
+    "search_hits",
+    SIDEWAYS + "SELECT name FROM m WHERE ht AND hk AND hl AND hs",
+)
+def search_hits(spark, sf_dir):
+    rows = listing_view(spark, sf_dir)
+    return rows.filter(listing.matches(ASKED)).select("name")
+
+
+@query(
+    "listing_kinds",
+    PACKAGES + """
+SELECT kind, CAST(count(*) AS BIGINT) AS n, count(*) || ' ' || CASE kind WHEN 'software' THEN 'software' WHEN 'other' THEN 'other'
+  ELSE kind || CASE WHEN count(*) = 1 THEN '' ELSE 's' END END AS text FROM shown GROUP BY kind""",
+)
+def listing_kinds(spark, sf_dir):
+    rows = listing_view(spark, sf_dir).select(F.get("kind", F.lit(0)).alias("kind"))
+    labels = spark.createDataFrame(
+        [("software", "Software", "software"), ("other", "Other", "other")], "name string, label string, plural string"
+    )
+    return listing.kind_counts(rows, labels)
+
+
+@query(
+    "citations",
+    PACKAGES + """
+SELECT name, trim(CASE WHEN len(authors) = 0 THEN '' WHEN len(authors) > 5 THEN authors[1] || ' et al. ' ELSE array_to_string(authors, '; ') || '. ' END
+  || CASE WHEN published <> '' THEN '(' || published || '). ' ELSE '' END || title || '.' || coalesce(' https://doi.org/' || doi, ' https://example.org/doc/' || id)) AS citation,
+  CASE WHEN len(authors) = 0 THEN '' WHEN len(authors) = 1 THEN authors[1] WHEN len(authors) <= 3 THEN array_to_string(authors[1:len(authors) - 1], ', ') || ' and ' || authors[len(authors)]
+  ELSE array_to_string(authors[1:3], ', ') || ' and ' || (len(authors) - 3) || CASE WHEN len(authors) = 4 THEN ' other' ELSE ' others' END END AS people
+FROM p""",
+)
+def citations(spark, sf_dir):
+    none = F.lit(None).cast("string")
+    e = packages.extra
+    text = listing.citation(
+        listing.author_names(), F.substring(e("published_date"), 1, 4), F.col("title"), F.col("version"),
+        none, none, none, e("doi"), e("source_url"),
+    )
+    return document_packages(spark, sf_dir).select(
+        "name", text.alias("citation"), listing.author_summary(listing.author_names()).alias("people")
+    )
+
+
+@query(
+    "package_hosts",
+    PACKAGES + """
+SELECT name, 'doi.org' AS host, 'doi.org' AS label FROM p WHERE doi IS NOT NULL UNION ALL SELECT name, 'example.org', 'example.org' FROM p""",
+)
+def package_hosts(spark, sf_dir):
+    return listing.package_hosts(document_packages(spark, sf_dir)).select("name", "host", "label")
+
+
+@query(
+    "outbound_urls",
+    PACKAGES + """
+SELECT name, 0 AS pos, 'https://example.org/doc/' || id AS url FROM p UNION ALL SELECT name, 1, 'https://example.org/file/' || id FROM p""",
+)
+def outbound_urls(spark, sf_dir):
+    return listing.outbound_urls(document_packages(spark, sf_dir))
+
+
+@query(
+    "reader_fields",
+    PACKAGES + """
+SELECT name, id % 4 = 1 AS retracted, CASE WHEN id % 5 = 0 THEN 'title' WHEN id % 5 = 1 THEN 'doi,title' ELSE '' END AS inferred,
+  CASE WHEN id % 6 = 0 THEN 'doc|' || (id // 2) END AS merged_into,
+  CASE WHEN id % 2 = 0 THEN 'https://github.com/o/' || id || '/issues' ELSE 'https://example.org/' || id END AS report_at,
+  CASE WHEN id % 3 = 0 THEN '20' || lpad(CAST(id % 25 AS VARCHAR), 2, '0') WHEN id % 3 = 1 THEN 'June 2024' ELSE (1 + id % 28) || ' June 2024' END AS shown_date FROM p""",
+)
+def reader_fields(spark, sf_dir):
+    i = F.col("doc_id")
+    rel = F.when(i % 4 == 1, '[{"relation":"IsRetractedBy"}]').otherwise('[{"relation":"Cites"}]')
+    prov = F.when(i % 5 == 0, '{"title":{"extraction_method":"llm"},"doi":{"extraction_method":"api"}}').when(
+        i % 5 == 1, '{"title":{"extraction_method":"llm"},"doi":{"extraction_method":"llm"}}').otherwise("{}")
+    links = F.when(i % 6 == 0, F.concat(F.lit('[{"url":"u","label":"Also catalogued as x"},{"url":"v","label":"Catalogued as doc|'),
+                                        F.floor(i / 2).cast("string"), F.lit('"}]'))).otherwise("[]")
+    urls = F.array(F.concat(F.lit("https://example.org/"), i),
+                   F.when(i % 2 == 0, F.concat(F.lit("https://github.com/o/"), i, F.lit("/"))).otherwise("https://zenodo.org/x"))
+    day = F.when(i % 3 == 0, F.concat(F.lit("20"), F.lpad((i % 25).cast("string"), 2, "0"))).when(i % 3 == 1, "2024-06").otherwise(
+        F.concat(F.lit("2024-06-"), F.lpad((i % 28 + 1).cast("string"), 2, "0")))
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("doc-"), i).alias("name"), listing.is_retracted(rel).alias("retracted"),
+        F.array_join(listing.inferred_fields(prov), ",").alias("inferred"), listing.merged_target(links)["label"].alias("merged_into"),
+        listing.report_issue_url(F.when(i % 2 == 0, "github").otherwise("osti"), urls, F.get(urls, F.lit(0))).alias("report_at"),
+        tx.human_date(day).alias("shown_date"),
+    )
+
+
+# -- gates ---------------------------------------------------------------------
+
+ORGS = """(SELECT 'org-' || n_nationkey FROM nation WHERE n_nationkey < 10)"""
+GROUPS = """(SELECT 'task-' || r_regionkey FROM region)"""
+
+
+def _registers(spark, sf_dir):
+    orgs = table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < 10).select(F.concat(F.lit("org-"), "n_nationkey").alias("name"))
+    groups = table(spark, sf_dir, "region").select(F.concat(F.lit("task-"), "r_regionkey").alias("name"))
+    return orgs, groups
+
+
+@query(
+    "violations",
+    PACKAGES + f"""
+, n AS (SELECT CASE WHEN id % 17 = 0 THEN 'Doc ' || id ELSE name END AS record, * EXCLUDE (name), id % 19 = 0 AS no_licence FROM p)
+SELECT record, 'name' AS field FROM n WHERE id % 17 = 0
+UNION ALL SELECT record, 'title' FROM n WHERE trim(title) = ''
+UNION ALL SELECT record, 'notes' FROM n WHERE length(notes) > 65536
+UNION ALL SELECT record, 'license_id' FROM n WHERE no_licence
+UNION ALL SELECT record, 'owner_org' FROM n WHERE org NOT IN {ORGS}
+UNION ALL SELECT record, 'groups[0]' FROM n WHERE 'task-' || (id % 9) NOT IN {GROUPS}
+UNION ALL SELECT record, 'tags[1]' FROM n WHERE id % 23 = 0 OR id % 29 = 0
+UNION ALL SELECT record, 'resources[0]' FROM n WHERE id % 31 = 0""",
+)
+def violations(spark, sf_dir):
+    i = F.regexp_extract("name", r"(\d+)$", 1).cast("bigint")
+    rows = document_packages(spark, sf_dir).withColumn("i", i)
+    k = F.col("i")
+    second = F.when(k % 23 == 0, F.array(F.struct(F.get("tags", F.lit(0))["name"].alias("name")))).when(
+        k % 29 == 0, F.array(F.struct(F.lit("no spaces here").alias("name")))).otherwise(F.array().cast("array<struct<name:string>>"))
+    rows = rows.withColumns(
+        {
+            "name": F.when(k % 17 == 0, F.concat(F.lit("Doc "), k)).otherwise(F.col("name")),
+            "license_id": F.when(k % 19 == 0, "made-up").otherwise(F.col("license_id")),
+            "tags": F.concat("tags", second),
+            "resources": F.transform("resources", lambda r: r.withField("url", F.when(k % 31 == 0, "java\tscript:x").otherwise(r["url"]))),
+        }
+    )
+    return quality.package_violations(rows, *_registers(spark, sf_dir)).select("record", "field")
+
+
+@query(
+    "duplicate_names",
+    """WITH r AS (SELECT lower(p_brand) || '-' || p_size AS name, printf('%08d', p_partkey) AS path FROM part)
+    SELECT name AS record, path, 'duplicate name, also in ' || first AS message FROM (SELECT *, min(path) OVER (PARTITION BY name) AS first FROM r) WHERE path <> first""",
+)
+def duplicate_names(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select(
+        F.concat_ws("-", F.lower("p_brand"), "p_size").alias("name"), F.format_string("%08d", "p_partkey").alias("path")
+    )
+    return quality.duplicate_names(rows, "name", "path").select("record", "path", "message")
+
+
+@query(
+    "slug_collisions",
+    """SELECT lower(p_brand) || '-' || p_size AS name, CAST(count(DISTINCT p_partkey) AS BIGINT) AS identities FROM part GROUP BY 1 HAVING count(DISTINCT p_partkey) > 1""",
+)
+def slug_collisions(spark, sf_dir):
+    return packages.slug_collisions(
+        table(spark, sf_dir, "part").select(F.concat_ws("-", F.lower("p_brand"), "p_size").alias("name"), F.col("p_partkey").alias("identity_key"))
+    )
+
+
+@query(
+    "register_gaps",
+    """SELECT 'supplier nation' AS what, CAST(s_nationkey AS VARCHAR) AS value FROM supplier WHERE s_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey % 3 > 0) GROUP BY s_nationkey
+    UNION ALL SELECT 'nation region', CAST(n_regionkey AS VARCHAR) FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region WHERE r_name <> 'ASIA') GROUP BY n_regionkey""",
+)
+def register_gaps(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation")
+    a = quality.missing_from(table(spark, sf_dir, "supplier"), nation.filter(F.col("n_nationkey") % 3 > 0), "s_nationkey", "n_nationkey", "supplier nation")
+    b = quality.missing_from(nation, table(spark, sf_dir, "region").filter(F.col("r_name") != "ASIA"), "n_regionkey", "r_regionkey", "nation region")
+    return a.unionByName(b)
+
+
+@query(
+    "export_promises",
+    """WITH x AS (SELECT 'https://c.example/' || (o_orderkey % 9000) AS loc, o_orderkey % 6 AS t, o_orderkey FROM orders)
+    SELECT loc, 'listed more than once' AS message FROM x GROUP BY loc HAVING count(*) > 1
+    UNION ALL SELECT loc, 'holds data but is not typed Dataset' FROM x WHERE t = 1
+    UNION ALL SELECT loc, 'states a licence IRI nobody gave' FROM x WHERE t = 2
+    UNION ALL SELECT loc, 'withdrawn but still lists downloads' FROM x WHERE t = 3""",
+)
+def export_promises(spark, sf_dir):
+    k = F.col("o_orderkey")
+    rows = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("https://c.example/"), k % 9000).alias("loc"), F.lit("model").alias("kind"),
+        F.when(k % 6 == 1, "Report").otherwise("Dataset").alias("schema_type"),
+        F.when(k % 6 == 2, "gfdl").otherwise("mit").alias("license_id"), F.lit("https://l").alias("licence_iri"),
+        (k % 6 == 3).alias("withdrawn"), F.lit(1).alias("distributions"),
+    )
+    return quality.export_violations(rows)
+
+
+# -- licences, organisations, types, names --------------------------------------
+
+
+@query(
+    "licence_mapping",
+    """WITH l AS (SELECT doc_id, nullif(regexp_extract(text, '(?:[Ll]icensed under|Released under) (?:the )?([^\\n]*)\\.(?:\\n|$)', 1), '') AS raw FROM documents)
+    SELECT CAST(doc_id AS BIGINT) AS doc_id, raw AS license_raw, CASE WHEN raw LIKE 'Apache%' THEN 'apache' WHEN raw = 'MIT License' THEN 'mit' WHEN raw = 'CC BY-NC 4.0' THEN 'cc-nc' ELSE 'notspecified' END AS license_id,
+      raw IS NULL OR raw LIKE 'Apache%' OR raw IN ('MIT License', 'CC BY-NC 4.0') AS license_mapped FROM l""",
+)
+def licence_mapping(spark, sf_dir):
+    raw = F.regexp_extract("text", r"(?:[Ll]icensed under|Released under) (?:the )?([^\n]*)\.(?:\n|$)", 1)
+    rows = table(spark, sf_dir, "documents").select("doc_id", tx.blank_to_null(raw).alias("license_raw"))
+    return licences.map_licences(rows, "license_raw", licence_aliases(spark))
+
+
+@query(
+    "unmapped_licences",
+    """WITH l AS (SELECT doc_id, regexp_extract(text, '(?:[Ll]icensed under|Released under) (?:the )?([^\\n]*)\\.(?:\\n|$)', 1) AS raw FROM documents)
+    SELECT CAST(doc_id AS BIGINT) AS doc_id, raw AS license_raw FROM l WHERE raw <> '' AND raw NOT LIKE 'Apache%' AND raw NOT IN ('MIT License', 'CC BY-NC 4.0')""",
+)
+def unmapped_licences(spark, sf_dir):
+    return licences.unmapped_report(licence_mapping(spark, sf_dir)).select("doc_id", "license_raw")
+
+
+ORG_ALIASES = (
+    (0, "ring-works", "Ring"), (1, "red-ring-works", "Red  Ring!"), (2, "widget-house", "widget"),
+    (3, "economy-house", "ECONOMY"), (4, "brand-seven", "Brand#7"), (5, "old-bolts", "old bolt"),
+)
+
+
+@query(
+    "organisation_match",
+    """WITH s AS (SELECT p_partkey AS id, 0 AS pos, p_name AS t FROM part UNION ALL SELECT p_partkey, 1, p_type FROM part UNION ALL SELECT p_partkey, 2, p_brand FROM part),
+    a(org, alias) AS (VALUES ('ring-works', 'ring'), ('red-ring-works', 'red ring'), ('widget-house', 'widget'), ('economy-house', 'economy'), ('brand-seven', 'brand 7'), ('old-bolts', 'old bolt')),
+    h AS (SELECT id, org, row_number() OVER (PARTITION BY id ORDER BY pos, length(alias) DESC, alias) AS rn FROM s JOIN a
+      ON contains(' ' || trim(regexp_replace(lower(t), '[^a-z0-9]+', ' ', 'g')) || ' ', ' ' || alias || ' '))
+    SELECT CAST(id AS BIGINT) AS identity_key, org FROM h WHERE rn = 1""",
+)
+def organisation_match(spark, sf_dir):
+    parts = table(spark, sf_dir, "part")
+    signals = parts.select(
+        F.col("p_partkey").alias("identity_key"),
+        F.posexplode(F.array("p_name", "p_type", "p_brand")).alias("pos", "text"),
+    ).withColumn("basis", F.lit("name"))
+    names = spark.createDataFrame(list(ORG_ALIASES), "pos int, org string, text string").select(
+        tx.normalise_words(F.col("text")).alias("alias"), "org"
+    )
+    return organisations.first_match(signals, names).select("identity_key", "org")
+
+
+@query(
+    "resource_types",
+    """WITH x AS (SELECT p_partkey AS k, p_partkey % 8 AS c FROM part)
+    SELECT CAST(k AS BIGINT) AS k, CASE c WHEN 0 THEN 'report' WHEN 1 THEN 'other' WHEN 2 THEN 'publication' WHEN 3 THEN 'software' WHEN 4 THEN 'report' WHEN 5 THEN 'publication' WHEN 6 THEN 'report' ELSE 'model' END AS kind,
+      CASE c WHEN 0 THEN 'project-deliverable' WHEN 1 THEN 'presentation' WHEN 2 THEN 'conference-paper' WHEN 3 THEN CASE WHEN k % 3 = 0 THEN 'research-software' ELSE 'other-software' END
+        WHEN 4 THEN 'technical-report' WHEN 5 THEN 'journal-article' WHEN 6 THEN 'recommended-practice' ELSE 'model' END AS type,
+      CASE c WHEN 7 THEN 'none' WHEN 3 THEN 'pattern' WHEN 6 THEN 'pattern' ELSE 'api' END AS method FROM x""",
+)
+def resource_types(spark, sf_dir):
+    k = F.col("p_partkey")
+    c = k % 8
+    extra = (
+        F.when(c == 0, '{"zenodo_resource_type":{"type":"publication","subtype":"Deliverable"}}')
+        .when(c == 1, '{"zenodo_resource_type":{"type":"lesson","subtype":"other"}}')
+        .when(c == 2, '{"osti_product_type":"Conference"}')
+        .when(c == 3, '{"datacite_types":{"resourceTypeGeneral":"Computational Notebook"}}')
+        .when(c == 4, '{"datacite_types":{"resourceType":"technical  report","resourceTypeGeneral":"Text"}}')
+        .when(c == 5, '{"crossref_type":"journal-article"}')
+        .otherwise("{}")
+    )
+    title = F.when(c == 6, F.concat(F.lit("Wind TCP Recommended practice 13: "), "p_name")).when(
+        c == 5, F.lit("Wind TCP Best Practice: testing")).otherwise(F.col("p_name"))
+    eff = F.map_filter(
+        F.create_map(
+            F.lit("extra"), extra, F.lit("title"), quote(title), F.lit("resource_kind"), F.when(c == 7, '"model"'),
+            F.lit("doi"), F.when(k % 3 == 0, F.lit('"10.5072/x"')),
+        ),
+        lambda _, v: v.isNotNull(),
+    )
+    t = classify.derive_type(eff, F.array(F.lit("github")), F.lit("none"), r"wind[\s-]*tcp")
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), t.alias("t")).select(
+        "k", "t.kind", "t.type", F.coalesce("t.method", F.lit("none")).alias("method")
+    )
+
+
+@query(
+    "slug_allocation",
+    """WITH i AS (SELECT page_id, 'page|' || regexp_replace(regexp_replace(url, '^https?://(www\\.|m\\.|blog\\.)?', ''), '[?#].*$', '') AS id FROM pages),
+    f AS (SELECT id, min(page_id) AS first, rtrim(regexp_replace(regexp_replace(lower(id), '[^a-z0-9_-]+', '-', 'g'), '-{2,}', '-', 'g'), '-_') AS plain FROM i GROUP BY id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY plain ORDER BY first, id) AS rn FROM f)
+    SELECT id AS identity_key, CASE WHEN rn = 1 THEN plain ELSE plain || '-' || substr(sha256(id), 1, 8) END AS slug FROM r""",
+)
+def slug_allocation(spark, sf_dir):
+    bare = F.regexp_replace(F.regexp_replace("url", r"^https?://(www\.|m\.|blog\.)?", ""), r"[?#].*$", "")
+    firsts = table(spark, sf_dir, "pages").groupBy(F.concat(F.lit("page|"), bare).alias("identity_key")).agg(
+        F.min("page_id").alias("first_seq")
+    )
+    return packages.allocate_slugs(firsts)
+
+
+PLAIN = r"""replace(replace(replace(replace(split_part(text, chr(10), 1), '&', ' and '), '''', ''), '’', ''), 'ß', 'ss')"""
+
+
+@query(
+    "normal_titles",
+    f"""SELECT CAST(doc_id AS BIGINT) AS doc_id, trim(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents({PLAIN}), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9_\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS title FROM documents""",
+)
+def normal_titles(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", tx.normalise_title(F.substring_index("text", "\n", 1)).alias("title")
+    )
+
+
+@query(
+    "tags",
+    """WITH w AS (SELECT doc_id, unnest(string_split(split_part(text, chr(10), 1), ' ')) AS word FROM documents),
+    t AS (SELECT doc_id, word, regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(replace(word, 'ß', 'ss')), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9._-]+', '-', 'g'), '^[-._]+|[-._]+$', '', 'g'), '-{2,}', '-', 'g') AS tag FROM w)
+    SELECT CAST(doc_id AS BIGINT) AS doc_id, word, CASE WHEN length(tag) >= 2 THEN regexp_replace(substr(tag, 1, 100), CASE WHEN length(tag) > 100 THEN '[-._]+$' ELSE '^$' END, '') ELSE '' END AS tag FROM t""",
+)
+def tags(spark, sf_dir):
+    words = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.substring_index("text", "\n", 1), " ")).alias("word"))
+    return words.select("doc_id", "word", tx.tagify(F.col("word")).alias("tag"))
+
+
+@query(
+    "author_names",
+    """SELECT CAST(s_suppkey AS BIGINT) AS k, CASE WHEN s_suppkey % 2 = 0 THEN 'mullerost' ELSE 'sorensen' END || (s_suppkey % 7) AS surname FROM supplier""",
+)
+def author_names(spark, sf_dir):
+    n = (F.col("s_suppkey") % 7).cast("string")
+    name = F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit(" Müller-Øst"), n, F.lit(", Ann B."))).otherwise(F.concat(F.lit("Ann  Sørensen"), n, F.lit(" ")))
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), tx.normalise_author(name).alias("surname"))
+
+
+@query(
+    "identifiers",
+    """SELECT CAST(doc_id AS BIGINT) AS doc_id, CASE WHEN doc_id % 5 < 3 THEN '10.5072/doc.' || doc_id WHEN doc_id % 5 = 3 THEN lower(source) || '|' || doc_id
+      ELSE 'hash|' || substr(sha256(concat_ws(chr(31), 'title ' || doc_id, 'muller', '2020')), 1, 16) END AS identity_key,
+      CASE WHEN doc_id % 5 < 3 THEN 'doi' WHEN doc_id % 5 = 3 THEN 'source' ELSE 'fragile' END AS kind,
+      CASE WHEN doc_id % 5 < 3 THEN 'doi-10-5072-doc-' || doc_id WHEN doc_id % 5 = 3 THEN lower(source) || '-' || doc_id
+      ELSE 'hash-' || substr(sha256(concat_ws(chr(31), 'title ' || doc_id, 'muller', '2020')), 1, 16) END AS slug FROM documents""",
+)
+def identifiers(spark, sf_dir):
+    i = F.col("doc_id")
+    doi = F.when(i % 5 == 0, F.concat(F.lit("https://DOI.org/10.5072/DOC."), i, F.lit("."))).when(
+        i % 5 == 1, F.concat(F.lit("doi: 10.5072/ doc."), i, F.lit("#frag"))).when(
+        i % 5 == 2, F.concat(F.lit("<10.5072/doc."), i, F.lit(")>"))).otherwise("not a doi")
+    key = tx.identity_key(
+        doi, F.when(i % 5 == 3, F.upper("source")), i.cast("string"),
+        F.concat(F.lit("Title: "), i), F.lit("Müller, S."), F.lit("2020"),
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", key.alias("identity_key")).select(
+        "doc_id", "identity_key", tx.identity_kind(F.col("identity_key")).alias("kind"),
+        tx.slug_for_identity(F.col("identity_key")).alias("slug"),
+    )
+
+
+@query(
+    "text_dois",
+    """SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, unnest([0, 1]) AS pos, unnest(['10.5072/c.' || conv_id || '.' || turn, '10.5072/t-' || turn]) AS doi FROM conversations""",
+)
+def text_dois(spark, sf_dir):
+    said = F.concat(
+        "text", F.lit(" (see https://doi.org/10.5072/C."), "conv_id", F.lit(".\n"), "turn", F.lit("), doi:10.5072/t-\n "),
+        "turn", F.lit(". Also 10.5072/c."), "conv_id", F.lit("."), "turn", F.lit("; "), "text",
+    )
+    return table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.posexplode(tx.extract_dois(said)).alias("pos", "doi")
+    )
+
+
+@query(
+    "sanitised_payloads",
+    """SELECT CAST(c_custkey AS BIGINT) AS k, CASE WHEN c_custkey % 3 = 0 THEN 'https://a.example/' || c_custkey END AS url, CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS urls,
+      'task-' || (c_custkey % 50) AS tasks, CAST(least(c_custkey, 500) AS INTEGER) AS keywords, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS links FROM customer""",
+)
+def sanitised_payloads(spark, sf_dir):
+    k = F.col("c_custkey")
+    url = F.when(k % 3 == 0, F.concat(F.lit(" https://a.example/"), k)).when(k % 3 == 1, "java\\tscript:alert(1)").otherwise("//host/x")
+    words = F.when(k == 0, "[]").otherwise(F.concat(F.lit("["), F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(k, F.lit(1))), lambda i: F.concat(F.lit('"w'), i.cast("string"), F.lit('"'))), ","), F.lit("]")))
+    body = F.concat(
+        F.lit('{"url":"'), url, F.lit('","source_urls":["'), url, F.lit('","http://b.example/","http://b.example/"],"task":["Task 0'),
+        k % 50, F.lit('","task_'), k % 50, F.lit('"],"keywords":'), words, F.lit(',"links":[{"url":"'), url, F.lit('","label":"x"},{"label":"y"}]}'),
+    )
+    clean = F.col("clean")
+    n = lambda p: F.coalesce(F.json_array_length(F.get_json_object(clean, p)), F.lit(0))
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), ledger.sanitise_payload(body).alias("clean")).select(
+        "k", F.get_json_object(clean, "$.url").alias("url"), n("$.source_urls").alias("urls"),
+        F.get_json_object(clean, "$.task[0]").alias("tasks"), n("$.keywords").alias("keywords"), n("$.links").alias("links"),
+    )
+
+
+@query(
+    "safe_links",
+    """SELECT CAST(page_id AS BIGINT) AS page_id, CASE WHEN page_id % 4 IN (0, 3) THEN url END AS safe FROM pages""",
+)
+def safe_links(spark, sf_dir):
+    i = F.col("page_id")
+    shown = F.when(i % 4 == 0, F.concat(F.lit("\x01 "), "url", F.lit("\n"))).when(i % 4 == 1, F.concat(F.lit("vb\x0bscript:"), "url")).when(
+        i % 4 == 2, F.regexp_replace("url", r"^https?:", "")).otherwise(F.col("url"))
+    return table(spark, sf_dir, "pages").select("page_id", safe_url(shown).alias("safe"))
+
+
+# -- publishing and reports ------------------------------------------------------
+
+
+@query(
+    "publish_diff",
+    """WITH o AS (SELECT o_orderkey AS k, o_orderstatus || o_orderpriority AS v FROM orders WHERE o_orderkey % 10 <> 3),
+    n AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'x' ELSE o_orderstatus END || o_orderpriority AS v FROM orders WHERE o_orderkey % 10 <> 4)
+    SELECT CAST(coalesce(n.k, o.k) AS BIGINT) AS name, CASE WHEN n.k IS NULL THEN 'pruned' WHEN n.v IS NOT DISTINCT FROM o.v THEN 'unchanged' ELSE 'written' END AS action FROM n FULL JOIN o ON n.k = o.k""",
+)
+def publish_diff(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    digest = lambda s: F.sha2(F.concat(s, "o_orderpriority"), 256)
+    old = orders.filter(k % 10 != 3).select(k.alias("name"), digest(F.col("o_orderstatus")).alias("digest"))
+    new = orders.filter(k % 10 != 4).select(k.alias("name"), digest(F.when(k % 7 == 0, "x").otherwise(F.col("o_orderstatus"))).alias("digest"))
+    return packages.publish_diff(new, old)
+
+
+LINKS = """
+WITH s AS (SELECT page_id, url, CASE page_id % 6 WHEN 0 THEN 200 WHEN 1 THEN 404 WHEN 2 THEN 410 WHEN 3 THEN 503 ELSE NULL END AS code,
+  CASE WHEN page_id % 6 = 4 THEN 'disallowed-by-robots' WHEN page_id % 6 = 5 THEN 'timeout' END AS err FROM pages),
+c AS (SELECT *, coalesce(code < 400, false) AS ok, coalesce(code IN (404, 410), false) AS gone, coalesce(err = 'disallowed-by-robots', false) AS skipped,
+  lower(regexp_extract(url, '^https?://([^/?#]*)', 1)) AS host FROM s)
+"""
+
+
+def _checked(spark, sf_dir):
+    i = F.col("page_id") % 6
+    code = F.when(i == 0, 200).when(i == 1, 404).when(i == 2, 410).when(i == 3, 503)
+    err = F.when(i == 4, reports.ROBOTS).when(i == 5, "timeout")
+    return table(spark, sf_dir, "pages").select("page_id", "url", code.alias("status_code"), err.alias("error")).withColumn(
+        "s", reports.link_status(F.col("status_code"), F.col("error"))).select("page_id", "url", "status_code", "error", "s.*")
+
+
+@query("link_report", LINKS + "SELECT CAST(page_id AS BIGINT) AS page_id, url, gone FROM c WHERE NOT ok AND NOT skipped")
+def link_report(spark, sf_dir):
+    return reports.dead_links(_checked(spark, sf_dir)).select("page_id", "url", "gone")
+
+
+@query(
+    "dead_hosts",
+    LINKS + "SELECT host, CAST(count(*) AS BIGINT) AS checked FROM c WHERE NOT skipped GROUP BY host HAVING NOT bool_or(ok)",
+)
+def dead_hosts(spark, sf_dir):
+    return reports.unreachable_hosts(_checked(spark, sf_dir))
+
+
+@query(
+    "dead_by_record",
+    LINKS + """
+, r AS (SELECT c_custkey AS name, c_custkey % 300 AS page_id FROM customer UNION ALL SELECT c_custkey, 7 FROM customer)
+SELECT DISTINCT CAST(r.name AS BIGINT) AS name, c.url FROM r JOIN c USING (page_id) WHERE NOT ok AND NOT skipped""",
+)
+def dead_by_record(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    exposed = c.select(F.col("c_custkey").alias("name"), F.explode(F.array(F.col("c_custkey") % 300, F.lit(7))).alias("page_id"))
+    urls = exposed.join(table(spark, sf_dir, "pages").select("page_id", "url"), "page_id").select("name", "url")
+    return reports.dead_by_record(urls, reports.dead_links(_checked(spark, sf_dir)))
+
+
+@query(
+    "queue_upsert",
+    """SELECT 'key-' || user_id AS cache_key, arg_min('https://q.example/' || event_id, event_id) AS url, arg_max(event_type, event_id) AS reason,
+      min(strftime(ts, '%Y-%m-%dT%H:%M:%SZ')) AS queued_at, CAST(min(event_id) AS BIGINT) AS queue_pos FROM events WHERE event_type <> 'click' GROUP BY user_id""",
+)
+def queue_upsert(spark, sf_dir):
+    return extraction.upsert_queue(_queued(spark, sf_dir))
+
+
+def _queued(spark, sf_dir):
+    return table(spark, sf_dir, "events").filter(F.col("event_type") != "click").select(
+        F.col("event_id").alias("seq"), F.concat(F.lit("https://q.example/"), "event_id").alias("url"),
+        F.concat(F.lit("key-"), "user_id").alias("cache_key"), F.col("event_type").alias("reason"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("queued_at"),
+    )
+
+
+@query(
+    "queue_drain",
+    """WITH q AS (SELECT 'key-' || user_id AS cache_key, min(event_id) AS pos FROM events WHERE event_type <> 'click' GROUP BY user_id)
+    SELECT cache_key FROM q WHERE cache_key NOT IN (SELECT 'key-' || user_id FROM events WHERE event_type = 'purchase' AND user_id % 2 = 0) ORDER BY pos LIMIT 25""",
+)
+def queue_drain(spark, sf_dir):
+    done = table(spark, sf_dir, "events").filter((F.col("event_type") == "purchase") & (F.col("user_id") % 2 == 0)).select(
+        F.concat(F.lit("key-"), "user_id").alias("cache_key"))
+    left = extraction.remaining_queue(extraction.upsert_queue(_queued(spark, sf_dir)), done)
+    return extraction.drain_queue(left, 25).select("cache_key")
+
+
+CACHE = """
+WITH t AS (SELECT 'u' || conv_id || '/' || turn AS url, conv_id, turn, sha256(text || chr(31) || 'v1' || chr(31) || 'big') AS k1, sha256(text || chr(31) || 'v1' || chr(31) || 'small') AS k2,
+  substr(sha256(text), 1, 16) AS h FROM conversations),
+c AS (SELECT DISTINCT k1 AS key, 'big' AS model, false AS pinned, NULL AS pin_url, NULL AS pin_key FROM t WHERE conv_id % 5 = 0
+  UNION ALL SELECT DISTINCT k2, 'small', false, NULL, NULL FROM t WHERE conv_id % 5 IN (0, 1)
+  UNION ALL SELECT 'pin' || url, 'human', true, url, CASE WHEN conv_id % 2 = 0 THEN h ELSE 'old' END FROM t WHERE conv_id % 5 = 2)
+"""
+
+
+@query(
+    "cache_lookup",
+    CACHE + """
+SELECT t.url, coalesce(a.model, b.model, p.model) AS model, a.key IS NULL AND b.key IS NULL AND p.key IS NOT NULL AND p.pin_key <> t.h AS pin_held
+FROM t LEFT JOIN c a ON a.key = t.k1 LEFT JOIN c b ON b.key = t.k2 LEFT JOIN c p ON p.pinned AND p.pin_url = t.url""",
+)
+def cache_lookup(spark, sf_dir):
+    pages = table(spark, sf_dir, "conversations").select(
+        F.concat(F.lit("u"), "conv_id", F.lit("/"), "turn").alias("url"), F.col("text").alias("content"), "conv_id"
+    )
+    none = F.lit(None).cast("string")
+
+    def entries(rows, key, model, pinned=False):
+        return rows.select(
+            key.alias("key"), F.lit(model).alias("model"), F.lit("v1").alias("prompt_version"),
+            F.lit("{}").alias("fields"), F.lit(pinned).alias("pinned"),
+            (F.when(F.col("conv_id") % 2 == 0, tx.content_hash(F.col("content"))).otherwise("old") if pinned else none).alias("pin_source_key"),
+            (F.col("url") if pinned else none).alias("pin_url"),
+        )
+
+    k = lambda m: tx.cache_key(F.col("content"), F.lit("v1"), F.lit(m))
+    cache = (
+        entries(pages.filter(F.col("conv_id") % 5 == 0), k("big"), "big").distinct()
+        .unionByName(entries(pages.filter(F.col("conv_id") % 5 < 2), k("small"), "small").distinct())
+        .unionByName(entries(pages.filter(F.col("conv_id") % 5 == 2), F.concat(F.lit("pin"), "url"), "human", True))
+    )
+    found = extraction.lookup_cache(pages, cache, "v1", ["big", "small"])
+    return found.select("url", "model", "pin_held")
+
+
+@query(
+    "cache_statistics",
+    """SELECT CAST(count(*) FILTER (turn % 3 = 0) AS BIGINT) AS hits, CAST(count(*) FILTER (turn % 3 <> 0) AS BIGINT) AS misses, round(count(*) FILTER (turn % 3 = 0) / count(*), 4) AS hit_rate FROM conversations""",
+)
+def cache_statistics(spark, sf_dir):
+    return reports.cache_statistics(table(spark, sf_dir, "conversations").select((F.col("turn") % 3 == 0).alias("hit")))
+
+
+@query(
+    "invented_dois",
+    """SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, CASE WHEN turn % 2 = 0 THEN '10.5072/A.' || conv_id END AS doi FROM conversations""",
+)
+def invented_dois(spark, sf_dir):
+    rec = F.array(F.struct(F.lit("t").alias("title"), F.concat(F.lit("10.5072/A."), "conv_id").alias("doi")))
+    allowed = F.when(F.col("turn") % 2 == 0, F.array(F.concat(F.lit(" 10.5072/a."), "conv_id"))).otherwise(F.array(F.lit("10.5072/b")))
+    return table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.get(extraction.drop_invented(rec, allowed), F.lit(0))["doi"].alias("doi")
+    )
+
+
+# -- intake ----------------------------------------------------------------------
+
+
+@query(
+    "first_routes",
+    """SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, arg_min(l_shipmode_pos, (l_shipmode_pos, l_partkey, l_suppkey)) AS route, CAST(arg_min(l_partkey, (l_shipmode_pos, l_partkey, l_suppkey)) AS BIGINT) AS l_partkey
+    FROM (SELECT *, l_linenumber % 3 AS l_shipmode_pos FROM lineitem) GROUP BY l_orderkey""",
+)
+def first_routes(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_linenumber") % 3).alias("route"), "l_partkey", "l_suppkey")
+    return intake.first_route(rows, ["l_orderkey"], ["route", "l_partkey", "l_suppkey"]).select("l_orderkey", "route", "l_partkey")
+
+
+@query(
+    "all_routes",
+    """WITH f AS (SELECT l_orderkey, l_returnflag, min((l_linenumber, l_partkey)) AS place FROM lineitem GROUP BY 1, 2)
+    SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, string_agg(l_returnflag, ',' ORDER BY place, l_returnflag) AS routes FROM f GROUP BY l_orderkey""",
+)
+def all_routes(spark, sf_dir):
+    found = intake.all_routes(table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_returnflag", ["l_linenumber", "l_partkey"])
+    return found.select("l_orderkey", F.array_join("discovered_via", ",").alias("routes"))
+
+
+@query(
+    "capped_sources",
+    """SELECT source, CAST(doc_id AS BIGINT) AS doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 5""",
+)
+def capped_sources(spark, sf_dir):
+    return intake.cap_per_source(table(spark, sf_dir, "documents").select("source", "doc_id"), "source", ["doc_id"], 5)
+
+
+@query(
+    "state_filter",
+    """SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, 'state is ' || CASE o_orderstatus WHEN 'P' THEN 'draft' ELSE 'registered' END AS reason FROM orders WHERE o_orderstatus <> 'F'""",
+)
+def state_filter(spark, sf_dir):
+    state = F.when(F.col("o_orderstatus") == "F", " Findable").when(F.col("o_orderstatus") == "P", "draft").otherwise("registered")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", state.alias("state"))
+    return intake.split_state(rows, F.col("state"))[1].select("o_orderkey", "reason")
+
+
+@query(
+    "repository_exclusions",
+    """SELECT CAST(p_partkey AS BIGINT) AS k, CASE WHEN p_partkey % 9 = 0 THEN 'fork' WHEN p_partkey % 9 = 1 THEN 'template repository' WHEN p_partkey % 9 = 2 THEN 'GitHub meta-repository, not an artifact'
+      WHEN p_size < 2 THEN 'below the content threshold (' || p_size * 1024 || ' < 2048 bytes)' WHEN p_partkey % 9 IN (3, 4) THEN 'no description and no README' ELSE 'kept' END AS reason FROM part""",
+)
+def repository_exclusions(spark, sf_dir):
+    k = F.col("p_partkey") % 9
+    readme = F.base64(F.encode(F.concat(F.lit("# "), "p_name"), "UTF-8"))
+    body = F.concat(
+        F.lit('{"repository":{"fork":'), (k == 0).cast("string"), F.lit(',"is_template":'), (k == 1).cast("string"),
+        F.lit(',"name":"'), F.when(k == 2, ".github").otherwise(F.col("p_name")), F.lit('","size":'), F.col("p_size"),
+        F.lit(',"description":"'), F.when(k < 6, " ").otherwise("d"), F.lit('"},"readme":{"content":"'),
+        F.when(k == 5, readme).otherwise(""), F.lit('"}}'),
+    )
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("k"), F.coalesce(intake.exclusion_reason(F.try_parse_json(body)), F.lit("kept")).alias("reason")
+    )
+
+
+@query(
+    "rename_proof_ids",
+    """SELECT CAST(o_custkey AS BIGINT) AS o_custkey, arg_min('owner/r' || o_orderkey, (o_orderdate, o_orderkey)) AS source_id FROM orders GROUP BY o_custkey""",
+)
+def rename_proof_ids(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", F.concat(F.lit("owner/r"), "o_orderkey").alias("source_id"))
+    return intake.first_seen_ids(rows, "o_custkey", "source_id", ["o_orderdate", "o_orderkey"])
+
+
+@query(
+    "preferred_items",
+    """WITH b AS (SELECT o_orderkey AS own, CASE WHEN o_orderkey % 4 = 1 THEN o_orderkey + 3 END AS pub FROM orders WHERE o_orderkey % 10 <> 8)
+    SELECT CAST(own AS BIGINT) AS own FROM b WHERE pub IS NULL OR (pub NOT IN (SELECT own FROM b) AND pub IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 20 = 8))""",
+)
+def preferred_items(spark, sf_dir):
+    k = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    batch = orders.filter(k % 10 != 8).select(k.alias("own"), F.when(k % 4 == 1, k + 3).alias("pub"))
+    return intake.prefer_published(batch, "own", "pub", orders.filter(k % 20 == 8).select(k))[0].select("own")
+
+
+RESOLVER = """
+WITH a AS (SELECT DISTINCT '10.5072/p.' || l_partkey AS doi, CASE WHEN l_linenumber % 2 = 0 THEN 'datacite' ELSE 'crossref' END AS agency, CASE WHEN l_partkey % 3 = 0 THEN 404 ELSE 200 END AS status FROM lineitem),
+b AS (SELECT doi, CASE WHEN bool_or(agency = 'datacite') THEN 'datacite' ELSE 'crossref' END AS agency FROM a WHERE status = 200 GROUP BY doi),
+q AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 11 = 0 THEN 'bad ' || p_partkey ELSE 'DOI:10.5072/P.' || p_partkey END AS raw, CASE WHEN p_partkey % 11 <> 0 THEN '10.5072/p.' || p_partkey END AS doi FROM part)
+"""
+
+
+def _resolved_dois(spark, sf_dir):
+    k = F.col("p_partkey")
+    asked = table(spark, sf_dir, "part").select(
+        F.when(k % 11 == 0, F.concat(F.lit("bad "), k)).otherwise(F.concat(F.lit("DOI:10.5072/P."), k)).alias("raw"), F.lit("part").alias("context"))
+    answers = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("10.5072/p."), "l_partkey").alias("doi"), F.when(F.col("l_linenumber") % 2 == 0, "datacite").otherwise("crossref").alias("agency"),
+        F.when(F.col("l_partkey") % 3 == 0, 404).otherwise(200).alias("status"), F.lit("{}").alias("payload"))
+    return intake.resolve_or_drop(asked, answers)
+
+
+@query("resolved_dois", RESOLVER + "SELECT q.doi, b.agency FROM q JOIN b ON b.doi = q.doi")
+def resolved_dois(spark, sf_dir):
+    return _resolved_dois(spark, sf_dir)[0].select("doi", "agency")
+
+
+@query(
+    "dropped_dois",
+    RESOLVER + "SELECT coalesce(q.doi, q.raw) AS doi, CASE WHEN q.doi IS NULL THEN 'malformed' ELSE 'did-not-resolve' END AS reason FROM q LEFT JOIN b ON b.doi = q.doi WHERE b.doi IS NULL",
+)
+def dropped_dois(spark, sf_dir):
+    return _resolved_dois(spark, sf_dir)[1].select("doi", "reason")
+
+
+@query(
+    "badge_dois",
+    """SELECT CAST(doc_id AS BIGINT) AS doc_id, '10.5072/zenodo.' || doc_id AS doi FROM documents""",
+)
+def badge_dois(spark, sf_dir):
+    i = F.col("doc_id")
+    readme = F.concat(
+        "text", F.lit("\ncites 10.5072/other\n[![DOI](https://zenodo.org/BADGE/DOI/10.5072/zenodo."), i,
+        F.lit(".svg)](https://doi.org/10.5072/zenodo."), i, F.lit(")\nmore"))
+    return intake.badge_candidates(table(spark, sf_dir, "documents").select("doc_id", readme.alias("readme")), "doc_id").select("doc_id", "doi")
+
+
+@query(
+    "title_matches",
+    """WITH w AS (SELECT 'work ' || p_name || ' ' || p_brand AS t, min(p_partkey) AS k FROM part GROUP BY 1)
+    SELECT 'u' || c.p_partkey AS url, '10.5072/w.' || w.k AS doi FROM part c JOIN w ON w.t = 'work ' || c.p_name || ' ' || c.p_brand WHERE c.p_partkey % 2 = 0""",
+)
+def title_matches(spark, sf_dir):
+    parts = table(spark, sf_dir, "part")
+    works = parts.select(F.concat(F.lit("Work: "), "p_name", F.lit(" — "), "p_brand").alias("title"), F.concat(F.lit("10.5072/w."), "p_partkey").alias("doi"), F.col("p_partkey").alias("rank"))
+    cited = parts.select(F.concat(F.lit("u"), "p_partkey").alias("url"), F.concat(
+        F.when(F.col("p_partkey") % 2 == 0, "WORK ").otherwise("Works "), "p_name", F.lit(" ("), "p_brand", F.lit(")")).alias("title"))
+    return intake.match_titles(cited, works)[0].select("url", "doi")
+
+
+# -- exports ---------------------------------------------------------------------
+
+
+@query(
+    "dcat_rows",
+    PACKAGES + """
+SELECT name, title, coalesce('https://doi.org/' || doi, 'doc|' || id) AS identifier, nullif(published, '') AS issued,
+  CASE licence WHEN 'cc-by' THEN 'https://creativecommons.org/licenses/by/4.0/' WHEN 'mit' THEN 'https://opensource.org/licenses/MIT' WHEN 'cc-zero' THEN 'https://creativecommons.org/publicdomain/zero/1.0/' END AS licence,
+  lang AS first_keyword FROM p WHERE NOT suppressed AND NOT outside""",
+)
+def dcat_rows(spark, sf_dir):
+    doc = exports.dcat_datasets(document_packages(spark, sf_dir), "https://c.example")
+    get = lambda k: F.get_json_object("document", f"$['{k}']")
+    return doc.select(
+        "name", get("dct:title").alias("title"), get("dct:identifier").alias("identifier"), get("dct:issued").alias("issued"),
+        get("dct:license").alias("licence"), F.get_json_object("document", "$['dcat:keyword'][0]").alias("first_keyword"),
+    )
+
+
+@query(
+    "schema_org_rows",
+    PACKAGES + """
+SELECT name, 'Dataset' AS type, CAST(len(authors) AS INTEGER) AS creators, CASE WHEN status = 'open' THEN 'true' END AS free,
+  CASE WHEN status IS NOT NULL AND status <> 'open' THEN replace(status, '-', ' ') END AS conditions FROM p""",
+)
+def schema_org_rows(spark, sf_dir):
+    doc = exports.schema_org(document_packages(spark, sf_dir), "https://c.example")
+    get = lambda k: F.get_json_object("document", f"$['{k}']")
+    return doc.select(
+        "name", get("@type").alias("type"), F.coalesce(F.json_array_length(get("creator")), F.lit(0)).alias("creators"),
+        get("isAccessibleForFree").alias("free"), get("conditionsOfAccess").alias("conditions"),
+    )
+
+
+@query(
+    "site_index",
+    PACKAGES + "SELECT 'https://c.example/record/' || name || '/' AS loc, substr(last_seen, 1, 10) AS lastmod FROM p WHERE NOT suppressed AND NOT outside",
+)
+def site_index(spark, sf_dir):
+    return exports.site_index(document_packages(spark, sf_dir), "https://c.example")
+
+
+@query(
+    "record_digests",
+    """SELECT CAST(n_nationkey AS INTEGER) AS k, sha256('{"a":"' || n_name || '","b":' || n_regionkey || '}') AS digest FROM nation
+    UNION ALL SELECT CAST(s_suppkey AS INTEGER), sha256('{"a":"' || s_name || '","b":' || s_nationkey || '}') FROM supplier""",
+)
+def record_digests(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("int").alias("k"), F.col("n_regionkey").alias("b"), F.col("n_name").alias("a"))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("int").alias("k"), F.col("s_nationkey").alias("b"), F.col("s_name").alias("a"))
+    rows = n.unionByName(s)
+    return rows.select("k", F.sha2(packages.record_json(rows.select("b", "a")), 256).alias("digest"))

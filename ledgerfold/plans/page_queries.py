@@ -1 +1,330 @@
-"""Queries."""
+"""Page queries: links, text, classification, and payloads mapped to observations."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerfold.functions import text as tx
+from ledgerfold.functions.html import html_to_text, sanitise_html
+from ledgerfold.functions.jsonval import quote
+from ledgerfold.operators import extraction, pages
+from ledgerfold.plans.registry import query, table
+from ledgerfold.sources import crossref, datacite, github, osti, task_pages, wdh, zenodo  # noqa: F401
+from ledgerfold.sources.observation import map_source
+
+
+@query("page_text")
+def page_text(spark, sf_dir):
+    """Readable text of whole pages; a tag parser has no SQL form."""
+    return table(spark, sf_dir, "pages").select("page_id", html_to_text(F.col("html")).alias("text"))
+
+
+@query("sanitised_html")
+def sanitised_html(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", sanitise_html(F.col("html")).alias("html"))
+
+
+@query(
+    "sanitised_html_promises",
+    "SELECT CAST(page_id AS BIGINT) AS page_id, true AS text_kept, false AS unsafe FROM pages",
+)
+def sanitised_html_promises(spark, sf_dir):
+    safe = sanitised_html(spark, sf_dir)
+    return safe.select(
+        "page_id", (F.length("html") > 0).alias("text_kept"),
+        F.col("html").rlike(r"(?i)<(script|style|iframe|div|html)|\son[a-z]+=|javascript:|track\(").alias("unsafe"),
+    )
+
+
+@query(
+    "page_links",
+    """WITH h AS (SELECT page_id, url, regexp_extract_all(html, '(?i)href\\s*=\\s*["'']([^"''#]+)["'']', 1) AS l FROM pages),
+    u AS (SELECT page_id, url, unnest(l) AS href, unnest(range(len(l))) AS pos FROM h)
+    SELECT CAST(page_id AS BIGINT) AS page_id, CAST(pos AS INTEGER) AS pos, CASE WHEN href LIKE '/%' THEN regexp_extract(url, '^(https?://[^/?#]*)', 1) || trim(href) ELSE trim(href) END AS link FROM u""",
+)
+def page_links(spark, sf_dir):
+    return pages.page_links(table(spark, sf_dir, "pages"))
+
+
+@query(
+    "publication_links",
+    """SELECT CAST(page_id AS BIGINT) AS page_id, regexp_extract(url, '^(https?://[^/?#]*)', 1) || '/outputs/' || page_id AS link FROM pages WHERE page_id % 3 = 0""",
+)
+def publication_links(spark, sf_dir):
+    i = F.col("page_id")
+    more = F.concat(
+        F.lit('<a href="'), F.when(i % 3 == 0, "/outputs/").when(i % 3 == 1, "https://other.example/outputs/").otherwise("/news/outputs/"),
+        i, F.lit('">x</a><a href="/outputs'), F.when(i % 3 == 0, "/").otherwise("#"), i, F.lit('">y</a>'),
+    )
+    rows = table(spark, sf_dir, "pages").withColumn("html", F.concat("html", more))
+    return pages.publication_links(rows).select("page_id", "link")
+
+
+@query(
+    "page_hosts",
+    "SELECT CAST(page_id AS BIGINT) AS page_id, lower(regexp_extract(url, '^https?://([^/?#]*)', 1)) AS host FROM pages",
+)
+def page_hosts(spark, sf_dir):
+    return pages.page_hosts(table(spark, sf_dir, "pages"))
+
+
+CLASSES = """
+WITH c AS (SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 'news' WHEN page_id % 7 = 1 THEN 'publication-list' WHEN page_id % 7 = 2 THEN 'publication-list'
+  WHEN page_id % 7 = 3 THEN 'task-overview' ELSE 'ambiguous' END AS kind FROM pages)
+"""
+
+
+def _pages(spark, sf_dir):
+    i = F.col("page_id")
+    path = F.when(i % 7 == 0, "/news/now").when(i % 7 == 2, "/outputs").otherwise("/about")
+    tail = F.when(i % 7 == 1, "\nJournal paper | 2020\n").otherwise(" we like journal paper writing")
+    return table(spark, sf_dir, "pages").select(
+        "page_id", F.concat(F.lit("https://site.example/p"), i, path).alias("url"), "html",
+        F.concat("url", tail).alias("content"), (i % 7).isin(2, 3).alias("trusted"), F.lit("task-1").alias("task"),
+    )
+
+
+@query("page_classes", CLASSES + "SELECT CAST(page_id AS BIGINT) AS page_id, kind FROM c")
+def page_classes(spark, sf_dir):
+    c = pages.classify_page(F.col("url"), F.col("content"), F.col("trusted"))
+    return _pages(spark, sf_dir).select("page_id", F.coalesce(c["kind"], F.lit("ambiguous")).alias("kind"))
+
+
+def _intake(spark, sf_dir):
+    """Pages with a DOI each; the cache knows what to make of some ambiguous ones."""
+    rows = _pages(spark, sf_dir)
+    cited = F.concat("content", F.lit(" doi:10.5072/PG."), F.col("page_id") % 50, F.lit("."))
+    rows = rows.withColumn("content", cited).withColumns({
+        "content_hash": tx.content_hash(F.col("content")),
+        "class": pages.classify_page(F.col("url"), F.col("content"), F.col("trusted")),
+    })
+    cached = rows.filter(F.col("page_id") % 7 == 4).select(
+        "url", F.lit("publication-list").alias("page_kind"), F.lit(0.8).alias("confidence"), F.lit("big").alias("model"), F.lit(False).alias("pin_held"))
+    return pages.take_in_pages(rows, cached, "v1", "big", F.lit("2024-01-01T00:00:00Z"))
+
+
+@query(
+    "page_dois",
+    CLASSES + """SELECT '10.5072/pg.' || (page_id % 50) AS doi, CAST(page_id AS BIGINT) AS page_id, CASE WHEN page_id % 7 = 4 THEN 'llm' WHEN page_id % 7 = 1 THEN 'pattern' ELSE 'config' END AS method
+    FROM c WHERE page_id % 7 BETWEEN 1 AND 4""",
+)
+def page_dois(spark, sf_dir):
+    found, _, _ = _intake(spark, sf_dir)
+    page = F.regexp_extract("url", r"/p(\d+)/", 1).cast("bigint")
+    return found.select("doi", page.alias("page_id"), F.col("classification_method").alias("method"))
+
+
+@query("page_queue", CLASSES + "SELECT CAST(page_id AS BIGINT) AS page_id FROM c WHERE page_id % 7 > 4")
+def page_queue(spark, sf_dir):
+    _, queue, _ = _intake(spark, sf_dir)
+    return queue.select(F.regexp_extract("url", r"/p(\d+)/", 1).cast("bigint").alias("page_id"))
+
+
+@query(
+    "page_notices",
+    CLASSES + """SELECT 'extraction_queued' AS type, CAST(page_id AS BIGINT) AS page_id FROM c WHERE page_id % 7 > 4
+    UNION ALL SELECT 'page_not_record_bearing', page_id FROM c WHERE page_id % 7 > 4 OR page_id % 7 = 0""",
+)
+def page_notices(spark, sf_dir):
+    _, _, notices = _intake(spark, sf_dir)
+    return notices.select("type", F.regexp_extract("url", r"/p(\d+)/", 1).cast("bigint").alias("page_id"))
+
+
+@query(
+    "doi_sightings",
+    """WITH s AS (SELECT '10.5072/pg.' || (page_id % 20) AS doi, 'task-' || (page_id % 3) AS task, url, substr(sha256(html), 1, 16) AS h FROM pages)
+    SELECT doi, array_to_string(list_sort(list(DISTINCT task)), ',') AS tasks, array_to_string(list_sort(list(DISTINCT url)), ' ') AS pages, array_to_string(list_sort(list(DISTINCT h)), ',') AS hashes FROM s GROUP BY doi""",
+)
+def doi_sightings(spark, sf_dir):
+    i = F.col("page_id")
+    rows = table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("10.5072/pg."), i % 20).alias("doi"), F.concat(F.lit("task-"), i % 3).alias("task"), "url",
+        tx.content_hash(F.col("html")).alias("content_hash"),
+    )
+    s = pages.doi_sightings(rows)
+    return s.select("doi", F.array_join("tasks", ",").alias("tasks"), F.array_join("pages", " ").alias("pages"), F.array_join("hashes", ",").alias("hashes"))
+
+
+@query(
+    "cache_upsert",
+    """SELECT 'k' || conv_id AS key, CASE WHEN conv_id % 3 = 1 THEN 'changed' ELSE 'new' END AS what FROM (SELECT DISTINCT conv_id FROM conversations) WHERE conv_id % 3 > 0""",
+)
+def cache_upsert(spark, sf_dir):
+    ids = table(spark, sf_dir, "conversations").select("conv_id").distinct()
+    i = F.col("conv_id")
+
+    def entry(rows, fields):
+        none = F.lit(None).cast("string")
+        return rows.select(
+            F.concat(F.lit("k"), i).alias("key"), F.lit("m").alias("model"), F.lit("v1").alias("prompt_version"), F.lit("h").alias("content_sha256"),
+            F.lit("2024").alias("extracted_at"), fields.alias("fields"), F.create_map().cast("map<string,double>").alias("confidence"),
+            F.lit(False).alias("pinned"), none.alias("pin_source_key"), none.alias("pin_url"),
+        )
+
+    old = entry(ids.filter(i % 3 < 2), F.lit('{"a": 1, "b": 2}'))
+    new = entry(ids, F.when(i % 3 == 1, '{"a":2}').otherwise('{"b":2,"a":1}'))
+    _, changed = extraction.upsert_cache(old, new)
+    n = F.regexp_extract("key", r"(\d+)", 1).cast("bigint")
+    return changed.select("key", F.when(n % 3 == 1, "changed").otherwise("new").alias("what"))
+
+
+# -- payloads mapped to observations -----------------------------------------------
+
+
+def _payloads(spark, sf_dir, body, source_id):
+    return table(spark, sf_dir, "documents").select(
+        source_id.alias("source_id"), body.alias("payload"), F.lit("2024-01-01T00:00:00Z").alias("fetched_at"))
+
+
+def _first_line():
+    return F.substring_index("text", "\n", 1)
+
+
+def _field(path):
+    return F.get_json_object("source", f"$.{path}")
+
+
+@query(
+    "mapped_zenodo",
+    """SELECT CAST(doc_id AS VARCHAR) AS source_id, '10.5072/zenodo.' || (doc_id // 2) AS identity_key, CASE doc_id % 3 WHEN 0 THEN 'cc-by' WHEN 1 THEN 'mit' ELSE 'notspecified' END AS license_id,
+      CASE doc_id % 4 WHEN 0 THEN 'report' WHEN 1 THEN 'publication' WHEN 2 THEN 'software' ELSE 'other' END AS kind, CASE WHEN doc_id % 2 = 0 THEN 'open' ELSE 'metadata-only' END AS access,
+      CASE WHEN doc_id % 5 = 0 THEN 'task-' || (doc_id % 40) END AS task, doc_id || '@10.5072/zenodo.v' || doc_id || '~m3' AS source_key FROM documents""",
+)
+def mapped_zenodo(spark, sf_dir):
+    i = F.col("doc_id")
+    body = F.concat(
+        F.lit('{"id":'), i, F.lit(',"revision":'), i, F.lit(',"doi":"10.5072/ZENODO.v'), i, F.lit('","conceptdoi":"https://doi.org/10.5072/zenodo.'),
+        F.floor(i / 2).cast("string"), F.lit('","links":{"self_html":"https://zenodo.org/records/'), i, F.lit('"},"metadata":{"title":'), quote(_first_line()),
+        F.lit(',"license":{"id":"'), F.when(i % 3 == 0, "CC-BY-4.0").when(i % 3 == 1, "MIT License").otherwise("homemade"),
+        F.lit('"},"access_right":"'), F.when(i % 2 == 0, "open").otherwise("closed"), F.lit('","resource_type":{"type":"'),
+        F.when(i % 4 < 2, "publication").when(i % 4 == 2, "software").otherwise("poster"), F.lit('","subtype":"'), F.when(i % 4 == 0, "deliverable").otherwise("article"),
+        F.lit('"},"communities":[{"id":"'), F.when(i % 5 == 0, F.concat(F.lit("demo_task_0"), i % 40)).otherwise("misc"), F.lit('"}]}}'),
+    )
+    out = map_source("zenodo", _payloads(spark, sf_dir, body, i.cast("string")), community_pattern="demotask")
+    return out.select(
+        "source_id", "identity_key", _field("license_id").alias("license_id"), _field("resource_kind").alias("kind"), _field("access_status").alias("access"),
+        _field("task[0]").alias("task"), "source_key",
+    )
+
+
+@query(
+    "mapped_datacite",
+    """SELECT '10.5072/dc.' || doc_id AS identity_key, CASE WHEN doc_id % 3 = 0 THEN 'dataset' WHEN doc_id % 3 = 1 THEN 'report' ELSE 'other' END AS kind,
+      CASE WHEN doc_id % 2 = 0 THEN '2020-05-01' ELSE '2019' END AS published, CASE WHEN doc_id % 4 = 0 THEN 'open' END AS access, CASE WHEN doc_id % 5 = 0 THEN 'true' ELSE 'false' END AS withdrawn,
+      'task-' || (doc_id % 60) AS candidate FROM documents""",
+)
+def mapped_datacite(spark, sf_dir):
+    i = F.col("doc_id")
+    body = F.concat(
+        F.lit('{"id":"10.5072/DC.'), i, F.lit('","attributes":{"titles":[{"title":"x","titleType":"Other"},{"title":'), quote(_first_line()),
+        F.lit('}],"updated":"2024-01-01T00:00:00.000Z","publicationYear":2019,"dates":['),
+        F.when(i % 2 == 0, '{"dateType":"Issued","date":"2020"},{"dateType":"issued","date":"2020-05-01"}').otherwise(""),
+        F.lit('],"types":{"resourceTypeGeneral":"'), F.when(i % 3 == 0, "Dataset").otherwise("Other"), F.lit('","resourceType":"'),
+        F.when(i % 3 == 1, "Technical Report").otherwise("thing"), F.lit('"},"rightsList":[{"rights":"'),
+        F.when(i % 4 == 0, "info:eu-repo/semantics/openAccess").otherwise("none"), F.lit('"}],"isActive":'), (i % 5 != 0).cast("string"),
+        F.lit(',"subjects":[{"subject":"Demo Task '), i % 60, F.lit('"}]}}'),
+    )
+    out = map_source("datacite", _payloads(spark, sf_dir, body, F.concat(F.lit("10.5072/DC."), i)),
+                     task_pattern=r"(?i)demo\s+task\s+(\d{1,3})(?:\s*/\s*(\d{1,3}))?")
+    return out.select(
+        "identity_key", _field("resource_kind").alias("kind"), _field("published_date").alias("published"), _field("access_status").alias("access"),
+        _field("withdrawn").alias("withdrawn"), _field("extra.task_candidates[0]").alias("candidate"),
+    )
+
+
+@query(
+    "mapped_crossref",
+    """SELECT '10.5072/cr.' || doc_id AS source_id, CASE WHEN doc_id % 4 = 0 THEN '10.5072/pub.' || doc_id ELSE '10.5072/cr.' || doc_id END AS identity_key,
+      CASE doc_id % 3 WHEN 0 THEN '2016' WHEN 1 THEN '2016-09' ELSE '2016-09-05' END AS published, CASE WHEN doc_id % 4 = 1 THEN 'report' ELSE 'publication' END AS kind,
+      CASE WHEN doc_id % 7 = 0 THEN 'true' ELSE 'false' END AS withdrawn, '10.5072/ref.' || (doc_id % 100) AS reference, 'Doe, J' || (doc_id % 10) AS author FROM documents""",
+)
+def mapped_crossref(spark, sf_dir):
+    i = F.col("doc_id")
+    body = F.concat(
+        F.lit('{"DOI":"10.5072/CR.'), i, F.lit('","type":"'), F.when(i % 4 == 0, "posted-content").when(i % 4 == 1, "report").otherwise("journal-article"),
+        F.lit('","title":['), quote(_first_line()), F.lit('],"relation":{"is-preprint-of":[{"id-type":"doi","id":"10.5072/PUB.'), i,
+        F.lit('"}]},"issued":{"date-parts":[[2016'), F.when(i % 3 == 0, "").when(i % 3 == 1, ",9").otherwise(",9,5"),
+        F.lit(']]},"updated-by":[{"type":"'), F.when(i % 7 == 0, "retraction").otherwise("erratum"), F.lit('","DOI":"10.5072/cr.'), i,
+        F.lit('"}],"reference":[{"key":"a"},{"DOI":"10.5072/REF.'), i % 100, F.lit('"}],"author":[{"family":"Doe","given":"J'), i % 10, F.lit('"}]}'),
+    )
+    out = map_source("crossref", _payloads(spark, sf_dir, body, F.concat(F.lit("10.5072/cr."), i)))
+    return out.select(
+        "source_id", "identity_key", _field("published_date").alias("published"), _field("resource_kind").alias("kind"), _field("withdrawn").alias("withdrawn"),
+        _field("extra.crossref_references[0]").alias("reference"), _field("authors[0].name").alias("author"),
+    )
+
+
+@query(
+    "mapped_github",
+    """SELECT 'o/r' || doc_id AS source_id, CASE WHEN doc_id % 3 = 0 THEN '10.5072/gh.' || doc_id ELSE 'github|o/r' || doc_id END AS identity_key,
+      CASE WHEN doc_id % 2 = 0 THEN 'v' || doc_id END AS version, CASE WHEN doc_id % 2 = 0 THEN '2025-06-16' ELSE '2020-01-02' END AS published, CASE WHEN doc_id % 5 = 0 THEN 'true' END AS archived,
+      CAST(CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 1 END AS INTEGER) AS resources FROM documents""",
+)
+def mapped_github(spark, sf_dir):
+    i = F.col("doc_id")
+    body = F.concat(
+        F.lit('{"repository":{"full_name":"o/r'), i, F.lit('","html_url":"https://github.com/o/r'), i, F.lit('","created_at":"2020-01-02T00:00:00Z","archived":'),
+        (i % 5 == 0).cast("string"), F.lit(',"description":'), quote(_first_line()), F.lit('},"latest_release":'),
+        F.when(i % 2 == 0, F.concat(F.lit('{"tag_name":"v'), i, F.lit('","html_url":"https://github.com/x","published_at":"2025-06-16T19:37:46Z"}'))).otherwise("null"),
+        F.lit(',"_resolved":{"doi":'), F.when(i % 3 == 0, F.concat(F.lit('"10.5072/GH.'), i, F.lit('"'))).otherwise("null"), F.lit("}}"),
+    )
+    out = map_source("github", _payloads(spark, sf_dir, body, F.concat(F.lit("o/r"), i)))
+    return out.select(
+        "source_id", "identity_key", _field("version").alias("version"), _field("published_date").alias("published"), _field("archived").alias("archived"),
+        F.json_array_length(_field("resources")).alias("resources"),
+    )
+
+
+@query(
+    "mapped_osti",
+    """SELECT CAST(doc_id AS VARCHAR) AS source_id, CASE WHEN doc_id % 2 = 0 THEN '10.2172/' || (1000 + doc_id) ELSE 'osti|' || doc_id END AS identity_key,
+      CASE WHEN doc_id % 3 = 0 THEN 'open' ELSE 'metadata-only' END AS access, 'Hall, M' AS author, 'NREL ' || doc_id AS affiliation, CAST(3 AS INTEGER) AS keywords, 'NREL/TP-' || doc_id AS number FROM documents""",
+)
+def mapped_osti(spark, sf_dir):
+    i = F.col("doc_id")
+    body = F.concat(
+        F.lit('{"osti_id":"'), i, F.lit('","title":'), quote(_first_line()), F.lit(',"doi":'), F.when(i % 2 == 0, F.concat(F.lit('"10.2172/'), i + 1000, F.lit('"'))).otherwise('""'),
+        F.lit(',"authors":["Hall, M [NREL '), i, F.lit('] (ORCID:0000000203988320)"],"subjects":["A,B","C, D","A"],"report_number":" NREL/TP-'), i, F.lit('","links":['),
+        F.when(i % 3 == 0, '{"rel":"fulltext","href":"https://x"}').otherwise(""), F.lit("]}"),
+    )
+    out = map_source("osti", _payloads(spark, sf_dir, body, i.cast("string")))
+    return out.select(
+        "source_id", "identity_key", _field("access_status").alias("access"), _field("authors[0].name").alias("author"), _field("authors[0].affiliation").alias("affiliation"),
+        F.json_array_length(_field("keywords")).alias("keywords"), _field("report_number").alias("number"),
+    )
+
+
+@query(
+    "mapped_wdh",
+    """SELECT 'wdh|p/d' || doc_id AS identity_key, CASE doc_id % 4 WHEN 0 THEN 'open' WHEN 1 THEN 'registration-required' WHEN 2 THEN 'restricted' ELSE 'unknown' END AS access,
+      'https://wdh.energy.gov/ds/p/d' || doc_id AS url, CAST(1 AS INTEGER) AS resources, CAST(n_chars AS VARCHAR) AS files FROM documents""",
+)
+def mapped_wdh(spark, sf_dir):
+    i = F.col("doc_id")
+    level = F.when(i % 4 == 0, "Public").when(i % 4 == 1, "restricted public").when(i % 4 == 2, "private").otherwise("odd")
+    body = F.concat(
+        F.lit('{"_source":{"identifier":"p/d'), i, F.lit('","title":'), quote(_first_line()), F.lit(',"accessLevel":"'), level,
+        F.lit('","dapFileSummary":{"count":'), "n_chars", F.lit("}}}"),
+    )
+    out = map_source("wdh", _payloads(spark, sf_dir, body, F.concat(F.lit("p/d"), i)))
+    return out.select(
+        "identity_key", _field("access_status").alias("access"), _field("url").alias("url"), F.json_array_length(_field("resources")).alias("resources"),
+        _field("extra.wdh_file_count").alias("files"),
+    )
+
+
+@query(
+    "mapped_task_pages",
+    """SELECT '10.5072/tp.' || doc_id AS identity_key, CASE WHEN doc_id % 2 = 0 THEN 'datacite' ELSE 'crossref' END AS resolved_by, CASE WHEN doc_id % 2 = 0 THEN '2020' ELSE '2021-03' END AS published,
+      'task-' || (doc_id % 9) AS task FROM documents WHERE doc_id % 5 > 0""",
+)
+def mapped_task_pages(spark, sf_dir):
+    i = F.col("doc_id")
+    answer = F.when(i % 2 == 0, F.concat(F.lit('{"data":{"attributes":{"publicationYear":2020,"titles":[{"title":'), quote(_first_line()), F.lit("}]}}}"))).otherwise(
+        F.concat(F.lit('{"message":{"issued":{"date-parts":[[2021,3]]},"title":['), quote(_first_line()), F.lit("]}}")))
+    body = F.concat(
+        F.lit('{"doi":"10.5072/TP.'), i, F.lit('","agency":"'), F.when(i % 5 == 0, "nobody").when(i % 2 == 0, "datacite").otherwise("crossref"),
+        F.lit('","task":["Task 0'), i % 9, F.lit('"],"resolution":'), answer, F.lit("}"),
+    )
+    out, _ = map_source("task_pages", _payloads(spark, sf_dir, body, F.concat(F.lit("10.5072/tp."), i)))
+    return out.select("identity_key", _field("extra.resolved_by").alias("resolved_by"), _field("published_date").alias("published"), _field("task[0]").alias("task"))
