@@ -31,7 +31,7 @@ def safe_url(value: Column, schemes: tuple[str, ...] = ALLOWED_SCHEMES,
 
 def safe_urls(values: Column) -> Column:
     """Safe URLs of an array, first occurrence kept."""
-    return F.array_distinct(F.array_compact(F.transform(values, safe_url)))
+    return F.array_distinct(F.array_compact(F.transform(values, lambda u: safe_url(u))))
 
 
 def host_of(url: Column) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -238,7 +239,7 @@ def sanitise_payload(payload: Column, task_field: str = "task") -> Column:
         strings = F.coalesce(
             F.try_variant_get(value, "$", "array<string>"), F.array().cast("array<string>")
         )
-        safe_list = F.array_distinct(F.array_compact(F.transform(strings, safe_url)))
+        safe_list = F.array_distinct(F.array_compact(F.transform(strings, lambda u: safe_url(u))))
         tasks = F.array_distinct(
             F.filter(F.transform(strings, tx.normalise_task), lambda t: t != "")
         )
@@ -378,24 +379,38 @@ def notice_events(rows: DataFrame) -> DataFrame:
     )
 
 
-def append_events(events: DataFrame, path: str, buckets: int = 256) -> None:
-    """The only write path. Rows land by event type and identity bucket, so folds
-    prune by type and incremental rebuilds touch few buckets. ``seq`` must be set;
-    the key columns may not be empty."""
+BUCKETS = 256
+
+
+def bucket_of(key: Column | str, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def append_events(events: DataFrame, path: str, ingest: str, buckets: int = BUCKETS) -> None:
+    """The only write path. Events land by type and identity bucket, so folds prune by
+    type and incremental rebuilds read few buckets.
+
+    An append is named by ``ingest``; writing it again replaces itself and nothing
+    else, so a retried run or micro-batch cannot append twice. ``seq`` must be set and
+    the key columns filled.
+    """
+    complete = (
+        F.col("identity_key").isNotNull() & F.col("seq").isNotNull() & F.col("observed_at").isNotNull()
+        & F.col("event_type").isin(*EVENT_TYPES)
+    )
+    refused = F.assert_true(complete, F.lit("an event needs identity_key, seq, observed_at and a known type"))
     checked = events.withColumn(
-        "identity_key",
-        F.when(
-            F.assert_true(
-                F.col("identity_key").isNotNull() & F.col("seq").isNotNull()
-                & F.col("observed_at").isNotNull() & F.col("event_type").isin(*EVENT_TYPES),
-                F.lit("an event needs identity_key, seq, observed_at and a known type"),
-            ).isNull(),
-            F.col("identity_key"),
-        ),
-    ).withColumn("bucket", F.pmod(F.xxhash64("identity_key"), F.lit(buckets)).cast("int"))
-    checked.write.mode("append").partitionBy("event_type", "bucket").parquet(path)
+        "identity_key", F.when(refused.isNull(), F.col("identity_key"))
+    ).withColumn("bucket", bucket_of("identity_key", buckets))
+    checked.write.mode("overwrite").partitionBy("event_type", "bucket").parquet(f"{path}/ingest={ingest}")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger written by :func:`append_events`."""
-    return spark.read.schema(EVENT_DDL + ", bucket int").parquet(path)
+    """The ledger written by :func:`append_events`; no ledger yet reads as empty."""
+    ddl = EVENT_DDL + ", ingest string, bucket int"
+    try:
+        return spark.read.schema(ddl).option("basePath", path).parquet(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return spark.createDataFrame([], ddl)

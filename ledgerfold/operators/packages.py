@@ -119,7 +119,7 @@ def build_packages(
     aliases = licence_aliases(spark)
     rows = rows.withColumn("_raw", value("license_raw")).withColumn("_id", value("license_id"))
     rows = map_licences(rows, "_raw", aliases, "_raw_id", "_raw_mapped")
-    rows = rows.withColumn("_text", F.coalesce(tx.blank_to_null("_id"), F.col("_raw")))
+    rows = rows.withColumn("_text", F.coalesce(tx.blank_to_null(F.col("_id")), F.col("_raw")))
     rows = map_licences(rows, "_text", aliases, "_text_id", "_text_mapped")
     licence = F.when(F.col("_id").isin(*LICENCE_IDS), F.col("_id")).otherwise(F.col("_text_id"))
 

@@ -174,7 +174,7 @@ def map_crossref(
     raw_licence = licence_raw(doc)
     references = F.array_distinct(F.array_compact(F.transform(
         ob.only_objects(get_list(doc, "$.reference")), lambda r: tx.normalise_doi(ob.get(r, "$.DOI")))))
-    words = F.array_distinct(F.filter(F.transform("_words", F.trim), lambda w: w != ""))
+    words = F.array_distinct(F.filter(F.transform("_words", lambda w: F.trim(w)), lambda w: w != ""))
     related = related_of(doc, own)
     retraction = retraction_of(doc, own)
     candidates = F.array().cast("array<string>")

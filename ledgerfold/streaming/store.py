@@ -1,0 +1,51 @@
+"""Keyed tables that micro-batches replace bucket by bucket.
+
+A table is laid out by version and bucket; the newest version of a bucket is its
+content. A batch writes new versions of the buckets it touched and nothing else, so
+readers never see half a change and a retried batch replaces its own version.
+"""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerfold.operators.ledger import BUCKETS, bucket_of
+
+
+def read_buckets(spark: SparkSession, path: str, before: int | None = None) -> DataFrame | None:
+    """The newest version of every bucket, of versions under ``before`` when given."""
+    try:
+        rows = spark.read.option("basePath", path).parquet(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            raise
+        return None
+    if before is not None:
+        rows = rows.filter(F.col("version") < before)
+    # One row per bucket: at most BUCKETS rows to broadcast.
+    newest = rows.groupBy("bucket").agg(F.max("version").alias("version"))
+    return rows.join(F.broadcast(newest), ["bucket", "version"], "left_semi")
+
+
+def touched_buckets(keys: DataFrame, key: str = "identity_key", buckets: int = BUCKETS) -> list[int]:
+    """The buckets some keys live in: a list no longer than the number of buckets."""
+    return [r[0] for r in keys.select(bucket_of(key, buckets)).distinct().collect()]
+
+
+def replace_rows(
+    fresh: DataFrame, path: str, version: int, touched: list[int], key: str = "identity_key",
+    buckets: int = BUCKETS,
+) -> None:
+    """Write a new version of the touched buckets: fresh rows plus the old rows of keys
+    that have no fresh one."""
+    spark = fresh.sparkSession
+    rows = fresh.withColumn("bucket", bucket_of(key, buckets))
+    old = read_buckets(spark, path, version)
+    if old is not None:
+        kept = old.filter(F.col("bucket").isin(touched)).drop("version").join(
+            fresh.select(key), key, "left_anti"
+        )
+        rows = rows.unionByName(kept, allowMissingColumns=True)
+    rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/version={version}")
