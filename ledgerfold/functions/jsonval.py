@@ -55,18 +55,18 @@ def json_type(doc: Column) -> Column:
 
 
 def quote(text: Column) -> Column:
-    """A string column as a JSON string literal; NULL stays NULL."""
-    wrapped = F.to_json(F.array(text))
-    return F.when(text.isNotNull(), wrapped.substr(F.lit(2), F.length(wrapped) - 2))
+    """A string column as a JSON string literal; NULL stays NULL.
+
+    The array brackets are trimmed off; a literal starts and ends with a quote, so
+    nothing else is. The text is evaluated once.
+    """
+    return F.nullif(F.btrim(F.to_json(F.array(text)), F.lit("[]")), F.lit("null"))
 
 
 def json_object(entries: list[tuple[str, Column]]) -> Column:
     """Canonical JSON object from ``(key, JSON-text column)``; NULL values are left out."""
-    parts = [
-        F.when(value.isNotNull(), F.concat(F.lit(f'"{key}":'), value))
-        for key, value in sorted(entries)
-    ]
-    return F.concat(F.lit("{"), F.array_join(F.array_compact(F.array(*parts)), ","), F.lit("}"))
+    parts = [F.concat(F.lit(f'"{key}":'), value) for key, value in sorted(entries)]
+    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
 
 
 def json_array(items: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerfold.functions import text as tx
-from ledgerfold.functions.jsonval import get_doc, get_strings, get_text, json_type
+from ledgerfold.functions.jsonval import get_doc, get_strings, get_text, json_type, let, quote
 from ledgerfold.functions.urls import safe_url
 from ledgerfold.spec import (
     EVENT_DDL,
@@ -60,42 +60,41 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def event_messages(doc: Column) -> Column:
     """Why an event line is refused, as an array of messages (empty: accepted)."""
-    keys = F.map_keys(F.coalesce(F.from_json(F.to_json(doc), "map<string,variant>"),
-                                 F.create_map().cast("map<string,variant>")))
-    unknown = F.array_except(keys, F.array(*[F.lit(k) for k in EVENT_KEYS]))
-    entries = F.map_values(
-        F.coalesce(
-            F.from_json(F.to_json(get_doc(doc, "$.provenance")), PROVENANCE_TYPE),
-            F.create_map().cast(PROVENANCE_TYPE),
-        )
-    )
-    bad_method = F.exists(
-        entries,
-        lambda p: ~F.coalesce(p["extraction_method"].isin(*EXTRACTION_METHODS), F.lit(False)),
-    )
-    unnamed = F.exists(
-        entries,
-        lambda p: (p["extraction_method"] == "llm")
-        & ((F.coalesce(p["model"], F.lit("")) == "")
-           | (F.coalesce(p["prompt_version"], F.lit("")) == "")),
-    )
-    out_of_range = F.exists(
-        entries, lambda p: F.coalesce((p["confidence"] < 0) | (p["confidence"] > 1), F.lit(False))
+    text = lambda path: get_text(doc, path)
+    parts = F.struct(
+        json_type(doc).alias("type"),
+        F.array_except(
+            F.json_object_keys(F.to_json(doc)), F.array(*[F.lit(k) for k in EVENT_KEYS])
+        ).alias("unknown"),
+        F.map_values(F.from_json(F.to_json(get_doc(doc, "$.provenance")), PROVENANCE_TYPE)).alias("entries"),
+        text("$.event_type").alias("kind"),
+        text("$.identity_key").alias("key"),
+        text("$.observed_at").alias("at"),
     )
-    kind = get_text(doc, "$.event_type")
-    return F.array_compact(
-        F.array(
-            F.when(doc.isNull(), "not JSON"),
-            F.when(json_type(doc) != "OBJECT", "not an object"),
-            F.when(F.size(unknown) > 0, F.concat(F.lit("unknown keys: "), F.array_join(unknown, ", "))),
-            F.when(~F.coalesce(kind.isin(*EVENT_TYPES), F.lit(False)), "unknown event type"),
-            F.when(get_text(doc, "$.identity_key").isNull(), "identity_key missing"),
-            F.when(get_text(doc, "$.observed_at").isNull(), "observed_at missing"),
-            F.when(bad_method, "unknown extraction method"),
-            F.when(unnamed, "model-inferred field without model and prompt version"),
-            F.when(out_of_range, "confidence outside [0, 1]"),
+    blank = lambda c: F.coalesce(c, F.lit("")) == ""
+
+    def judge(e: Column) -> Column:
+        some = lambda test: F.exists(e["entries"], lambda p: F.coalesce(test(p), F.lit(False)))
+        return F.array_compact(
+            F.array(
+                F.when(e["type"].isNull(), "not JSON"),
+                F.when(e["type"] != "OBJECT", "not an object"),
+                F.when(F.size(e["unknown"]) > 0,
+                       F.concat(F.lit("unknown keys: "), F.array_join(e["unknown"], ", "))),
+                F.when(~F.coalesce(e["kind"].isin(*EVENT_TYPES), F.lit(False)), "unknown event type"),
+                F.when(e["key"].isNull(), "identity_key missing"),
+                F.when(e["at"].isNull(), "observed_at missing"),
+                F.when(some(lambda p: ~F.coalesce(p["extraction_method"].isin(*EXTRACTION_METHODS), F.lit(False))),
+                       "unknown extraction method"),
+                F.when(some(lambda p: (p["extraction_method"] == "llm")
+                            & (blank(p["model"]) | blank(p["prompt_version"]))),
+                       "model-inferred field without model and prompt version"),
+                F.when(some(lambda p: (p["confidence"] < 0) | (p["confidence"] > 1)),
+                       "confidence outside [0, 1]"),
+            )
         )
-    )
+
+    return let(parts, judge)
 
 
 def parse_events(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -104,14 +103,19 @@ def parse_events(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     A file belongs to the identity on its first readable line; lines of any
     other identity are refused.
     """
-    parsed = (
-        lines.filter(F.trim("line") != "")
-        .withColumn("doc", F.try_parse_json("line"))
-        .withColumn("messages", event_messages(F.col("doc")))
-        .withColumn("key", get_text(F.col("doc"), "$.identity_key"))
+    # One parse per evaluation, however often the document is asked.
+    verdict = let(
+        F.try_parse_json("line"),
+        lambda d: F.struct(
+            d.alias("doc"), event_messages(d).alias("messages"), get_text(d, "$.identity_key").alias("key")
+        ),
     )
+    parsed = lines.filter(F.trim("line") != "").withColumn("v", verdict).select(
+        "path", "line_no", "line", "v.doc", "v.messages", "v.key"
+    )
+    named = lines.select("path", "line_no", F.try_parse_json("line").alias("d")).filter("d IS NOT NULL")
     owners = (
-        parsed.filter(F.col("doc").isNotNull())
+        named.select("path", "line_no", get_text(F.col("d"), "$.identity_key").alias("key"))
         .groupBy("path")
         .agg(F.min_by(F.struct("key"), "line_no").alias("_owner"))
         .select("path", F.col("_owner.key").alias("owner"))
@@ -279,17 +283,12 @@ def sanitise_payload(payload: Column, task_field: str = "task") -> Column:
     parts = F.transform(
         F.array_sort(F.map_entries(F.transform_values(fields, clean))),
         lambda e: F.concat(
-            _quoted(e["key"]), F.lit(":"), e["value"].substr(F.lit(2), F.length(e["value"]) - 2)
+            quote(e["key"]), F.lit(":"), e["value"].substr(F.lit(2), F.length(e["value"]) - 2)
         ),
     )
     return F.concat(F.lit("{"), F.array_join(parts, ","), F.lit("}"))
 
 
-def _quoted(text: Column) -> Column:
-    wrapped = F.to_json(F.array(text))
-    return wrapped.substr(F.lit(2), F.length(wrapped) - 2)
-
-
 def _replace_url(entry: Column, url: Column) -> Column:
     """An object's JSON with its ``url`` replaced, or left out when not linkable."""
     pairs = F.map_entries(F.from_json(F.to_json(entry), "map<string,variant>"))
@@ -298,13 +297,13 @@ def _replace_url(entry: Column, url: Column) -> Column:
         lambda p: F.struct(p["key"].alias("k"), F.to_json(p["value"]).alias("v")),
     )
     linked = F.when(
-        url.isNotNull(), F.array(F.struct(F.lit("url").alias("k"), _quoted(url).alias("v")))
+        url.isNotNull(), F.array(F.struct(F.lit("url").alias("k"), quote(url).alias("v")))
     ).otherwise(F.array().cast("array<struct<k:string,v:string>>"))
     merged = F.array_sort(F.concat(texts, linked))
     return F.concat(
         F.lit("{"),
         F.array_join(
-            F.transform(merged, lambda p: F.concat(_quoted(p["k"]), F.lit(":"), p["v"])), ","
+            F.transform(merged, lambda p: F.concat(quote(p["k"]), F.lit(":"), p["v"])), ","
         ),
         F.lit("}"),
     )

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ledgerfold.functions import text as tx
-from ledgerfold.functions.jsonval import get_doc, is_empty, json_array, json_type
-from ledgerfold.operators.ledger import _quoted, log_order
+from ledgerfold.functions.jsonval import get_doc, is_empty, json_array, json_type, quote
+from ledgerfold.operators.ledger import log_order
 from ledgerfold.spec import (
     NOTICE_EVENT_TYPES,
     SEEN_EVENT_TYPES,
@@ -165,7 +165,7 @@ def compose_bags(fields: DataFrame, spec: LedgerSpec) -> DataFrame:
         "field",
         F.concat(
             F.lit("{"),
-            F.array_join(F.transform("kv", lambda p: F.concat(_quoted(p["k"]), F.lit(":"), p["v"])), ","),
+            F.array_join(F.transform("kv", lambda p: F.concat(quote(p["k"]), F.lit(":"), p["v"])), ","),
             F.lit("}"),
         ).alias("value"),
     )

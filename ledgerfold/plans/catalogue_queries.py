@@ -511,12 +511,13 @@ def text_dois(spark, sf_dir):
 @query(
     "sanitised_payloads",
     """SELECT CAST(c_custkey AS BIGINT) AS k, CASE WHEN c_custkey % 3 = 0 THEN 'https://a.example/' || c_custkey END AS url, CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS urls,
-      'task-' || (c_custkey % 50) AS tasks, CAST(least(c_custkey, 500) AS INTEGER) AS keywords, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS links FROM customer""",
+      'task-' || (c_custkey % 50) AS tasks, CAST(least(c_custkey % 700, 500) AS INTEGER) AS keywords, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS links FROM customer""",
 )
 def sanitised_payloads(spark, sf_dir):
     k = F.col("c_custkey")
     url = F.when(k % 3 == 0, F.concat(F.lit(" https://a.example/"), k)).when(k % 3 == 1, "java\\tscript:alert(1)").otherwise("//host/x")
-    words = F.when(k == 0, "[]").otherwise(F.concat(F.lit("["), F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(k, F.lit(1))), lambda i: F.concat(F.lit('"w'), i.cast("string"), F.lit('"'))), ","), F.lit("]")))
+    n_words = k % 700
+    words = F.when(n_words == 0, "[]").otherwise(F.concat(F.lit("["), F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(n_words, F.lit(1))), lambda i: F.concat(F.lit('"w'), i.cast("string"), F.lit('"'))), ","), F.lit("]")))
     body = F.concat(
         F.lit('{"url":"'), url, F.lit('","source_urls":["'), url, F.lit('","http://b.example/","http://b.example/"],"task":["Task 0'),
         k % 50, F.lit('","task_'), k % 50, F.lit('"],"keywords":'), words, F.lit(',"links":[{"url":"'), url, F.lit('","label":"x"},{"label":"y"}]}'),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerfold.functions.jsonval import quote, text_of
 from ledgerfold.operators import changes, curation, graph, ledger, listing, reconcile, reports
 from ledgerfold.operators import resolve as rs
-from ledgerfold.plans.registry import query, table
+from ledgerfold.plans.registry import query, spread, table
 from ledgerfold.spec import PROVENANCE_TYPE, LedgerSpec
 
 SPEC = LedgerSpec(precedence={"click": 10, "view": 20, "purchase": 30})
@@ -285,7 +285,7 @@ def identity_list(spark, sf_dir):
 
 def log_lines(spark, sf_dir) -> DataFrame:
     """One log per user; some lines are cut short, some belong to somebody else."""
-    e = raw_events(spark, sf_dir)
+    e = spread(raw_events(spark, sf_dir), "seq")
     key = F.when(F.col("k") % 17 == 3, "user|stranger").otherwise(F.col("identity_key"))
     line = F.concat(
         F.lit('{"identity_key":'), quote(key), F.lit(',"observed_at":"'), F.col("observed_at"),
@@ -342,7 +342,7 @@ SELECT CAST(seq AS BIGINT) AS seq, message FROM (
     CASE WHEN value > 150 THEN 'confidence outside [0, 1]' END], lambda x: x IS NOT NULL)) AS message FROM e)""",
 )
 def event_rules(spark, sf_dir):
-    e = raw_events(spark, sf_dir)
+    e = spread(raw_events(spark, sf_dir), "seq")
     method = F.when(F.col("k") % 5 == 0, "guess").when(F.col("k") % 7 == 0, "llm").otherwise("api")
     line = F.concat(
         F.lit('{"identity_key":"a","observed_at":"x","event_type":"scraped","provenance":{"f":{"extraction_method":"'),
@@ -859,7 +859,7 @@ def tombstones(spark, sf_dir):
     "event_history",
     LEDGER + """
 SELECT id AS identity_key, CAST(seq AS BIGINT) AS seq, CASE kind WHEN 'signup' THEN 'Local annotation added'
-  WHEN 'error' THEN 'Artifact no longer available obs the source' ELSE 'Upstream metadata observed and taken wholesale' END AS description FROM e""",
+  WHEN 'error' THEN 'Artifact no longer available at the source' ELSE 'Upstream metadata observed and taken wholesale' END AS description FROM e""",
 )
 def event_history(spark, sf_dir):
     return listing.event_history(ledger_view(spark, sf_dir)).select("identity_key", "seq", "description")
