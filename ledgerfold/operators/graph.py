@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from ledgerfold.functions import text as tx
 from ledgerfold.functions.jsonval import get_strings, text_of
+from ledgerfold.operators.skew import lookup_join
 
 # Relations that state a citation, from either side.
 CITES = ("references", "cites", "iscitationof")
@@ -93,7 +94,7 @@ def citation_edges(statements: DataFrame, index: DataFrame) -> DataFrame:
     everyone costs one row per citing record and no more.
     """
     asked = statements.select("identity_key", "alias", "outward").distinct()
-    hits = asked.join(index.withColumnRenamed("identity_key", "other"), "alias").filter(
+    hits = lookup_join(asked, index.withColumnRenamed("identity_key", "other"), ["alias"]).filter(
         F.col("other") != F.col("identity_key")
     )
     src = F.when(F.col("outward"), F.col("identity_key")).otherwise(F.col("other"))

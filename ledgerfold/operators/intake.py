@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from ledgerfold.functions import text as tx
 from ledgerfold.functions.jsonval import get_doc, get_text, json_type
+from ledgerfold.operators.skew import lookup_join
 
 BADGE_MARKER = "zenodo.org/badge"
 IMAGE_SUFFIX = r"(?i)\.(svg|png|jpe?g|gif)$"
@@ -92,7 +93,7 @@ def first_seen_ids(scrapes: DataFrame, stable_id: str, source_id: str, order: li
 def keep_first_names(rows: DataFrame, known: DataFrame, stable_id: str, source_id: str) -> DataFrame:
     """Rows under the name their id was first seen by."""
     old = known.withColumnRenamed(source_id, "_first")
-    return rows.join(old, stable_id, "left").withColumn(source_id, F.coalesce("_first", source_id)).drop("_first")
+    return lookup_join(rows, old, [stable_id], "left").withColumn(source_id, F.coalesce("_first", source_id)).drop("_first")
 
 
 def prefer_published(
@@ -105,13 +106,16 @@ def prefer_published(
     """
     here = rows.select(F.col(own).alias(published)).distinct().withColumn("_here", F.lit(True))
     there = resolvable.select(F.col(resolvable.columns[0]).alias(published)).distinct().withColumn("_there", F.lit(True))
-    judged = rows.join(here, published, "left").join(there, published, "left").withColumn(
+    # Most works are no preprint; only those that are meet the joins.
+    preprints = rows.filter(F.col(published).isNotNull())
+    judged = preprints.join(here, published, "left").join(there, published, "left").withColumn(
         "reason",
-        F.when(F.col(published).isNull(), None)
-        .when(F.col("_here"), "published version is in this batch")
+        F.when(F.col("_here"), "published version is in this batch")
         .when(F.col("_there").isNull(), "asserted published version did not resolve"),
     ).drop("_here", "_there")
-    return judged.filter(F.col("reason").isNull()).drop("reason"), judged.filter(F.col("reason").isNotNull())
+    kept = judged.filter(F.col("reason").isNull()).drop("reason")
+    kept = kept.unionByName(rows.filter(F.col(published).isNull()))
+    return kept, judged.filter(F.col("reason").isNotNull())
 
 
 def resolve_or_drop(dois: DataFrame, answers: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -128,7 +132,7 @@ def resolve_or_drop(dois: DataFrame, answers: DataFrame) -> tuple[DataFrame, Dat
         .select("doi", "a.agency", "a.payload")
     )
     asked = dois.withColumn("doi", tx.normalise_doi(F.col("raw")))
-    joined = asked.join(best, "doi", "left")
+    joined = lookup_join(asked, best, ["doi"], "left")
     kept = joined.filter(F.col("agency").isNotNull())
     drops = joined.filter(F.col("agency").isNull()).select(
         F.coalesce("doi", "raw").alias("doi"),
@@ -200,7 +204,9 @@ def match_titles(citations: DataFrame, works: DataFrame) -> tuple[DataFrame, Dat
     left to a person.
     """
     known = works.groupBy(tx.normalise_title(F.col("title")).alias("norm")).agg(F.min_by("doi", "rank").alias("doi"))
-    rows = citations.withColumn("norm", tx.normalise_title(F.col("title"))).join(known, "norm", "left").drop("norm")
+    rows = lookup_join(
+        citations.withColumn("norm", tx.normalise_title(F.col("title"))), known, ["norm"], "left"
+    ).drop("norm")
     missed = rows.filter(F.col("doi").isNull()).select(
         F.lit("unresolved_citation").alias("type"), "url", "title",
         F.lit("no exact title match; flagged rather than guessed").alias("detail"),

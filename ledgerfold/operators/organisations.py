@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerfold.functions import text as tx
 from ledgerfold.functions.jsonval import get_doc, get_list, get_strings, get_text, json_type, text_of
+from ledgerfold.operators.skew import lookup_join
 from ledgerfold.sources.registers import normalised_names
 
 DEFAULT_OWNER = "unattributed"
@@ -77,7 +78,7 @@ def owner_signals(resolved: DataFrame) -> DataFrame:
 
 def first_match(signals: DataFrame, names: DataFrame) -> DataFrame:
     """``(identity_key, org, basis)`` of the strongest signal that names an organisation."""
-    matched = signals.join(match_texts(signals, names), "text")
+    matched = lookup_join(signals, match_texts(signals, names), ["text"])
     return (
         matched.groupBy("identity_key")
         .agg(F.min_by(F.struct("org", "basis"), "pos").alias("m"))

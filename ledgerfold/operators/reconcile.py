@@ -22,7 +22,7 @@ from ledgerfold.operators.graph import (
 )
 from ledgerfold.operators.ledger import event_frame, with_seq
 from ledgerfold.operators.resolve import precedence_of
-from ledgerfold.operators.skew import HOT_ROWS, per_key_join
+from ledgerfold.operators.skew import HOT_ROWS, lookup_join, per_key_join
 from ledgerfold.session import checkpointed
 from ledgerfold.spec import PROVENANCE_TYPE, UNKNOWN_PRECEDENCE, LedgerSpec
 
@@ -118,8 +118,8 @@ def relation_candidates(
     rows = statements.withColumn("r", relation).filter(
         F.col("r").isin(*SAMENESS, *SUPERSEDED_BY, *SUPERSEDES, *VERSION_OF, *HAS_VERSION)
     )
-    rows = rows.join(
-        index.select(F.col("alias").alias("target"), F.col("identity_key").alias("other")), "target"
+    rows = lookup_join(
+        rows, index.select(F.col("alias").alias("target"), F.col("identity_key").alias("other")), ["target"]
     ).filter(F.col("other") != F.col("identity_key"))
     same = F.col("r").isin(*SAMENESS)
     yields = F.col("r").isin(*SUPERSEDED_BY, *VERSION_OF)

@@ -326,15 +326,21 @@ def _as_map(rows: DataFrame, value: str, name: str) -> DataFrame:
     )
 
 
-def resolve(events: DataFrame, spec: LedgerSpec | None = None) -> DataFrame:
+def resolve(
+    events: DataFrame, spec: LedgerSpec | None = None, state: DataFrame | None = None
+) -> DataFrame:
     """One row per identity: facts plus source, local and effective fields.
 
+    ``state`` is :func:`system_state` when the caller has stored it already. Facts,
+    fields and provenance each need other columns of it, so left to itself the
+    planner would aggregate the ledger once for each; runs store it first.
+
     Field maps hold canonical JSON values. A record's own lists are arrays here
     because the record is the row; :func:`set_tokens` and the other long forms
     serve anything that should not be one value.
     """
     spec = spec or LedgerSpec()
-    state = system_state(events, spec)
+    state = system_state(events, spec) if state is None else state
     fields = source_fields(state, spec)
     local = local_fields(events)
     scalars = compose_scalars(fields, spec).unionByName(compose_bags(fields, spec))

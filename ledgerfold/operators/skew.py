@@ -31,6 +31,26 @@ def per_key_join(
     return kept.unionByName(moved)
 
 
+def lookup_join(
+    detail: DataFrame, unique: DataFrame, keys: list[str], how: str = "inner", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join detail rows with a table that has one row per key, whatever the key's share.
+
+    Key counts are taken first, with map-side combining, so that hot keys can be
+    broadcast by :func:`per_key_join`. Rows whose key is NULL match nothing; a left
+    join keeps them where they are instead of sending them all to one task.
+    """
+    present = F.lit(True)
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    asked = detail.filter(present)
+    counts = asked.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    joined = per_key_join(asked, unique.join(counts, keys), keys, how, hot_rows=hot_rows)
+    if how != "left":
+        return joined
+    return joined.unionByName(detail.filter(~present), allowMissingColumns=True)
+
+
 def previous_value(
     rows: DataFrame, keys: list[str], segment: Column, order: list[str], value: str
 ) -> DataFrame:

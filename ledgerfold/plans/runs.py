@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerfold.operators import curation, graph, packages, quality, reconcile, reports
 from ledgerfold.operators.changes import changed_rows, last_tokens
 from ledgerfold.operators.ledger import append_events, event_frame, notice_events, read_table, scrape_events, with_seq
-from ledgerfold.operators.resolve import resolve
+from ledgerfold.operators.resolve import resolve, system_state
 from ledgerfold.session import checkpointed
 from ledgerfold.spec import LedgerSpec
 
@@ -37,6 +37,12 @@ class Catalogue:
     actions: DataFrame | None
 
 
+def fold(events: DataFrame, spec: LedgerSpec) -> DataFrame:
+    """Resolved records, stored. The state per identity and system is stored on the
+    way, so the ledger is aggregated once and every later step reads the small table."""
+    return checkpointed(resolve(events, spec, checkpointed(system_state(events, spec))))
+
+
 def materialise(
     events: DataFrame,
     registers: Registers,
@@ -51,7 +57,7 @@ def materialise(
     decided. ``published`` is ``(name, digest)`` of what is out there.
     """
     spec = spec or LedgerSpec()
-    resolved = checkpointed(resolve(events, spec))
+    resolved = fold(events, spec)
     edges = graph.citation_edges(graph.stated_citations(resolved), graph.alias_index_scope(resolved))
     scope = graph.decide_scope(resolved, edges, registers.generic_routes, spec.task_field)
     firsts = events.groupBy("identity_key").agg(F.min("seq").alias("first_seq"))
@@ -108,7 +114,7 @@ def annotate(
     fresh = with_seq(curation.annotation_events(applied, now).drop("seq"), ["observed_at", "identity_key"], next_seq(events))
     append_events(event_frame(fresh), ledger_path, f"{run}-annotate")
     events = read_table(spark, ledger_path).filter(F.col("ingest") != f"{run}-pins")
-    pins = curation.pin_notices(resolve(events), events)
+    pins = curation.pin_notices(fold(events, LedgerSpec()), events)
     append_events(event_frame(with_seq(pins.drop("seq"), ["observed_at", "identity_key"], next_seq(events))), ledger_path, f"{run}-pins")
     return curation.annotation_notices(planned, rejects)
 
@@ -135,13 +141,13 @@ def reconcile_ledger(
     spec = spec or LedgerSpec()
     mine = [f"{run}-promote", f"{run}-merge", f"{run}-propose"]
     events = read_table(spark, ledger_path).filter(~F.col("ingest").isin(mine))
-    resolved = checkpointed(resolve(events, spec))
+    resolved = fold(events, spec)
     promoted = checkpointed(reconcile.promote_task_candidates(resolved, registers.groups, spec, now))
     if apply:
         numbered = with_seq(promoted.drop("seq"), ["identity_key"], next_seq(events))
         append_events(event_frame(numbered), ledger_path, f"{run}-promote")
         events = read_table(spark, ledger_path).filter(~F.col("ingest").isin(mine[1:]))
-        resolved = checkpointed(resolve(events, spec))
+        resolved = fold(events, spec)
     candidates = checkpointed(reconcile.find_candidates(resolved, spec))
     automatic = candidates.filter("automatic")
     merged = reconcile.already_merged(automatic, resolved)
