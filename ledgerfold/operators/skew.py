@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-#: A key with more detail rows than this is joined by broadcasting its one row.
-#: At most ``rows / HOT_ROWS`` keys can be hot, which bounds that broadcast.
+#: A key with more detail rows than this counts as hot. At most ``rows / HOT_ROWS``
+#: keys can be, which bounds the one table that is broadcast here.
 HOT_ROWS = 1_000_000
+#: Parts a hot key's rows are spread over.
+SALTS = 1024
 
 
 def per_key_join(
@@ -19,36 +21,37 @@ def per_key_join(
     rows: str = "rows",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join detail rows with a one-row-per-key frame without moving hot keys.
+    """Join detail rows with a one-row-per-key frame, whatever share a key has.
 
-    ``per_key`` carries the number of detail rows in column ``rows``. Hot keys are
-    broadcast, so their detail rows stay where they are; the others shuffle.
+    ``per_key`` carries the number of detail rows in column ``rows``. A hot key's
+    detail rows are spread over salts by a hash of the row, and its one row is
+    repeated for every salt; all other keys have one salt. Rows with a NULL key
+    match nothing and are spread too.
     """
-    hot = per_key.filter(F.col(rows) > hot_rows).drop(rows)
-    cold = per_key.filter(F.col(rows) <= hot_rows).drop(rows)
-    kept = detail.join(F.broadcast(hot), keys, "inner")
-    moved = detail.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys, how)
-    return kept.unionByName(moved)
+    hot = F.broadcast(per_key.filter(F.col(rows) > hot_rows).select(*keys, F.lit(True).alias("_hot")))
+    hashed = [
+        f.name for f in detail.schema.fields
+        if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))
+    ]
+    part = F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int")
+    spread = F.coalesce("_hot", F.lit(False))
+    for key in keys:
+        spread = spread | F.col(key).isNull()
+    left = detail.join(hot, keys, "left").withColumn("_salt", F.when(spread, part).otherwise(0)).drop("_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = per_key.drop(rows).join(hot, keys, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
 def lookup_join(
     detail: DataFrame, unique: DataFrame, keys: list[str], how: str = "inner", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Join detail rows with a table that has one row per key, whatever the key's share.
+    """Join detail rows with any table that has one row per key.
 
-    Key counts are taken first, with map-side combining, so that hot keys can be
-    broadcast by :func:`per_key_join`. Rows whose key is NULL match nothing; a left
-    join keeps them where they are instead of sending them all to one task.
+    The detail rows per key are counted first, with map-side combining.
     """
-    present = F.lit(True)
-    for key in keys:
-        present = present & F.col(key).isNotNull()
-    asked = detail.filter(present)
-    counts = asked.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    joined = per_key_join(asked, unique.join(counts, keys), keys, how, hot_rows=hot_rows)
-    if how != "left":
-        return joined
-    return joined.unionByName(detail.filter(~present), allowMissingColumns=True)
+    counts = detail.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return per_key_join(detail, unique.join(counts, keys), keys, how, hot_rows=hot_rows)
 
 
 def previous_value(
