@@ -929,3 +929,32 @@ def daily_counts(spark, sf_dir):
         table(spark, sf_dir, "events").withColumn("source_system", F.lit(None).cast("string")), "ts", "1 day"
     )
     return counts.select(F.col("window_start").alias("day"), "event_type", "events")
+
+
+@query(
+    "published_packages",
+    FOLD + """
+, t AS (SELECT id, 'k' || (k % 20) AS tag FROM last UNION SELECT id, 'k' || (k % 20) FROM e WHERE kind = 'signup'),
+g AS (SELECT id, string_agg(tag, ',' ORDER BY tag) AS tags FROM t GROUP BY id),
+f AS (SELECT id, any_value(user_id) AS user_id, max((kind = 'error')::INT) = 1 AS gone, count(system) > 0 AS scraped FROM e GROUP BY id)
+SELECT f.id AS identity_key, 'user-' || user_id AS name, f.id AS title, 'notspecified' AS license_id, coalesce(tags, '') AS tags, 'unattributed' AS owner_org,
+  CASE WHEN gone THEN 'withdrawn' ELSE 'active' END AS lifecycle, CASE WHEN scraped THEN 'direct' ELSE 'unassessed' END AS inclusion_basis
+FROM f LEFT JOIN g ON g.id = f.id""",
+)
+def published_packages(spark, sf_dir):
+    from ledgerfold.operators import packages
+    from ledgerfold.plans.runs import fold
+
+    events = ledger_view(spark, sf_dir)
+    resolved = fold(events, SPEC)
+    scope = graph.decide_scope(resolved, None, [])
+    slugs = packages.allocate_slugs(events.groupBy("identity_key").agg(F.min("seq").alias("first_seq")))
+    names = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("pos"), F.lower("n_name").alias("name"), F.col("n_name").alias("title"),
+        F.array().cast("array<string>").alias("aliases"),
+    )
+    built, _ = packages.build_packages(resolved, scope, slugs, names, names, SPEC)
+    return built.select(
+        "identity_key", "name", "title", "license_id", F.array_join(F.transform("tags", lambda t: t["name"]), ",").alias("tags"),
+        "owner_org", packages.extra("lifecycle_state").alias("lifecycle"), packages.extra("inclusion_basis").alias("inclusion_basis"),
+    )
