@@ -16,7 +16,7 @@ from ledgerfold.functions.jsonval import (
 )
 from ledgerfold.operators.ledger import event_frame, sanitise_payload
 from ledgerfold.operators.reconcile import canonical_group
-from ledgerfold.spec import ACCESS_STATUSES, PROVENANCE_TYPE, RESOURCE_KINDS, LedgerSpec
+from ledgerfold.spec import ACCESS_STATUSES, PROVENANCE_TYPE, RESOURCE_KINDS
 
 # The fields a curator may set.
 CURATOR_FIELDS = (

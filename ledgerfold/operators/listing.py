@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.functions import text as tx
-from ledgerfold.functions.jsonval import get_strings
 from ledgerfold.functions.urls import host_of
 from ledgerfold.operators.packages import extra, extra_list
 from ledgerfold.operators.classify import lookup

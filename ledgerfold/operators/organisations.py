@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.functions import text as tx
-from ledgerfold.functions.jsonval import get_doc, get_list, get_strings, get_text, json_type, text_of
+from ledgerfold.functions.jsonval import get_doc, get_strings, get_text, json_type, text_of
 from ledgerfold.operators.skew import lookup_join
 from ledgerfold.sources.registers import normalised_names
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerfold.functions import text as tx
 from ledgerfold.functions.html import html_to_text, sanitise_html, unwrap_jats
-from ledgerfold.functions.jsonval import get_doc, get_list, json_array, json_object, json_type, quote
+from ledgerfold.functions.jsonval import get_doc, get_list, json_array, json_object, quote
 from ledgerfold.operators.changes import payload_hash, stamp
 from ledgerfold.operators.classify import lookup
 from ledgerfold.sources import observation as ob
