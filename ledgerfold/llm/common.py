@@ -28,7 +28,8 @@ def ordered_offsets(df: DataFrame, key: str, order: str, size: Column, out: str,
 
     No key is gathered in one task: rows are totalled by ranges of ``order``, the ranges (at most
     ``2 ** RANGE_BITS`` a key) are totalled in order, and rows are totalled within their range. The
-    result does not depend on how many ranges there are. A null key is a key like others.
+    result does not depend on how many ranges there are. ``key`` must not be null. ``df`` is read twice: hand
+    in a narrow frame that is stored or cheap.
     """
     part = f"__range_{out}"
     ranged = df.withColumn(part, F.shiftright(F.col(order), 64 - RANGE_BITS))
@@ -40,5 +41,5 @@ def ordered_offsets(df: DataFrame, key: str, order: str, size: Column, out: str,
     )
     inside = Window.partitionBy(key, part).orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
     rows = ranged.withColumn(out, F.coalesce(F.sum(size).over(inside), F.lit(0)).cast("long"))
-    joined = rows.join(starts, F.col(key).eqNullSafe(F.col("__key")) & (F.col(part) == F.col("__part")), "left")
+    joined = rows.join(starts, (F.col(key) == F.col("__key")) & (F.col(part) == F.col("__part")), "left")
     return joined.withColumn(out, F.col(out) + F.col("__start")).drop(part, "__key", "__part", "__start")

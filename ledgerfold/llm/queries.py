@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerfold.llm.registry import query, table
 
@@ -17,3 +18,53 @@ def bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return out.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op6_sharding")
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard under the ``key`` law: 40 shards in two regions of four racks."""
+    from ledgerfold.llm.sharding import ShardTree, assign, measure, numbered
+
+    docs = measure(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    tree = ShardTree.even(2, 4, 5)
+    out = assign(assign(docs, tree), tree.grown(), shard="grown_shard")
+    out = numbered(out, ties=("text_crc32", "size"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+#: Words in hashed order per source, read up to three times, cut at the target.
+MIXED = """
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS o
+  FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+      FROM d GROUP BY source),
+w AS (SELECT *, [1, 2, 3][place % 3 + 1] AS weight, 3 * source_size AS cap FROM s),
+p AS (SELECT *, sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, place
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining,
+             sum(weight) OVER (ORDER BY cap / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights_left
+      FROM w),
+q AS (SELECT *, cap::HUGEINT * weights_left <= weight::HUGEINT * remaining AS stops FROM p),
+t AS (SELECT source, source_size, CASE WHEN stops THEN cap::DOUBLE ELSE weight
+             * (max(remaining) FILTER (NOT stops) OVER ())::DOUBLE / max(weights_left) FILTER (NOT stops) OVER () END AS target
+      FROM q),
+b AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+             least(floor(t.target + 0.5)::BIGINT, 3 * t.source_size) AS budget,
+             (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.o, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS pos
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       (greatest(0, least(pos + size, budget) - pos)
+        + greatest(0, least(pos + source_size + size, budget) - pos - source_size)
+        + greatest(0, least(pos + 2 * source_size + size, budget) - pos - 2 * source_size))::BIGINT AS taken
+FROM b
+"""
+
+
+@query("op8_mixing", MIXED)
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    from ledgerfold.llm.mixing import schedule, taken
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return taken(*schedule(docs)).select("doc_id", "size", "source_size", "target", "taken")
