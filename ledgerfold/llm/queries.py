@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.registry import query, table
@@ -68,3 +68,33 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return taken(*schedule(docs)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op4_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; a third of the rows is never learned from."""
+    from ledgerfold.llm import langid
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = langid.held_out(F.col("doc_id"))
+    net = langid.fit(docs.filter(~held))
+    out = langid.predict(docs.select("doc_id", "text", held.alias("held_out")), net)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op3_pii")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    from ledgerfold.llm import pii
+
+    docs = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    base = F.filter("pii", lambda s: s["kind"] < 4)
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count(i).alias(f"n_{k.name}") for i, k in enumerate(pii.KINDS)]
+    return docs.select(
+        "doc_id", *counts[:4], F.sha2(pii.spelled(base), 256).alias("base_sha256"), pii.spelled(F.col("pii")).alias("spans"),
+        *counts[4:], F.array_max(F.transform("pii", lambda s: s["score"])).alias("top_score"),
+    )
