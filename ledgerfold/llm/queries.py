@@ -98,3 +98,41 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *counts[:4], F.sha2(pii.spelled(base), 256).alias("base_sha256"), pii.spelled(F.col("pii")).alias("spans"),
         *counts[4:], F.array_max(F.transform("pii", lambda s: s["score"])).alias("top_score"),
     )
+
+
+@query("op7_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Histogram of encoded lengths with what every context limit keeps."""
+    import public_tokenizers
+
+    from ledgerfold.llm import tokens
+
+    docs = table(spark, sf_dir, "documents").select("text")
+    lengths = tokens.encoded_length(docs, public_tokenizers.path("byte_bpe_50k.json")).select("n_tokens")
+    return tokens.length_histogram(lengths)
+
+
+#: Rows whose id this divides are the queries of both searches.
+EVERY = 20
+
+NEAREST_CODES = """
+WITH c AS (
+  SELECT vec_id, list_reduce(list_prepend(0::UBIGINT, list_transform(range(1, 1 + least(64, len(embedding))), lambda i:
+           CASE WHEN embedding[i] > 0 THEN (1::UBIGINT << (i - 1)) ELSE 0::UBIGINT END)), lambda a, b: a | b) AS code
+  FROM embeddings WHERE embedding IS NOT NULL),
+d AS (
+  SELECT q.vec_id AS query_id, c.vec_id, bit_count(xor(q.code, c.code))::BIGINT AS distance
+  FROM c q JOIN c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INTEGER AS rank FROM d)
+SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 20
+"""
+
+
+@query("op2_topk_hamming", NEAREST_CODES)
+def topk_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest sign codes of every 20th vector, against all vectors."""
+    from ledgerfold.llm import hamming
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", hamming.sign_code(F.col("embedding")).alias("code"))
+    found = hamming.nearest_codes(vectors, F.col("vec_id") % EVERY == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
