@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 #: Filter widths in bytes, filters of each, and bytes of a window.
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
-#: Training takes at most so many texts of each language, at most so many bytes of each.
-SAMPLE_TEXTS, SAMPLE_BYTES = 500, 1024
+#: Training takes at most so many texts of each language from each of so many hashed shares of the rows, and
+#: at most so many bytes of each text.
+SAMPLE_TEXTS, SHARES, SAMPLE_BYTES = 16, 32, 1024
 STEPS, BATCH, RATE = 500, 64, 0.01
 #: Windows looked at together.
 CHUNK = 1024
@@ -197,16 +198,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Network | None:
-    """Train on at most SAMPLE_TEXTS rows of each language, those of least hash, of which at most
-    SAMPLE_BYTES bytes are read. Rows without a language or a letter are passed over."""
+    """Train on at most SAMPLE_TEXTS * SHARES rows of each language, those of least hash in their share, of
+    which at most SAMPLE_BYTES bytes are read. Rows without a language or a letter are passed over."""
     rows = labelled.select(
         F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id), F.lit("sample")).alias("draw"),
         F.col(doc_id).alias("id"),
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
     lettered = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("text", F.substring("text", 1, SAMPLE_BYTES))
-    least = Window.partitionBy("lang").orderBy("draw", "id", "text")
+    least = Window.partitionBy("lang", F.pmod("draw", F.lit(SHARES))).orderBy("draw", "id", "text")
     sample = lettered.withColumn("n", F.row_number().over(least)).filter(F.col("n") <= SAMPLE_TEXTS)
-    found = sorted((r["lang"], r["n"], r["text"]) for r in sample.select("lang", "n", "text").collect())
+    found = sorted((r["lang"], r["draw"], r["text"]) for r in sample.select("lang", "draw", "text").collect())
     return train([t for _, _, t in found], [x for x, _, _ in found])
 
 

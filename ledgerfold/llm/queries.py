@@ -136,3 +136,13 @@ def topk_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", hamming.sign_code(F.col("embedding")).alias("code"))
     found = hamming.nearest_codes(vectors, F.col("vec_id") % EVERY == 0)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+
+
+@query("op10_learned_partitions")
+def learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 vectors of largest inner product found for every 20th vector."""
+    from ledgerfold.llm import ann
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = ann.nearest_vectors(vectors, F.col("vec_id") % EVERY == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
