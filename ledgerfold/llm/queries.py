@@ -146,3 +146,11 @@ def learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     found = ann.nearest_vectors(vectors, F.col("vec_id") % EVERY == 0)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query("op1_ngram_join")
+def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose word 4-grams are similar."""
+    from ledgerfold.llm import ngram_join as join
+
+    return join.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
