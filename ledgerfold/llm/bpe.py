@@ -225,28 +225,25 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> Da
     return df.withColumn(text, of(F.col(ids)))
 
 
-#: What ``digests`` appends.
-DIGEST = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-
-
-def digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+def digests(df: DataFrame, path: str, text: str = "text", ids: str | None = None) -> DataFrame:
     """Append ``n_tokens``, ``ids_sha256`` (of the decimal ids joined by commas) and
-    ``decoded_sha256`` (of the text that decoding the ids gives), without keeping the ids.
+    ``decoded_sha256`` (of the text that decoding the ids gives), and the ids themselves where a name is
+    given for them.
 
-    Null and empty texts have no tokens; repeated rows are encoded alike.
+    Null and empty texts have no tokens; repeated rows are encoded alike. Columns of these names are
+    replaced.
     """
+    named = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"} | ({ids: "array<int>"} if ids else {})
 
-    @F.pandas_udf(DIGEST)
+    @F.pandas_udf(", ".join(f"{n} {t}" for n, t in named.items()))
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         t = tokenizer(path)
         for part in parts:
             rows = []
             for x in part:
-                ids = t.encode(x or "")
-                said, decoded = t.spelled(ids).encode(), t.decode(ids)
-                rows.append((len(ids), hashlib.sha256(said).hexdigest(), hashlib.sha256(decoded).hexdigest()))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return df.withColumn("__bpe", of(F.col(text))).select(
-        *[c for c in df.columns if c not in ("n_tokens", "ids_sha256", "decoded_sha256")], "__bpe.*"
-    )
+                found = t.encode(x or "")
+                said, decoded = t.spelled(found).encode(), t.decode(found)
+                rows.append((len(found), hashlib.sha256(said).hexdigest(), hashlib.sha256(decoded).hexdigest(), found)[: len(named)])
+            yield pd.DataFrame(rows, columns=list(named))
+
+    return df.withColumn("__bpe", of(F.col(text))).select(*[c for c in df.columns if c not in named], "__bpe.*")

@@ -211,15 +211,15 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str
     return train([t for _, _, t in found], [x for x, _, _ in found])
 
 
-def predict(docs: DataFrame, net: Network | None, text: str = "text") -> DataFrame:
-    """Append ``lang_pred`` and ``score`` (its chance), from the text alone.
+def predict(docs: DataFrame, net: Network | None, text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """Append the predicted language and its chance, from the text alone.
 
     Null texts and those without a letter are ``und`` with score 0, as are all without a network. Every
     window of a text counts, however long it is. Columns of these names are replaced.
     """
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    kept = [c for c in docs.columns if c not in (lang_pred, score)]
     if net is None:
-        return docs.select(*kept, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*kept, F.lit(UNKNOWN).alias(lang_pred), F.lit(0.0).alias(score))
 
     @F.pandas_udf("lang_pred string, score double")
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -230,4 +230,5 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text") -> DataFra
                 names[i], scores[i] = net.languages[int(p.argmax())], min(1.0, float(p.max()))
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    return docs.withColumn("__lang", of(F.col(text))).select(*kept, "__lang.*")
+    found = docs.withColumn("__lang", of(F.col(text)))
+    return found.select(*kept, F.col("__lang.lang_pred").alias(lang_pred), F.col("__lang.score").alias(score))

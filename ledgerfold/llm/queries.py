@@ -154,3 +154,12 @@ def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerfold.llm import ngram_join as join
 
     return join.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op5_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from ledgerfold.llm.site_tree import main_text
+
+    pages = main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
