@@ -27,7 +27,7 @@ from ledgerfold.llm.common import checkpointed
 from ledgerfold.session import small_side
 
 #: Branches below this importance go, where at least so many different pages of the host show them.
-IMPORTANT, PAGES = 0.3, 4
+IMPORTANT, PAGES = 0.4, 4
 
 # Elements by their use in HTML.
 INLINE = frozenset(
