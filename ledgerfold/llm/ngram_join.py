@@ -31,6 +31,10 @@ WORDS, PERCENT = 4, 85
 BUCKET_BITS, SLICE_BITS = 20, 12
 #: Sets of a block of a cluster or of a group, and cells of the membership table in a task.
 BLOCK, CELLS = 2048, 1 << 25
+#: Groups of so many sets or fewer are tested together with others of their size.
+FEW = 24
+#: Rows of groups that go to a call together, about.
+CALL_ROWS = 50_000
 #: Bits of the smallest bitmap. A set has a bitmap of at least as many bits as shingles.
 LEAST_BITS = 512
 #: Remembered word hashes of a worker.
@@ -112,6 +116,37 @@ def may_link(maps: list[bytes], sizes: np.ndarray, percent: int) -> Iterator[tup
             yield np.full(len(ok), order[i]), order[ok]
 
 
+class Bitmaps:
+    """Bitmaps of many sets by width, for testing many pairs at once."""
+
+    def __init__(self, maps: list[bytes], sizes: np.ndarray, percent: int):
+        self.sizes, self.percent = sizes, percent
+        self.width = np.array([len(m) // 8 for m in maps], dtype=np.int64)
+        self.rows, self.tables = np.empty(len(maps), dtype=np.int64), {}
+        for w in np.unique(self.width):
+            mine = np.flatnonzero(self.width == w)
+            self.rows[mine] = np.arange(len(mine))
+            self.tables[int(w)] = np.frombuffer(b"".join([maps[i] for i in mine]), dtype=np.uint64).reshape(len(mine), w)
+
+    def folded(self, places: np.ndarray, width: int) -> np.ndarray:
+        table = self.tables[int(self.width[places[0]])][self.rows[places]]
+        return np.bitwise_xor.reduce(table.reshape(len(places), -1, width), axis=1)
+
+    def allow(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of these pairs may link."""
+        both = self.sizes[a] + self.sizes[b]
+        ok = 100 * np.minimum(self.sizes[a], self.sizes[b]) >= self.percent * np.maximum(self.sizes[a], self.sizes[b])
+        most = both - 2 * least_overlap(both, 0, self.percent)
+        widths = self.width[a] * (1 << 32) + self.width[b]
+        for w in np.unique(widths[ok]):
+            for at in np.array_split(mine := np.flatnonzero(ok & (widths == w)), 1 + len(mine) // 65_536):
+                if len(at):
+                    narrow = int(min(self.width[a[at[0]]], self.width[b[at[0]]]))
+                    differ = self.folded(a[at], narrow) ^ self.folded(b[at], narrow)
+                    ok[at] = np.bitwise_count(differ).sum(axis=1, dtype=np.int64) <= most[at]
+        return ok
+
+
 class Forest:
     """Union-find over places; remembers the links that joined two trees."""
 
@@ -270,23 +305,39 @@ def candidates(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``a`` and ``b`` that join sets that share a first shingle and may link: a forest per group."""
     again = prefixes.distinct()
     shared = again.groupBy("token").agg(F.count("*").alias("k")).filter("k > 1").select("token")
-    rows = blocked(checkpointed(again.join(shared, "token")), "token", "sid").join(sets.select("sid", "n", "bitmap"), "sid")
+    meeting = checkpointed(again.join(shared, "token"))
+    rows = blocked(meeting, "token", "sid").join(sets.select("sid", "n", "bitmap"), "sid")
     # many small groups go to a call together
-    rows = rows.withColumn("call", F.pmod(F.xxhash64("token", "i", "j"), F.lit(rows.sparkSession.sparkContext.defaultParallelism * 8)))
+    calls = max(rows.sparkSession.sparkContext.defaultParallelism * 4, meeting.count() // CALL_ROWS)
+    rows = rows.withColumn("call", F.pmod(F.xxhash64("token", "i", "j"), F.lit(calls)))
 
     def of(part: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for _, g in part.groupby(["token", "i", "j"], sort=False):
-            if len(g) < 2:
+        part = part.sort_values(["token", "i", "j"], kind="stable")
+        key = part[["token", "i", "j"]].to_numpy()
+        start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]).any(axis=1)]) if len(part) else np.zeros(0, dtype=np.int64)
+        size = np.diff(np.r_[start, len(part)])
+        side = part["side"].to_numpy()
+        sid, first, place = np.unique(part["sid"].to_numpy(), return_index=True, return_inverse=True)
+        maps, n = part["bitmap"].iloc[first].tolist(), part["n"].to_numpy()[first]
+        known, forest = Bitmaps(maps, n, percent), Forest(len(sid))
+        for k in np.unique(size[size > 1]).tolist():
+            groups = start[size == k]
+            if k <= FEW:  # all groups of this size together
+                x, y = (groups[:, None] + t[None, :] for t in np.triu_indices(k, 1))
+                x, y = x.ravel(), y.ravel()
+                met = (side[x] == 2) | (side[x] != side[y])
+                pairs = np.unique(np.sort(np.stack([place[x[met]], place[y[met]]], axis=1), axis=1), axis=0)
+                ok = known.allow(pairs[:, 0], pairs[:, 1])
+                for a, b in pairs[ok].tolist():
+                    forest.add(a, b)
                 continue
-            sid, side = g["sid"].to_numpy(), g["side"].to_numpy()
-            forest = Forest(len(g))
-            for a, b in may_link(g["bitmap"].tolist(), g["n"].to_numpy(), percent):
-                for x, y in zip(a.tolist(), b.tolist(), strict=True):
-                    if side[x] == 2 or side[x] != side[y]:
-                        forest.add(x, y)
-            out += [(sid[a], sid[b]) for a, b in forest.links]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+            for g in groups.tolist():
+                own = place[g : g + k]
+                for x, y in may_link([maps[i] for i in own], n[own], percent):
+                    met = (side[g + x] == 2) | (side[g + x] != side[g + y])
+                    for a, b in zip(own[x[met]].tolist(), own[y[met]].tolist(), strict=True):
+                        forest.add(a, b)
+        return pd.DataFrame([(sid[a], sid[b]) for a, b in forest.links], columns=["a", "b"], dtype="int64")
 
     return rows.drop("k").groupBy("call").applyInPandas(of, "a long, b long").distinct()
 
