@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.functions import text as tx
-from ledgerfold.functions.html import html_to_text, sanitise_html, unwrap_jats
+from ledgerfold.functions.html import html_to_text, sanitise_html, texts_of_each, unwrap_jats
 from ledgerfold.functions.jsonval import get_doc, get_list, json_array, json_object, quote
 from ledgerfold.operators.changes import payload_hash, stamp
 from ledgerfold.operators.classify import lookup
@@ -163,7 +163,8 @@ def map_crossref(
         "_notes": tx.blank_to_null(rich(F.col("_abstract"))),
         "_container": F.coalesce(tx.blank_to_null(plain(F.col("_journal"))), tx.blank_to_null(plain(F.col("_event")))),
         **{f"_p{i}": tx.blank_to_null(plain(first_text(doc, k))) for i, k in enumerate(parts)},
-        "_words": F.split(plain(F.array_join(F.transform(get_list(doc, "$.subject"), lambda s: F.try_variant_get(s, "$", "string")), "\x1e")), "\x1e"),
+        "_words": F.transform(texts_of_each(F.transform(
+            get_list(doc, "$.subject"), lambda s: unwrap_jats(F.try_variant_get(s, "$", "string")))), tx.collapse),
     })
     own, became, title = F.col("_own"), F.col("_became"), tx.blank_to_null(F.col("_title"))
     doi = F.coalesce(became, own)

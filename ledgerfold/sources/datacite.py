@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.functions import text as tx
-from ledgerfold.functions.html import sanitise_html
+from ledgerfold.functions.html import sanitise_each
 from ledgerfold.functions.jsonval import get_doc, json_array, json_object, json_type, let, quote
 from ledgerfold.operators.changes import stamp
 from ledgerfold.operators.classify import lookup
@@ -142,10 +142,8 @@ def map_datacite(raw: DataFrame, task_pattern: str | None = None, task_field: st
         ),
         lambda d: d["text"].isNotNull(),
     )
-    # Markup is cleaned through one UDF over the joined texts, then split again.
-    sep = "\x1e"
     rows = rows.withColumn("_desc", described).withColumn(
-        "_clean", F.split(sanitise_html(F.array_join(F.transform("_desc", lambda d: d["text"]), sep)), sep)
+        "_clean", sanitise_each(F.transform("_desc", lambda d: d["text"]))
     )
     abstract = F.array_position(F.transform("_desc", lambda d: F.coalesce(d["kind"], F.lit(""))), "Abstract")
     main = F.when(abstract > 0, abstract).otherwise(1).cast("int")
