@@ -37,14 +37,20 @@ def all_routes(rows: DataFrame, key: list[str], route: str, order: list[str]) ->
     )
 
 
-def cap_per_source(rows: DataFrame, source: str, order: list[str], limit: int = 50) -> DataFrame:
-    """At most ``limit`` rows of each source, in order: the crawl budget of a run.
+def cap_per_source(rows: DataFrame, source: str, order: list[str], limit: int) -> tuple[DataFrame, DataFrame]:
+    """``(kept, cut)``: the first ``limit`` rows of each source, the crawl budget that the caller
+    gives a run, and those that wait.
 
     The rank filter runs on every map task before the shuffle, so a source that owns
-    most of the rows sends ``limit`` of them per task.
+    most of the rows sends ``limit`` of them per task. ``order`` must tell rows of a source apart: the
+    rows after the last one kept are those that wait, found without ranking them.
     """
     rank = F.row_number().over(W.partitionBy(source).orderBy(*order))
-    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
+    kept = rows.withColumn("_rank", rank).filter(F.col("_rank") <= limit)
+    place = F.struct(*order)
+    last = kept.groupBy(F.col(source).alias("_source")).agg(F.max(place).alias("_last"))
+    cut = rows.join(last, F.col(source).eqNullSafe(F.col("_source"))).filter(place > F.col("_last"))
+    return kept.drop("_rank"), cut.drop("_source", "_last")
 
 
 def split_state(rows: DataFrame, state: Column, required: str = "findable") -> tuple[DataFrame, DataFrame]:

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql.types import StructType
 
 from ledgerfold.functions import text as tx
 from ledgerfold.functions.jsonval import get_doc, get_strings, get_text, json_type, let, quote
@@ -16,13 +17,14 @@ from ledgerfold.spec import (
     EVENT_KEYS,
     EVENT_TYPES,
     EXTRACTION_METHODS,
-    MAX_COLLECTION_ITEMS,
-    MAX_TEXT_LENGTH,
     NOTICE_EVENT_TYPES,
     PROVENANCE_TYPE,
-    TRUNCATION_MARKER,
 )
 
+#: The job that appends events, unless the caller names another.
+ACTOR = "job"
+
+
 def log_order() -> Column:
     """Observation order: time first, then place in the log."""
     return F.struct("observed_at", "seq")
@@ -223,22 +225,11 @@ def in_order(events: DataFrame) -> DataFrame:
 
 
 def sanitise_payload(payload: Column, task_field: str = "task") -> Column:
-    """Safety rules for a ``source``/``local`` JSON object; absent keys stay absent."""
-    fields = F.from_json(payload, "map<string,variant>")
-    text_fields = ("title", "notes", "publisher", "container", "license_raw")
-    listed = ("keywords", "resources", "source_urls", "related_identifiers", "links")
-
-    def capped(items: Column) -> Column:
-        return F.slice(items, 1, MAX_COLLECTION_ITEMS)
-
-    def cut(value: Column) -> Column:
-        raw = F.try_variant_get(value, "$", "string")
-        long = (json_type(value) == "STRING") & (F.length(raw) > MAX_TEXT_LENGTH)
-        keep = MAX_TEXT_LENGTH - len(TRUNCATION_MARKER)
-        return F.when(
-            long, F.to_json(F.array(F.concat(F.substring(raw, 1, keep), F.lit(TRUNCATION_MARKER))))
-        ).otherwise(F.concat(F.lit("["), F.to_json(value), F.lit("]")))
+    """Safety rules for a ``source``/``local`` JSON object; absent keys stay absent.
 
+    The ledger is the source of truth, so texts and lists are kept whole; the gate reports long ones.
+    """
+    fields = F.from_json(payload, "map<string,variant>")
     def clean(key: Column, value: Column) -> Column:
         """Value in a one-element JSON array, so that every branch is text."""
         strings = F.coalesce(
@@ -261,8 +252,7 @@ def sanitise_payload(payload: Column, task_field: str = "task") -> Column:
         )
         wrap_docs = lambda arr: F.concat(F.lit("[["), F.array_join(arr, ","), F.lit("]]"))
         return (
-            F.when(key.isin(*text_fields), cut(value))
-            .when(
+            F.when(
                 key == "url",
                 F.when(F.to_json(value).isin("null", '""'),
                        F.concat(F.lit("["), F.to_json(value), F.lit("]")))
@@ -270,13 +260,13 @@ def sanitise_payload(payload: Column, task_field: str = "task") -> Column:
                     F.to_json(F.array(safe_url(F.try_variant_get(value, "$", "string")))),
                     F.lit("[null]"))),
             )
-            .when(key == "source_urls", wrap(capped(safe_list)))
-            .when(key.isin("resources", "links"), wrap_docs(capped(links)))
-            .when(key == "related_identifiers", wrap_docs(capped(related)))
+            .when(key == "source_urls", wrap(safe_list))
+            .when(key.isin("resources", "links"), wrap_docs(links))
+            .when(key == "related_identifiers", wrap_docs(related))
             .when(key == task_field, wrap(tasks))
             .when(
                 (key == "keywords") & (json_type(value) == "ARRAY"),
-                wrap_docs(capped(F.transform(variants, lambda v: F.to_json(v)))),
+                wrap_docs(F.transform(variants, lambda v: F.to_json(v))),
             )
             .otherwise(F.concat(F.lit("["), F.to_json(value), F.lit("]")))
         )
@@ -311,21 +301,22 @@ def _replace_url(entry: Column, url: Column) -> Column:
 
 
 def scrape_events(changed: DataFrame, observed_at: Column | None = None,
-                  task_field: str = "task") -> DataFrame:
-    """Observations that changed, as ``scraped`` events with a sanitised payload."""
+                  task_field: str = "task", actor: str = ACTOR) -> DataFrame:
+    """Observations that changed, as ``scraped`` events with a sanitised payload.
+
+    ``actor`` names the job; each event says which source it read.
+    """
     rows = changed.withColumn("observed_at", observed_at) if observed_at is not None else changed
     return event_frame(
         rows.withColumn("event_type", F.lit("scraped"))
         .withColumn("source", sanitise_payload(F.col("source"), task_field))
-        .withColumn("actor", F.concat(F.lit("harvest/"), F.col("source_system")))
+        .withColumn("actor", F.concat(F.lit(f"{actor}/"), F.col("source_system")))
     )
 
 
 def event_frame(rows: DataFrame) -> DataFrame:
     """Conform rows to the ledger schema; columns not given are empty."""
-    from pyspark.sql.types import _parse_datatype_string  # session-side DDL parsing
-
-    schema = _parse_datatype_string(EVENT_DDL)
+    schema = StructType.fromDDL(EVENT_DDL)
     blank = {"source": F.lit("{}"), "local": F.lit("{}")}
     return rows.select(
         *[
@@ -356,14 +347,12 @@ def with_seq(rows: DataFrame, order: list[str], first: int = 0) -> DataFrame:
     )
 
 
-def withdraw_events(rows: DataFrame) -> DataFrame:
+def withdraw_events(rows: DataFrame, actor: str = ACTOR) -> DataFrame:
     """``(identity_key, source_system, observed_at, note)`` as ``withdrawn`` events."""
     return event_frame(
         rows.withColumn("event_type", F.lit("withdrawn")).withColumn(
             "actor",
-            F.when(F.col("source_system").isNull(), "harvest").otherwise(
-                F.concat(F.lit("harvest/"), F.col("source_system"))
-            ),
+            F.concat_ws("/", F.lit(actor), F.col("source_system")),
         )
     )
 

@@ -113,7 +113,7 @@ def search_text(title: Column, names: Column, tasks: Column, doi: Column, notes:
     return F.lower(
         F.concat_ws(
             " ", F.coalesce(title, F.lit("")), F.array_join(names, " "), F.array_join(tasks, " "),
-            F.coalesce(doi, F.lit("")), F.substring(tx.plain_text(notes), 1, 600),
+            F.coalesce(doi, F.lit("")), tx.plain_text(notes),
         )
     )
 
@@ -342,7 +342,7 @@ def event_history(events: DataFrame, problems: DataFrame | None = None) -> DataF
         problems.select(
             F.lit(None).cast("string").alias("identity_key"), F.lit("").alias("observed_at"),
             F.col("line").alias("seq"), F.lit("unreadable").alias("event_type"),
-            F.lit("unreadable").alias("description"), F.substring("message", 1, 80).alias("note"),
+            F.lit("unreadable").alias("description"), F.col("message").alias("note"),
         ),
         allowMissingColumns=True,
     )

@@ -84,8 +84,13 @@ def _url_message(url: Column) -> Column:
     return F.concat(url, F.lit(f" is not an allowed URL scheme (allowed: {', '.join(ALLOWED_SCHEMES)})"))
 
 
+def too_many(items: Column, label: str) -> Column:
+    """One problem for a list that is longer than readers expect; its members are checked all the same."""
+    said = F.concat(F.size(items), F.lit(f" {label}, more than {MAX_COLLECTION_ITEMS}"))
+    return F.array(problem(F.size(items) > MAX_COLLECTION_ITEMS, label, said))
+
+
 def tag_problems(names: Column) -> Column:
-    over = F.size(names) > MAX_COLLECTION_ITEMS
     illegal = F.transform(
         names,
         lambda t, i: problem(~F.coalesce(t.rlike(TAG_RULE), F.lit(False)), _at("tags", i),
@@ -100,9 +105,7 @@ def tag_problems(names: Column) -> Column:
             F.struct(_at("tags", i).alias("field"), F.concat(F.lit("duplicate tag "), t).alias("message")),
         ),
     )
-    many = F.array(problem(F.lit(True), "tags", F.concat(F.size(names), F.lit(
-        f" tags, over the {MAX_COLLECTION_ITEMS}-item cap"))))
-    return F.when(over, many).otherwise(F.array_compact(F.concat(illegal, repeated)))
+    return F.array_compact(F.concat(too_many(names, "tags"), illegal, repeated))
 
 
 def extra_problems(keys: Column, values: Column) -> Column:
@@ -124,9 +127,7 @@ def resource_problems(urls: Column) -> Column:
             problem(safe_url(u).isNull(), _at("resources", i), _url_message(u)),
         ),
     )
-    many = F.array(problem(F.lit(True), "resources", F.concat(F.size(urls), F.lit(
-        f" resources, over the {MAX_COLLECTION_ITEMS}-item cap"))))
-    return F.when(F.size(urls) > MAX_COLLECTION_ITEMS, many).otherwise(F.array_compact(checks))
+    return F.array_compact(F.concat(too_many(urls, "resources"), checks))
 
 
 def package_violations(packages: DataFrame, organisations: DataFrame, groups: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ LICENCES = ("cc-by", "mit", "notspecified", "cc-zero")
 # The same packages in SQL; every oracle on them starts here.
 PACKAGES = """
 WITH p AS (
-  SELECT d.doc_id AS id, 'doc-' || d.doc_id AS name, substr(split_part(text, chr(10), 1), 1, 60) AS title, text AS notes, lang,
+  SELECT d.doc_id AS id, 'doc-' || d.doc_id AS name, split_part(text, chr(10), 1) AS title, text AS notes, lang,
     (['cc-by', 'mit', 'notspecified', 'cc-zero'])[1 + d.doc_id % 4] AS licence,
     CASE WHEN d.doc_id % 7 > 0 THEN (['open', 'restricted', 'embargoed', 'registration-required', 'metadata-only', 'unknown'])[1 + d.doc_id % 6] END AS status,
     list_transform(range(d.doc_id % 8), lambda i: 'Author ' || i) AS authors,
@@ -84,7 +84,7 @@ def document_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("string")
     return docs.join(labels, "doc_id", "left").select(
         F.concat(F.lit("doc-"), i).alias("name"),
-        F.substring(F.substring_index("text", "\n", 1), 1, 60).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         F.col("text").alias("notes"),
         _pick(LICENCES, i).alias("license_id"),
         F.array(F.struct(F.col("lang").alias("name"))).alias("tags"),
@@ -120,7 +120,7 @@ ASKED = SearchQuery({"kind": ["report", "dataset"], "licence": ["cc-by", "mit"],
 
 SIDEWAYS = PACKAGES + """
 , t AS (SELECT *, lower(concat_ws(' ', title, array_to_string(authors, ' '), array_to_string(tasks, ' '), coalesce(doi, ''),
-    substr(trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(notes, '<[^>]+>', ' ', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '\\s+', ' ', 'g')), 1, 600))) AS txt FROM shown),
+    trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(notes, '<[^>]+>', ' ', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '\\s+', ' ', 'g')))) AS txt FROM shown),
 m AS (SELECT *, contains(txt, 'the') AND contains(txt, 'an') AS ht, kind IN ('report', 'dataset') AS hk, licence IN ('cc-by', 'mit') AS hl,
   list_has_any(tasks, ['task-1', 'task-2', 'task-3']) AS hs FROM t)
 """
@@ -437,7 +437,7 @@ def slug_allocation(spark, sf_dir):
     return packages.allocate_slugs(firsts)
 
 
-PLAIN = r"""replace(replace(replace(replace(split_part(text, chr(10), 1), '&', ' and '), '''', ''), '’', ''), 'ß', 'ss')"""
+PLAIN = r"""replace(replace(replace(replace(text, '&', ' and '), '''', ''), '’', ''), 'ß', 'ss')"""
 
 
 @query(
@@ -446,18 +446,18 @@ PLAIN = r"""replace(replace(replace(replace(split_part(text, chr(10), 1), '&', '
 )
 def normal_titles(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
-        "doc_id", tx.normalise_title(F.substring_index("text", "\n", 1)).alias("title")
+        "doc_id", tx.normalise_title(F.col("text")).alias("title")
     )
 
 
 @query(
     "tags",
-    """WITH w AS (SELECT doc_id, unnest(string_split(split_part(text, chr(10), 1), ' ')) AS word FROM documents),
+    """WITH w AS (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents),
     t AS (SELECT doc_id, word, regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(replace(word, 'ß', 'ss')), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9._-]+', '-', 'g'), '^[-._]+|[-._]+$', '', 'g'), '-{2,}', '-', 'g') AS tag FROM w)
     SELECT CAST(doc_id AS BIGINT) AS doc_id, word, CASE WHEN length(tag) >= 2 THEN regexp_replace(substr(tag, 1, 100), CASE WHEN length(tag) > 100 THEN '[-._]+$' ELSE '^$' END, '') ELSE '' END AS tag FROM t""",
 )
 def tags(spark, sf_dir):
-    words = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split(F.substring_index("text", "\n", 1), " ")).alias("word"))
+    words = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("word"))
     return words.select("doc_id", "word", tx.tagify(F.col("word")).alias("tag"))
 
 
@@ -511,7 +511,7 @@ def text_dois(spark, sf_dir):
 @query(
     "sanitised_payloads",
     """SELECT CAST(c_custkey AS BIGINT) AS k, CASE WHEN c_custkey % 3 = 0 THEN 'https://a.example/' || c_custkey END AS url, CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS urls,
-      'task-' || (c_custkey % 50) AS tasks, CAST(least(c_custkey % 700, 500) AS INTEGER) AS keywords, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS links FROM customer""",
+      'task-' || (c_custkey % 50) AS tasks, CAST(c_custkey % 700 AS INTEGER) AS keywords, CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS links FROM customer""",
 )
 def sanitised_payloads(spark, sf_dir):
     k = F.col("c_custkey")
@@ -591,12 +591,13 @@ def dead_hosts(spark, sf_dir):
 @query(
     "dead_by_record",
     LINKS + """
-, r AS (SELECT c_custkey AS name, c_custkey % 300 AS page_id FROM customer UNION ALL SELECT c_custkey, 7 FROM customer)
+, r AS (SELECT c_custkey AS name, c_custkey % (SELECT count(*) FROM pages) AS page_id FROM customer UNION ALL SELECT c_custkey, 7 FROM customer)
 SELECT DISTINCT CAST(r.name AS BIGINT) AS name, c.url FROM r JOIN c USING (page_id) WHERE NOT ok AND NOT skipped""",
 )
 def dead_by_record(spark, sf_dir):
-    c = table(spark, sf_dir, "customer")
-    exposed = c.select(F.col("c_custkey").alias("name"), F.explode(F.array(F.col("c_custkey") % 300, F.lit(7))).alias("page_id"))
+    one = table(spark, sf_dir, "pages").agg(F.count("*").alias("n"))
+    c = table(spark, sf_dir, "customer").crossJoin(F.broadcast(one))  # one row
+    exposed = c.select(F.col("c_custkey").alias("name"), F.explode(F.array(F.col("c_custkey") % F.col("n"), F.lit(7))).alias("page_id"))
     urls = exposed.join(table(spark, sf_dir, "pages").select("page_id", "url"), "page_id").select("name", "url")
     return reports.dead_by_record(urls, reports.dead_links(_checked(spark, sf_dir)))
 
@@ -714,10 +715,12 @@ def all_routes(spark, sf_dir):
 
 @query(
     "capped_sources",
-    """SELECT source, CAST(doc_id AS BIGINT) AS doc_id FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 5""",
+    """SELECT source, CAST(doc_id AS BIGINT) AS doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) > 5 AS waits FROM documents""",
 )
 def capped_sources(spark, sf_dir):
-    return intake.cap_per_source(table(spark, sf_dir, "documents").select("source", "doc_id"), "source", ["doc_id"], 5)
+    rows = table(spark, sf_dir, "documents").select("source", "doc_id")
+    kept, cut = intake.cap_per_source(rows, "source", ["doc_id"], 5)
+    return kept.withColumn("waits", F.lit(False)).unionByName(cut.withColumn("waits", F.lit(True)))
 
 
 @query(

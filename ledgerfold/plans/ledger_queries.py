@@ -385,12 +385,15 @@ def payload_tokens(spark, sf_dir):
 @query(
     "backfill_queue",
     LEDGER + """
-, s AS (SELECT id, system, CASE WHEN k % 3 > 0 THEN k END AS doi, ts, seq FROM e WHERE system IS NOT NULL AND ts < TIMESTAMP '2024-01-04'),
+, s AS (SELECT id, system, CASE WHEN k % 3 > 0 THEN k END AS doi, ts, seq FROM (SELECT * REPLACE (CASE WHEN user_id % 4 = 0 AND system = 'purchase' THEN 'view' ELSE system END AS system) FROM e) WHERE system IS NOT NULL),
 g AS (SELECT id, max((system = 'purchase')::INT) AS done, arg_max(doi, (ts, seq)) FILTER (doi IS NOT NULL) AS doi FROM s GROUP BY id)
 SELECT id AS identity_key, CAST(doi AS VARCHAR) AS source_id FROM g WHERE done = 0 AND doi IS NOT NULL""",
 )
 def backfill_queue(spark, sf_dir):
-    e = raw_events(spark, sf_dir).filter(F.col("ts") < F.lit("2024-01-04").cast("timestamp_ntz"))
+    # a quarter of the users never met the source that would have filled them in
+    e = raw_events(spark, sf_dir)
+    met = F.when((F.col("user_id") % 4 == 0) & (F.col("source_system") == "purchase"), "view").otherwise(F.col("source_system"))
+    e = e.withColumn("source_system", met)
     doi = F.when(F.col("k") % 3 > 0, F.concat(F.lit('"https://doi.org/10.5072/ZENODO.'), F.col("k"), F.lit('"'))).otherwise("null")
     events = ledger.event_frame(e.withColumn("source", F.concat(F.lit('{"doi":'), doi, F.lit("}"))))
     queue = changes.backfill_queue(events, "purchase", r"^10\.5072/zenodo\.(\d+)$")
@@ -398,14 +401,14 @@ def backfill_queue(spark, sf_dir):
 
 
 ROUTELESS = LEDGER + """
-, s AS (SELECT id, system, user_id, ts, seq, (k % 10 = 0)::INT AS routed FROM e WHERE system IS NOT NULL AND ts < TIMESTAMP '2024-01-06'),
+, s AS (SELECT id, system, user_id, ts, seq, (k % 10 = 0 AND user_id % 3 > 0)::INT AS routed FROM e WHERE system IS NOT NULL),
 p AS (SELECT id, CAST(any_value(user_id) AS VARCHAR) AS source_id FROM s GROUP BY id HAVING max(routed) = 0 AND max((system = 'view')::INT) = 1)
 """
 
 
 def _routeless(spark, sf_dir):
-    e = ledger_view(spark, sf_dir).filter(F.col("observed_at") < "2024-01-06")
-    k = raw_events(spark, sf_dir).select("seq", (F.col("k") % 10 == 0).alias("routed"))
+    e = ledger_view(spark, sf_dir)
+    k = raw_events(spark, sf_dir).select("seq", ((F.col("k") % 10 == 0) & (F.col("user_id") % 3 > 0)).alias("routed"))
     kept = F.when(F.col("routed"), F.col("discovered_via")).otherwise(F.array().cast("array<string>"))
     events = e.join(k, "seq").withColumn("discovered_via", kept)
     return changes.routeless(events, "view")
@@ -476,7 +479,7 @@ def alias_index_for_merges(spark, sf_dir):
 
 
 EDGES = LEDGER + """
-, st AS (SELECT DISTINCT id, 'user|' || k AS other, kind <> 'view' AS outward FROM e WHERE system IS NOT NULL AND k % 9 = user_id % 9),
+, st AS (SELECT DISTINCT id, 'user|' || k AS other, kind <> 'view' AS outward FROM e WHERE system IS NOT NULL),
 known AS (SELECT DISTINCT id FROM e),
 edge AS (SELECT DISTINCT CASE WHEN outward THEN st.id ELSE other END AS src, CASE WHEN outward THEN other ELSE st.id END AS dst
          FROM st JOIN known ON known.id = st.other WHERE st.id <> other)
@@ -485,7 +488,7 @@ edge AS (SELECT DISTINCT CASE WHEN outward THEN st.id ELSE other END AS src, CAS
 
 def _edges(spark, sf_dir):
     """A user cites the user its event names; a view states it the other way round."""
-    e = raw_events(spark, sf_dir).filter((F.col("event_type") == "scraped") & (F.col("k") % 9 == F.col("user_id") % 9))
+    e = raw_events(spark, sf_dir).filter(F.col("event_type") == "scraped")
     stated = e.select(
         "identity_key", F.concat(F.lit("user|"), F.col("k")).alias("alias"), (F.col("kind") != "view").alias("outward")
     )

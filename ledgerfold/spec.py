@@ -42,9 +42,9 @@ EVENT_KEYS = (
     "actor",
     "note",
 )
+#: Longer texts and lists are kept, and reported by the gate.
 MAX_TEXT_LENGTH = 64 * 1024
 MAX_COLLECTION_ITEMS = 500
-TRUNCATION_MARKER = " […truncated]"
 
 #: Precedence when a register declares none; lower wins.
 DEFAULT_PRECEDENCE = {

@@ -130,7 +130,7 @@ def test_github_release_archive_and_badge(spark):
 
 
 def test_osti_packed_authors_subjects_and_deposits(spark):
-    payload = {"osti_id": "99", "doi": "https://doi.org/10.5072/pub", "title": "IEA: Wind Task 19 and Wind Task 34",
+    payload = {"osti_id": "99", "doi": "https://doi.org/10.5072/pub", "title": "Group: Wind Task 19 and Wind Task 34",
                "authors": ["Hall, Matthew [NREL, Golden, CO] (ORCID:0000000203988320)", " "],
                "subjects": ["ENGINEERING,WIND ENERGY", "29 ENERGY PLANNING, POLICY, AND ECONOMY"],
                "publication_date": "2021-01-01T00:00:00Z", "product_type": "Technical Report", "report_number": "NREL/TP-1",
