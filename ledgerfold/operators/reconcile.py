@@ -36,8 +36,6 @@ SUPERSEDES = ("haspreprint", "isnewversionof", "obsoletes")
 VERSION_OF = ("isversionof",)
 HAS_VERSION = ("hasversion",)
 FUZZY_THRESHOLD = 0.90
-#: Records under one title that are still linked one by one.
-SPELLED_OUT = 20
 
 CANDIDATE = ["primary", "secondary", "kind", "confidence", "evidence", "automatic"]
 
@@ -260,63 +258,72 @@ def similar_titles(
     )
 
 
-def fuzzy_pairs(
-    records: DataFrame,
-    keys: list[str],
-    threshold: float = FUZZY_THRESHOLD,
-    spelled_out: int = SPELLED_OUT,
-) -> DataFrame:
-    """Fuzzy links ``(keys, left, right, confidence)`` over ``(identity_key, keys, title)``.
+def title_members(records: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, title, head, member, rank)``: every record under the best-ranked record of its title.
 
-    Titles are compared once each, however many records carry them. Groups of up
-    to ``spelled_out`` records under one title are linked record by record. Above
-    that a group is a star around its smallest identity, and the group's links to
-    other titles go through that identity: copies of one title stay all proposed
-    and all connected, without a number of rows that grows with their square.
+    This expands a link between titles to all records behind it. ``records`` is ``(identity_key, keys,
+    title)`` and, where there is one, ``rank``; the smallest rank heads a title, otherwise the smallest key.
     """
     rows = records.filter(F.col("title") != "")
-    groups = rows.groupBy(*keys, "title").agg(
-        F.min("identity_key").alias("head"), F.count(F.lit(1)).alias("rows")
-    )
-    few = F.col("rows") <= spelled_out
-    many = groups.filter(F.col("rows") > 1)
-    member = per_key_join(rows.select(*keys, "title", "identity_key"), many.filter(~few), [*keys, "title"])
-    star = member.filter(F.col("identity_key") != F.col("head")).select(
-        *keys, F.col("head").alias("left"), F.col("identity_key").alias("right"), F.lit(1.0).alias("confidence")
-    )
-    small = rows.join(many.filter(few).select(*keys, "title"), [*keys, "title"], "left_semi").select(
-        *keys, "title", "identity_key"
-    )
-    copies = (
-        small.withColumnRenamed("identity_key", "left")
-        .join(small.withColumnRenamed("identity_key", "right"), [*keys, "title"])
-        .filter(F.col("left") < F.col("right"))
-        .select(*keys, "left", "right", F.lit(1.0).alias("confidence"))
-    )
-    met = similar_titles(groups.select(*keys, "title"), keys, threshold)
-    # The ratio depends on the order of its arguments, so both are kept.
-    scored = met.select(
-        *keys, "left_title", "right_title",
-        title_ratio("left_title", "right_title", threshold).alias("lr"),
-        title_ratio("right_title", "left_title", threshold).alias("rl"),
-    ).filter(F.greatest("lr", "rl") >= threshold)
-    ends = (
-        rows.select(*keys, "title", "identity_key")
-        .join(groups.filter(few).select(*keys, "title"), [*keys, "title"], "left_semi")
-        .unionByName(groups.filter(~few).select(*keys, "title", F.col("head").alias("identity_key")))
+    if "rank" not in records.columns:
+        rows = rows.withColumn("rank", F.col("identity_key"))
+    heads = rows.groupBy(*keys, "title").agg(
+        F.min(F.struct("rank", "identity_key"))["identity_key"].alias("head"), F.count(F.lit(1)).alias("rows")
     )
-    side = lambda n: ends.select(*keys, F.col("title").alias(f"{n}_title"), F.col("identity_key").alias(n))
-    linked = (
-        scored.join(side("left").withColumnRenamed("left", "a"), [*keys, "left_title"])
-        .join(side("right").withColumnRenamed("right", "b"), [*keys, "right_title"])
+    found = per_key_join(rows.select(*keys, "title", "rank", "identity_key"), heads, [*keys, "title"])
+    return found.select(*keys, "title", "head", F.col("identity_key").alias("member"), "rank")
+
+
+def near_titles(titles: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """``(keys, left_title, right_title, confidence)`` of different titles that are near enough. The ratio
+    depends on the order of its arguments; the larger one counts."""
+    ratio = F.greatest(
+        title_ratio("left_title", "right_title", threshold), title_ratio("right_title", "left_title", threshold)
     )
-    across = linked.select(
-        *keys,
-        F.least("a", "b").alias("left"),
-        F.greatest("a", "b").alias("right"),
-        F.when(F.col("a") < F.col("b"), F.col("lr")).otherwise(F.col("rl")).alias("confidence"),
-    ).filter(F.col("confidence") >= threshold)
-    return star.unionByName(copies).unionByName(across)
+    met = similar_titles(titles, keys, threshold)
+    return met.select(*keys, "left_title", "right_title", ratio.alias("confidence")).filter(F.col("confidence") >= threshold)
+
+
+def _star(members: DataFrame, keys: list[str]) -> DataFrame:
+    """Each record of a title linked with the title's head; ``link`` tells one link from another."""
+    return members.filter(F.col("member") != F.col("head")).select(
+        *keys, F.col("title").alias("left_title"), F.col("title").alias("right_title"), F.col("member").alias("link"),
+        F.least("head", "member").alias("left"), F.greatest("head", "member").alias("right"), F.lit(1.0).alias("confidence"),
+    )
+
+
+def _across(near: DataFrame, left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Records of two near titles, those of ``left`` with those of ``right``."""
+    side = lambda rows, n: rows.select(*keys, F.col("title").alias(f"{n}_title"), F.col("identity_key").alias(f"_{n}"))
+    linked = near.join(side(left, "left"), [*keys, "left_title"]).join(side(right, "right"), [*keys, "right_title"])
+    return linked.select(
+        *keys, "left_title", "right_title", F.lit(None).cast(linked.schema["_left"].dataType).alias("link"),
+        F.least("_left", "_right").alias("left"), F.greatest("_left", "_right").alias("right"), "confidence",
+    )
+
+
+def fuzzy_pairs(records: DataFrame, keys: list[str], threshold: float = FUZZY_THRESHOLD) -> DataFrame:
+    """Fuzzy links ``(keys, left, right, confidence)`` over ``(identity_key, keys, title)``.
+
+    One rule at every size: a title's records are a star around its best-ranked record, and two near titles
+    are linked once, between those records. What is alike stays proposed and connected, and rows grow
+    with records and near titles, never with the square of a title's records; see ``title_members``.
+    """
+    members = title_members(records, keys)
+    heads = members.filter(F.col("member") == F.col("head")).select(*keys, "title", F.col("head").alias("identity_key")).distinct()
+    near = near_titles(heads.select(*keys, "title"), keys, threshold)
+    return _star(members, keys).unionByName(_across(near, heads, heads, keys)).select(*keys, "left", "right", "confidence")
+
+
+def possible_links(records: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """The links of :func:`fuzzy_pairs` with what may stand in for them: between two near titles, the head of
+    either with any record of the other. ``(keys, left_title, right_title, link)`` names one link."""
+    members = title_members(records, keys)
+    rows = members.select(*keys, "title", F.col("member").alias("identity_key"))
+    heads = members.filter(F.col("member") == F.col("head")).select(*keys, "title", F.col("head").alias("identity_key")).distinct()
+    near = checkpointed(near_titles(heads.select(*keys, "title"), keys, threshold))
+    either = _across(near, heads, rows, keys).unionByName(_across(near, rows, heads, keys)).distinct()
+    return _star(members, keys).unionByName(either)
 
 
 def first_author(effective: Column) -> Column:
@@ -338,16 +345,18 @@ def fuzzy_candidates(
 ) -> DataFrame:
     """Review-only candidates: like titles with one first author and year.
 
-    Pairs already decided and pairs sharing a DOI are not guesses and are left out.
+    Pairs already decided and pairs sharing a DOI are not guesses and are left out; the best-ranked of the
+    pairs that remain between two titles is proposed. If none remains, the titles are already connected.
     """
+    ranks = primary_rank(resolved, spec)
     published = F.coalesce(text_of(F.element_at("effective", "published_date")), F.lit(""))
     blocks = resolved.select(
         "identity_key",
         first_author(F.col("effective")).alias("author"),
         tx.year_of(published).alias("year"),
         tx.normalise_title(F.coalesce(text_of(F.element_at("effective", "title")), F.lit(""))).alias("title"),
-    ).filter((F.col("author") != "") & (F.col("year") != ""))
-    links = fuzzy_pairs(blocks, ["author", "year"], threshold)
+    ).filter((F.col("author") != "") & (F.col("year") != "")).join(ranks, "identity_key")
+    links = checkpointed(possible_links(blocks, ["author", "year"], threshold))
     known = decided.select(
         F.least("primary", "secondary").alias("left"), F.greatest("primary", "secondary").alias("right")
     )
@@ -360,10 +369,11 @@ def fuzzy_candidates(
         .select("left", "right")
     )
     links = links.join(shared, ["left", "right"], "left_anti")
-    ranks = primary_rank(resolved, spec)
-    ranked = links.join(
+    every = links.join(
         ranks.withColumnsRenamed({"identity_key": "left", "rank": "lr"}), "left"
     ).join(ranks.withColumnsRenamed({"identity_key": "right", "rank": "rr"}), "right")
+    best = F.min(F.struct(F.least("lr", "rr").alias("first"), F.greatest("lr", "rr").alias("second"), "left", "right", "lr", "rr", "confidence"))
+    ranked = every.groupBy("author", "year", "left_title", "right_title", "link").agg(best.alias("b")).select("author", "year", "b.*")
     left_first = F.col("lr") <= F.col("rr")
     return ranked.select(
         F.when(left_first, F.col("left")).otherwise(F.col("right")).alias("primary"),

@@ -641,11 +641,14 @@ def one_decision_per_pair(spark, sf_dir):
 
 @query(
     "same_titles",
-    """SELECT a.p_brand, a.p_size, CAST(a.p_partkey AS BIGINT) AS "left", CAST(b.p_partkey AS BIGINT) AS "right", 2.0::DOUBLE * least(length(a.p_name), length(b.p_name)) / (length(a.p_name) + length(b.p_name)) AS confidence
-    FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey
+    """WITH t AS (SELECT p_brand, p_size, p_name, min(p_partkey) AS head FROM part GROUP BY ALL),
+    l AS (SELECT p.p_brand, p.p_size, t.head AS a, p.p_partkey AS b, 1.0::DOUBLE AS confidence
+          FROM part p JOIN t USING (p_brand, p_size, p_name) WHERE p.p_partkey <> t.head
     -- in this word list only equal names, or names one leading letter apart (old, cold), come near
-    AND (ends_with(a.p_name, b.p_name) OR ends_with(b.p_name, a.p_name))
-    AND 2.0 * least(length(a.p_name), length(b.p_name)) / (length(a.p_name) + length(b.p_name)) >= 0.9""",
+    UNION ALL SELECT x.p_brand, x.p_size, x.head, y.head, 2.0::DOUBLE * length(y.p_name) / (length(x.p_name) + length(y.p_name))
+          FROM t x JOIN t y ON x.p_brand = y.p_brand AND x.p_size = y.p_size AND x.p_name <> y.p_name AND ends_with(x.p_name, y.p_name)
+          AND 2.0 * length(y.p_name) / (length(x.p_name) + length(y.p_name)) >= 0.9)
+    SELECT p_brand, p_size, CAST(least(a, b) AS BIGINT) AS "left", CAST(greatest(a, b) AS BIGINT) AS "right", confidence FROM l""",
 )
 def same_titles(spark, sf_dir):
     parts = table(spark, sf_dir, "part").select(

@@ -2,6 +2,7 @@ import difflib
 import random
 from itertools import combinations
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import event, ledger
@@ -30,11 +31,16 @@ def test_title_index_misses_no_similar_pair(spark):
     rng = random.Random(5)
     rows = [(i, rng.choice("ab"), t) for i, t in enumerate(titles(rng, 400) + ["abc", "abd", "ab", "a", "abcdef", "abcdefg"])]
     df = spark.createDataFrame(rows, "identity_key int, block string, title string")
-    want = set()
-    for (i, b, t), (j, c, u) in combinations(rows, 2):
-        if b == c and t and u and difflib.SequenceMatcher(None, t, u).ratio() >= 0.9:
-            want.add((i, j))
-    got = {(r["left"], r["right"]) for r in reconcile.fuzzy_pairs(df, ["block"], spelled_out=10_000).collect()}
+    heads = {}
+    for i, b, t in rows:
+        if t:
+            heads[b, t] = min(i, heads.get((b, t), i))
+    want = {(heads[b, t], i) for i, b, t in rows if t and heads[b, t] != i}
+    near = lambda t, u: difflib.SequenceMatcher(None, t, u).ratio() >= 0.9
+    for ((b, t), i), ((c, u), j) in combinations(heads.items(), 2):
+        if b == c and (near(t, u) or near(u, t)):
+            want.add((min(i, j), max(i, j)))
+    got = {(r["left"], r["right"]) for r in reconcile.fuzzy_pairs(df, ["block"]).collect()}
     assert got == want and len(want) > 100
     # Hot keys take the broadcast branch and must not change the answer.
     same = reconcile.similar_titles(df.select("block", "title").distinct(), ["block"])
@@ -42,11 +48,24 @@ def test_title_index_misses_no_similar_pair(spark):
     assert sorted(map(tuple, same.collect())) == sorted(map(tuple, hot.collect()))
 
 
-def test_copies_of_one_title_form_a_star(spark):
-    df = spark.createDataFrame([(i, "b", "wind lidar") for i in range(50)] + [(99, "b", "wind lidars")], "identity_key int, block string, title string")
-    links = reconcile.fuzzy_pairs(df, ["block"])
-    got = {(r["left"], r["right"]) for r in links.collect()}
-    assert got == {(0, i) for i in range(1, 50)} | {(0, 99)}
+@pytest.mark.parametrize("copies", [2, 20, 21, 5000])
+def test_one_rule_for_any_number_of_copies(spark, copies):
+    rows = [(i, "b", "wind lidar") for i in range(copies)] + [(9_000, "b", "wind lidars"), (9_001, "b", "wind lidars")]
+    df = spark.createDataFrame(rows, "identity_key int, block string, title string")
+    got = {(r["left"], r["right"]) for r in reconcile.fuzzy_pairs(df, ["block"]).collect()}
+    assert got == {(0, i) for i in range(1, copies)} | {(0, 9_000), (9_000, 9_001)}
+    ranked = reconcile.fuzzy_pairs(df.withColumn("rank", -F.col("identity_key")), ["block"])
+    assert {(r["left"], r["right"]) for r in ranked.collect()} == (
+        {(i, copies - 1) for i in range(copies - 1)} | {(9_000, 9_001), (copies - 1, 9_001)})
+    members = reconcile.title_members(df, ["block"]).filter("title = 'wind lidar'")
+    assert members.count() == copies and {r["head"] for r in members.collect()} == {0}
+
+
+def test_a_near_title_keeps_a_link_when_heads_are_decided(spark):
+    df = spark.createDataFrame([(i, "b", "wind lidar") for i in range(3)] + [(9, "b", "wind lidars")], "identity_key int, block string, title string")
+    links = reconcile.possible_links(df, ["block"], 0.9)
+    across = {(r["left"], r["right"]) for r in links.filter("left_title <> right_title").collect()}
+    assert across == {(0, 9), (1, 9), (2, 9)}  # the best one that isn't decided is proposed
 
 
 def test_components_of_chains_stars_and_cycles(spark):
