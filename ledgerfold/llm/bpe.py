@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 #: Pieces up to so many letters are remembered, in two generations of so many pieces.
-KEPT_LETTERS, KEPT_PIECES = 40, 400_000
+KEPT_LETTERS, KEPT_PIECES = 40, 150_000
+#: Texts whose ids a worker holds at once.
+TOGETHER = 500
 
 INFINITE = 1 << 60
 
@@ -129,7 +131,7 @@ class Tokenizer:
                 for x, x_until in self.spine(a, 1)
                 for y, y_until in self.spine(b, 0)
             )
-            if len(self.pairs) >= 4 * KEPT_PIECES:
+            if len(self.pairs) >= 2 * KEPT_PIECES:
                 self.pairs.clear()
             self.pairs[a, b] = known
         return known
@@ -194,6 +196,13 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
+def pieces_of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Short runs of each batch, so that what is made of a batch is never held whole."""
+    for part in parts:
+        for at in range(0, max(1, len(part)), TOGETHER):
+            yield part.iloc[at : at + TOGETHER]
+
+
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Append an ``array<int>`` of token ids of each whole text; null counts as empty.
 
@@ -204,7 +213,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     @F.pandas_udf("array<int>")
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         t = tokenizer(path)
-        for part in parts:
+        for part in pieces_of(parts):
             yield pd.Series([t.encode(x or "") for x in part], dtype=object)
 
     return df.withColumn(ids, of(F.col(text)))
@@ -238,7 +247,7 @@ def digests(df: DataFrame, path: str, text: str = "text", ids: str | None = None
     @F.pandas_udf(", ".join(f"{n} {t}" for n, t in named.items()))
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         t = tokenizer(path)
-        for part in parts:
+        for part in pieces_of(parts):
             rows = []
             for x in part:
                 found = t.encode(x or "")

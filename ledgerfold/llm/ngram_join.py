@@ -38,7 +38,7 @@ CALL_ROWS = 50_000
 #: Bits of the smallest bitmap. A set has a bitmap of at least as many bits as shingles.
 LEAST_BITS = 512
 #: Remembered word hashes of a worker.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 150_000
 #: Fixed value: an odd 64-bit multiplier, the golden ratio's.
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
