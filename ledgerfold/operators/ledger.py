@@ -21,6 +21,8 @@ from ledgerfold.spec import (
     PROVENANCE_TYPE,
 )
 
+#: Files of one append to one folder, at most.
+WRITERS = 4
 #: The job that appends events, unless the caller names another.
 ACTOR = "job"
 
@@ -391,7 +393,10 @@ def append_events(events: DataFrame, path: str, ingest: str, buckets: int = BUCK
     checked = events.withColumn(
         "identity_key", F.when(refused.isNull(), F.col("identity_key"))
     ).withColumn("bucket", bucket_of("identity_key", buckets))
-    checked.write.mode("overwrite").partitionBy("event_type", "bucket").parquet(f"{path}/ingest={ingest}")
+    # one file per folder and salt, not one per task and folder; a hot bucket keeps several writers
+    salt = F.pmod(F.xxhash64("identity_key", "seq"), F.lit(WRITERS))
+    placed = checked.repartition("event_type", "bucket", salt)
+    placed.write.mode("overwrite").partitionBy("event_type", "bucket").parquet(f"{path}/ingest={ingest}")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.functions import text as tx
+from ledgerfold.session import small_side
 
 UNMAPPED = "notspecified"
 
@@ -28,7 +29,7 @@ def map_licences(
     all is "not specified" and counts as recognised: nothing went wrong.
     """
     key = normalise_licence(F.coalesce(F.col(column), F.lit("")))
-    lookup = F.broadcast(aliases)  # a fixed register of a few hundred spellings
+    lookup = small_side(aliases)
     side = lambda n: lookup.select(F.col("alias").alias(n), F.col("license_id").alias(f"{n}_id"))
     found = (
         rows.withColumn("_exact", key)

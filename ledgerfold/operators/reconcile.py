@@ -400,52 +400,40 @@ def find_candidates(
     return automatic.unionByName(fuzzy_candidates(resolved, automatic, spec, threshold))
 
 
-def connected_components(pairs: DataFrame, left: str, right: str, max_rounds: int = 60) -> DataFrame:
+def connected_components(pairs: DataFrame, left: str, right: str) -> DataFrame:
     """``(node, component)`` with the smallest node of each component.
 
     Alternates two steps until nothing moves: every node's larger neighbours are
     hung under its smallest neighbour, then the smaller ones too. Rounds grow with
-    the logarithm of the size, a hub's edges are aggregated before they move, and
-    lineage is cut every round so that a lost executor repeats one round only.
+    the logarithm of the size. A step is one aggregate with a map-side minimum and one join, whose large
+    partitions AQE splits. Lineage is cut every round, so a lost executor repeats one round only.
     """
-    a, b = F.col("a"), F.col("b")
     edges = checkpointed(
-        pairs.select(F.greatest(left, right).alias("a"), F.least(left, right).alias("b"))
-        .filter(a != b)
-        .distinct()
-    )
-    nodes = edges.select("a").unionByName(edges.select(b.alias("a"))).distinct()
-
-    def hang(links: DataFrame) -> DataFrame:
-        """``links`` (a, b) re-hung under each a's smallest neighbour or itself."""
-        least = links.groupBy("a").agg(
-            F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("rows")
-        )
-        return per_key_join(links, least, ["a"])
-
-    # Row count and the sum of row hashes tell whether a round changed anything.
-    mark = F.struct(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
-    digest = edges.agg(mark).first()
-    for _ in range(max_rounds):
-        both = edges.unionByName(edges.select(b.alias("a"), a.alias("b")))
-        large = hang(both).filter(b > a).select(b.alias("a"), F.col("m").alias("b")).distinct()
-        down = large.filter(a != b)
-        small_in = hang(down)
-        small = (
-            small_in.filter(b != F.col("m")).select(b.alias("a"), F.col("m").alias("b"))
-            .unionByName(small_in.select("a", F.col("m").alias("b")))
-            .filter(a != b)
+        pairs.select(F.greatest(left, right).alias("a"), F.least(left, right).alias("b")).filter("a <> b").distinct()
+    )
+    nodes = edges.select("a").union(edges.select("b")).distinct()
+
+    def under_smallest(links: DataFrame) -> DataFrame:
+        """``links`` with ``m``: the smallest of ``a`` and its neighbours ``b``."""
+        smallest = links.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        return links.join(smallest, "a")
+
+    seen = None
+    while True:
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        larger = under_smallest(both).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        smaller = under_smallest(larger)
+        edges = checkpointed(
+            smaller.select("a", F.col("m").alias("b"))
+            .union(smaller.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
             .distinct()
         )
-        edges = checkpointed(small)
-        digest, before = edges.agg(mark).first(), digest
-        if digest == before:
+        # row count and the sum of row hashes tell whether a round changed anything
+        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == seen:
             break
-    else:
-        raise RuntimeError("components did not settle")
-    return nodes.join(edges, "a", "left").select(
-        a.alias("node"), F.coalesce(b, a).alias("component")
-    )
+        seen = state
+    return nodes.join(edges, "a", "left").select(F.col("a").alias("node"), F.coalesce("b", "a").alias("component"))
 
 
 # -- merges --------------------------------------------------------------------
@@ -493,18 +481,18 @@ def record_urls(resolved: DataFrame) -> DataFrame:
     return resolved.select("identity_key", F.posexplode(urls).alias("at", "url"))
 
 
-def merge_urls(plan: DataFrame, urls: DataFrame, max_rounds: int = 1000) -> DataFrame:
+def merge_urls(plan: DataFrame, urls: DataFrame) -> DataFrame:
     """``(place, primary, secondary, url)``: what each merge copies to its primary.
 
     Merges replay in order, so a URL travels along a chain only when the later hop
     comes later. Each round moves the URLs that arrived earlier in the round before
-    one hop on, keeping the earliest arrival; chains are as short as the relations.
+    one hop on, keeping the earliest arrival, until none moves; a chain of any length ends.
     """
     hops = plan.select("place", "primary", "secondary")
     start = F.struct(*[F.lit("").alias(n) for n in ("kind", "primary", "secondary")])
     known = checkpointed(urls.select("identity_key", "url").distinct().withColumn("since", start))
     fresh = known
-    for _ in range(max_rounds):
+    while True:
         moved = (
             fresh.join(hops.withColumnRenamed("secondary", "identity_key"), "identity_key")
             .filter(F.col("place") > F.col("since"))
@@ -520,8 +508,6 @@ def merge_urls(plan: DataFrame, urls: DataFrame, max_rounds: int = 1000) -> Data
         known = checkpointed(
             known.unionByName(fresh).groupBy("identity_key", "url").agg(F.min("since").alias("since"))
         )
-    else:
-        raise RuntimeError("merge chains did not settle")
     return (
         hops.join(known.withColumnRenamed("identity_key", "secondary"), "secondary")
         .filter(F.col("since") < F.col("place"))

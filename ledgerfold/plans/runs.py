@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -189,6 +189,8 @@ def run(
         outcomes = ingest(spark, observations, ledger_path, name, spec)
         published = _published(spark, records_path)
         catalogue = materialise(read_table(spark, ledger_path), registers, spec, published)
+        # what changes is told against the records as they were, so it is stored before they are replaced
+        catalogue = replace(catalogue, actions=checkpointed(catalogue.actions))
         return catalogue
     finally:
         none = spark.createDataFrame([], "source string, changed boolean, error string")

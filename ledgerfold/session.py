@@ -26,6 +26,7 @@ def build_session(app: str = "ledgerfold", master: str | None = None, **conf: ob
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
