@@ -45,8 +45,11 @@ def read_annotations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFra
     A document is ``{identity_key, actor?, allow_new?, annotations: [{local, note?,
     actor?, observed_at?, allow_new?}]}``. A bad file is one reject; the rest apply.
     """
+    # files are told apart by their place below the folder, so equal names in two subfolders stay two
+    root = path.rstrip("/").rsplit("/", 1)[-1]
+    below = F.replace(F.substring_index("_metadata.file_path", f"/{root}/", -1), F.lit("file:"), F.lit(""))
     files = spark.read.text(path, wholetext=True).select(
-        F.element_at(F.split("_metadata.file_path", "/"), -1).alias("path"),
+        below.alias("path"),
         F.try_parse_json("value").alias("doc"),
     )
     return parse_annotations(files)

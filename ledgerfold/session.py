@@ -34,14 +34,13 @@ def build_session(app: str = "ledgerfold", master: str | None = None, **conf: ob
     return builder.getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared checkpoint folder.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that all executors share.
 
-    The folder comes from ``spark.checkpoint.dir``. A local session that names
+    It comes from ``spark.checkpoint.dir``. A local session that names
     none (tests) gets a temporary one; a cluster session must name a shared one,
     since a machine-local folder would not survive a lost executor.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -50,6 +49,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
             folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage through the shared checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
