@@ -30,16 +30,21 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest id of those that links connect, and all that have no words."""
-    found = checkpointed(ngram_join.link_documents(docs))
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    heads = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    found = checkpointed(ngram_join.link_documents(docs).withColumn("stays", heads | (F.col("n_shingles") == 0)))
+    ids = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("stays").alias("some"), F.count("*").alias("n"))
+    gone = ids.filter("NOT some").select("doc_id")
+    repeated = checkpointed(ids.filter("some AND n > 1").select("doc_id"))
     kept = docs.join(small_side(gone), "doc_id", "left_anti").select(*docs.columns)
-    stays = found.filter((F.col("doc_id") == F.col("component_id")) & (F.col("n_shingles") > 0))
-    repeated = checkpointed(stays.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"))
     if repeated.isEmpty():
         return kept
-    # one id on several rows: equal texts are one document, other texts stay
-    once = kept.join(small_side(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(small_side(repeated), "doc_id", "left_anti").unionByName(once).select(*docs.columns)
+    # one id on several rows: each text is judged by its own set, and of equal sets one row stays
+    several = ngram_join.with_set_id(kept.join(small_side(repeated), "doc_id", "left_semi"), out="__set")
+    judged = found.filter("stays AND set_id IS NOT NULL").select("doc_id", F.col("set_id").alias("__set")).distinct()
+    once = several.join(judged, ["doc_id", "__set"], "left_semi").dropDuplicates(["doc_id", "__set"])
+    empty = several.filter("__set IS NULL")
+    rest = kept.join(small_side(repeated), "doc_id", "left_anti").select(*docs.columns)
+    return rest.unionByName(once.select(*docs.columns)).unionByName(empty.select(*docs.columns))
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

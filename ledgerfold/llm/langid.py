@@ -28,7 +28,7 @@ WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 SAMPLE_TEXTS, SHARES, SAMPLE_BYTES = 16, 32, 1024
 STEPS, BATCH, RATE = 500, 64, 0.01
 #: Windows looked at together.
-CHUNK = 1024
+CHUNK = 512
 
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -230,5 +230,6 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text", lang_pred:
                 names[i], scores[i] = net.languages[int(p.argmax())], min(1.0, float(p.max()))
             yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    found = docs.withColumn("__lang", of(F.col(text)))
+    # a filter on the result is not to be answered by a second pass over the texts
+    found = docs.withColumn("__lang", of.asNondeterministic()(F.col(text)))
     return found.select(*kept, F.col("__lang.lang_pred").alias(lang_pred), F.col("__lang.score").alias(score))

@@ -223,6 +223,21 @@ def tree_join(sets: list[np.ndarray], queries: list[np.ndarray], percent: int) -
                 at = left
 
 
+def set_id(s: np.ndarray) -> int | None:
+    """A 64-bit hash of a set as a signed long; none for the empty set."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None
+
+
+def with_set_id(docs: DataFrame, words: int = WORDS, text: str = "text", out: str = "set_id") -> DataFrame:
+    """Append the id of each text's shingle set, null without words."""
+
+    @F.pandas_udf("long")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([set_id(shingles(t, words)) for t in texts], dtype="Int64")
+
+    return docs.withColumn(out, of(F.col(text)))
+
+
 def describe(docs: DataFrame, words: int) -> DataFrame:
     """From one pass over the texts: rows of ``doc_id``, ``sid`` (null without words), ``n`` and ``bitmap``,
     and rows of ``slice`` and ``counts``, the count of shingles by hash bucket."""
@@ -234,7 +249,7 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
             sids, sizes, maps, buckets = [], [], [], []
             for text in part["text"]:
                 s = shingles(text, words)
-                sids.append(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64) if len(s) else None)
+                sids.append(set_id(s))
                 sizes.append(len(s))
                 maps.append(bitmap(s) if len(s) else None)
                 buckets.append((s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
@@ -282,9 +297,9 @@ def first_shingles(docs: DataFrame, counts: np.ndarray, words: int, percent: int
                     heavy = weight[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
                     first = np.argsort(heavy, kind="stable")[: prefix_length(len(s), percent)]
                     tokens.append(s[first])
-                    sids.append(np.full(len(first), np.uint64(xxhash.xxh3_64_intdigest(s.tobytes()))))
+                    sids.append(np.full(len(first), set_id(s), dtype=np.int64))
             if tokens:
-                yield pd.DataFrame({"token": np.concatenate(tokens).view(np.int64), "sid": np.concatenate(sids).view(np.int64)})
+                yield pd.DataFrame({"token": np.concatenate(tokens).view(np.int64), "sid": np.concatenate(sids)})
 
     return docs.select("text").mapInPandas(of, "token long, sid long")
 
@@ -345,14 +360,18 @@ def candidates(prefixes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
     """Exact links within clusters, a forest per pair of blocks. ``members``: ``cluster``, ``sid`` and one
     ``doc_id`` that has the set."""
-    texts = docs.join(small_side(members), "doc_id").dropDuplicates(["sid"])
-    rows = blocked(checkpointed(texts.select("cluster", "sid", "text")), "cluster", "sid")
+    texts = docs.join(small_side(members), "doc_id").select("cluster", "sid", "text")
+    rows = blocked(checkpointed(texts), "cluster", "sid")
 
     def of(g: pd.DataFrame) -> pd.DataFrame:
-        sid, side = g["sid"].to_numpy(), g["side"].to_numpy()
+        g = g.drop_duplicates(["sid", "text"])
         sets = [shingles(t, words) for t in g["text"]]
+        # an id may stand on rows of other texts, which are not the set that is looked for
+        own = np.array([set_id(s) == i for s, i in zip(sets, g["sid"], strict=True)], dtype=bool)
+        sid, side = g["sid"].to_numpy()[own], g["side"].to_numpy()[own]
+        sets = [s for s, ok in zip(sets, own, strict=True) if ok]
         left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-        forest = Forest(len(g))
+        forest = Forest(len(sets))
         if len(left) and len(right):
             for q, s in tree_join([sets[i] for i in right], [sets[i] for i in left], percent):
                 for x, y in zip(left[q].tolist(), right[s].tolist(), strict=True):
@@ -364,22 +383,25 @@ def links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Data
 
 
 def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id``, the smallest id that links lead to, its own included.
+    """``doc_id``, ``n_shingles`` and ``component_id``, the smallest id that links lead to, its own included; and
+    ``set_id``, the same for equal sets (see :func:`with_set_id`), null without words.
 
     Two documents link when 100 * intersection >= percent * union of their shingle sets. Documents without
-    words (null, empty, white space) have no shingles and link with nothing. Each row is returned, repeated
-    ones too. Other columns are not used; texts are never cut.
+    words (null, empty, white space) have no shingles and link with nothing; nor do rows without an id, whose
+    component is null. Each row is returned, repeated ones too; of one id on several texts each text is looked
+    at. Other columns are not used; texts are never cut.
     """
     base = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     described = checkpointed(describe(base, words))
     rows = described.filter("slice IS NULL").select("doc_id", "sid", "n", "bitmap")
     counts = bucket_counts(described)
-    sets = checkpointed(rows.filter("sid IS NOT NULL").groupBy("sid").agg(
+    sets = checkpointed(rows.filter("sid IS NOT NULL AND doc_id IS NOT NULL").groupBy("sid").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")
     ))
-    clusters = components(candidates(first_shingles(base, counts, words, percent), sets, percent))
+    known = base.filter("doc_id IS NOT NULL")
+    clusters = components(candidates(first_shingles(known, counts, words, percent), sets, percent))
     members = checkpointed(clusters.select(F.col("component").alias("cluster"), F.col("node").alias("sid")).join(sets.select("sid", "doc_id"), "sid"))
-    joined = components(links(base, members, words, percent))
+    joined = components(links(known, members, words, percent))
     # the smallest document of each set, then of each component
     labelled = sets.select("sid", "doc_id").join(joined, F.col("sid") == F.col("node"), "left").select(
         "sid", "doc_id", F.coalesce("component", "sid").alias("component")
@@ -387,5 +409,7 @@ def link_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     smallest = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     of_set = labelled.join(smallest, "component").select("sid", "component_id")
     return rows.select("doc_id", "sid", "n").join(of_set, "sid", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
+        F.col("sid").alias("set_id"),
     )

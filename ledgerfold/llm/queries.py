@@ -148,12 +148,31 @@ def learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
-@query("op1_ngram_join")
+#: All pairs that share a shingle, then everything that links lead to.
+LINKED = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS l
+  FROM documents),
+i AS (SELECT doc_id, l, unnest(range(1, greatest(len(l) - 3, 1) + 1)) AS i FROM w WHERE len(l) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(l[i:i + 3], ' ') AS g FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT x, y FROM p JOIN n f ON f.doc_id = x JOIN n h ON h.doc_id = y WHERE 100 * c >= 85 * (f.n + h.n - c)),
+b AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+r(doc_id, c) AS (SELECT DISTINCT doc_id, doc_id FROM documents UNION SELECT b.y, r.c FROM r JOIN b ON b.x = r.doc_id WHERE r.c < b.y),
+m AS (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id)
+SELECT CAST(d.doc_id AS BIGINT) AS doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, CAST(m.c AS BIGINT) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)
+"""
+
+
+@query("op1_ngram_join", LINKED)
 def ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose word 4-grams are similar."""
     from ledgerfold.llm import ngram_join as join
 
-    return join.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = join.link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @query("op5_html_extraction")

@@ -107,7 +107,12 @@ def test_join_of_empty_and_repeated_rows(spark):
     assert ngram_join.link_documents(spark.createDataFrame([], schema)).count() == 0
     text = "a b c d e f g"
     got = ngram_join.link_documents(spark.createDataFrame([(4, text), (4, text), (2, text), (9, "word " * 30_000)], schema))
+    got = got.select("doc_id", "n_shingles", "component_id")
     assert sorted(map(tuple, got.collect())) == [(2, 4, 2), (4, 4, 2), (4, 4, 2), (9, 1, 9)]
+    near = "a b c d e f g " * 9 + "h i j k"
+    rows = [(1, near), (1, "other words on one id"), (3, near + " l"), (None, near), (None, None)]
+    got = ngram_join.link_documents(spark.createDataFrame(rows, schema)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(1, 1), (3, 1), (None, None)} and len(got) == 5
 
 
 # -- searches ----------------------------------------------------------------------------------------------
@@ -308,7 +313,8 @@ def test_pipeline_stages_against_brute_force(spark):
     assert known.columns == df.columns
     assert {x["doc_id"] for x in known.collect()} == {x[0] for x in rows} - {300, 301}
     single = pipeline.one_of_each_group(spark, known, "").collect()
-    assert not [x for x in single if 200 <= x["doc_id"] < 300] and len(single) >= 120
+    assert not [x for x in single if 200 <= x["doc_id"] < 300] and len(single) == 121
+    assert [x["text"] for x in single if x["doc_id"] == 302] == ["the and of"]  # the other text on this id is 5's
     clean = pipeline.masked(spark, spark.createDataFrame(single, df.schema), "")
     assert not clean.filter(F.col("text").contains("@")).count() and clean.count() == len(single)
     mixed = pipeline.mixed(spark, clean, "")
