@@ -28,6 +28,8 @@ from ledgerfold.session import small_side
 
 #: Branches below this importance go, where at least so many different pages of the host show them.
 IMPORTANT, PAGES = 0.4, 4
+#: On a page without an article, an element with more than this share of its letters is no furniture by its class.
+WRAPS = 0.6
 
 # Elements by their use in HTML.
 INLINE = frozenset(
@@ -46,7 +48,7 @@ NAMES = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising banner sponsor sponsored sponsors promo promotion cookie"
     " cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup"
     " share sharing social sidebar sidebars aside menu menus nav navbar navigation breadcrumb breadcrumbs footer colophon"
-    " masthead comment comments commentlist disqus discussion respond reply replies related recommended recommendations"
+    " masthead adsbygoogle comment comments commentlist disqus discussion respond reply replies related recommended recommendations"
     " pagination pager login widget widgets toolbar skip skiplink".split()
 )
 #: Names that are furniture outside an article only.
@@ -86,13 +88,21 @@ class Page:
         for i in range(n - 1, 0, -1):
             if holds[i]:
                 holds[self.parent[i]] = True
+        mass = [0] * n  # letters below
+        for node, _, text in self.texts:
+            mass[node] += len(text.strip())
+        for i in range(n - 1, 0, -1):
+            if self.verdict[i] != "drop":
+                mass[self.parent[i]] += mass[i]
         out_of = [False] * n  # dropped, with all below
         inside = [False] * n
         for i in range(1, n):
             p = self.parent[i]
             inside[i] = inside[p] or main[i]
             v = self.verdict[i]
-            furniture = v == "drop" or v == "outside" and not inside[i]
+            # a class such as "with-sidebar" around most of a page is no sidebar
+            wraps = not holds[0] and mass[i] > WRAPS * mass[0]
+            furniture = v == "drop" or v == "named" and not wraps or v == "outside" and not inside[i]
             if self.path[i] in low and self.tag[i] in ("div", "section", "ul", "ol", "table", "dl", "center"):
                 furniture = True
             out_of[i] = out_of[p] or furniture and not holds[i]
@@ -111,7 +121,8 @@ class Page:
 
 
 def judge(tag: str, rest: str) -> tuple[str, str]:
-    """What an element's tag and attributes say (``main``, ``drop``, ``outside`` or nothing), and its classes."""
+    """What an element's tag and attributes say (``main``, ``drop``, ``named`` for a telling class, ``outside`` or
+    nothing), and its classes."""
     verdict = "main" if tag in ("article", "main") else "drop" if tag in FURNITURE else "outside" if tag == "header" else ""
     names = ""
     if rest and not rest.isspace():
@@ -119,11 +130,12 @@ def judge(tag: str, rest: str) -> tuple[str, str]:
             name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if name in ("class", "id"):
                 names += " " + value if name == "class" else ""
-                parts = {p.lower() for p in PART.findall(value)}
                 if tag in ("html", "body"):
                     continue
+                # an article's further classes say how it is shown ("comments-open"), not what it is
+                parts = {p.lower() for p in PART.findall(" ".join(value.split()[:1]) if tag in ("article", "main") else value)}
                 if parts & NAMES:
-                    verdict = "drop"
+                    verdict = "drop" if verdict == "drop" else "named"
                 elif not verdict and parts & OUTSIDE:
                     verdict = "outside"
             elif name == "role":

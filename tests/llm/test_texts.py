@@ -250,6 +250,8 @@ def test_furniture_goes():
     assert kept(page) == "T Body."
     without = "<body><div class='menu'>m</div><div><p>Text <span hidden>no</span>here</p></div><div role='banner'>b</div>"
     assert kept(without) == "Text here"
+    assert kept('<article class="post comments-open"><p>A</p></article><article class="comment"><p>c</p></article>') == "A"
+    assert kept('<div class="with-sidebar"><p>Most of the page</p><div class="sidebar">s</div></div>') == "Most of the page"
 
 
 def test_style_tree_of_a_host(spark):
