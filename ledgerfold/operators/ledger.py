@@ -11,7 +11,6 @@ from pyspark.sql.types import StructType
 from ledgerfold.functions import text as tx
 from ledgerfold.functions.jsonval import get_doc, get_strings, get_text, json_type, let, quote
 from ledgerfold.functions.urls import safe_url
-from ledgerfold.operators.skew import lookup_join
 from ledgerfold.spec import (
     EVENT_DDL,
     EVENT_KEYS,
@@ -125,7 +124,8 @@ def parse_events(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         .agg(F.min_by(F.struct("key"), "line_no").alias("_owner"))
         .select("path", F.col("_owner.key").alias("owner"))
     )
-    owned = lookup_join(parsed, owners, ["path"], "left")
+    # one row per file; rows are not counted first, since that would parse every line once more
+    owned = parsed.join(owners, "path", "left")
     foreign = (F.size("messages") == 0) & (F.col("key") != F.col("owner"))
     problem = lambda reason, message: F.struct(
         F.lit("event_log_problem").alias("type"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerfold.functions import text as tx
-from ledgerfold.functions.html import html_to_text, sanitise_html
+from ledgerfold.functions.html import html_to_text, sanitise_each, sanitise_html
 from ledgerfold.functions.jsonval import quote
 from ledgerfold.operators import extraction, pages
 from ledgerfold.plans.registry import query, table
@@ -36,6 +36,32 @@ def sanitised_html_promises(spark, sf_dir):
     )
 
 
+@query(
+    "safe_texts",
+    """WITH d AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS t FROM documents)
+    SELECT doc_id, unnest([0, 1, 2, 3]) AS pos, unnest(['<p>' || t || '</p>', '', 'two <b>' || doc_id || '</b>', '<ul><li>' || t || '</li></ul>']) AS safe FROM d""",
+)
+def safe_texts(spark, sf_dir):
+    """Several descriptions of a record, each cleaned on its own: what one leaves open ends with it."""
+    d = table(spark, sf_dir, "documents")
+    bare = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    texts = F.array(
+        F.concat(F.lit('<p onclick="x()">'), bare), F.concat(F.lit("<script>"), bare), F.concat(F.lit("two <b>"), "doc_id", F.lit("</b></i>")),
+        F.concat(F.lit("<section><ul><li>"), bare, F.lit("</section><!-- end -->")))
+    return d.select("doc_id", F.posexplode(sanitise_each(texts)).alias("pos", "safe"))
+
+
+@query(
+    "readable_texts",
+    """WITH l AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '[ \t\r\f\v]+', ' ', 'g'))) AS l FROM documents)
+    SELECT doc_id, trim(regexp_replace(array_to_string(l, chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10)) || chr(10) || 'end' AS text FROM l""",
+)
+def readable_texts(spark, sf_dir):
+    bare = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    page = F.concat(F.lit("<style>p{}</style><div>"), bare, F.lit("</div><b>en</b>d"))
+    return table(spark, sf_dir, "documents").select("doc_id", html_to_text(page).alias("text"))
+
+
 @query(
     "page_links",
     """WITH h AS (SELECT page_id, url, regexp_extract_all(html, '(?i)href\\s*=\\s*["'']([^"''#]+)["'']', 1) AS l FROM pages),

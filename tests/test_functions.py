@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerfold.functions import text as tx
-from ledgerfold.functions.html import html_to_text, sanitise_html
+from ledgerfold.functions.html import html_to_text, sanitise_each, sanitise_html, texts_of_each
 from ledgerfold.functions.jsonval import quote
 from ledgerfold.functions.urls import safe_url
 from ledgerfold.operators import classify, intake, ledger, licences, packages, pages, quality
@@ -65,6 +65,23 @@ def test_html_reduction(spark):
     assert each(spark, html_to_text, ["<p>a  b</p><p>c</p><style>z</style>&lt;"]) == ["a b\n\nc\n<"]
 
 
+def test_texts_of_a_list_are_cleaned_one_by_one(spark):
+    lists = [["<script>x", "Abstract text"], ["<p>one", "two"], ["a > b", None], [], None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(lists)], "i int, v array<string>")
+    out = [tuple(r) for r in df.orderBy("i").select(sanitise_each("v"), texts_of_each("v")).collect()]
+    assert out == [(["", "Abstract text"], ["", "Abstract text"]), (["<p>one</p>", "two"], ["one", "two"]), (["a &gt; b", ""], ["a > b", ""]),
+                   ([], []), (None, None)]
+
+
+def test_markup_that_is_odd(spark):
+    cases = {
+        '<a href="x" title=\'q"\'>l</a>': '<a href="x" title="q&quot;" rel="nofollow noopener">l</a>', "a < b": "a &lt; b",
+        "<b>x<i>y</b>z": "<b>x<i>y</i></b>z", "</p>x<br/>": "x<br />", "<!-- <b> -->k": "k", "<svg><b>n</b></svg>m": "m", "<td colspan=2>c": '<td colspan="2">c</td>',
+        "&lt;b&gt; &amp;amp;": "&lt;b&gt; &amp;amp;",
+    }
+    assert each(spark, sanitise_html, list(cases)) == list(cases.values())
+
+
 def test_licences_map_by_spelling_url_and_bare_version(spark):
     raw = ["CC-BY-4.0", "https://creativecommons.org/licenses/by-nd/4.0/", "Apache License, Version 2.0", "GPL-2.0-only", "mit 1.2", "odd", "", None]
     want = [("cc-by", True), ("cc-by-nd", True), ("apache", True), ("gpl-2.0", True), ("mit", True), ("notspecified", False),
