@@ -206,6 +206,11 @@ def _first_line():
     return F.substring_index("text", "\n", 1)
 
 
+def _marked():
+    """The whole text as markup shows it."""
+    return F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
 def _field(path):
     return F.get_json_object("source", f"$.{path}")
 
@@ -237,7 +242,7 @@ def mapped_zenodo(spark, sf_dir):
     "mapped_datacite",
     """SELECT '10.5072/dc.' || doc_id AS identity_key, CASE WHEN doc_id % 3 = 0 THEN 'dataset' WHEN doc_id % 3 = 1 THEN 'report' ELSE 'other' END AS kind,
       CASE WHEN doc_id % 2 = 0 THEN '2020-05-01' ELSE '2019' END AS published, CASE WHEN doc_id % 4 = 0 THEN 'open' END AS access, CASE WHEN doc_id % 5 = 0 THEN 'true' ELSE 'false' END AS withdrawn,
-      'task-' || (doc_id % 60) AS candidate FROM documents""",
+      'task-' || (doc_id % 60) AS candidate, '<p>' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p>' AS notes, '' AS other, 'Demo Task ' || (doc_id % 60) || ',second' AS words FROM documents""",
 )
 def mapped_datacite(spark, sf_dir):
     i = F.col("doc_id")
@@ -248,13 +253,17 @@ def mapped_datacite(spark, sf_dir):
         F.lit('],"types":{"resourceTypeGeneral":"'), F.when(i % 3 == 0, "Dataset").otherwise("Other"), F.lit('","resourceType":"'),
         F.when(i % 3 == 1, "Technical Report").otherwise("thing"), F.lit('"},"rightsList":[{"rights":"'),
         F.when(i % 4 == 0, "info:eu-repo/semantics/openAccess").otherwise("none"), F.lit('"}],"isActive":'), (i % 5 != 0).cast("string"),
-        F.lit(',"subjects":[{"subject":"Demo Task '), i % 60, F.lit('"}]}}'),
+        F.lit(',"descriptions":[{"description":"<script>never","descriptionType":"Other"},{"description":'),
+        quote(F.concat(F.lit("<p>"), _marked())), F.lit(',"descriptionType":"Abstract"}],"subjects":[{"subject":"Demo Task '), i % 60,
+        F.lit('"},"second"]}}'),
     )
     out = map_source("datacite", _payloads(spark, sf_dir, body, F.concat(F.lit("10.5072/DC."), i)),
                      task_pattern=r"(?i)demo\s+task\s+(\d{1,3})(?:\s*/\s*(\d{1,3}))?")
     return out.select(
         "identity_key", _field("resource_kind").alias("kind"), _field("published_date").alias("published"), _field("access_status").alias("access"),
         _field("withdrawn").alias("withdrawn"), _field("extra.task_candidates[0]").alias("candidate"),
+        _field("notes").alias("notes"), _field("extra.other_descriptions[0].description").alias("other"),
+        F.array_join(F.from_json(_field("keywords"), "array<string>"), ",").alias("words"),
     )
 
 
@@ -262,7 +271,8 @@ def mapped_datacite(spark, sf_dir):
     "mapped_crossref",
     """SELECT '10.5072/cr.' || doc_id AS source_id, CASE WHEN doc_id % 4 = 0 THEN '10.5072/pub.' || doc_id ELSE '10.5072/cr.' || doc_id END AS identity_key,
       CASE doc_id % 3 WHEN 0 THEN '2016' WHEN 1 THEN '2016-09' ELSE '2016-09-05' END AS published, CASE WHEN doc_id % 4 = 1 THEN 'report' ELSE 'publication' END AS kind,
-      CASE WHEN doc_id % 7 = 0 THEN 'true' ELSE 'false' END AS withdrawn, '10.5072/ref.' || (doc_id % 100) AS reference, 'Doe, J' || (doc_id % 10) AS author FROM documents""",
+      CASE WHEN doc_id % 7 = 0 THEN 'true' ELSE 'false' END AS withdrawn, '10.5072/ref.' || (doc_id % 100) AS reference, 'Doe, J' || (doc_id % 10) AS author,
+      '<p>' || regexp_replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\\s+', ' ', 'g') || '</p>' AS notes, 'Wind & x|open|last ' || doc_id AS words FROM documents""",
 )
 def mapped_crossref(spark, sf_dir):
     i = F.col("doc_id")
@@ -271,12 +281,15 @@ def mapped_crossref(spark, sf_dir):
         F.lit('","title":['), quote(_first_line()), F.lit('],"relation":{"is-preprint-of":[{"id-type":"doi","id":"10.5072/PUB.'), i,
         F.lit('"}]},"issued":{"date-parts":[[2016'), F.when(i % 3 == 0, "").when(i % 3 == 1, ",9").otherwise(",9,5"),
         F.lit(']]},"updated-by":[{"type":"'), F.when(i % 7 == 0, "retraction").otherwise("erratum"), F.lit('","DOI":"10.5072/cr.'), i,
-        F.lit('"}],"reference":[{"key":"a"},{"DOI":"10.5072/REF.'), i % 100, F.lit('"}],"author":[{"family":"Doe","given":"J'), i % 10, F.lit('"}]}'),
+        F.lit('"}],"reference":[{"key":"a"},{"DOI":"10.5072/REF.'), i % 100, F.lit('"}],"author":[{"family":"Doe","given":"J'), i % 10,
+        F.lit('"}],"subject":["Wind &amp; x","<p>open","last '), i, F.lit('"],"abstract":'),
+        quote(F.concat(F.lit("<jats:p>"), _marked(), F.lit("</jats:p>"))), F.lit("}"),
     )
     out = map_source("crossref", _payloads(spark, sf_dir, body, F.concat(F.lit("10.5072/cr."), i)))
     return out.select(
         "source_id", "identity_key", _field("published_date").alias("published"), _field("resource_kind").alias("kind"), _field("withdrawn").alias("withdrawn"),
         _field("extra.crossref_references[0]").alias("reference"), _field("authors[0].name").alias("author"),
+        _field("notes").alias("notes"), F.array_join(F.from_json(_field("keywords"), "array<string>"), "|").alias("words"),
     )
 
 
