@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,11 +31,13 @@ WORDS, PERCENT = 4, 85
 #: Buckets of the count that orders shingles, and of one row of it.
 BUCKET_BITS, SLICE_BITS = 20, 12
 #: Sets of a block of a cluster or of a group, and cells of the membership table in a task.
-BLOCK, CELLS = 2048, 1 << 25
+BLOCK, CELLS = 2048, 1 << 23
 #: Groups of so many sets or fewer are tested together with others of their size.
 FEW = 24
 #: Rows of groups that go to a call together, about.
 CALL_ROWS = 50_000
+#: Texts whose shingles a worker holds at once.
+TOGETHER = 500
 #: Bits of the smallest bitmap. A set has a bitmap of at least as many bits as shingles.
 LEAST_BITS = 512
 #: Remembered word hashes of a worker.
@@ -223,6 +226,13 @@ def tree_join(sets: list[np.ndarray], queries: list[np.ndarray], percent: int) -
                 at = left
 
 
+def runs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list]]:
+    """Short runs of each batch as lists, so that the texts and shingles of a batch are never held whole."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, TOGETHER):
+            yield batch.slice(at, TOGETHER).to_pydict()
+
+
 def set_id(s: np.ndarray) -> int | None:
     """A 64-bit hash of a set as a signed long; none for the empty set."""
     return int(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).astype(np.int64)) if len(s) else None
@@ -243,31 +253,29 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
     and rows of ``slice`` and ``counts``, the count of shingles by hash bucket."""
     slices = 1 << (BUCKET_BITS - SLICE_BITS)
 
-    def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("bitmap", pa.binary()), ("slice", pa.int32()), ("counts", pa.binary())
+    ])
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
-        for part in parts:
-            sids, sizes, maps, buckets = [], [], [], []
-            for text in part["text"]:
-                s = shingles(text, words)
-                sids.append(set_id(s))
-                sizes.append(len(s))
-                maps.append(bitmap(s) if len(s) else None)
-                buckets.append((s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
-            counts += np.bincount(np.concatenate(buckets), minlength=len(counts)) if buckets else 0
-            yield pd.DataFrame({
-                "doc_id": part["doc_id"].astype("Int64"), "sid": pd.array(sids, dtype="Int64"),
-                "n": pd.array(sizes, dtype="Int64"), "bitmap": pd.Series(maps, dtype=object, index=part.index),
-                "slice": pd.array([None] * len(part), dtype="Int32"), "counts": pd.Series([None] * len(part), dtype=object, index=part.index),
-            })
-        used = [i for i in range(slices) if counts.reshape(slices, -1)[i].any()]
-        yield pd.DataFrame({
-            "doc_id": pd.array([None] * len(used), dtype="Int64"), "sid": pd.array([None] * len(used), dtype="Int64"),
-            "n": pd.array([None] * len(used), dtype="Int64"), "bitmap": pd.Series([None] * len(used), dtype=object),
-            "slice": pd.array(used, dtype="Int32"),
-            "counts": pd.Series([counts.reshape(slices, -1)[i].tobytes() for i in used], dtype=object),
-        })
-
-    return docs.mapInPandas(of, "doc_id long, sid long, n long, bitmap binary, slice int, counts binary")
+        for run in runs_of(batches):
+            sets = [shingles(text, words) for text in run["text"]]
+            seen, times = np.unique(np.concatenate(sets) >> np.uint64(64 - BUCKET_BITS), return_counts=True)
+            counts[seen.astype(np.int64)] += times
+            none = [None] * len(sets)
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": run["doc_id"], "sid": [set_id(s) for s in sets], "n": [len(s) for s in sets],
+                "bitmap": [bitmap(s) if len(s) else None for s in sets], "slice": none, "counts": none,
+            }, schema=schema)
+        table = counts.reshape(slices, -1)
+        used = [i for i in range(slices) if table[i].any()]
+        none = [None] * len(used)
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": none, "sid": none, "n": none, "bitmap": none, "slice": used, "counts": [table[i].tobytes() for i in used],
+        }, schema=schema)
+
+    return docs.select("doc_id", "text").mapInArrow(of, "doc_id long, sid long, n long, bitmap binary, slice int, counts binary")
 
 
 def bucket_counts(described: DataFrame) -> np.ndarray:
@@ -287,11 +295,11 @@ def first_shingles(docs: DataFrame, counts: np.ndarray, words: int, percent: int
     """``token`` and ``sid``: the first shingles of each set in the order of rare buckets first."""
     shared = docs.sparkSession.sparkContext.broadcast(counts.astype(np.float32 if counts.max(initial=0) < 2**24 else np.float64))
 
-    def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = shared.value
-        for part in parts:
+        for run in runs_of(batches):
             tokens, sids = [], []
-            for text in part["text"]:
+            for text in run["text"]:
                 s = shingles(text, words)
                 if len(s):
                     heavy = weight[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]
@@ -299,9 +307,9 @@ def first_shingles(docs: DataFrame, counts: np.ndarray, words: int, percent: int
                     tokens.append(s[first])
                     sids.append(np.full(len(first), set_id(s), dtype=np.int64))
             if tokens:
-                yield pd.DataFrame({"token": np.concatenate(tokens).view(np.int64), "sid": np.concatenate(sids)})
+                yield pa.RecordBatch.from_pydict({"token": np.concatenate(tokens).view(np.int64), "sid": np.concatenate(sids)})
 
-    return docs.select("text").mapInPandas(of, "token long, sid long")
+    return docs.select("text").mapInArrow(of, "token long, sid long")
 
 
 def blocked(df: DataFrame, group: str, member: str) -> DataFrame:
