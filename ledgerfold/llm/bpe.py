@@ -192,7 +192,7 @@ class Tokenizer:
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> Tokenizer:
-    """One per worker process and vocabulary."""
+    """One per process and vocabulary, for use outside Spark tasks."""
     return Tokenizer(path)
 
 
@@ -212,7 +212,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 
     @F.pandas_udf("array<int>")
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        t = tokenizer(path)
+        t = Tokenizer(path)  # a worker that goes on to other work keeps none of it
         for part in pieces_of(parts):
             yield pd.Series([t.encode(x or "") for x in part], dtype=object)
 
@@ -225,7 +225,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> Da
 
     @F.pandas_udf("string")
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        t = tokenizer(path)
+        t = Tokenizer(path)  # a worker that goes on to other work keeps none of it
         for part in parts:
             yield pd.Series([
                 t.decode(np.asarray([] if x is None else x, dtype=np.int64)).decode("utf-8", "replace") for x in part
@@ -246,7 +246,7 @@ def digests(df: DataFrame, path: str, text: str = "text", ids: str | None = None
 
     @F.pandas_udf(", ".join(f"{n} {t}" for n, t in named.items()))
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        t = tokenizer(path)
+        t = Tokenizer(path)  # a worker that goes on to other work keeps none of it
         for part in pieces_of(parts):
             rows = []
             for x in part:

@@ -268,6 +268,7 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
                 "doc_id": run["doc_id"], "sid": [set_id(s) for s in sets], "n": [len(s) for s in sets],
                 "bitmap": [bitmap(s) if len(s) else None for s in sets], "slice": none, "counts": none,
             }, schema=schema)
+        _hashes.clear()
         table = counts.reshape(slices, -1)
         used = [i for i in range(slices) if table[i].any()]
         none = [None] * len(used)
@@ -308,6 +309,7 @@ def first_shingles(docs: DataFrame, counts: np.ndarray, words: int, percent: int
                     sids.append(np.full(len(first), set_id(s), dtype=np.int64))
             if tokens:
                 yield pa.RecordBatch.from_pydict({"token": np.concatenate(tokens).view(np.int64), "sid": np.concatenate(sids)})
+        _hashes.clear()
 
     return docs.select("text").mapInArrow(of, "token long, sid long")
 

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.bpe import tokenizer
+from ledgerfold.llm.bpe import Tokenizer
 from ledgerfold.llm.common import checkpointed
 
 #: Lengths that are added up together.
@@ -24,7 +24,7 @@ def encoded_length(docs: DataFrame, path: str, text: str = "text", out: str = "n
 
     @F.pandas_udf("long")
     def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        t = tokenizer(path)
+        t = Tokenizer(path)
         for part in parts:
             yield pd.Series([len(t.encode(x or "")) for x in part], dtype="int64")
 
