@@ -16,6 +16,8 @@ from ledgerfold.session import small_side
 
 #: A text stays if its language has at least this chance.
 LEAST_CHANCE = 0.4
+#: Documents are alike if the runs of so many words that they share are at least so many in a hundred of all theirs.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +33,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest id of those that links connect, and all that have no words."""
     heads = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
-    found = checkpointed(ngram_join.link_documents(docs).withColumn("stays", heads | (F.col("n_shingles") == 0)))
+    found = checkpointed(ngram_join.link_documents(docs, NEAR_WORDS, NEAR_PERCENT).withColumn("stays", heads | (F.col("n_shingles") == 0)))
     ids = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("stays").alias("some"), F.count("*").alias("n"))
     gone = ids.filter("NOT some").select("doc_id")
     repeated = checkpointed(ids.filter("some AND n > 1").select("doc_id"))
@@ -39,7 +41,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if repeated.isEmpty():
         return kept
     # one id on several rows: each text is judged by its own set, and of equal sets one row stays
-    several = ngram_join.with_set_id(kept.join(small_side(repeated), "doc_id", "left_semi"), out="__set")
+    several = ngram_join.with_set_id(kept.join(small_side(repeated), "doc_id", "left_semi"), NEAR_WORDS, out="__set")
     judged = found.filter("stays AND set_id IS NOT NULL").select("doc_id", F.col("set_id").alias("__set")).distinct()
     once = several.join(judged, ["doc_id", "__set"], "left_semi").dropDuplicates(["doc_id", "__set"])
     empty = several.filter("__set IS NULL")

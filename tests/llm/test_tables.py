@@ -324,6 +324,20 @@ def test_pipeline_stages_against_brute_force(spark):
     assert len(out) == mixed.count() and all(len(x["ids"]) == x["n_tokens"] for x in out)
 
 
+def test_pipeline_drops_copies_of_a_similarity_from_80_percent(spark):
+    import corpus_pipeline as pipeline
+
+    text = lambda start, n: " ".join(f"w{start + i}" for i in range(n))
+    rows = [
+        (1, text(0, 500)), (2, text(0, 600)),  # 496 of 596 runs of five words, 497 of 597 of four
+        (3, text(1000, 500)), (4, text(1000, 630)),  # 496 of 626
+        (5, text(2000, 30)), (5, text(3000, 30)),  # two texts on one id
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = pipeline.one_of_each_group(spark, docs, "").collect()
+    assert sorted((x["doc_id"], x["text"]) for x in got) == sorted(r for r in rows if r[0] != 2)
+
+
 def test_pipeline_of_nothing(spark):
     import corpus_pipeline as pipeline
 
