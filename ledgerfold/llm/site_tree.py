@@ -4,11 +4,13 @@ Pages of one host are merged into one tree of their elements (by tag and class,
 is as important as what it shows differs between pages: a text that c of the host's m pages show at a
 node has entropy log_m(c), and the importance of a branch is the mean of one minus that over the texts below
 it, lifted by the entropy of its presentation (how many sequences of child elements it comes in).
-Branches of low importance are site furniture and are removed from each page.
+Branches of low importance are site furniture and are removed from each page. Pages that show the same long
+blocks of main text are one page here, whatever their titles, menus, dates and adverts, so an article shown many
+times is no template.
 
 Menus, footers and the like often carry other words on each page, which entropy alone finds important;
 elements whose tag, role or class says what they are weigh nothing. An article, where a page marks one,
-is kept as it stands but for furniture inside it.
+is kept as it stands but for furniture inside it that says what it is; importance decides nothing there.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from ledgerfold.session import small_side
 IMPORTANT, PAGES = 0.4, 4
 #: On a page without an article, an element with more than this share of its letters is no furniture by its class.
 WRAPS = 0.6
+#: Blocks of so many letters tell whether two pages show the same main text; pages without any are told by all blocks.
+LONG = 60
 
 # Elements by their use in HTML.
 INLINE = frozenset(
@@ -81,7 +85,16 @@ class Page:
     texts: list[tuple[int, int, str]] = field(default_factory=list)
 
     def kept(self, low: frozenset[int] | set[int]) -> str:
-        """Main text: blocks joined by a space, white space in a block made one space."""
+        """Main text: blocks joined by a space."""
+        return " ".join(self.blocks(low))
+
+    def shown(self) -> int:
+        """A hash of the long blocks of the main text, as tags and classes tell it."""
+        said = self.blocks(frozenset())
+        return xxhash.xxh3_64_intdigest("\n".join([s for s in said if len(s) >= LONG] or said).encode()) >> 1
+
+    def blocks(self, low: frozenset[int] | set[int]) -> list[str]:
+        """Blocks of the main text, white space in a block made one space."""
         n = len(self.tag)
         main = [v == "main" for v in self.verdict]
         holds = main[:]
@@ -103,7 +116,7 @@ class Page:
             # a class such as "with-sidebar" around most of a page is no sidebar
             wraps = not holds[0] and mass[i] > WRAPS * mass[0]
             furniture = v == "drop" or v == "named" and not wraps or v == "outside" and not inside[i]
-            if self.path[i] in low and self.tag[i] in ("div", "section", "ul", "ol", "table", "dl", "center"):
+            if not inside[i] and self.path[i] in low and self.tag[i] in ("div", "section", "ul", "ol", "table", "dl", "center"):
                 furniture = True
             out_of[i] = out_of[p] or furniture and not holds[i]
         any_main = any(m and not o for m, o in zip(main, out_of, strict=True))
@@ -117,7 +130,7 @@ class Page:
                 last = block
             blocks[-1].append(text)
         said = (" ".join("".join(b).split()) for b in blocks)
-        return " ".join(s for s in said if s)
+        return [s for s in said if s]
 
 
 def judge(tag: str, rest: str) -> tuple[str, str]:
@@ -225,14 +238,15 @@ SEEN = "host string, page long, path long, parent long, style long, texts array<
 
 def sightings(pages: DataFrame) -> DataFrame:
     """One row per page and node of the style tree: its path and its parent's, a hash of the children's tags,
-    and hashes of the texts shown right there. ``page`` is a hash of the page, so equal pages count once."""
+    and hashes of the texts shown right there. ``page`` is a hash of what the page shows (see :meth:`Page.shown`), so
+    copies of one main text count once."""
 
     def of(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             rows = []
             for host, source in zip(part["host"], part["html"], strict=True):
                 page = parse(source or "")
-                uid = xxhash.xxh3_64_intdigest((source or "").encode()) >> 1
+                uid = page.shown()
                 children: dict[int, list[str]] = {}
                 parents = {0: 0}
                 said: dict[int, list[str]] = {}

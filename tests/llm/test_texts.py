@@ -272,3 +272,22 @@ def test_copies_of_a_page_are_no_template(spark):
     rows = [(i, "http://h/", "<body><div class='c'><p>Same words</p></div>") for i in range(9)]
     out = site_tree.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r["text"] for r in out} == {"Same words"}
+
+
+def test_near_copies_of_an_article_are_no_template(spark):
+    same = "Same words on every copy of this article, which the host shows under many titles and dates."
+    article = "<title>{0}</title><nav>menu {0}</nav><article><div class='body'><p>Same words</p></div></article>"
+    bare = "<title>{0}</title><div class='ad'>ad {0}</div><div class='x1'>{0} May</div><div class='x2'><p>" + same + "</p></div>"
+    rows = [(i, "http://a/", article.format(i)) for i in range(9)] + [(i, "http://b/", bare.format(i)) for i in range(10, 19)]
+    out = site_tree.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    got = {r["page_id"]: r["text"] for r in out}
+    assert got == {i: "Same words" for i in range(9)} | {i: f"{i} May {same}" for i in range(10, 19)}
+    # importance doesn't touch an article, nor do its copies save what other pages of the host share
+    story = "<article><div class='body'><p>{}</p><ul><li>Shown in all</ul></div></article>"
+    line = "<div class='y'>A line of the house that stands under each and every text of it, long as it is</div>"
+    plain = "<div class='z'><p>Story {} is told in words of its own, long enough to be told from all others</p></div>" + line
+    rows = [(i, "http://c/", story.format(f"Text {i}")) for i in range(6)] + [(i, "http://d/", plain.format(i % 6)) for i in range(10, 30)]
+    out = site_tree.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    got = {r["page_id"]: r["text"] for r in out}
+    assert all(got[i] == f"Text {i} Shown in all" for i in range(6))
+    assert all(got[i] == f"Story {i % 6} is told in words of its own, long enough to be told from all others" for i in range(10, 30))
