@@ -36,6 +36,8 @@ BLOCK, CELLS = 2048, 1 << 23
 FEW = 24
 #: Rows of groups that go to a call together, about.
 CALL_ROWS = 50_000
+#: Partitions whose counts are added up together, before their sums are.
+PARTITIONS = 64
 #: Texts whose shingles a worker holds at once.
 TOGETHER = 500
 #: Bits of the smallest bitmap. A set has a bitmap of at least as many bits as shingles.
@@ -279,15 +281,25 @@ def describe(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(of, "doc_id long, sid long, n long, bitmap binary, slice int, counts binary")
 
 
-def bucket_counts(described: DataFrame) -> np.ndarray:
-    """Shingles by hash bucket: a table of 2 ** BUCKET_BITS numbers, whatever the input."""
+def partial_counts(described: DataFrame) -> DataFrame:
+    """``slice`` and ``counts`` of at most PARTITIONS partitions of ``described`` a row."""
+    run = F.floor(F.spark_partition_id() / PARTITIONS)
+    rows = described.filter("slice IS NOT NULL").select("slice", "counts", run.alias("run"))
+    return rows.groupBy("slice", "run").applyInPandas(add_counts, "slice int, counts binary")
+
 
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(b, dtype=np.int64) for b in rows["counts"])
-        return pd.DataFrame({"slice": rows["slice"].iloc[:1], "counts": [total.tobytes()]})
+def add_counts(rows: pd.DataFrame) -> pd.DataFrame:
+    total = np.zeros(1 << SLICE_BITS, dtype=np.int64)
+    for b in rows["counts"]:
+        total += np.frombuffer(b, dtype=np.int64)
+    return pd.DataFrame({"slice": rows["slice"].iloc[:1], "counts": [total.tobytes()]})
 
+
+def bucket_counts(described: DataFrame) -> np.ndarray:
+    """Shingles by hash bucket: a table of 2 ** BUCKET_BITS numbers, whatever the input. Added up in two steps, so that
+    a group grows with a fraction of the partitions."""
     table = np.zeros((1 << (BUCKET_BITS - SLICE_BITS), 1 << SLICE_BITS), dtype=np.int64)
-    for r in described.filter("slice IS NOT NULL").select("slice", "counts").groupBy("slice").applyInPandas(add, "slice int, counts binary").collect():
+    for r in partial_counts(described).groupBy("slice").applyInPandas(add_counts, "slice int, counts binary").collect():
         table[r["slice"]] = np.frombuffer(r["counts"], dtype=np.int64)
     return table.ravel()
 

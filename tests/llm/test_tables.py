@@ -115,6 +115,18 @@ def test_join_of_empty_and_repeated_rows(spark):
     assert {(r["doc_id"], r["component_id"]) for r in got} == {(1, 1), (3, 1), (None, None)} and len(got) == 5
 
 
+def test_counts_are_added_up_in_two_steps(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "PARTITIONS", 3)
+    texts = ["a b c d", "a b c d e", "x y z w"] * 10
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(10)
+    described = ngram_join.describe(docs, 4).localCheckpoint()
+    rows = ngram_join.partial_counts(described).groupBy("slice").count().agg(F.max("count")).first()[0]
+    want = np.zeros(1 << ngram_join.BUCKET_BITS, dtype=np.int64)
+    for t in texts:
+        np.add.at(want, (ngram_join.shingles(t) >> np.uint64(64 - ngram_join.BUCKET_BITS)).astype(np.int64), 1)
+    assert rows <= 4 and (ngram_join.bucket_counts(described) == want).all()
+
+
 # -- searches ----------------------------------------------------------------------------------------------
 
 
