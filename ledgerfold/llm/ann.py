@@ -47,12 +47,13 @@ class Router:
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
-    def routes(self, x: np.ndarray) -> list[np.ndarray]:
-        """Parts to visit: the most probable ones until they hold the share."""
+    def routes(self, x: np.ndarray, rows: np.ndarray, least: int) -> list[np.ndarray]:
+        """Parts to visit: the most probable ones until they hold the share, and at least so many ``rows``."""
         p = self.chances(x)
         order = np.argsort(-p, axis=1, kind="stable")
         held = np.cumsum(np.take_along_axis(p, order, axis=1), axis=1)
-        n = np.minimum((held < self.share).sum(axis=1) + 1, self.parts)
+        few = np.cumsum(rows[order], axis=1) < least
+        n = np.minimum(np.maximum((held < self.share).sum(axis=1), few.sum(axis=1)) + 1, self.parts)
         return [o[:m] for o, m in zip(order, n, strict=True)]
 
 
@@ -216,12 +217,16 @@ def nearest_vectors(
     def part_of(v: pd.Series) -> pd.Series:
         return pd.Series(router.chances(np.stack(v)).argmax(axis=1) if len(v) else [], dtype="int32")
 
+    key = ["first_id", "point"]
+    placed = checkpointed(index.select(*key, "n_ids", "vector", part_of("vector").alias("part")))
+    held = np.zeros(router.parts, dtype=np.int64)  # distinct vectors of each part
+    for part in placed.groupBy("part").count().collect():
+        held[part["part"]] = part["count"]
+
     @F.pandas_udf("array<int>")
     def parts_of(v: pd.Series) -> pd.Series:
-        return pd.Series(router.routes(np.stack(v)) if len(v) else [], dtype=object)
+        return pd.Series(router.routes(np.stack(v), held, k + 1) if len(v) else [], dtype=object)
 
-    key = ["first_id", "point"]
-    placed = checkpointed(index.select(*key, "n_ids", "vector", part_of("vector").alias("part")))
     asked = given.filter("asks").select(F.col("id").alias("query_id"), "vector").distinct()
     named = asked.join(index.select("vector", *key), "vector").select(
         "query_id", F.col("first_id").alias("q_first_id"), F.col("point").alias("q_point"), F.col("vector").alias("q_vector")

@@ -182,6 +182,15 @@ def test_vector_search_recall_ties_and_unusable_rows(spark):
     assert hits / (45 * 20) >= 0.9 and set(got) == set(range(0, 900, 20))
 
 
+def test_vector_search_goes_on_to_other_parts_until_there_are_enough_rows(spark, monkeypatch):
+    monkeypatch.setattr(ann, "AIM", 0.5)
+    r = np.random.default_rng(3)
+    x = np.repeat(r.normal(size=(10, 16)), 20, axis=0) + r.normal(size=(200, 16)) * 0.02
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = ann.nearest_vectors(df, F.col("vec_id") % 20 == 0, parts=10).groupBy("query_id").count().collect()
+    assert {c["query_id"]: c["count"] for c in found} == {q: 20 for q in range(0, 200, 20)}
+
+
 def test_vector_search_with_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (5, [-1.0, 3.0])], "vec_id long, embedding array<float>")
     got = ann.nearest_vectors(df, F.col("vec_id") % 20 == 0).orderBy("rank").collect()
