@@ -182,3 +182,66 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pages = main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+#: CRC-32 of the decimals of an integer, bit by bit; polynomial 0xEDB88320.
+CRC = """xor(4294967295::UBIGINT, list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(1, 1 + len({0}::VARCHAR)),
+  lambda i: ascii(({0}::VARCHAR)[i])::UBIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+  lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)))"""
+
+
+def _said(*fields: str) -> str:
+    one = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0} END"
+    return "sha256(" + " || ".join(one.format(f) for f in fields) + ")"
+
+
+#: Trees by recursion over levels, flanks by windows over runs of sixteen, folding by recursion along the flanks.
+MANIFEST = f"""
+WITH RECURSIVE d AS (
+  SELECT *, CASE WHEN {CRC.format("doc_id")} % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                 ELSE text END AS seen FROM documents),
+h AS (SELECT doc_id, source, {_said("doc_id", "source", "lang", "n_chars", "text")} AS leaf,
+             {_said("doc_id", "source", "lang", "n_chars", "seen")} AS now FROM d),
+r AS (SELECT *, row_number() OVER (ORDER BY source, doc_id, leaf) AS id, count(*) OVER (PARTITION BY source) AS n,
+             row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, now) - 1 AS pos FROM h),
+t(level, source, pos, digest, n) AS (
+  SELECT 0, source, pos, leaf, n FROM r
+  UNION ALL SELECT level + 1, source, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (n + 15) // 16
+  FROM t WHERE n > 1 GROUP BY level, source, pos // 16, n),
+s AS (SELECT source, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+v(level, pos, digest, n) AS (
+  SELECT 0, pos, subroot, n FROM s
+  UNION ALL SELECT level + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (n + 15) // 16
+  FROM v WHERE n > 1 GROUP BY level, pos // 16, n),
+a AS (SELECT level, source, pos, coalesce(string_agg(digest, '') OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+             coalesce(string_agg(digest, '') OVER (b ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS g
+      FROM t WHERE n > 1 WINDOW b AS (PARTITION BY level, source, pos // 16 ORDER BY pos)),
+c AS (SELECT level, pos, coalesce(string_agg(digest, '') OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+             coalesce(string_agg(digest, '') OVER (b ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS g
+      FROM v WHERE n > 1 WINDOW b AS (PARTITION BY level, pos // 16 ORDER BY pos)),
+x AS (SELECT r.id, a.level AS step, a.l, a.g FROM r JOIN a ON a.source IS NOT DISTINCT FROM r.source AND a.pos = r.pos >> (4 * a.level)
+      UNION ALL SELECT r.id, 100 + c.level, c.l, c.g
+      FROM r JOIN s ON s.source IS NOT DISTINCT FROM r.source JOIN c ON c.pos = s.pos >> (4 * c.level)),
+y AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY step) AS k FROM x),
+e AS (SELECT r.id, sha256(coalesce(string_agg(y.l || y.g, '' ORDER BY y.step), '')) AS proof, count(y.k) AS m FROM r LEFT JOIN y USING (id) GROUP BY r.id),
+z(id, k, cur) AS (
+  SELECT id, 0::BIGINT, now FROM r
+  UNION ALL SELECT z.id, z.k + 1, sha256(y.l || z.cur || y.g) FROM z JOIN y ON y.id = z.id AND y.k = z.k + 1)
+SELECT r.doc_id, r.leaf, s.subroot, v.digest AS root, e.proof AS proof_sha256, z.cur AS folded_root, z.cur = v.digest AS verified
+FROM r JOIN s ON s.source IS NOT DISTINCT FROM r.source JOIN v ON v.n = 1 JOIN e USING (id) JOIN z ON z.id = r.id AND z.k = e.m
+"""
+
+
+@query("op11_merkle_manifest", MANIFEST)
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; a fifth of them is checked with changed text."""
+    from ledgerfold.llm import merkle
+
+    docs = table(spark, sf_dir, "documents")
+    stored = merkle.leaf_digest(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")])
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    touched = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    now = F.when(touched, merkle.leaf_digest(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], lower))
+    leaves = docs.select("doc_id", "source", stored.alias("leaf"), now.alias("now"))
+    found = merkle.proofs(merkle.build(leaves, now="now"))
+    return found.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
