@@ -245,3 +245,41 @@ def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves = docs.select("doc_id", "source", stored.alias("leaf"), now.alias("now"))
     found = merkle.proofs(merkle.build(leaves, now="now"))
     return found.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+HARD = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, list_inner_product(a.v, b.v)::BIGINT AS score
+      FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS n FROM s WHERE alike),
+t AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+      FROM p JOIN s ON p.n <= 5 AND s.anchor_id = p.anchor_id AND NOT s.alike
+        AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM t WHERE rank <= 5
+"""
+
+
+@query("op12_hard_negatives", HARD)
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five hardest negatives of every positive of every 100th vector, against all vectors."""
+    from ledgerfold.llm import negatives
+
+    vec_id = F.col("vec_id")
+    label = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return negatives.hard_negatives(rows, vec_id % 100 == 0)
+
+
+@query("op13_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under a trigram model of six sevenths of the corpus."""
+    from ledgerfold.llm import ngram_lm
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) != 2
+    return ngram_lm.text_scores(docs, learn)
