@@ -25,22 +25,26 @@ def claimed_identifiers(resolved: DataFrame) -> DataFrame:
     )
 
 
-def alias_index_scope(resolved: DataFrame) -> DataFrame:
-    """``(alias, identity_key)`` for citations: a key always beats a stated DOI,
-    the greatest key wins among spellings of one key, the smallest among claims."""
+def stated_names(resolved: DataFrame) -> DataFrame:
+    """``(identity_key, alias, own)``: what citations may call a record, its key and the DOI that it states."""
     key = F.col("identity_key")
     stated = tx.normalise_doi(text_of(F.element_at("effective", "doi")))
-    names = resolved.select(F.lower(tx.strip(key)).alias("alias"), key, F.lit(True).alias("own"))
-    claims = resolved.select(stated.alias("alias"), key, F.lit(False).alias("own")).filter(
-        F.col("alias").isNotNull()
-    )
-    return (
-        names.unionByName(claims)
-        .groupBy("alias")
-        .agg(
-            F.coalesce(F.max(F.when(F.col("own"), key)), F.min(key)).alias("identity_key"),
-        )
-    )
+    names = resolved.select(key, F.lower(tx.strip(key)).alias("alias"), F.lit(True).alias("own"))
+    claims = resolved.select(key, stated.alias("alias"), F.lit(False).alias("own")).filter(F.col("alias").isNotNull())
+    return names.unionByName(claims)
+
+
+def alias_owner(names: DataFrame) -> DataFrame:
+    """``(alias, identity_key)``: a key always beats a stated DOI, the greatest key wins among spellings of one
+    key, the smallest among claims."""
+    key = F.col("identity_key")
+    owner = F.coalesce(F.max(F.when(F.col("own"), key)), F.min(key))
+    return names.groupBy("alias").agg(owner.alias("identity_key"))
+
+
+def alias_index_scope(resolved: DataFrame) -> DataFrame:
+    """``(alias, identity_key)`` for citations."""
+    return alias_owner(stated_names(resolved))
 
 
 def alias_index_merge(resolved: DataFrame) -> DataFrame:

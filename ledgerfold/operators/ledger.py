@@ -62,15 +62,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def event_messages(doc: Column) -> Column:
-    """Why an event line is refused, as an array of messages (empty: accepted)."""
+def event_messages(line: Column, doc: Column) -> Column:
+    """Why an event line is refused, as an array of messages (empty: accepted). ``doc`` is the line, parsed; names are read off the
+    line, so the document is not written out again."""
     text = lambda path: get_text(doc, path)
+    names = F.when(doc.isNotNull(), F.json_object_keys(line))
+    entries = F.map_values(F.from_json(F.to_json(get_doc(doc, "$.provenance")), PROVENANCE_TYPE))
     parts = F.struct(
-        json_type(doc).alias("type"),
-        F.array_except(
-            F.json_object_keys(F.to_json(doc)), F.array(*[F.lit(k) for k in EVENT_KEYS])
-        ).alias("unknown"),
-        F.map_values(F.from_json(F.to_json(get_doc(doc, "$.provenance")), PROVENANCE_TYPE)).alias("entries"),
+        F.when(names.isNotNull(), "OBJECT").when(doc.isNotNull(), "other").alias("type"),
+        F.array_except(names, F.array(*[F.lit(k) for k in EVENT_KEYS])).alias("unknown"),
+        F.when(F.array_contains(names, "provenance"), entries).alias("entries"),
         text("$.event_type").alias("kind"),
         text("$.identity_key").alias("key"),
         text("$.observed_at").alias("at"),
@@ -111,7 +112,7 @@ def parse_events(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     verdict = let(
         F.try_parse_json("line"),
         lambda d: F.struct(
-            d.alias("doc"), event_messages(d).alias("messages"), get_text(d, "$.identity_key").alias("key")
+            d.alias("doc"), event_messages(F.col("line"), d).alias("messages"), get_text(d, "$.identity_key").alias("key")
         ),
     )
     parsed = lines.filter(F.trim("line") != "").withColumn("v", verdict).select(

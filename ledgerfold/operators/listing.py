@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ledgerfold.functions import text as tx
 from ledgerfold.functions.urls import host_of
 from ledgerfold.operators.packages import extra, extra_list
 from ledgerfold.operators.classify import lookup
+from ledgerfold.session import checkpoint_folder
 from ledgerfold.sources.registers import TYPE_KIND
 
 PAGE_SIZE = 20
+#: Pages that end within so many rows need no index.
+EARLY_ROWS = 10_000
 FACETS = ("task", "kind", "type", "year", "licence", "source", "institution", "availability")
 MULTI_VALUED = ("task", "source")
 
@@ -54,11 +60,6 @@ def listed(packages: DataFrame) -> DataFrame:
     )
 
 
-def all_entries(packages: DataFrame) -> DataFrame:
-    """Every record that has a page, listed or not."""
-    return packages
-
-
 def by_recency(rows: DataFrame, published: str = "published", seen: str = "last_seen", title: str = "title") -> list[Column]:
     """Sort keys: newest publication, newest sighting, then title as people sort it."""
     blank = lambda c: F.coalesce(F.col(c), F.lit(""))
@@ -224,22 +225,63 @@ def sideways_counts(rows: DataFrame, query: SearchQuery, facets: tuple[str, ...]
     )
 
 
-def result_page(found: DataFrame, query: SearchQuery, order: list[Column]) -> DataFrame:
-    """One page of results. A page past the end is the last page.
+@dataclass(frozen=True)
+class PageIndex:
+    """Results in order, stored in ranges of the sort key, and how many rows come before each range."""
+
+    spark: SparkSession
+    path: str
+    order: list[Column]
+    starts: list[tuple[int, int, int]]  # range, rows before it, rows in it
 
-    Only the rows up to the page are kept by each task, then the page is cut.
-    """
-    total = found.count()
+    @property
+    def total(self) -> int:
+        return sum(n for _, _, n in self.starts)
+
+    def rows(self, first: int, size: int) -> DataFrame:
+        """``size`` results from the place ``first`` on, from the ranges that hold them and no others."""
+        met = [(p, at) for p, at, n in self.starts if at < first + size and first < at + n] or [(-1, first)]
+        found = self.spark.read.parquet(self.path).filter(F.col("_range").isin([p for p, _ in met])).drop("_range")
+        return found.orderBy(*self.order).offset(first - met[0][1]).limit(size)
+
+
+def indexed_pages(found: DataFrame, order: list[Column], ranges: int | None = None) -> PageIndex:
+    """Sort results once, by ranges whose borders are sampled, so every page after that reads what it shows and no more.
+    ``order`` should tell all rows apart."""
+    spark = found.sparkSession
+    path = f"{checkpoint_folder(spark)}/pages-{uuid.uuid4().hex}"
+    dealt = found.repartitionByRange(ranges, *order) if ranges else found.repartitionByRange(*order)
+    dealt.withColumn("_range", F.spark_partition_id()).write.partitionBy("_range").parquet(path)
+    stored = spark.read.schema(StructType([*found.schema.fields, StructField("_range", IntegerType())])).parquet(path)
+    counts = sorted(stored.groupBy("_range").count().collect())  # one row per range
+    ends = list(accumulate(r["count"] for r in counts))
+    return PageIndex(spark, path, order, [(r["_range"], end - r["count"], r["count"]) for r, end in zip(counts, ends, strict=True)])
+
+
+def page_start(total: int, query: SearchQuery) -> int:
+    """Where a page begins. A page past the end is the last page."""
     pages = max(1, -(-total // query.page_size))
-    page = min(max(1, query.page), pages)
-    return found.orderBy(*order).offset((page - 1) * query.page_size).limit(query.page_size)
+    return (min(max(1, query.page), pages) - 1) * query.page_size
+
+
+def result_page(found: DataFrame, query: SearchQuery, order: list[Column], total: int | None = None) -> DataFrame:
+    """One page of results.
+
+    Of an early page only the rows up to it are kept by each task, then the page is cut. A later one is read from
+    an index, since all rows before it would come to one place.
+    """
+    first = page_start(found.count() if total is None else total, query)
+    if first + query.page_size <= EARLY_ROWS:
+        return found.orderBy(*order).offset(first).limit(query.page_size)
+    return indexed_pages(found, order).rows(first, query.page_size)
 
 
 def search(rows: DataFrame, query: SearchQuery) -> tuple[DataFrame, DataFrame, int]:
     """``(page, facet counts, total)`` for a query over listing rows."""
     found = rows.filter(matches(query))
+    total = found.count()
     order = [*by_recency(rows), F.col("name")]
-    return result_page(found, query, order), sideways_counts(rows, query), found.count()
+    return result_page(found, query, order, total), sideways_counts(rows, query), total
 
 
 def kind_counts(rows: DataFrame, labels: DataFrame, kind: str = "kind") -> DataFrame:

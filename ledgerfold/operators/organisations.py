@@ -7,35 +7,32 @@ from pyspark.sql import functions as F
 
 from ledgerfold.functions import text as tx
 from ledgerfold.functions.jsonval import get_doc, get_strings, get_text, json_type, text_of
-from ledgerfold.operators.skew import lookup_join
+from ledgerfold.operators.skew import gridded, lookup_join
 from ledgerfold.sources.registers import normalised_names
 
 DEFAULT_OWNER = "unattributed"
 SOURCE_OWNER = {"zenodo": "zenodo-community"}
+#: Texts with one word that meet aliases in one task.
+MET_ROWS = 200_000
 
 
 def match_texts(texts: DataFrame, names: DataFrame) -> DataFrame:
     """``(text, org)`` for distinct texts that name an organisation.
 
-    An alias matches whole words of the text, the longest alias first. Texts are cut
-    into word runs no longer than the longest alias and equi-joined with the names,
-    so the register is never scanned per text. ``names`` is ``(alias, org)``.
+    An alias matches whole words of the text, the longest alias first. Every alias is filed under the one of its words that
+    fewest aliases have; a text meets the aliases filed under its distinct words, and then the whole alias is looked for in it. So
+    the register is never scanned per text, and a text makes no more rows than it has words. A word of very many texts is dealt to
+    blocks. ``names`` is ``(alias, org)``.
     """
-    longest = names.agg(F.max(F.size(F.split("alias", " ")))).first()[0] or 1
-    distinct = texts.select("text").distinct()
-    words = F.split(tx.normalise_words(F.col("text")), " ")
-    runs = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.size("w")),
-            lambda i: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(longest), F.size("w") - i + 1)),
-                lambda n: F.array_join(F.slice(F.col("w"), i, n), " "),
-            ),
-        )
-    )
-    cut = distinct.withColumn("w", words).select("text", F.explode(F.array_distinct(runs)).alias("alias"))
+    filed = names.select("alias", "org", F.explode(F.array_distinct(F.split("alias", " "))).alias("word"))
+    spread = filed.groupBy("word").agg(F.count(F.lit(1)).alias("aliases"))
+    rarest = filed.join(spread, "word").groupBy("alias", "org").agg(F.min(F.struct("aliases", "word"))["word"].alias("word"))
+    plain = texts.select("text").distinct().withColumn("plain", tx.normalise_words(F.col("text")))
+    words = plain.select("text", "plain", F.explode(F.array_distinct(F.split("plain", " "))).alias("word"))
+    bounded = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    met = gridded(words, rarest, ["word"], "text", "alias", MET_ROWS).filter(F.contains(bounded(F.col("plain")), bounded(F.col("alias"))))
     order = F.struct((-F.length("alias")).alias("l"), "alias")
-    return cut.join(names, "alias").groupBy("text").agg(F.min_by("org", order).alias("org"))
+    return met.groupBy("text").agg(F.min_by("org", order).alias("org"))
 
 
 def owner_signals(resolved: DataFrame) -> DataFrame:

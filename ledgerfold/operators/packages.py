@@ -2,13 +2,8 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from ledgerfold.functions import text as tx
 from ledgerfold.functions.jsonval import get_strings, is_empty, text_of
@@ -81,6 +76,7 @@ def build_packages(
     groups: DataFrame,
     spec: LedgerSpec | None = None,
     programme: str | None = None,
+    phrases: dict[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(packages, notices)``: one published record per identity."""
     spec = spec or LedgerSpec()
@@ -127,7 +123,7 @@ def build_packages(
     own = tx.blank_to_null(value("url"))
     all_urls = F.when(own.isNotNull() & ~F.array_contains(urls, own), F.concat(F.array(own), urls)).otherwise(urls)
     rows = rows.withColumn("_urls", all_urls).withColumn(
-        "_type", derive_type(eff, F.col("source_systems"), F.col("inclusion_basis"), programme, task)
+        "_type", derive_type(eff, F.col("source_systems"), F.col("inclusion_basis"), programme, task, phrases)
     )
     kind, rtype, method = F.col("_type.kind"), F.col("_type.type"), F.col("_type.method")
 
@@ -249,16 +245,6 @@ def record_json(packages: DataFrame) -> Column:
     return F.to_json(F.try_parse_json(F.to_json(F.struct(*cols))))
 
 
-@F.pandas_udf(StringType())
-def pretty_json(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Two-space indented JSON with sorted keys and a final newline."""
-    for docs in batches:
-        yield docs.map(
-            lambda d: None if d is None
-            else json.dumps(json.loads(d), indent=2, sort_keys=True, ensure_ascii=False) + "\n"
-        )
-
-
 def publish_diff(new: DataFrame, old: DataFrame, key: str = "name") -> DataFrame:
     """``(key, action)``: written, unchanged or pruned, from content digests.
 
@@ -279,15 +265,6 @@ def digests(packages: DataFrame) -> DataFrame:
     return packages.select("name", F.sha2(record_json(packages), 256).alias("digest"))
 
 
-def write_records(packages: DataFrame, path: str, buckets: int = 64) -> None:
-    """The published table, laid out by name bucket so that readers prune."""
-    (
-        packages.withColumn("bucket", F.pmod(F.xxhash64("name"), F.lit(buckets)).cast("int"))
-        .repartition("bucket", F.pmod(F.xxhash64("identity_key"), F.lit(8)))
-        .write.mode("overwrite").partitionBy("bucket").parquet(path)
-    )
-
-
 def read_records(spark, path: str) -> tuple[DataFrame, DataFrame]:
     """``(records, violations)`` from files of one JSON record each."""
     files = spark.read.text(path, wholetext=True).select(
@@ -306,7 +283,7 @@ def read_records(spark, path: str) -> tuple[DataFrame, DataFrame]:
 
 def replay(
     events: DataFrame, key: str, organisations: DataFrame, groups: DataFrame,
-    generic_routes: list[str], spec: LedgerSpec | None = None, programme: str | None = None,
+    generic_routes: list[str], spec: LedgerSpec | None = None, programme: str | None = None, phrases: dict[str, str] | None = None,
 ) -> DataFrame:
     """The package of one identity from its own events; scope knows the direct limb only."""
     from ledgerfold.operators.resolve import resolve
@@ -315,4 +292,4 @@ def replay(
     resolved = resolve(events.filter(F.col("identity_key") == key), spec)
     scope = decide_scope(resolved, None, generic_routes, spec.task_field)
     slugs = resolved.select("identity_key", tx.slug_for_identity(F.col("identity_key")).alias("slug"))
-    return build_packages(resolved, scope, slugs, organisations, groups, spec, programme)[0]
+    return build_packages(resolved, scope, slugs, organisations, groups, spec, programme, phrases)[0]

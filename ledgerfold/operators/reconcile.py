@@ -22,7 +22,7 @@ from ledgerfold.operators.graph import (
 )
 from ledgerfold.operators.ledger import event_frame, with_seq
 from ledgerfold.operators.resolve import precedence_of
-from ledgerfold.operators.skew import HOT_ROWS, lookup_join, per_key_join
+from ledgerfold.operators.skew import BLOCK_ROWS, HOT_ROWS, gridded, lookup_join, per_key_join
 from ledgerfold.session import checkpointed
 from ledgerfold.spec import PROVENANCE_TYPE, UNKNOWN_PRECEDENCE, LedgerSpec
 
@@ -196,7 +196,8 @@ def title_ratio(left: Column | str, right: Column | str, threshold: float) -> Co
 
 
 def similar_titles(
-    titles: DataFrame, keys: list[str], threshold: float = FUZZY_THRESHOLD, hot_rows: int = HOT_ROWS
+    titles: DataFrame, keys: list[str], threshold: float = FUZZY_THRESHOLD, hot_rows: int = HOT_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Pairs of different titles inside a block that may reach the threshold.
 
@@ -206,7 +207,8 @@ def similar_titles(
     insertions and deletions and must share many q-grams. Each title is indexed
     under just enough of its rarest grams that two titles sharing as many as the
     threshold demands meet in at least one. The index never misses a pair (see the
-    brute-force test); the exact ratio decides afterwards.
+    brute-force test); the exact ratio decides afterwards. Titles that meet in a frequent gram are
+    dealt to a grid of blocks.
     """
     q = 3 if threshold >= 0.88 else 1
     width = F.length("title")
@@ -240,7 +242,7 @@ def similar_titles(
     )
     place = F.row_number().over(W.partitionBy(*keys, "title").orderBy("seen", "gram"))
     prefix = F.greatest(width - (q - 1) - need + 1, F.lit(1))
-    indexed = (
+    indexed = checkpointed(
         weighed.withColumn("_place", place)
         .filter((F.col("_place") <= prefix) & (F.col("seen") > 1))
         .select(*keys, "gram", "title", length_class.alias("size_class"))
@@ -250,7 +252,7 @@ def similar_titles(
     right = indexed.select(*keys, "gram", F.col("title").alias("right_title"), near.alias("size_class"))
     la, lb = F.length("left_title"), F.length("right_title")
     return (
-        left.join(right, [*keys, "gram", "size_class"])
+        gridded(left, right, [*keys, "gram", "size_class"], "left_title", "right_title", block_rows)
         .filter((F.col("left_title") < F.col("right_title"))
                 & (F.least(la, lb) * 2.0 / (la + lb) >= threshold))
         .select(*keys, "left_title", "right_title")
@@ -311,6 +313,7 @@ def fuzzy_pairs(records: DataFrame, keys: list[str], threshold: float = FUZZY_TH
     """
     members = title_members(records, keys)
     heads = members.filter(F.col("member") == F.col("head")).select(*keys, "title", F.col("head").alias("identity_key")).distinct()
+    heads = checkpointed(heads)
     near = near_titles(heads.select(*keys, "title"), keys, threshold)
     return _star(members, keys).unionByName(_across(near, heads, heads, keys)).select(*keys, "left", "right", "confidence")
 
@@ -485,29 +488,26 @@ def merge_urls(plan: DataFrame, urls: DataFrame) -> DataFrame:
     """``(place, primary, secondary, url)``: what each merge copies to its primary.
 
     Merges replay in order, so a URL travels along a chain only when the later hop
-    comes later. Each round moves the URLs that arrived earlier in the round before
-    one hop on, keeping the earliest arrival, until none moves; a chain of any length ends.
+    comes later. A jump is a path of 1, 2, 4, ... hops that come one after another, with the place of its first hop and of
+    its last. URLs take the jumps of one length after the other, keeping the earliest arrival, which covers
+    chains of every length: one of n hops takes log2(n) rounds. Between two records only jumps stay that no
+    other one starts after and arrives before.
     """
     hops = plan.select("place", "primary", "secondary")
     start = F.struct(*[F.lit("").alias(n) for n in ("kind", "primary", "secondary")])
     known = checkpointed(urls.select("identity_key", "url").distinct().withColumn("since", start))
-    fresh = known
-    while True:
+    jumps = checkpointed(best_jumps(hops.select(
+        F.col("secondary").alias("from"), F.col("primary").alias("to"), F.col("place").alias("starts"), F.col("place").alias("arrives"))))
+    while not jumps.isEmpty():
         moved = (
-            fresh.join(hops.withColumnRenamed("secondary", "identity_key"), "identity_key")
-            .filter(F.col("place") > F.col("since"))
-            .groupBy(F.col("primary").alias("identity_key"), "url")
-            .agg(F.min("place").alias("since"))
-        )
-        better = moved.join(
-            known.withColumnRenamed("since", "had"), ["identity_key", "url"], "left"
-        ).filter(F.col("had").isNull() | (F.col("since") < F.col("had"))).drop("had")
-        fresh = checkpointed(better)
-        if fresh.isEmpty():
-            break
-        known = checkpointed(
-            known.unionByName(fresh).groupBy("identity_key", "url").agg(F.min("since").alias("since"))
+            known.join(jumps.withColumnRenamed("from", "identity_key"), "identity_key")
+            .filter(F.col("starts") > F.col("since"))
+            .select(F.col("to").alias("identity_key"), "url", F.col("arrives").alias("since"))
         )
+        known = checkpointed(known.unionByName(moved).groupBy("identity_key", "url").agg(F.min("since").alias("since")))
+        then = jumps.select(F.col("from").alias("to"), F.col("to").alias("on"), F.col("starts").alias("next"), F.col("arrives").alias("ends"))
+        longer = jumps.join(then, "to").filter(F.col("arrives") < F.col("next"))
+        jumps = checkpointed(best_jumps(longer.select("from", F.col("on").alias("to"), "starts", F.col("ends").alias("arrives"))))
     return (
         hops.join(known.withColumnRenamed("identity_key", "secondary"), "secondary")
         .filter(F.col("since") < F.col("place"))
@@ -515,6 +515,13 @@ def merge_urls(plan: DataFrame, urls: DataFrame) -> DataFrame:
     )
 
 
+def best_jumps(jumps: DataFrame) -> DataFrame:
+    """Of the jumps between two records those that no other one starts with or after and arrives before."""
+    later = W.partitionBy("from", "to").orderBy(F.desc("starts"), "arrives").rowsBetween(W.unboundedPreceding, -1)
+    soonest = jumps.withColumn("_soonest", F.min("arrives").over(later))
+    return soonest.filter(F.col("_soonest").isNull() | (F.col("arrives") < F.col("_soonest"))).drop("_soonest")
+
+
 def link_url(resolved: DataFrame) -> DataFrame:
     """``(identity_key, link)``: the page a merge links to, NULL when there is none."""
     listed = safe_urls(get_strings(F.try_parse_json(F.element_at("effective", "source_urls")), "$"))

@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 #: A key with more detail rows than this counts as hot. At most ``rows / HOT_ROWS``
 #: keys can be, which bounds the one table that is broadcast here.
 HOT_ROWS = 1_000_000
+#: Rows of one key that meet others in one task, where both sides may have many.
+BLOCK_ROWS = 2_000
 #: Parts a hot key's rows are spread over.
 SALTS = 1024
 
@@ -54,6 +56,32 @@ def lookup_join(
     return per_key_join(detail, unique.join(counts, keys), keys, how, hot_rows=hot_rows)
 
 
+def gridded(
+    left: DataFrame, right: DataFrame, keys: list[str], left_row: str, right_row: str, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """An equi-join of two tables that may both have very many rows of one key.
+
+    The rows of such a key are dealt into blocks, and every block of the left meets every block of the right in a
+    cell of its own; ``left_row`` and ``right_row`` name what rows are dealt by. A key below ``block_rows`` on both sides
+    has one cell. At most rows / block_rows keys are above it.
+    """
+    def many(rows: DataFrame, n: str) -> DataFrame:
+        counted = rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias(n))
+        return counted.filter(F.col(n) > 1)
+
+    one = F.lit(1)
+    grid = many(left, "_l").join(many(right, "_r"), keys, "full_outer").select(
+        *keys, F.coalesce("_l", one).alias("_l"), F.coalesce("_r", one).alias("_r"))
+
+    def dealt(rows: DataFrame, row: str, own: str, other: str) -> DataFrame:
+        shaped = rows.join(grid, keys, "left").withColumns({"_l": F.coalesce("_l", one), "_r": F.coalesce("_r", one)})
+        mine = shaped.withColumn(f"{own}_at", F.pmod(F.xxhash64(row), F.col(own)).cast("int"))
+        return mine.withColumn(f"{other}_at", F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("_l", "_r")
+
+    cell = ["_l_at", "_r_at"]
+    return dealt(left, left_row, "_l", "_r").join(dealt(right, right_row, "_r", "_l"), [*keys, *cell]).drop(*cell)
+
+
 def previous_value(
     rows: DataFrame, keys: list[str], segment: Column, order: list[str], value: str
 ) -> DataFrame:

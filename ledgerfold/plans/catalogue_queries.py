@@ -416,7 +416,9 @@ def resource_types(spark, sf_dir):
         ),
         lambda _, v: v.isNotNull(),
     )
-    t = classify.derive_type(eff, F.array(F.lit("github")), F.lit("none"), r"wind[\s-]*tcp")
+    t = classify.derive_type(
+        eff, F.array(F.lit("github")), F.lit("none"), r"wind[\s-]*tcp", phrases={"recommended practice": "recommended-practice", "best practice": "best-practice"}
+    )
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), t.alias("t")).select(
         "k", "t.kind", "t.type", F.coalesce("t.method", F.lit("none")).alias("method")
     )
@@ -632,9 +634,9 @@ def queue_drain(spark, sf_dir):
 
 
 CACHE = """
-WITH t AS (SELECT 'u' || conv_id || '/' || turn AS url, conv_id, turn, sha256(text || chr(31) || 'v1' || chr(31) || 'big') AS k1, sha256(text || chr(31) || 'v1' || chr(31) || 'small') AS k2,
+WITH t AS MATERIALIZED (SELECT 'u' || conv_id || '/' || turn AS url, conv_id, turn, sha256(text || chr(31) || 'v1' || chr(31) || 'big') AS k1, sha256(text || chr(31) || 'v1' || chr(31) || 'small') AS k2,
   substr(sha256(text), 1, 16) AS h FROM conversations),
-c AS (SELECT DISTINCT k1 AS key, 'big' AS model, false AS pinned, NULL AS pin_url, NULL AS pin_key FROM t WHERE conv_id % 5 = 0
+c AS MATERIALIZED (SELECT DISTINCT k1 AS key, 'big' AS model, false AS pinned, NULL AS pin_url, NULL AS pin_key FROM t WHERE conv_id % 5 = 0
   UNION ALL SELECT DISTINCT k2, 'small', false, NULL, NULL FROM t WHERE conv_id % 5 IN (0, 1)
   UNION ALL SELECT 'pin' || url, 'human', true, url, CASE WHEN conv_id % 2 = 0 THEN h ELSE 'old' END FROM t WHERE conv_id % 5 = 2)
 """

@@ -348,7 +348,7 @@ def event_rules(spark, sf_dir):
         F.lit('{"identity_key":"a","observed_at":"x","event_type":"scraped","provenance":{"f":{"extraction_method":"'),
         method, F.lit('","confidence":'), (F.col("value") / 150).cast("string"), F.lit("}}}"),
     )
-    return e.select("seq", F.explode(ledger.event_messages(F.try_parse_json(line))).alias("message"))
+    return e.select("seq", F.explode(ledger.event_messages(line, F.try_parse_json(line))).alias("message"))
 
 
 @query(

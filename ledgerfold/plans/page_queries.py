@@ -12,6 +12,12 @@ from ledgerfold.plans.registry import query, table
 from ledgerfold.sources import crossref, datacite, github, osti, task_pages, wdh, zenodo  # noqa: F401
 from ledgerfold.sources.observation import map_source
 
+#: What the pages of these queries are called.
+RULES = pages.PageRules(
+    news_segments=("news", "blog"), news_words=("opening-",), publication_words=("outputs", "papers"),
+    table_headings=("title of the paper",), table_cells=("journal paper",),
+)
+
 
 @query("page_text")
 def page_text(spark, sf_dir):
@@ -62,6 +68,21 @@ def readable_texts(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", html_to_text(page).alias("text"))
 
 
+@query(
+    "odd_markup_texts",
+    """WITH l AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '[ \t\r\f\v]+', ' ', 'g'))) AS l FROM documents)
+    SELECT doc_id, trim(regexp_replace(array_to_string(l, chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10)) || chr(10) || 'end' AS text FROM l""",
+)
+def odd_markup_texts(spark, sf_dir):
+    """Texts between tags with quotes where they don't belong, the last one open to the end: nothing is lost, and no markup shows."""
+    bare = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    page = F.concat(
+        F.lit("""<p title=it's data-n="a>b" class='say "x"' = id=p"1>"""), bare, F.lit("""</p a="</p>" ><script title='x>y' id="y>x">if (a < b) {"</scripts>"}</script ><b/title=it's>en</b>d"""),
+        F.lit("""<!-- > ' -- " --><? ' ?><i class="never closed>lost"""),
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", html_to_text(page).alias("text"))
+
+
 @query(
     "page_links",
     """WITH h AS (SELECT page_id, url, regexp_extract_all(html, '(?i)href\\s*=\\s*["'']([^"''#]+)["'']', 1) AS l FROM pages),
@@ -83,7 +104,7 @@ def publication_links(spark, sf_dir):
         i, F.lit('">x</a><a href="/outputs'), F.when(i % 3 == 0, "/").otherwise("#"), i, F.lit('">y</a>'),
     )
     rows = table(spark, sf_dir, "pages").withColumn("html", F.concat("html", more))
-    return pages.publication_links(rows).select("page_id", "link")
+    return pages.publication_links(rows, RULES).select("page_id", "link")
 
 
 @query(
@@ -112,7 +133,7 @@ def _pages(spark, sf_dir):
 
 @query("page_classes", CLASSES + "SELECT CAST(page_id AS BIGINT) AS page_id, kind FROM c")
 def page_classes(spark, sf_dir):
-    c = pages.classify_page(F.col("url"), F.col("content"), F.col("trusted"))
+    c = pages.classify_page(F.col("url"), F.col("content"), F.col("trusted"), RULES)
     return _pages(spark, sf_dir).select("page_id", F.coalesce(c["kind"], F.lit("ambiguous")).alias("kind"))
 
 
@@ -122,11 +143,11 @@ def _intake(spark, sf_dir):
     cited = F.concat("content", F.lit(" doi:10.5072/PG."), F.col("page_id") % 50, F.lit("."))
     rows = rows.withColumn("content", cited).withColumns({
         "content_hash": tx.content_hash(F.col("content")),
-        "class": pages.classify_page(F.col("url"), F.col("content"), F.col("trusted")),
+        "class": pages.classify_page(F.col("url"), F.col("content"), F.col("trusted"), RULES),
     })
     cached = rows.filter(F.col("page_id") % 7 == 4).select(
         "url", F.lit("publication-list").alias("page_kind"), F.lit(0.8).alias("confidence"), F.lit("big").alias("model"), F.lit(False).alias("pin_held"))
-    return pages.take_in_pages(rows, cached, "v1", "big", F.lit("2024-01-01T00:00:00Z"))
+    return pages.take_in_pages(rows, cached, "v1", "big", F.lit("2024-01-01T00:00:00Z"), RULES)
 
 
 @query(
@@ -219,7 +240,8 @@ def _field(path):
     "mapped_zenodo",
     """SELECT CAST(doc_id AS VARCHAR) AS source_id, '10.5072/zenodo.' || (doc_id // 2) AS identity_key, CASE doc_id % 3 WHEN 0 THEN 'cc-by' WHEN 1 THEN 'mit' ELSE 'notspecified' END AS license_id,
       CASE doc_id % 4 WHEN 0 THEN 'report' WHEN 1 THEN 'publication' WHEN 2 THEN 'software' ELSE 'other' END AS kind, CASE WHEN doc_id % 2 = 0 THEN 'open' ELSE 'metadata-only' END AS access,
-      CASE WHEN doc_id % 5 = 0 THEN 'task-' || (doc_id % 40) END AS task, doc_id || '@10.5072/zenodo.v' || doc_id || '~m3' AS source_key FROM documents""",
+      CASE WHEN doc_id % 5 = 0 THEN 'task-' || (doc_id % 40) END AS task, doc_id || '@10.5072/zenodo.v' || doc_id || '~m3' AS source_key,
+      '<p>' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p>' AS notes FROM documents""",
 )
 def mapped_zenodo(spark, sf_dir):
     i = F.col("doc_id")
@@ -229,12 +251,13 @@ def mapped_zenodo(spark, sf_dir):
         F.lit(',"license":{"id":"'), F.when(i % 3 == 0, "CC-BY-4.0").when(i % 3 == 1, "MIT License").otherwise("homemade"),
         F.lit('"},"access_right":"'), F.when(i % 2 == 0, "open").otherwise("closed"), F.lit('","resource_type":{"type":"'),
         F.when(i % 4 < 2, "publication").when(i % 4 == 2, "software").otherwise("poster"), F.lit('","subtype":"'), F.when(i % 4 == 0, "deliverable").otherwise("article"),
-        F.lit('"},"communities":[{"id":"'), F.when(i % 5 == 0, F.concat(F.lit("demo_task_0"), i % 40)).otherwise("misc"), F.lit('"}]}}'),
+        F.lit('"},"communities":[{"id":"'), F.when(i % 5 == 0, F.concat(F.lit("demo_task_0"), i % 40)).otherwise("misc"), F.lit('"}],"description":'),
+        quote(F.concat(F.lit("<p>"), _marked(), F.lit("</p>"))), F.lit("}}"),
     )
     out = map_source("zenodo", _payloads(spark, sf_dir, body, i.cast("string")), community_pattern="demotask")
     return out.select(
         "source_id", "identity_key", _field("license_id").alias("license_id"), _field("resource_kind").alias("kind"), _field("access_status").alias("access"),
-        _field("task[0]").alias("task"), "source_key",
+        _field("task[0]").alias("task"), "source_key", _field("notes").alias("notes"),
     )
 
 
@@ -297,73 +320,74 @@ def mapped_crossref(spark, sf_dir):
     "mapped_github",
     """SELECT 'o/r' || doc_id AS source_id, CASE WHEN doc_id % 3 = 0 THEN '10.5072/gh.' || doc_id ELSE 'github|o/r' || doc_id END AS identity_key,
       CASE WHEN doc_id % 2 = 0 THEN 'v' || doc_id END AS version, CASE WHEN doc_id % 2 = 0 THEN '2025-06-16' ELSE '2020-01-02' END AS published, CASE WHEN doc_id % 5 = 0 THEN 'true' END AS archived,
-      CAST(CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 1 END AS INTEGER) AS resources FROM documents""",
+      CAST(CASE WHEN doc_id % 2 = 0 THEN 2 ELSE 1 END AS INTEGER) AS resources, '<p>' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p>' AS notes FROM documents""",
 )
 def mapped_github(spark, sf_dir):
     i = F.col("doc_id")
     body = F.concat(
         F.lit('{"repository":{"full_name":"o/r'), i, F.lit('","html_url":"https://github.com/o/r'), i, F.lit('","created_at":"2020-01-02T00:00:00Z","archived":'),
-        (i % 5 == 0).cast("string"), F.lit(',"description":'), quote(_first_line()), F.lit('},"latest_release":'),
+        (i % 5 == 0).cast("string"), F.lit(',"description":'), quote(F.concat(F.lit("<p>"), _marked(), F.lit("</p>"))), F.lit('},"latest_release":'),
         F.when(i % 2 == 0, F.concat(F.lit('{"tag_name":"v'), i, F.lit('","html_url":"https://github.com/x","published_at":"2025-06-16T19:37:46Z"}'))).otherwise("null"),
         F.lit(',"_resolved":{"doi":'), F.when(i % 3 == 0, F.concat(F.lit('"10.5072/GH.'), i, F.lit('"'))).otherwise("null"), F.lit("}}"),
     )
     out = map_source("github", _payloads(spark, sf_dir, body, F.concat(F.lit("o/r"), i)))
     return out.select(
         "source_id", "identity_key", _field("version").alias("version"), _field("published_date").alias("published"), _field("archived").alias("archived"),
-        F.json_array_length(_field("resources")).alias("resources"),
+        F.json_array_length(_field("resources")).alias("resources"), _field("notes").alias("notes"),
     )
 
 
 @query(
     "mapped_osti",
     """SELECT CAST(doc_id AS VARCHAR) AS source_id, CASE WHEN doc_id % 2 = 0 THEN '10.2172/' || (1000 + doc_id) ELSE 'osti|' || doc_id END AS identity_key,
-      CASE WHEN doc_id % 3 = 0 THEN 'open' ELSE 'metadata-only' END AS access, 'Hall, M' AS author, 'NREL ' || doc_id AS affiliation, CAST(3 AS INTEGER) AS keywords, 'NREL/TP-' || doc_id AS number FROM documents""",
+      CASE WHEN doc_id % 3 = 0 THEN 'open' ELSE 'metadata-only' END AS access, 'Hall, M' AS author, 'NREL ' || doc_id AS affiliation, CAST(3 AS INTEGER) AS keywords, 'NREL/TP-' || doc_id AS number, '<p>' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p>' AS notes FROM documents""",
 )
 def mapped_osti(spark, sf_dir):
     i = F.col("doc_id")
     body = F.concat(
         F.lit('{"osti_id":"'), i, F.lit('","title":'), quote(_first_line()), F.lit(',"doi":'), F.when(i % 2 == 0, F.concat(F.lit('"10.2172/'), i + 1000, F.lit('"'))).otherwise('""'),
-        F.lit(',"authors":["Hall, M [NREL '), i, F.lit('] (ORCID:0000000203988320)"],"subjects":["A,B","C, D","A"],"report_number":" NREL/TP-'), i, F.lit('","links":['),
+        F.lit(',"authors":["Hall, M [NREL '), i, F.lit('] (ORCID:0000000203988320)"],"subjects":["A,B","C, D","A"],"report_number":" NREL/TP-'), i, F.lit('","description":'), quote(F.concat(F.lit("<p>"), _marked(), F.lit("</p>"))), F.lit(',"links":['),
         F.when(i % 3 == 0, '{"rel":"fulltext","href":"https://x"}').otherwise(""), F.lit("]}"),
     )
     out = map_source("osti", _payloads(spark, sf_dir, body, i.cast("string")))
     return out.select(
         "source_id", "identity_key", _field("access_status").alias("access"), _field("authors[0].name").alias("author"), _field("authors[0].affiliation").alias("affiliation"),
-        F.json_array_length(_field("keywords")).alias("keywords"), _field("report_number").alias("number"),
+        F.json_array_length(_field("keywords")).alias("keywords"), _field("report_number").alias("number"), _field("notes").alias("notes"),
     )
 
 
 @query(
     "mapped_wdh",
     """SELECT 'wdh|p/d' || doc_id AS identity_key, CASE doc_id % 4 WHEN 0 THEN 'open' WHEN 1 THEN 'registration-required' WHEN 2 THEN 'restricted' ELSE 'unknown' END AS access,
-      'https://wdh.energy.gov/ds/p/d' || doc_id AS url, CAST(1 AS INTEGER) AS resources, CAST(n_chars AS VARCHAR) AS files FROM documents""",
+      'https://wdh.energy.gov/ds/p/d' || doc_id AS url, CAST(1 AS INTEGER) AS resources, CAST(n_chars AS VARCHAR) AS files, '<p>' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p>' AS notes FROM documents""",
 )
 def mapped_wdh(spark, sf_dir):
     i = F.col("doc_id")
     level = F.when(i % 4 == 0, "Public").when(i % 4 == 1, "restricted public").when(i % 4 == 2, "private").otherwise("odd")
     body = F.concat(
         F.lit('{"_source":{"identifier":"p/d'), i, F.lit('","title":'), quote(_first_line()), F.lit(',"accessLevel":"'), level,
-        F.lit('","dapFileSummary":{"count":'), "n_chars", F.lit("}}}"),
+        F.lit('","description":'), quote(F.concat(F.lit("<p>"), _marked(), F.lit("</p>"))), F.lit(',"dapFileSummary":{"count":'), "n_chars", F.lit("}}}"),
     )
     out = map_source("wdh", _payloads(spark, sf_dir, body, F.concat(F.lit("p/d"), i)))
     return out.select(
         "identity_key", _field("access_status").alias("access"), _field("url").alias("url"), F.json_array_length(_field("resources")).alias("resources"),
-        _field("extra.wdh_file_count").alias("files"),
+        _field("extra.wdh_file_count").alias("files"), _field("notes").alias("notes"),
     )
 
 
 @query(
     "mapped_task_pages",
     """SELECT '10.5072/tp.' || doc_id AS identity_key, CASE WHEN doc_id % 2 = 0 THEN 'datacite' ELSE 'crossref' END AS resolved_by, CASE WHEN doc_id % 2 = 0 THEN '2020' ELSE '2021-03' END AS published,
-      'task-' || (doc_id % 9) AS task FROM documents WHERE doc_id % 5 > 0""",
+      'task-' || (doc_id % 9) AS task, '<p>' || replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</p>' AS notes FROM documents WHERE doc_id % 5 > 0""",
 )
 def mapped_task_pages(spark, sf_dir):
     i = F.col("doc_id")
-    answer = F.when(i % 2 == 0, F.concat(F.lit('{"data":{"attributes":{"publicationYear":2020,"titles":[{"title":'), quote(_first_line()), F.lit("}]}}}"))).otherwise(
-        F.concat(F.lit('{"message":{"issued":{"date-parts":[[2021,3]]},"title":['), quote(_first_line()), F.lit("]}}")))
+    answer = F.when(i % 2 == 0, F.concat(F.lit('{"data":{"attributes":{"publicationYear":2020,"titles":[{"title":'), quote(_first_line()), F.lit('}],"descriptions":[{"descriptionType":"Abstract","description":'), quote(F.concat(F.lit("<p>"), _marked(), F.lit("</p>"))), F.lit("}]}}}"))).otherwise(
+        F.concat(F.lit('{"message":{"issued":{"date-parts":[[2021,3]]},"title":['), quote(_first_line()), F.lit('],"abstract":'), quote(F.concat(F.lit("<p>"), _marked(), F.lit("</p>"))), F.lit("}}")))
     body = F.concat(
         F.lit('{"doi":"10.5072/TP.'), i, F.lit('","agency":"'), F.when(i % 5 == 0, "nobody").when(i % 2 == 0, "datacite").otherwise("crossref"),
         F.lit('","task":["Task 0'), i % 9, F.lit('"],"resolution":'), answer, F.lit("}"),
     )
     out, _ = map_source("task_pages", _payloads(spark, sf_dir, body, F.concat(F.lit("10.5072/tp."), i)))
-    return out.select("identity_key", _field("extra.resolved_by").alias("resolved_by"), _field("published_date").alias("published"), _field("task[0]").alias("task"))
+    return out.select("identity_key", _field("extra.resolved_by").alias("resolved_by"), _field("published_date").alias("published"), _field("task[0]").alias("task"),
+                      _field("notes").alias("notes"))

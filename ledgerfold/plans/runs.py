@@ -12,6 +12,7 @@ from ledgerfold.operators.changes import changed_rows, last_tokens
 from ledgerfold.operators.ledger import append_events, event_frame, notice_events, read_table, scrape_events, with_seq
 from ledgerfold.operators.resolve import resolve, system_state
 from ledgerfold.session import checkpointed
+from ledgerfold.sources.keyed import KeyedTable, named_once, publish
 from ledgerfold.spec import LedgerSpec
 
 
@@ -23,6 +24,8 @@ class Registers:
     groups: DataFrame  # pos, name, title, url, aliases
     generic_routes: list[str] = field(default_factory=list)
     programme: str | None = None
+    #: Phrases of titles, in lower case, and the types they name.
+    title_phrases: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -48,11 +51,11 @@ def materialise(
     registers: Registers,
     spec: LedgerSpec | None = None,
     published: DataFrame | None = None,
-    slug_registry: DataFrame | None = None,
+    names: KeyedTable | None = None,
 ) -> Catalogue:
     """Events to packages, with the gate's verdict and what publishing would change.
 
-    The resolved records are written once to the checkpoint folder: scope, owners,
+    ``names`` is the register of published names; newcomers are entered in it, and who is in it keeps its name. The resolved records are written once to the checkpoint folder: scope, owners,
     tasks and packages all read them, and scope needs every record before any can be
     decided. ``published`` is ``(name, digest)`` of what is out there.
     """
@@ -61,9 +64,9 @@ def materialise(
     edges = graph.citation_edges(graph.stated_citations(resolved), graph.alias_index_scope(resolved))
     scope = graph.decide_scope(resolved, edges, registers.generic_routes, spec.task_field)
     firsts = events.groupBy("identity_key").agg(F.min("seq").alias("first_seq"))
-    slugs = packages.allocate_slugs(firsts, slug_registry)
+    slugs = packages.allocate_slugs(firsts) if names is None else named_once(names, firsts)
     built, notices = packages.build_packages(
-        resolved, scope, slugs, registers.organisations, registers.groups, spec, registers.programme
+        resolved, scope, slugs, registers.organisations, registers.groups, spec, registers.programme, registers.title_phrases
     )
     built = checkpointed(built)
     collisions = packages.slug_collisions(built).select(
@@ -99,9 +102,17 @@ def next_seq(events: DataFrame) -> int:
 
 
 def annotate(
-    spark: SparkSession, annotations: DataFrame, rejects: DataFrame, ledger_path: str, run: str, now: Column
+    spark: SparkSession, annotations: DataFrame, rejects: DataFrame, ledger_path: str, run: str, now: Column,
+    registers: Registers | None = None, spec: LedgerSpec | None = None,
 ) -> DataFrame:
-    """Apply curator annotations and raise pin notices; returns the notices."""
+    """Apply curator annotations and raise pin notices; returns the notices.
+
+    With ``registers`` an annotation that names an owner or a task which is in none of them is refused, with a notice.
+    """
+    spec = spec or LedgerSpec()
+    if registers is not None:
+        annotations, refused = curation.check_annotations(annotations, registers.organisations, registers.groups, spec.task_field)
+        rejects = rejects.select("message").unionByName(refused.select("message"))
     events = read_table(spark, ledger_path).filter(~F.col("ingest").isin(f"{run}-annotate", f"{run}-pins"))
     marked = annotations.withColumn(
         "fingerprint",
@@ -114,7 +125,7 @@ def annotate(
     fresh = with_seq(curation.annotation_events(applied, now).drop("seq"), ["observed_at", "identity_key"], next_seq(events))
     append_events(event_frame(fresh), ledger_path, f"{run}-annotate")
     events = read_table(spark, ledger_path).filter(F.col("ingest") != f"{run}-pins")
-    pins = curation.pin_notices(fold(events, LedgerSpec()), events)
+    pins = curation.pin_notices(fold(events, spec), events)
     append_events(event_frame(with_seq(pins.drop("seq"), ["observed_at", "identity_key"], next_seq(events))), ledger_path, f"{run}-pins")
     return curation.annotation_notices(planned, rejects)
 
@@ -182,42 +193,48 @@ def run(
     finished_at: str,
     spec: LedgerSpec | None = None,
 ) -> Catalogue | None:
-    """Ingest, materialise, publish and report. The report is written even when a
-    stage fails; the failure is then raised."""
-    outcomes = catalogue = None
+    """Ingest, materialise, publish and report, in this order: the report says whether the records are out. It is written even
+    when a stage fails; the failure is then raised, also where the report fails too.
+    """
+    outcomes = catalogue = failure = None
     try:
         outcomes = ingest(spark, observations, ledger_path, name, spec)
-        published = _published(spark, records_path)
-        catalogue = materialise(read_table(spark, ledger_path), registers, spec, published)
-        # what changes is told against the records as they were, so it is stored before they are replaced
-        catalogue = replace(catalogue, actions=checkpointed(catalogue.actions))
-        return catalogue
-    finally:
-        none = spark.createDataFrame([], "source string, changed boolean, error string")
-        done = catalogue is not None
-        actions = catalogue.actions if done else spark.createDataFrame([], "name string, action string")
-        report = reports.run_report(
-            spark,
-            reports.source_counters(outcomes if outcomes is not None else none),
-            actions,
-            graph.scope_tally(catalogue.scope) if done else spark.createDataFrame([], "inclusion_basis string, records bigint"),
-            spark.createDataFrame([], "hit boolean"),
-            spark.createDataFrame([], "cache_key string"),
-            catalogue.violations if done else spark.createDataFrame([], "record string"),
-            started_at,
-            finished_at,
-        ).withColumn("ok", F.col("ok") & F.lit(done))
-        reports.write_state(report, report_path)
-        if done:
-            packages.write_records(catalogue.packages, records_path)
-
-
-def _published(spark: SparkSession, path: str) -> DataFrame:
-    from pyspark.errors import AnalysisException
-
+        names = KeyedTable(spark, f"{records_path}/names", "identity_key")
+        catalogue = materialise(read_table(spark, ledger_path), registers, spec, names=names)
+        rows = catalogue.packages.withColumn("digest", F.sha2(packages.record_json(catalogue.packages), 256))
+        catalogue = replace(catalogue, actions=publish(records_table(spark, records_path), rows))
+    except Exception as exc:
+        failure, catalogue = exc, None
     try:
-        return packages.digests(spark.read.parquet(path).drop("bucket"))
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc):
+        _report(spark, outcomes, catalogue, report_path, started_at, finished_at)
+    except Exception as exc:
+        if failure is None:
             raise
-        return spark.createDataFrame([], "name string, digest string")
+        failure.add_note(f"the report failed too: {exc}")
+    if failure is not None:
+        raise failure
+    return catalogue
+
+
+def records_table(spark: SparkSession, path: str) -> KeyedTable:
+    """The published records; ``read`` gives them as they are now."""
+    return KeyedTable(spark, f"{path}/records", "name")
+
+
+def _report(
+    spark: SparkSession, outcomes: DataFrame | None, catalogue: Catalogue | None, path: str, started_at: str, finished_at: str
+) -> None:
+    done = catalogue is not None
+    empty = lambda ddl: spark.createDataFrame([], ddl)
+    report = reports.run_report(
+        spark,
+        reports.source_counters(outcomes if outcomes is not None else empty("source string, changed boolean, error string")),
+        catalogue.actions if done else empty("name string, action string"),
+        graph.scope_tally(catalogue.scope) if done else empty("inclusion_basis string, records bigint"),
+        empty("hit boolean"),
+        empty("cache_key string"),
+        catalogue.violations if done else empty("record string"),
+        started_at,
+        finished_at,
+    ).withColumn("ok", F.col("ok") & F.lit(done))
+    reports.write_state(report, path)

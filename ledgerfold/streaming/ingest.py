@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from ledgerfold.operators.changes import changed_rows, last_tokens
 from ledgerfold.operators.extraction import upsert_queue
-from ledgerfold.operators.ledger import (
-    BUCKETS,
-    append_events,
-    read_table,
-    scrape_events,
-)
+from ledgerfold.operators.ledger import BUCKETS, append_events, log_order, read_table, scrape_events
+from ledgerfold.sources.keyed import KeyedTable
 from ledgerfold.spec import LedgerSpec
-from ledgerfold.streaming.store import read_buckets, replace_rows, touched_buckets
+
+#: Moves of one key that are remembered; a row that comes later than these is compared with the oldest of them.
+REMEMBERED = 16
+KEY = ["identity_key", "source_system"]
+MOVE = "observed_at string, seq long, source_key string"
+#: Fixed value: the state store that keyed state of this kind needs.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def without_replays(observations: DataFrame, time: str, late: str = "1 hour") -> DataFrame:
@@ -29,53 +34,103 @@ def without_replays(observations: DataFrame, time: str, late: str = "1 hour") ->
     )
 
 
+def place_moves(known: list[tuple], rows: list[tuple], remembered: int = REMEMBERED) -> tuple[list[bool], list[tuple]]:
+    """Which of ``rows`` (time, place, token; sorted) differ from the one before them in time, and the moves known after.
+
+    ``known`` are the moves so far, sorted. A row that comes late takes its place among them. A row older than all is
+    compared with the oldest, for what came before that is forgotten.
+    """
+    known, moved = list(known), []
+    for row in rows:
+        at = bisect_right(known, row[:2], key=lambda k: k[:2])
+        before = known[max(at - 1, 0)] if known else None
+        differs = before is None or before[2] != row[2]
+        moved.append(differs)
+        if differs:
+            known.insert(at, row)
+    return moved, known[-remembered:]
+
+
+class Moves(StatefulProcessor):
+    """Last moves of every (identity, system); lets through the rows whose token moved."""
+
+    def __init__(self, forget_after_ms: int | None = None, remembered: int = REMEMBERED):
+        self.ttl, self.remembered = forget_after_ms, remembered
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getListState("moves", MOVE, ttlDurationMs=self.ttl) if self.ttl else handle.getListState("moves", MOVE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        known = [tuple(m) for m in self.state.get()] if self.state.exists() else []
+        mine = pd.concat(list(rows)).sort_values(["observed_at", "seq"], kind="stable")
+        given = [(t, int(n), k) for t, n, k in zip(mine["observed_at"], mine["seq"], mine["source_key"], strict=True)]
+        moved, known = place_moves(known, given, self.remembered)
+        if known:
+            self.state.put(known)
+        if any(moved):
+            yield mine.loc[moved, ["row"]] if mine.index.is_unique else mine[moved][["row"]]
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N802, N803
+        for m in initialState[["observed_at", "seq", "source_key"]].itertuples(index=False):
+            self.state.appendValue((m[0], int(m[1]), m[2]))
+
+    def close(self) -> None:
+        pass
+
+
 def append_on_change(
     observations: DataFrame, ledger_path: str, checkpoint: str, spec: LedgerSpec | None = None,
-    buckets: int = BUCKETS,
+    buckets: int = BUCKETS, forget_after_ms: int | None = None,
 ) -> StreamingQuery:
     """Append the observations of a stream whose token moved.
 
-    ``observations`` carries ``seq``, its place in the transport. The state is the
-    ledger itself: a batch reads the tokens of the buckets it touches, and its append
-    is named by the batch, so a retry replaces itself. Change detection is the batch
-    operator, so a hot identity is cut into segments here as well.
+    ``observations`` carries ``seq``, its place in the transport. The last moves of each identity and system
+    are keyed state, begun from the ledger by the first batch; later batches read no ledger. An append is
+    named by its batch, so a retry replaces itself. Rows of one key are ordered in one task per batch, so the trigger bounds what
+    a hot identity costs. With ``forget_after_ms`` a key that nothing was seen of for so long is forgotten, and its next
+    observation counts as a change.
     """
     spec = spec or LedgerSpec()
+    spark = observations.sparkSession
+    schema = observations.schema
+    last = (
+        read_table(spark, ledger_path).filter(F.col("event_type") == "scraped").groupBy(*KEY)
+        .agg(F.max_by(F.struct("observed_at", "seq", "source_key"), log_order()).alias("m")).select(*KEY, "m.*")
+    )
+    rows = observations.select(*KEY, "observed_at", F.col("seq").cast("long").alias("seq"), "source_key", F.to_json(F.struct("*")).alias("row"))
+    moved = rows.groupBy(*KEY).transformWithStateInPandas(
+        Moves(forget_after_ms), "row string", "append", "processingTime" if forget_after_ms else "none", initialState=last.groupBy(*KEY)
+    ).select(F.from_json("row", schema).alias("r")).select("r.*")
 
     def one(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        name = f"stream-{batch_id}"
-        stored = read_table(batch.sparkSession, ledger_path).filter(
-            (F.col("ingest") != name) & F.col("bucket").isin(touched_buckets(batch, buckets=buckets))
-        )
-        moved = changed_rows(batch, last_tokens(stored), spec)
-        append_events(scrape_events(moved, task_field=spec.task_field), ledger_path, name, buckets)
-        batch.unpersist()
+        append_events(scrape_events(batch, task_field=spec.task_field), ledger_path, f"stream-{batch_id}", buckets)
 
-    return (
-        observations.writeStream.foreachBatch(one)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, STATE_STORE)
+    try:
+        return moved.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(provider, before)
 
 
-def keep_queue(queued: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Maintain the pending-extraction queue from a stream of cache misses."""
+def keep_queue(queued: DataFrame, path: str, checkpoint: str, buckets: int = BUCKETS) -> StreamingQuery:
+    """Maintain the pending-extraction queue from a stream of cache misses; :func:`queue_table` reads it."""
+    table = queue_table(queued, path, buckets)
 
     def one(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        touched = touched_buckets(batch, "cache_key")
         rows = batch.select("seq", "url", "cache_key", "reason", "queued_at")
-        old = read_buckets(batch.sparkSession, path, batch_id)
+        old = table.read(table.before("queue", batch_id), table.buckets_of(batch)) if table.versions() else None
         if old is not None:
-            known = old.filter(F.col("bucket").isin(touched)).select(
-                F.col("queue_pos").alias("seq"), "url", "cache_key", "reason", "queued_at"
-            )
-            rows = rows.unionByName(known)
-        replace_rows(upsert_queue(rows), path, batch_id, touched, "cache_key")
+            rows = rows.unionByName(old.select(F.col("queue_pos").alias("seq"), "url", "cache_key", "reason", "queued_at"))
+        table.merge(upsert_queue(rows).persist(), "queue", batch_id)
         batch.unpersist()
 
     return queued.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
     ).start()
+
+
+def queue_table(frame: DataFrame, path: str, buckets: int = BUCKETS) -> KeyedTable:
+    return KeyedTable(frame.sparkSession, path, "cache_key", buckets)

@@ -1,8 +1,10 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerfold.functions import html
 from ledgerfold.functions import text as tx
 from ledgerfold.functions.html import html_to_text, sanitise_each, sanitise_html, texts_of_each
 from ledgerfold.functions.jsonval import quote
@@ -94,7 +96,8 @@ def test_licences_map_by_spelling_url_and_bare_version(spark):
 
 
 def test_titles_name_a_type_only_in_type_position(spark):
-    t = lambda c: classify.title_type(c, r"wind[\s-]*tcp")
+    phrases = {"recommended practice": "recommended-practice", "best practice": "best-practice", "best practices": "best-practice"}
+    t = lambda c: classify.title_type(c, r"wind[\s-]*tcp", phrases)
     cases = {
         "Wind TCP Recommended practice 13: Ice": "recommended-practice", "Recommended Practice: Ontology": "recommended-practice",
         "Ontologies – Recommended Practice": "recommended-practice", "Wind TCP Task 43 Joint Best Practice on X": "best-practice",
@@ -184,7 +187,7 @@ def test_badges_prefer_a_concept_that_resolves(spark):
     assert {r["doi"] for r in drops.collect()} == {"10.5072/gone", "10.5072/c2"}
 
 
-def test_replay_details_and_pretty_form(spark):
+def test_replay_and_details(spark):
     from helpers import event, ledger as frame
     from ledgerfold.operators import listing
     from test_runs import registers as regs
@@ -196,9 +199,71 @@ def test_replay_details_and_pretty_form(spark):
     pkg = packages.replay(events, "zenodo|1", r.organisations, r.groups, [])
     row = pkg.first()
     assert row["name"] == "zenodo-1" and listing.listed(pkg).count() == 0
-    text = pkg.select(packages.pretty_json(packages.record_json(pkg)).alias("t")).first()["t"]
-    assert text.endswith("}\n") and json.loads(text)["title"] == "T" and text.index('"extras"') < text.index('"title"')
+    text = pkg.select(packages.record_json(pkg).alias("t")).first()["t"]
+    assert json.loads(text)["title"] == "T" and text.index('"extras"') < text.index('"title"')
     dead = spark.createDataFrame([("zenodo-1", ["https://z.org"])], "name string, urls array<string>")
     page = listing.record_details(pkg, dead, listing.event_history(events)).first()
     assert page["dead_links"] == ["https://z.org"] and [h["event_type"] for h in page["history"]] == ["scraped", "annotated"]
     assert page["merged_into"]["label"] == "10.5072/p" and page["out_of_scope"] is False
+
+
+@pytest.mark.parametrize(("source", "text", "markup"), [
+    ("<p title=it's>Hello one</p><p>it's end</p>", "Hello one\n\nit's end", "<p>Hello one</p><p>it's end</p>"),
+    ('<p class="x>Hello</p>', "", ""),
+    ('<script title="x>alert(1)</script>', "", ""),
+    ("1 < 2 and 3 > 2", "1 < 2 and 3 > 2", "1 &lt; 2 and 3 &gt; 2"),
+    ("<a href='x'title=\"y\">z</a>", "z", '<a href="x" title="y" rel="nofollow noopener">z</a>'),
+    ("<a title='a>b'>t</a>", "t", '<a title="a&gt;b">t</a>'),
+    ("<script>if(a<b)</scripty>x</script>y", "y", "y"),
+    ("<p =x a==b c= >z</p >", "z", "<p>z</p>"),
+    ("a<i class=>b</i><!-->c<!-- > -- ' -->d</ x>e", "abcde", "a<i>b</i>cde"),
+    ("<p/class=a>b", "b", "<p>b</p>"),
+])
+def test_odd_quotes_lose_no_text_and_show_no_markup(source, text, markup):
+    assert (html.readable(source), html.safe_markup(source)) == (text, markup)
+
+
+def test_text_of_random_markup_equals_the_standard_parser():
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.said = []
+
+        def handle_data(self, data):
+            self.said.append(data)
+
+    r = random.Random(4)
+    values = ["x", '"a>b"', "'it is'", "it's", "a=b", "/y", '"q"', "''", "&amp;"]
+    for _ in range(3000):
+        parts = []
+        for _ in range(r.randrange(1, 7)):
+            attributes = "".join(f" {r.choice('abc')}{r.choice(['', '='])}" if r.random() < 0.2 else f" {r.choice(['id', 'title', 'x-y'])}={r.choice(values)}" for _ in range(r.randrange(3)))
+            parts += [r.choice([f"<b{attributes}>", f"<span{attributes} >", "</b>", "</span >", "<!-- c > -->", "<u>", "< ", "&lt;", "'", '"']), r.choice(["t", " word", "1 > 0 ", "it's"])]
+        source = "".join(parts)
+        plain = Plain()
+        plain.feed(source)
+        plain.close()
+        assert "".join(v for kind, v, _ in html.tokens(source) if kind == "text") == "".join(plain.said), source
+
+
+def test_every_page_of_an_index_equals_the_sorted_rows(spark, monkeypatch):
+    from ledgerfold.operators import listing
+
+    r = random.Random(6)
+    titles = ["Éclair", "eclair", "Zebra", "apple", "Äpfel", "äpfel", "Øre", "ore", "zoo"]
+    rows = [(f"n{i:03d}", f"20{r.randrange(10, 14)}", r.choice(["a", "b", None]), r.choice(titles)) for i in range(230)]
+    df = spark.createDataFrame(rows, "name string, published string, last_seen string, title string").repartition(4)
+    order = [*listing.by_recency(df), F.col("name")]
+    whole = [r["name"] for r in df.orderBy(*order).collect()]
+    index = listing.indexed_pages(df, order, ranges=5)
+    assert index.total == 230 and len(index.starts) > 1
+    for first in range(0, 230, 20):
+        assert [r["name"] for r in index.rows(first, 20).collect()] == whole[first : first + 20]
+    assert index.rows(230, 20).count() == 0
+    monkeypatch.setattr(listing, "EARLY_ROWS", 50)
+    for page, want in ((1, whole[:20]), (6, whole[100:120]), (99, whole[220:])):
+        query = listing.SearchQuery(page=page, page_size=20)
+        assert [r["name"] for r in listing.result_page(df, query, order).collect()] == want
+    assert listing.indexed_pages(df.limit(0), order).total == 0

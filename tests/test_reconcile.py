@@ -86,6 +86,72 @@ def test_hot_keys_join_to_the_same_rows(spark):
     assert left.filter("m IS NULL").count() == 1 and left.count() == 42
 
 
+def test_both_sides_of_a_hot_key_are_dealt_to_a_grid(spark):
+    left = spark.createDataFrame([("hot", i) for i in range(90)] + [("cold", 1), ("left", 2)], "k string, l int")
+    right = spark.createDataFrame([("hot", i) for i in range(70)] + [("cold", 5), ("right", 2)], "k string, r int")
+    want = sorted(map(tuple, left.join(right, "k").collect()))
+    for block in (7, 80, 1000):
+        got = skew.gridded(left, right, ["k"], "l", "r", block)
+        assert sorted(map(tuple, got.select("k", "l", "r").collect())) == want
+    dealt = skew.gridded(left, right.select("k", "r", F.spark_partition_id().alias("p")), ["k"], "l", "r", 10)
+    assert dealt.columns == ["k", "l", "r", "p"]
+
+
+def test_a_gram_of_most_titles_is_no_hot_task(spark):
+    rng = random.Random(11)
+    rows = [("b", f"wind {rng.choice(WORDS)} {rng.randrange(400)} {rng.choice(WORDS)}") for _ in range(300)] + [("b", "wind"), ("b", "winds")]
+    df = spark.createDataFrame(rows, "block string, title string").distinct()
+    plain = sorted(map(tuple, reconcile.similar_titles(df, ["block"], 0.8).collect()))
+    dealt = sorted(map(tuple, reconcile.similar_titles(df, ["block"], 0.8, block_rows=8).collect()))
+    assert dealt == plain and len(plain) > 50
+
+
+def replayed(plan, urls):
+    """Merges one after another, as a list of what each copies."""
+    held, out = {}, set()
+    for i, u in urls:
+        held.setdefault(i, set()).add(u)
+    for kind, primary, secondary in sorted(plan):
+        for u in held.get(secondary, ()):
+            out.add((primary, secondary, u))
+        held.setdefault(primary, set()).update(held.get(secondary, ()))
+    return out
+
+
+def moved_urls(spark, plan, urls):
+    df = spark.createDataFrame(plan, "kind string, primary string, secondary string").withColumn("place", F.struct("kind", "primary", "secondary"))
+    frame = spark.createDataFrame(urls, "identity_key string, url string")
+    return {(r["primary"], r["secondary"], r["url"]) for r in reconcile.merge_urls(df, frame).collect()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_urls_of_random_merges_equal_a_walk(spark, seed):
+    rng = random.Random(seed)
+    names = [f"n{i:02d}" for i in range(14)]
+    plan = list({(rng.choice("abc"), *rng.sample(names, 2)) for _ in range(40)})  # cycles, forks, several primaries
+    urls = [(n, f"u{i}") for i, n in enumerate(names) if rng.random() < 0.6]
+    assert moved_urls(spark, plan, urls) == replayed(plan, urls)
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    n, rounds = 3000, []
+    plan = [("k", f"p{i + 1:05d}", f"p{i:05d}") for i in range(n)]
+    kept = reconcile.best_jumps
+    monkeypatch.setattr(reconcile, "best_jumps", lambda j: rounds.append(1) or kept(j))
+    got = moved_urls(spark, plan, [("p00000", "u"), ("p02990", "v")])
+    assert len(rounds) < 20 and got == replayed(plan, [("p00000", "u"), ("p02990", "v")])
+
+
+def test_longest_alias_wins_wherever_it_is_filed(spark):
+    from ledgerfold.operators.organisations import match_texts
+
+    names = [("university of the sea", "sea"), ("university", "any"), ("the sea", "short"), ("north university of the sea", "north"), ("a b", "ab"), ("b a", "ba")]
+    texts = ["North  University of the Sea, dept", "The University of the Sea!", "by the sea", "universities", "a b a", None, "", "university"] + [f"university {i}" for i in range(200)]
+    got = {r["text"]: r["org"] for r in match_texts(
+        spark.createDataFrame([(t,) for t in texts], "text string"), spark.createDataFrame(names, "alias string, org string")).collect()}
+    assert got == {texts[0]: "north", texts[1]: "sea", texts[2]: "short", "a b a": "ab", "university": "any"} | {f"university {i}": "any" for i in range(200)}
+
+
 def test_previous_value_does_not_depend_on_the_segments(spark):
     rng = random.Random(2)
     rows = [(rng.choice("ab"), rng.choice(["x", "y", None]), f"2024-01-01T{i // 7:02d}", i) for i in range(120)]

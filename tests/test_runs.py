@@ -3,14 +3,14 @@ import json
 from pyspark.sql import functions as F
 
 from helpers import event, ledger
+from ledgerfold.operators import curation
 from ledgerfold.operators import ledger as lg
 from ledgerfold.operators.resolve import resolve
-from ledgerfold.plans.runs import Registers, ingest, materialise, reconcile_ledger, run
+from ledgerfold.plans.runs import Registers, annotate, ingest, materialise, reconcile_ledger, records_table, run
 from ledgerfold.spec import LedgerSpec
-from ledgerfold.streaming.ingest import append_on_change, keep_queue, without_replays
+from ledgerfold.streaming.ingest import append_on_change, keep_queue, queue_table, without_replays
 from ledgerfold.streaming.monitor import events_per_window
 from ledgerfold.streaming.resolve_stream import resolve_continuously, resolved_now
-from ledgerfold.streaming.store import read_buckets
 
 NOW = "2024-06-01T00:00:00Z"
 
@@ -118,7 +118,39 @@ def test_run_reports_and_publishes(spark, tmp_path):
     assert [r["action"] for r in out.actions.collect()] == ["unchanged", "unchanged"]
     report = spark.read.json(p("rep")).first()
     assert report["records_unchanged"] == 2 and report["events_appended"] == 0
-    assert spark.read.parquet(p("rec")).count() == 2
+    assert records_table(spark, p("rec")).read().count() == 2
+
+
+def test_annotations_of_unknown_owners_and_tasks_are_refused(spark, tmp_path):
+    path = str(tmp_path / "l")
+    lg.append_events(ledger(spark, catalogue_rows()), path, "seed", 4)
+    docs = [("a.json", '{"identity_key":"10.5072/a","annotations":[{"local":{"owner_org":"dtu"}},{"local":{"owner_org":"nobody"}}]}'),
+            ("b.json", '{"identity_key":"10.5072/b","annotations":[{"local":{"task":["Task 43"]}},{"local":{"task":["task-999"]}}]}'), ("c.json", "{")]
+    files = spark.createDataFrame(docs, "path string, doc string").withColumn("doc", F.try_parse_json("doc"))
+    rows, rejects = curation.parse_annotations(files)
+    for run_name in ("one", "two"):
+        notices = annotate(spark, rows, rejects, path, run_name, F.lit(NOW), registers(spark)).collect()
+        assert sum(n["type"] == "annotation_error" for n in notices) == 3
+        assert any("owner_org nobody is not registered" in n["message"] for n in notices) and any("task-999" in n["message"] for n in notices)
+        events = lg.read_table(spark, path).filter("event_type = 'annotated'").collect()
+        assert sorted(e["local"] for e in events) == ['{"owner_org":"dtu"}', '{"task":["task-43"]}']
+
+
+def test_a_failing_stage_is_reported_and_raised(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from ledgerfold.plans import runs
+
+    p = lambda n: str(tmp_path / n)
+    monkeypatch.setattr(runs, "publish", lambda *a: 1 / 0)
+    args = (spark, observations(spark, MOVES).drop("seq"), p("l"), p("rec"), p("rep"), registers(spark), "n1", NOW, NOW)
+    with pytest.raises(ZeroDivisionError):
+        run(*args)
+    assert spark.read.json(p("rep")).first()["ok"] is False and records_table(spark, p("rec")).read() is None
+    monkeypatch.setattr(runs, "_report", lambda *a: {}["no report"])
+    with pytest.raises(ZeroDivisionError) as failed:
+        run(*args)
+    assert "report failed too" in failed.value.__notes__[0]
 
 
 def stream_of(spark, tmp_path, name, frames):
@@ -149,7 +181,7 @@ def test_incremental_fold_equals_the_fold_of_everything(spark, tmp_path):
     stream = stream_of(spark, tmp_path, "ev", [f.select("identity_key", "seq") for f in frames])
     resolve_continuously(stream, path, store, str(tmp_path / "cp"), buckets=8).awaitTermination()
     strip = lambda df: sorted((r["identity_key"], str(sorted(r["effective"].items())), r["event_count"], r["withdrawn_at"]) for r in df.collect())
-    assert strip(resolved_now(spark, store)) == strip(resolve(ledger(spark, rows), LedgerSpec()))
+    assert strip(resolved_now(spark, store, 8)) == strip(resolve(ledger(spark, rows), LedgerSpec()))
 
 
 def test_queue_stream_and_replay_filter(spark, tmp_path):
@@ -158,7 +190,7 @@ def test_queue_stream_and_replay_filter(spark, tmp_path):
         "seq bigint, url string, cache_key string, reason string, queued_at string")
     stream = stream_of(spark, tmp_path, "q", [rows.filter("seq < 3"), rows.filter("seq = 3")])
     keep_queue(stream, str(tmp_path / "queue"), str(tmp_path / "cq")).awaitTermination()
-    got = {r["cache_key"]: (r["url"], r["reason"], r["queued_at"]) for r in read_buckets(spark, str(tmp_path / "queue")).collect()}
+    got = {r["cache_key"]: (r["url"], r["reason"], r["queued_at"]) for r in queue_table(rows, str(tmp_path / "queue")).read().collect()}
     assert got == {"k": ("u1", "newest", "t1"), "j": ("u2", "only", "t2")}
 
     obs = observations(spark, [MOVES[0], MOVES[0], MOVES[2], MOVES[3]]).withColumn("ts", F.to_timestamp("observed_at"))
