@@ -86,13 +86,17 @@ def lookup_cache(
 def upsert_queue(queued: DataFrame) -> DataFrame:
     """The queue with one row per key: first sighting kept, newest reason wins.
 
-    ``queued`` is ``(seq, url, cache_key, reason, queued_at)``, old rows and new.
+    ``queued`` is ``(seq, url, cache_key, reason, queued_at)``, old rows and new; ``reason_seq``, where there is one, is the place of the
+    reason and is kept, so that one which comes late doesn't displace a newer one.
     """
+    placed = "reason_seq" in queued.columns
+    at = "reason_seq" if placed else "seq"
     return queued.groupBy("cache_key").agg(
         F.min_by("url", "seq").alias("url"),
-        F.max_by("reason", "seq").alias("reason"),
+        F.max_by("reason", at).alias("reason"),
         F.min("queued_at").alias("queued_at"),
         F.min("seq").alias("queue_pos"),
+        *([F.max(at).alias(at)] if placed else []),
     )
 
 

@@ -120,10 +120,10 @@ def keep_queue(queued: DataFrame, path: str, checkpoint: str, buckets: int = BUC
 
     def one(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        rows = batch.select("seq", "url", "cache_key", "reason", "queued_at")
+        rows = batch.select("seq", "url", "cache_key", "reason", "queued_at", F.col("seq").alias("reason_seq"))
         old = table.read(table.before("queue", batch_id), table.buckets_of(batch)) if table.versions() else None
         if old is not None:
-            rows = rows.unionByName(old.select(F.col("queue_pos").alias("seq"), "url", "cache_key", "reason", "queued_at"))
+            rows = rows.unionByName(old.select(F.col("queue_pos").alias("seq"), "url", "cache_key", "reason", "queued_at", "reason_seq"))
         table.merge(upsert_queue(rows).persist(), "queue", batch_id)
         batch.unpersist()
 
