@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.session import checkpointed
 
-__all__ = ["WORD", "checkpointed", "ordered_offsets", "word_count"]
+__all__ = ["WORD", "checkpointed", "give_back", "ordered_offsets", "without", "word_count"]
+
+
+def without(df: DataFrame, *names: str) -> list[str]:
+    """Columns of a frame but those of these names, told apart as the session tells them apart."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    gone = set(names) if exact else {n.lower() for n in names}
+    return [c for c in df.columns if (c if exact else c.lower()) not in gone]
+
+def give_back() -> None:
+    """Return what this worker has freed to the system, for the same worker goes on to other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
 
 #: A word: anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -58,7 +58,15 @@ def test_rising_sequences_at_random():
     for top in (1, 50, 10**6, 10**13):
         values = np.sort(r.integers(0, top, 5000))
         at = r.integers(0, 5000, 999)
-        assert (lm.Rising.of(values)[at] == values[at]).all()
+        rising = lm.Rising.of(values)
+        assert (rising[at] == values[at]).all() and (rising.values() == values).all()
+        asked = np.concatenate([values[at], r.integers(0, top + 5, 500), [0, top * 9]])
+        low = np.minimum(np.searchsorted(values, asked), r.integers(0, 5000, len(asked)))
+        high = np.full(len(asked), 4000)
+        place = rising.find(asked, low, high)
+        found = place >= 0
+        assert (values[place[found]] == asked[found]).all() and (place[found] < 4000).all() and (place[found] >= low[found]).all()
+        assert not any(v in set(values[a:4000].tolist()) for v, a in zip(asked[~found].tolist(), low[~found].tolist()))
 
 
 def corpus(n=120, seed=3):
@@ -91,7 +99,7 @@ def test_scores_against_dictionaries(spark):
 def test_scores_of_many_chunks_shards_and_shared_words(spark, monkeypatch):
     chunks = lm.chunked(spark.createDataFrame([(i, t) for i, t in enumerate(corpus())], "doc_id long, text string").repartition(5), F.lit(True))
     sizes = lm.measured(chunks)
-    small = lm.Sizes(sizes.tokens, sizes.words, sizes.texts, 7, {w: n for w, n in counts_of(chunks).items() if n > 90})
+    small = lm.Sizes(sizes.tokens, sizes.words, sizes.texts, 7, {w: n for w, n in counts_of(chunks).items() if n > 90}, sizes.common[::2])
     assert len(small.hot) > 3
     monkeypatch.setattr(lm, "TOGETHER", 40)
     monkeypatch.setattr(lm, "measured", lambda _: small)
