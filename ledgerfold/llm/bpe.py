@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerfold.llm.common import without
+
 #: How this family of tokenizers cuts a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -216,7 +218,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
         for part in pieces_of(parts):
             yield pd.Series([t.encode(x or "") for x in part], dtype=object)
 
-    return df.withColumn(ids, of(F.col(text)))
+    return df.select(*without(df, ids), of(F.col(text)).alias(ids))
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -231,7 +233,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> Da
                 t.decode(np.asarray([] if x is None else x, dtype=np.int64)).decode("utf-8", "replace") for x in part
             ], dtype=object)
 
-    return df.withColumn(text, of(F.col(ids)))
+    return df.select(*without(df, text), of(F.col(ids)).alias(text))
 
 
 def digests(df: DataFrame, path: str, text: str = "text", ids: str | None = None) -> DataFrame:
@@ -255,4 +257,4 @@ def digests(df: DataFrame, path: str, text: str = "text", ids: str | None = None
                 rows.append((len(found), hashlib.sha256(said).hexdigest(), hashlib.sha256(decoded).hexdigest(), found)[: len(named)])
             yield pd.DataFrame(rows, columns=list(named))
 
-    return df.withColumn("__bpe", of(F.col(text))).select(*[c for c in df.columns if c not in named], "__bpe.*")
+    return df.withColumn("__bpe", of(F.col(text))).select(*without(df, *named), "__bpe.*")

@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerfold.llm.common import without
+
 #: Filter widths in bytes, filters of each, and bytes of a window.
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
 #: Training takes at most so many texts of each language from each of so many hashed shares of the rows, and
@@ -217,7 +219,7 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text", lang_pred:
     Null texts and those without a letter are ``und`` with score 0, as are all without a network. Every
     window of a text counts, however long it is. Columns of these names are replaced.
     """
-    kept = [c for c in docs.columns if c not in (lang_pred, score)]
+    kept = without(docs, lang_pred, score)
     if net is None:
         return docs.select(*kept, F.lit(UNKNOWN).alias(lang_pred), F.lit(0.0).alias(score))
 

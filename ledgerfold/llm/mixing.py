@@ -130,15 +130,19 @@ def schedule(
 
 def taken(mix: DataFrame, placed: DataFrame) -> DataFrame:
     """Documents with the words that the mix takes of each, repeats counted, and ``copies``: how often
-    the mix takes its first word, so whole documents by it come to nearly the same shares.
+    the mix takes its first word, so whole documents by it come to nearly the same shares; further ``first_slot``, the first slot of the
+    mix that shows some of it (null where only the blocks that come last do), and ``n_slots``, how many slots do.
 
     A place in a stream belongs to one document with words, so that is what pieces are added up by.
     """
     sums = mix.groupBy("place", "at").agg(
-        F.sum("words").alias("taken"), F.sum((F.col("from_word") == 0).cast("int")).alias("copies")
+        F.sum("words").alias("taken"), F.sum((F.col("from_word") == 0).cast("int")).alias("copies"),
+        F.min("slot").alias("first_slot"), F.count_distinct("slot").alias("n_slots"),
     )
     has = placed.filter("size > 0").join(sums, ["place", "at"], "left")
-    none = placed.filter("size = 0").select("*", F.lit(0).alias("taken"), F.lit(0).alias("copies"))
+    nothing = F.lit(0)
+    none = placed.filter("size = 0").select(
+        "*", nothing.alias("taken"), nothing.alias("copies"), F.lit(None).cast("long").alias("first_slot"), nothing.alias("n_slots"))
     return has.unionByName(none).withColumns(
-        {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("taken", "copies")}
+        {c: F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("taken", "copies", "n_slots")}
     )

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerfold.llm.common import without
+
 #: Matches whose places are added up together; see ``located``.
 GROUP = 256
 #: Code points before a match, back to the match before it, that are searched for context words.
@@ -135,7 +137,7 @@ def find_pii(docs: DataFrame, text: str = "text", spans: str = "pii") -> DataFra
     """Append ``array<struct<start, kind, end, score>>``: confirmed spans by start, then kind (a place in
     ``KINDS``). Null and empty texts have none. A column of that name is replaced; repeated rows are alike.
     """
-    kept = [c for c in docs.columns if c != spans]
+    kept = without(docs, spans)
     body = F.col(text)
     out = docs.select(*kept, body.rlike("[0-9]").alias("__digit"))
 

@@ -52,22 +52,34 @@ t AS (SELECT source, source_size, CASE WHEN stops THEN cap::DOUBLE ELSE weight
 b AS (SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
              least(floor(t.target + 0.5)::BIGINT, 3 * t.source_size) AS budget,
              (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.o, d.doc_id, d.size ROWS UNBOUNDED PRECEDING) - d.size)::BIGINT AS pos
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(pos + size, budget) - pos)
-        + greatest(0, least(pos + source_size + size, budget) - pos - source_size)
-        + greatest(0, least(pos + 2 * source_size + size, budget) - pos - 2 * source_size))::BIGINT AS taken
-FROM b
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+u AS (SELECT source, budget, sum(budget) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) AS ends, sum(budget) OVER () AS total
+      FROM (SELECT DISTINCT source, budget FROM b)),
+g AS (SELECT source, (ends - budget) / total AS low, ends / total AS high FROM u WHERE total > 0),
+k AS (SELECT i AS slot, (((i + 1)::DECIMAL(19, 0) * 0.61803398874989485::DECIMAL(17, 17)) % 1)::DOUBLE AS point
+      FROM (SELECT unnest(range(0, (SELECT (max(total)::BIGINT + 1023) // 1024 FROM u))) AS i)),
+x AS (SELECT source, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS block FROM k JOIN g ON point >= low AND point < high),
+y AS (SELECT doc_id, source, size, pos, unnest(range(low // 1024, (high - 1) // 1024 + 1)) AS block
+      FROM (SELECT *, pos + turn * source_size AS low, least(pos + turn * source_size + size, budget) AS high
+            FROM b CROSS JOIN (SELECT unnest([0, 1, 2]) AS turn)) WHERE low < high),
+z AS (SELECT y.source, pos, min(slot) AS first_slot, count(DISTINCT slot) AS n_slots
+      FROM y LEFT JOIN x ON x.source IS NOT DISTINCT FROM y.source AND x.block = y.block GROUP BY y.source, pos)
+SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN first_slot END::BIGINT AS first_slot,
+       CASE WHEN size > 0 THEN coalesce(n_slots, 0) ELSE 0 END::BIGINT AS n_slots,
+       (greatest(0, least(b.pos + size, budget) - b.pos)
+        + greatest(0, least(b.pos + source_size + size, budget) - b.pos - source_size)
+        + greatest(0, least(b.pos + 2 * source_size + size, budget) - b.pos - 2 * source_size))::BIGINT AS taken
+FROM b LEFT JOIN z ON z.source IS NOT DISTINCT FROM b.source AND z.pos = b.pos
 """
 
 
 @query("op8_mixing", MIXED)
 def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words that the mix takes of every document."""
+    """Words that the mix takes of every document, and the slots of the mix that show it."""
     from ledgerfold.llm.mixing import schedule, taken
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return taken(*schedule(docs)).select("doc_id", "size", "source_size", "target", "taken")
+    return taken(*schedule(docs)).select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots")
 
 
 @query("op4_language_id")
@@ -117,11 +129,13 @@ EVERY = 20
 
 NEAREST_CODES = """
 WITH c AS (
-  SELECT vec_id, list_reduce(list_prepend(0::UBIGINT, list_transform(range(1, 1 + least(64, len(embedding))), lambda i:
-           CASE WHEN embedding[i] > 0 THEN (1::UBIGINT << (i - 1)) ELSE 0::UBIGINT END)), lambda a, b: a | b) AS code
+  SELECT vec_id, list_transform(range(0, greatest(1, (max(len(embedding)) OVER () + 63) // 64)), lambda w: list_reduce(list_prepend(0::UBIGINT,
+           list_transform(range(64 * w + 1, 64 * w + 65), lambda i: CASE WHEN embedding[i] > 0 THEN (1::UBIGINT << ((i - 1) % 64)) ELSE 0::UBIGINT END)),
+           lambda a, b: a | b)) AS code
   FROM embeddings WHERE embedding IS NOT NULL),
 d AS (
-  SELECT q.vec_id AS query_id, c.vec_id, bit_count(xor(q.code, c.code))::BIGINT AS distance
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(range(1, 1 + len(q.code)), lambda i: bit_count(xor(q.code[i], c.code[i]))))::BIGINT AS distance
   FROM c q JOIN c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id)::INTEGER AS rank FROM d)
 SELECT query_id, rank, vec_id, distance FROM r WHERE rank <= 20

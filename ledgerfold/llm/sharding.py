@@ -14,7 +14,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.common import checkpointed, ordered_offsets
+from ledgerfold.llm.common import checkpointed, ordered_offsets, without
 
 
 @dataclass(frozen=True)
@@ -85,14 +85,14 @@ def assign(df: DataFrame, tree: ShardTree, key: str = "doc_id", shard: str = "sh
     start = F.element_at(F.element_at(nested(first), region), F.col("__rack") + 1)
     placed = F.when(inner, start + leaf).otherwise(F.col("__top") - n + tree.founding).cast("int")
     return out.withColumn("__shard", placed).select(
-        *[F.col(c) for c in df.columns if c != shard], F.col("__shard").alias(shard)
+        *without(df, shard), F.col("__shard").alias(shard)
     )
 
 
 def measure(docs: DataFrame, text: str = "text", overhead: int = 16) -> DataFrame:
     """Append ``size`` (UTF-8 bytes and a fixed overhead) and ``text_crc32``; null counts as empty."""
     body = F.coalesce(F.col(text), F.lit(""))
-    kept = [c for c in docs.columns if c not in ("size", "text_crc32")]
+    kept = without(docs, "size", "text_crc32")
     return docs.select(
         *kept,
         (F.octet_length(body) + overhead).cast("long").alias("size"),

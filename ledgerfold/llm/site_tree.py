@@ -25,13 +25,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.common import checkpointed
+from ledgerfold.llm.common import checkpointed, without
 from ledgerfold.session import small_side
 
 #: Branches below this importance go, where at least so many different pages of the host show them.
 IMPORTANT, PAGES = 0.4, 4
-#: On a page without an article, an element with more than this share of its letters is no furniture by its class.
-WRAPS = 0.6
 #: Blocks of so many letters tell whether two pages show the same main text; pages without any are told by all blocks.
 LONG = 60
 
@@ -64,12 +62,15 @@ CLOSES = {
 CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES.items()}
 P_STAYS = frozenset("table td th caption button object html".split())
 
+#: Attributes as browsers read them: an unquoted value ends at white space or the tag's end, and a quote that stays open closes no tag.
+VALUE = r"(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"'][^\s>]*+)|(?=>))"
+REST = r"(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+" + re.sub(r"\((?=\[)", "(?:", VALUE) + r"|(?!\s*+=)))*+"
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)",
+    rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>{RAW})(?=[\s/>]){REST}>.*?(?:</(?P=raw)(?=[\s/>])[^>]*>|\Z)"
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>{REST})>|<(?:[!?]|/(?![a-zA-Z]))[^>]*(?:>|\Z)|</?[a-zA-Z].*\Z",
     re.DOTALL | re.IGNORECASE,
 )
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+{VALUE}|(?!\s*+=))")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
@@ -101,24 +102,29 @@ class Page:
         for i in range(n - 1, 0, -1):
             if holds[i]:
                 holds[self.parent[i]] = True
-        mass = [0] * n  # letters below
-        for node, _, text in self.texts:
-            mass[node] += len(text.strip())
+        says = [v in ("drop", "named", "outside") for v in self.verdict]
+        around = [False] * n  # furniture lies below
         for i in range(n - 1, 0, -1):
-            if self.verdict[i] != "drop":
-                mass[self.parent[i]] += mass[i]
-        out_of = [False] * n  # dropped, with all below
-        inside = [False] * n
-        for i in range(1, n):
-            p = self.parent[i]
-            inside[i] = inside[p] or main[i]
-            v = self.verdict[i]
-            # a class such as "with-sidebar" around most of a page is no sidebar
-            wraps = not holds[0] and mass[i] > WRAPS * mass[0]
-            furniture = v == "drop" or v == "named" and not wraps or v == "outside" and not inside[i]
-            if not inside[i] and self.path[i] in low and self.tag[i] in ("div", "section", "ul", "ol", "table", "dl", "center"):
-                furniture = True
-            out_of[i] = out_of[p] or furniture and not holds[i]
+            around[self.parent[i]] |= says[i] or around[i]
+        wraps: set[int] = set()
+        while True:
+            out_of = [False] * n  # dropped, with all below
+            inside = [False] * n
+            tops = []
+            for i in range(1, n):
+                p = self.parent[i]
+                inside[i] = inside[p] or main[i]
+                v = self.verdict[i]
+                furniture = v == "drop" or v == "named" and i not in wraps or v == "outside" and not inside[i]
+                if not inside[i] and self.path[i] in low and self.tag[i] in ("div", "section", "ul", "ol", "table", "dl", "center"):
+                    furniture = True
+                out_of[i] = out_of[p] or furniture and not holds[i]
+                if out_of[i] and not out_of[p] and v == "named" and around[i]:
+                    tops.append(i)
+            # a class such as "with-sidebar" around a whole page is no sidebar: nothing would be left, and the sidebar lies below it
+            if holds[0] or not tops or any(not out_of[node] and not text.isspace() for node, _, text in self.texts):
+                break
+            wraps.update(tops)
         any_main = any(m and not o for m, o in zip(main, out_of, strict=True))
         blocks: list[list[str]] = []
         last = -1
@@ -330,7 +336,7 @@ def main_text(pages: DataFrame, html: str = "html", url: str = "url", out: str =
     Pages of the same host share a style tree; those without a host share one too. Nothing is cut, however
     long the page. A column named ``out`` is replaced; repeated rows are treated alike.
     """
-    kept = [c for c in pages.columns if c != out]
+    kept = without(pages, out)
     known = pages.select(*kept, F.col(html).alias("__html"), host_of(F.col(url)).alias("__host"))
     low = low_branches(known.select(F.col("__host").alias("host"), F.col("__html").alias("html")))
     low = checkpointed(low).select(F.col("host").alias("__host"), F.col("low").alias("__low"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.bpe import Tokenizer
-from ledgerfold.llm.common import checkpointed
+from ledgerfold.llm.common import checkpointed, without
 
 #: Lengths that are added up together.
 SPAN = 1024
@@ -28,7 +28,7 @@ def encoded_length(docs: DataFrame, path: str, text: str = "text", out: str = "n
         for part in parts:
             yield pd.Series([len(t.encode(x or "")) for x in part], dtype="int64")
 
-    return docs.withColumn(out, of(F.col(text)))
+    return docs.select(*without(docs, out), of(F.col(text)).alias(out))
 
 
 def running(hist: DataFrame, length: str, sums: dict[str, Column]) -> DataFrame:

@@ -191,6 +191,27 @@ def test_vector_search_goes_on_to_other_parts_until_there_are_enough_rows(spark,
     assert {c["query_id"]: c["count"] for c in found} == {q: 20 for q in range(0, 200, 20)}
 
 
+def test_vector_search_beyond_the_sample_visits_few_vectors(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SAMPLE", 1024)  # the table is six times as large
+    r = np.random.default_rng(8)
+    x = np.repeat(r.normal(size=(60, 24)), 105, axis=0) + r.normal(size=(6300, 24)) * 0.3
+    x = x[r.permutation(len(x))]
+    kept, plain = {}, ann.measured
+    monkeypatch.setattr(ann, "measured", lambda *a: kept.setdefault("router", plain(*a)))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for row in ann.nearest_vectors(df, F.col("vec_id") % 20 == 0, parts=40).collect():
+        got.setdefault(row["query_id"], set()).add(row["id"])
+    asked = np.arange(0, len(x), 20)
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    best = np.argpartition(-score, 19, axis=1)[:, :20]
+    assert np.mean([len(got[q] & set(b.tolist())) / 20 for q, b in zip(asked.tolist(), best, strict=True)]) >= 0.9
+    held = np.bincount(kept["router"].chances(x).argmax(axis=1), minlength=40)
+    visited = [held[parts].sum() / len(x) for parts in kept["router"].routes(x[asked], held, 21)]
+    assert np.mean(visited) <= 0.2
+
+
 def test_vector_search_with_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (5, [-1.0, 3.0])], "vec_id long, embedding array<float>")
     got = ann.nearest_vectors(df, F.col("vec_id") % 20 == 0).orderBy("rank").collect()
@@ -207,11 +228,27 @@ def test_parts_are_balanced_and_keep_neighbours():
     assert (label[graph] == label[:, None]).mean() > 0.8
 
 
+def test_codes_cover_every_component(spark):
+    r = np.random.default_rng(2)
+    x = r.normal(size=(300, 150))
+    x[:40, :130] = x[0, :130]  # alike but for the last components
+    rows = [(i, v.tolist()[: 150 if i % 9 else 100], "x") for i, v in enumerate(x)] + [(1000, None, "x"), (1001, [], "x"), (1002, [None, 1.0], "x")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, CODE string")
+    coded = df.select("vec_id", hamming.sign_code(F.col("embedding")).alias("code"))
+    bits = {i: np.array([(c is not None and c > 0) for c in v] + [False] * (150 - len(v))) for i, v, _ in rows if v is not None}
+    found = {}
+    for row in hamming.nearest_codes(coded, F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(row["query_id"], []).append((row["rank"], row["distance"], row["id"]))
+    for q in (i for i in bits if i % 20 == 0):
+        want = sorted((int((bits[q] != b).sum()), i) for i, b in bits.items() if i != q)[:20]
+        assert [(d, i) for _, d, i in sorted(found[q])] == want
+
+
 # -- shards ------------------------------------------------------------------------------------------------
 
 
 def sharded(spark, rows, tree):
-    df = spark.createDataFrame(rows, "doc_id long, text string, size string, shard string")
+    df = spark.createDataFrame(rows, "doc_id long, text string, Size string, SHARD string")
     return sharding.numbered(sharding.assign(sharding.measure(df).drop("text"), tree), ties=("text_crc32", "size"))
 
 

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer as Library
 from ledgerfold.llm import bpe, langid, pii, site_tree, tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-DOCS = "doc_id long, text string, lang string, source string, n_tokens string, score string, ids string"
+DOCS = "doc_id long, text string, lang string, source string, N_Tokens string, Score string, IDS string"
 
 
 def docs(spark, texts, langs=None):
@@ -291,3 +291,32 @@ def test_near_copies_of_an_article_are_no_template(spark):
     got = {r["page_id"]: r["text"] for r in out}
     assert all(got[i] == f"Text {i} Shown in all" for i in range(6))
     assert all(got[i] == f"Story {i % 6} is told in words of its own, long enough to be told from all others" for i in range(10, 30))
+
+
+# -- columns that are there already ------------------------------------------------------------------------
+
+
+def test_columns_of_these_names_in_any_case_are_replaced(spark):
+    df = spark.createDataFrame([(1, "mail a@b.org now", "x", "x", "x", "x", "x")], "doc_id long, text string, PII string, N_Tokens string, Decoded_SHA256 string, Lang_Pred string, SCORE string")
+    assert pii.mask(pii.find_pii(df)).first()["text"] == "mail <email> now" or "a@b.org" not in pii.mask(pii.find_pii(df)).first()["text"]
+    assert bpe.digests(df, PATH).first()["n_tokens"] > 3
+    assert tokens.encoded_length(df, PATH).first()["n_tokens"] > 3
+    assert bpe.decode(bpe.encode(df, PATH, ids="SCORE"), PATH, ids="score", text="pii").first()["pii"] == "mail a@b.org now"
+    assert langid.predict(df, None).first()["lang_pred"] == langid.UNKNOWN
+    pages = spark.createDataFrame([(1, "https://a.org/x", "<article><p>Hello</p></article>", "x")], "page_id long, url string, html string, Text string")
+    assert site_tree.main_text(pages).first()["text"] == "Hello"
+
+
+@pytest.mark.parametrize(("source", "text"), [
+    ("<p title=it's>Hello one</p><p>it's end</p>", "Hello one it's end"),
+    ('<p class="x>Hello</p>', ""),
+    ('<script title="x>alert(1)</script>', ""),
+    ("<p a=b/c class='say \"x\"'id=p>one</p ><p =x a==b c= >two</p>", "one two"),
+    ("<p>1 < 2</p><!-->a<!-- > ' -->x</ >y<div data-n='a>b'>z</div>", "1 < 2 axy z"),
+    ('<div class="content"><p>Short</p></div><div class="comments"><p>' + "long " * 300 + "</p></div>", "Short"),
+    ('<div class="advert">' + "buy " * 300 + "</div><p>Short</p>", "Short"),
+    ('<div class="with-sidebar"><p>Body of it</p><div class="sidebar">' + "more " * 300 + "</div></div>", "Body of it"),
+    ('<div class="sidebar">' + "more " * 300 + "</div>", ""),
+])
+def test_odd_markup_and_furniture_of_any_length(source, text):
+    assert site_tree.parse(source).kept(frozenset()) == text
