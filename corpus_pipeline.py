@@ -16,12 +16,20 @@ from ledgerfold.session import small_side
 
 #: A text stays if its language has at least this chance.
 LEAST_CHANCE = 0.4
+#: Texts go to Python in batches of so many, for a batch of whole texts is held by the JVM and by Python, in each task.
+BATCH = 500
 #: Documents are alike if the runs of so many words that they share are at least so many in a hundred of all theirs.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
+def short_batches(spark: SparkSession) -> None:
+    """The session's Arrow batches from here on; a stage's plan takes the setting when it is run, which is after its function."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter and those that no language explains; fills in missing languages."""
+    short_batches(spark)
     net = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
     judged = langid.predict(docs, net, lang_pred="__lang_pred", score="__score")
     if net is None:  # nothing to learn from, so nothing is known against a text
@@ -32,6 +40,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest id of those that links connect, and all that have no words."""
+    short_batches(spark)
     heads = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     found = checkpointed(ngram_join.link_documents(docs, NEAR_WORDS, NEAR_PERCENT).withColumn("stays", heads | (F.col("n_shingles") == 0)))
     ids = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("stays").alias("some"), F.count("*").alias("n"))
@@ -70,6 +79,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, with the digests that tell whether ids and decoded texts are right."""
+    short_batches(spark)
     import public_tokenizers
 
     out = bpe.digests(docs, public_tokenizers.path("byte_bpe_50k.json"), ids="ids")
