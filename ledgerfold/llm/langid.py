@@ -25,9 +25,9 @@ from ledgerfold.llm.common import without
 
 #: Filter widths in bytes, filters of each, and bytes of a window.
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 16, 256
-#: Training takes at most so many texts of each language from each of so many hashed shares of the rows, and
-#: at most so many bytes of each text.
-SAMPLE_TEXTS, SHARES, SAMPLE_BYTES = 16, 32, 1024
+#: Training takes at most so many texts of each language from each of so many hashed shares of the rows, and of a long
+#: text so many passages of WINDOW letters, wherever in it they are.
+SAMPLE_TEXTS, SHARES, PASSAGES = 16, 32, 4
 STEPS, BATCH, RATE = 500, 64, 0.01
 #: Windows looked at together.
 CHUNK = 512
@@ -89,7 +89,7 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Network | None:
     rng = np.random.default_rng(seed)
     by = [[] for _ in languages]
     for t, label in zip(texts, labels, strict=True):
-        by[languages.index(label)].append(FOLD[windows(np.frombuffer(t.encode()[:SAMPLE_BYTES], dtype=np.uint8))])
+        by[languages.index(label)].append(FOLD[windows(np.frombuffer(t.encode(), dtype=np.uint8))])
     by = [np.concatenate(x) for x in by]
     k, n = len(languages), FILTERS * len(WIDTHS)
     weights = [rng.normal(0, 0.1, (w, 256, FILTERS)).astype(np.float32) for w in WIDTHS]
@@ -199,14 +199,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "utf-8")) % 3 == 1, F.lit(False))
 
 
+def excerpt(text: Column) -> Column:
+    """A short text as it is, of a long one PASSAGES passages from hashed places all over it."""
+    places = F.length(text) - WINDOW + 1
+    starts = [F.pmod(F.xxhash64(text, F.lit(i)), places).cast("int") + 1 for i in range(PASSAGES)]
+    drawn = F.concat_ws(" ", *[F.substring(text, start, F.lit(WINDOW)) for start in starts])
+    return F.when(F.length(text) <= PASSAGES * WINDOW, text).otherwise(drawn)
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Network | None:
     """Train on at most SAMPLE_TEXTS * SHARES rows of each language, those of least hash in their share, of
-    which at most SAMPLE_BYTES bytes are read. Rows without a language or a letter are passed over."""
+    which at most PASSAGES passages are read. Rows without a language or a letter are passed over."""
     rows = labelled.select(
         F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(doc_id), F.lit("sample")).alias("draw"),
         F.col(doc_id).alias("id"),
     ).filter("lang IS NOT NULL AND text IS NOT NULL")
-    lettered = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("text", F.substring("text", 1, SAMPLE_BYTES))
+    lettered = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("text", excerpt(F.col("text")))
     least = Window.partitionBy("lang", F.pmod("draw", F.lit(SHARES))).orderBy("draw", "id", "text")
     sample = lettered.withColumn("n", F.row_number().over(least)).filter(F.col("n") <= SAMPLE_TEXTS)
     found = sorted((r["lang"], r["draw"], r["text"]) for r in sample.select("lang", "draw", "text").collect())

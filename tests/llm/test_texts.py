@@ -320,3 +320,32 @@ def test_columns_of_these_names_in_any_case_are_replaced(spark):
 ])
 def test_odd_markup_and_furniture_of_any_length(source, text):
     assert site_tree.parse(source).kept(frozenset()) == text
+
+
+def test_the_network_equals_a_plain_forward_pass():
+    r = random.Random(9)
+    words = {"de": "der die und ist nicht straße über".split(), "fr": "le la est où être garçon".split(), "en": "the and is not through".split()}
+    made = [(x, " ".join(r.choice(words[x]) for _ in range(r.choice([1, 4, 60, 300])))) for x in words for _ in range(30)]
+    net = langid.train([t for _, t in made], [x for x, _ in made])
+    tables, bias, out, out_bias = langid.arrays(net)
+    texts = [t for _, t in made[::7]] + ["7 ü", "A" * 256, "é" * 300]
+    for text, got in zip(texts, langid.texts_to_chances(net, texts), strict=True):
+        data = [32 if b < 33 else 48 if 48 <= b < 58 else b + 32 if 65 <= b < 91 else b for b in text.encode()]
+        mean, mass = 0.0, 0.0
+        for at in range(0, len(data), langid.WINDOW):
+            rows = (data + [32] * 600)[at : at + langid.WINDOW + 3]
+            if at + langid.WINDOW >= len(data):
+                rows = data[at:] + [32] * (langid.WINDOW + 3 - len(data[at:]))
+            pooled = [max(sum(float(t[i, rows[p + i], f]) for i in range(w)) for p in range(langid.WINDOW)) for w, t in zip(langid.WIDTHS, tables) for f in range(langid.FILTERS)]
+            z = np.maximum(np.array(pooled) + bias, 0) @ out + out_bias
+            e = np.exp(z - z.max())
+            weight = sum(97 <= b <= 122 or b >= 0xC3 for b in rows[: langid.WINDOW]) + 1e-3
+            mean, mass = mean + weight * e / e.sum(), mass + weight
+        assert np.allclose(got, mean / mass, atol=1e-5)
+
+
+def test_training_passages_lie_all_over_a_text(spark):
+    df = spark.createDataFrame([(i, "".join(chr(0x4E00 + i) if p < 1000 else chr(0x3041 + p // 100) for p in range(5000))) for i in range(40)], "i long, t string")
+    got = [r[0] for r in df.select(langid.excerpt(F.col("t"))).collect()]
+    assert all(len(t) == 4 * 256 + 3 for t in got) and len({c for t in got for c in t}) > 60
+    assert df.select(langid.excerpt(F.lit("short"))).first()[0] == "short"
