@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,6 +182,17 @@ def write_proposals(result: Reconciliation, path: str) -> None:
     result.candidates.select(*reconcile.CANDIDATE).write.mode("overwrite").json(path)
 
 
+def read_proposals(spark: SparkSession, path: str) -> DataFrame:
+    """The review table as :func:`write_proposals` left it; none yet reads as empty."""
+    ddl = "primary string, secondary string, kind string, confidence double, evidence string, automatic boolean"
+    try:
+        return spark.read.schema(ddl).json(path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return spark.createDataFrame([], ddl)
+
+
 def run(
     spark: SparkSession,
     observations: DataFrame,

@@ -6,7 +6,7 @@ from helpers import event, ledger
 from ledgerfold.operators import curation
 from ledgerfold.operators import ledger as lg
 from ledgerfold.operators.resolve import resolve
-from ledgerfold.plans.runs import Registers, annotate, ingest, materialise, reconcile_ledger, records_table, run
+from ledgerfold.plans.runs import Registers, annotate, ingest, materialise, read_proposals, reconcile_ledger, records_table, run, write_proposals
 from ledgerfold.spec import LedgerSpec
 from ledgerfold.streaming.ingest import append_on_change, keep_queue, queue_table, without_replays
 from ledgerfold.streaming.monitor import events_per_window
@@ -73,6 +73,10 @@ def test_reconcile_applies_once_and_proposes_the_rest(spark, tmp_path):
         ("10.5072/a", "osti|7", "shared-doi"), ("10.5072/b", "10.5072/d", "preprint-pair"),
         ("10.5072/a", "10.5072/d", "fuzzy-title")}  # one link per pair of titles; osti|7 is under a's title
     assert lg.read_table(spark, path).count() == 6
+    assert read_proposals(spark, str(tmp_path / "review")).count() == 0
+    write_proposals(dry, str(tmp_path / "review"))
+    kept = ["primary", "secondary", "kind", "confidence", "evidence", "automatic"]
+    assert sorted(map(tuple, read_proposals(spark, str(tmp_path / "review")).collect())) == sorted(map(tuple, dry.candidates.select(kept).collect()))
     reconcile_ledger(spark, path, regs, "r1", F.lit(NOW), apply=True)
     after = {r["identity_key"]: r for r in resolve(lg.read_table(spark, path)).collect()}
     a, o = after["10.5072/a"], after["osti|7"]
