@@ -245,14 +245,23 @@ def similar_titles(
     indexed = checkpointed(
         weighed.withColumn("_place", place)
         .filter((F.col("_place") <= prefix) & (F.col("seen") > 1))
-        .select(*keys, "gram", "title", length_class.alias("size_class"))
+        .select(*keys, "gram", "title", length_class.alias("size_class"), "seen")
     )
-    left = indexed.withColumnRenamed("title", "left_title")
     near = F.explode(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: F.col("size_class") + d))
-    right = indexed.select(*keys, "gram", F.col("title").alias("right_title"), near.alias("size_class"))
+    on = [*keys, "gram", "size_class"]
+    frequent = F.col("seen") > block_rows
+
+    def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return rows.select(*on, F.col("title").alias("left_title")), rows.select(*keys, "gram", F.col("title").alias("right_title"), near.alias("size_class"))
+
+    left, right = sides(indexed.filter(~frequent))
+    met = left.join(right, on)
+    hot = indexed.filter(frequent)
+    if not hot.isEmpty():
+        met = met.unionByName(gridded(*sides(hot), on, "left_title", "right_title", block_rows))
     la, lb = F.length("left_title"), F.length("right_title")
     return (
-        gridded(left, right, [*keys, "gram", "size_class"], "left_title", "right_title", block_rows)
+        met
         .filter((F.col("left_title") < F.col("right_title"))
                 & (F.least(la, lb) * 2.0 / (la + lb) >= threshold))
         .select(*keys, "left_title", "right_title")
