@@ -1,5 +1,6 @@
 import difflib
 import random
+from collections import Counter
 from itertools import combinations
 
 import pytest
@@ -106,6 +107,20 @@ def test_a_gram_of_most_titles_is_no_hot_task(spark):
     assert dealt == plain and len(plain) > 50
 
 
+def test_titles_of_few_words_meet_only_when_near(spark):
+    """Every pair of these shares its rarest grams; those that differ too much never reach the ratio."""
+    rng = random.Random(5)
+    syllables = ["tion", "er", "the", "ing", "an", "é"]
+    words = {"".join(rng.choice(syllables) for _ in range(14)) for _ in range(60)}
+    words |= {w[:20] + "x" + w[21:] for w in list(words)[:20]}
+    df = spark.createDataFrame([("b", w) for w in sorted(words)], "block string, title string")
+    met = {(r["left_title"], r["right_title"]) for r in reconcile.similar_titles(df, ["block"]).collect()}
+    near = lambda a, b: difflib.SequenceMatcher(None, a, b).ratio() >= 0.9
+    assert met >= {(a, b) for a, b in combinations(sorted(words), 2) if near(a, b) or near(b, a)} and len(met) >= 20
+    differ = lambda a, b: sum(((Counter(a) - Counter(b)) + (Counter(b) - Counter(a))).values())
+    assert all(differ(a, b) <= (len(a) + len(b)) * 0.1 + 1 for a, b in met)
+
+
 def replayed(plan, urls):
     """Merges one after another, as a list of what each copies."""
     held, out = {}, set()
