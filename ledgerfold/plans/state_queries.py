@@ -294,9 +294,9 @@ def link_notices(spark, sf_dir):
     c = table(spark, sf_dir, "customer").crossJoin(F.broadcast(one))  # one row
     shown = c.select(F.col("c_custkey").cast("string").alias("name"), (F.col("c_custkey") % F.col("n")).alias("page_id"))
     checked = _checked(spark, sf_dir)
-    urls = shown.join(table(spark, sf_dir, "pages").select("page_id", "url"), "page_id").select("name", "url")
-    by_record = reports.dead_by_record(urls, reports.dead_links(checked))
-    found = reports.link_notices(by_record, checked, reports.unreachable_hosts(checked))
+    urls = shown.join(table(spark, sf_dir, "pages").select("page_id", "url"), "page_id").select("name", "url", "page_id")
+    by_record = reports.dead_by_record(urls, reports.dead_links(checked), check="page_id")
+    found = reports.link_notices(by_record, checked, reports.unreachable_hosts(checked), check="page_id")
     other = checked.filter("skipped").select(F.lit("run").alias("type"), F.col("page_id").cast("string").alias("record"), "url")
     return reports.union_notices([found, other]).select("type", "record", "url", "host").distinct()
 
