@@ -267,3 +267,16 @@ def test_every_page_of_an_index_equals_the_sorted_rows(spark, monkeypatch):
         query = listing.SearchQuery(page=page, page_size=20)
         assert [r["name"] for r in listing.result_page(df, query, order).collect()] == want
     assert listing.indexed_pages(df.limit(0), order).total == 0
+
+
+def test_whole_texts_go_to_python_in_short_batches(spark):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        for given, kept in (("10000", "500"), ("0", "500"), ("20", "20")):
+            spark.conf.set(setting, given)
+            for of in (sanitise_html, html_to_text, sanitise_each, texts_of_each):
+                of(F.col("x"))
+            assert spark.conf.get(setting) == kept
+    finally:
+        spark.conf.set(setting, before)
