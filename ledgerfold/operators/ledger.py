@@ -267,10 +267,6 @@ def sanitise_payload(payload: Column, task_field: str = "task") -> Column:
             .when(key.isin("resources", "links"), wrap_docs(links))
             .when(key == "related_identifiers", wrap_docs(related))
             .when(key == task_field, wrap(tasks))
-            .when(
-                (key == "keywords") & (json_type(value) == "ARRAY"),
-                wrap_docs(F.transform(variants, lambda v: F.to_json(v))),
-            )
             .otherwise(F.concat(F.lit("["), F.to_json(value), F.lit("]")))
         )
 

@@ -1,4 +1,5 @@
 import json
+import tempfile
 import random
 
 import pytest
@@ -280,3 +281,11 @@ def test_whole_texts_go_to_python_in_short_batches(spark):
             assert spark.conf.get(setting) == kept
     finally:
         spark.conf.set(setting, before)
+
+
+def test_payloads_of_one_small_file_are_cleaned_on_all_cores(spark):
+    from ledgerfold.plans.catalogue_queries import sanitised_payloads
+
+    spark.range(40).withColumnRenamed("id", "c_custkey").coalesce(1).write.parquet(path := f"{tempfile.mkdtemp(prefix='spark-', dir='/tmp')}/customer.parquet")
+    out = sanitised_payloads(spark, path.rsplit("/", 1)[0])
+    assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and out.count() == 40
