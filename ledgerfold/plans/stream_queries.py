@@ -16,14 +16,21 @@ from ledgerfold.sources.keyed import KeyedTable, named_once, publish
 
 #: Buckets of the tables of these queries; a ledger of any size has more.
 FEW = 4
+#: Rows of the smallest part for each file that a part is written in.
+FILE_ROWS = 100_000
 
 
-def arriving(parts: list[DataFrame]) -> DataFrame:
-    """A stream of one micro-batch per part, in this order."""
+def arriving(parts: list[DataFrame], file_rows: int = FILE_ROWS) -> DataFrame:
+    """A stream of one micro-batch per part, in this order.
+
+    Large parts are written by many tasks. Every part has the same number of files, and rows are dealt round so that none
+    is missing; that number makes a batch.
+    """
     spark, path = parts[0].sparkSession, scratch(parts[0].sparkSession)
+    files = max(1, min(part.count() for part in parts) // file_rows)
     for i, part in enumerate(parts):
-        part.coalesce(1).write.parquet(f"{path}/part={i}")
-    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/part=*")
+        (part.repartition(files) if files > 1 else part.coalesce(1)).write.parquet(f"{path}/part={i}")
+    return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", files).parquet(f"{path}/part=*")
 
 
 @query(

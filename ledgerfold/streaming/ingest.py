@@ -5,8 +5,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -18,7 +17,7 @@ from ledgerfold.spec import LedgerSpec
 #: Moves of one key that are remembered; a row that comes later than these is compared with the oldest of them.
 REMEMBERED = 16
 KEY = ["identity_key", "source_system"]
-MOVE = "observed_at string, seq long, source_key string"
+MOVES = "observed_at array<string>, seq array<long>, source_key array<string>"
 #: Fixed value: the state store that keyed state of this kind needs.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -52,27 +51,32 @@ def place_moves(known: list[tuple], rows: list[tuple], remembered: int = REMEMBE
 
 
 class Moves(StatefulProcessor):
-    """Last moves of every (identity, system); lets through the rows whose token moved."""
+    """Last moves of every (identity, system); lets through the rows whose token moved.
+
+    A key has few rows in a batch, so rows come one by one, not as a frame per key, and its moves are one value: they are
+    read and written once.
+    """
 
     def __init__(self, forget_after_ms: int | None = None, remembered: int = REMEMBERED):
         self.ttl, self.remembered = forget_after_ms, remembered
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getListState("moves", MOVE, ttlDurationMs=self.ttl) if self.ttl else handle.getListState("moves", MOVE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        known = [tuple(m) for m in self.state.get()] if self.state.exists() else []
-        mine = pd.concat(list(rows)).sort_values(["observed_at", "seq"], kind="stable")
-        given = [(t, int(n), k) for t, n, k in zip(mine["observed_at"], mine["seq"], mine["source_key"], strict=True)]
-        moved, known = place_moves(known, given, self.remembered)
-        if known:
-            self.state.put(known)
-        if any(moved):
-            yield mine.loc[moved, ["row"]] if mine.index.is_unique else mine[moved][["row"]]
-
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:  # noqa: N802, N803
-        for m in initialState[["observed_at", "seq", "source_key"]].itertuples(index=False):
-            self.state.appendValue((m[0], int(m[1]), m[2]))
+        self.state = handle.getValueState("moves", MOVES, ttlDurationMs=self.ttl) if self.ttl else handle.getValueState("moves", MOVES)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802
+        mine = sorted(rows, key=lambda r: (r["observed_at"], r["seq"]))
+        if not mine:  # a key that only the ledger knows
+            return
+        held = self.state.get()
+        known = list(zip(*held, strict=True)) if held else []
+        moved, known = place_moves(known, [(r["observed_at"], r["seq"], r["source_key"]) for r in mine], self.remembered)
+        self.state.update(tuple(list(c) for c in zip(*known, strict=True)))
+        for differs, r in zip(moved, mine, strict=True):
+            if differs:
+                yield Row(row=r["row"])
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:  # noqa: N802, N803
+        self.state.update(([initialState["observed_at"]], [initialState["seq"]], [initialState["source_key"]]))
 
     def close(self) -> None:
         pass
@@ -98,7 +102,7 @@ def append_on_change(
         .agg(F.max_by(F.struct("observed_at", "seq", "source_key"), log_order()).alias("m")).select(*KEY, "m.*")
     )
     rows = observations.select(*KEY, "observed_at", F.col("seq").cast("long").alias("seq"), "source_key", F.to_json(F.struct("*")).alias("row"))
-    moved = rows.groupBy(*KEY).transformWithStateInPandas(
+    moved = rows.groupBy(*KEY).transformWithState(
         Moves(forget_after_ms), "row string", "append", "processingTime" if forget_after_ms else "none", initialState=last.groupBy(*KEY)
     ).select(F.from_json("row", schema).alias("r")).select("r.*")
 

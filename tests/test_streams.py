@@ -191,3 +191,36 @@ def test_a_batch_that_died_between_two_tables_is_made_good(spark, tmp_path, monk
     whole = resolve(ledger(spark, rows))
     edges = graph.citation_edges(graph.stated_citations(whole), graph.alias_index_scope(whole))
     assert sorted((e["src"], e["dst"]) for e in kept.standing_edges().collect()) == sorted(map(tuple, edges.collect()))
+
+
+def test_parts_of_many_files_stay_one_batch_each(spark, tmp_path, monkeypatch):
+    from ledgerfold.plans.stream_queries import arriving
+
+    monkeypatch.setattr("ledgerfold.plans.stream_queries.scratch", lambda _: str(tmp_path / "in"))
+    parts, seen = [spark.range(0, 40, numPartitions=3), spark.range(40, 70), spark.range(70, 101, numPartitions=1)], []
+    stream = arriving([p.toDF("n") for p in parts], file_rows=10)
+    keep = lambda batch, i: seen.append(sorted(r["n"] for r in batch.collect()))
+    stream.writeStream.foreachBatch(keep).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    assert seen == [list(range(0, 40)), list(range(40, 70)), list(range(70, 101))]
+    assert [len(list(tmp_path.glob(f"in/part={i}/*.parquet"))) for i in range(3)] == [3, 3, 3]
+
+
+def test_moves_are_one_value_of_a_key(spark):
+    from ledgerfold.streaming.ingest import Moves
+
+    class Held:
+        value, reads, writes = None, 0, 0
+
+        def get(self):
+            self.reads += 1
+            return self.value
+
+        def update(self, value):
+            self.value, self.writes = value, self.writes + 1
+
+    moves = Moves()
+    moves.state = held = Held()
+    moves.handleInitialState(("a", "s"), {"observed_at": "1", "seq": 1, "source_key": "x"}, None)
+    rows = [{"observed_at": t, "seq": n, "source_key": k, "row": k + t} for t, n, k in (("3", 3, "y"), ("2", 2, "x"), ("4", 4, "y"))]
+    assert [r["row"] for r in moves.handleInputRows(("a", "s"), iter(rows), None)] == ["y3"]
+    assert held.value == (["1", "3"], [1, 3], ["x", "y"]) and (held.reads, held.writes) == (1, 2)
