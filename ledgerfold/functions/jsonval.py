@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EMPTY_JSON = ("null", '""', "[]", "{}")
@@ -15,6 +15,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def once(rows: DataFrame, value: Column, where: Column) -> DataFrame:
+    """``rows`` that meet ``where``, with the fields of the struct ``value``, which is evaluated once per row.
+
+    A filter on a plain column goes below the projection that makes it, and below a repartition too, and there writes out
+    all that the column is made of; it stays above a generator.
+    """
+    return rows.select("*", F.inline(F.when(where, F.array(value))))
+
+
 def canonical(text: Column) -> Column:
     """Sorted-key compact JSON of JSON text; NULL when the text is not JSON."""
     return F.to_json(F.try_parse_json(text))

@@ -161,6 +161,18 @@ def test_jsonl_logs_are_numbered_across_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_a_log_line_is_parsed_once_in_each_pass(spark):
+    rows = [("/l/a-1.jsonl", 1, '{"identity_key":"a|1","observed_at":"t","event_type":"scraped"}'), ("/l/a-1.jsonl", 2, " "),
+            ("/l/a-1.jsonl", 3, None), ("/l/a-1.jsonl", 4, '{"identity_key":"a|2","observed_at":"t","event_type":"scraped"}'), ("/l/a-1.jsonl", 5, "{")]
+    raw = spark.createDataFrame(rows, "path string, line_no long, said string").repartition(3)
+    lines = raw.select("path", "line_no", F.concat("said", F.lit("")).alias("line"))
+    events, problems = ledger.parse_events(lines)
+    plan = events.select("identity_key", "seq")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson(") == 2  # for the owners of the files and for the events; no filter writes it out again
+    assert [(r["identity_key"], r["seq"]) for r in events.collect()] == [("a|1", 1)]
+    assert sorted((r["line"], r["reason"]) for r in problems.collect()) == [(4, "event belongs to another identity"), (5, "malformed event line")]
+
+
 def test_vocabulary_gate_and_labels(spark):
     vocab = spark.createDataFrame(
         [("resource_kind", k, None, "d", None) for k in ("dataset", "publication", "software", "report", "model", "strange")]
