@@ -295,6 +295,25 @@ def test_whole_texts_go_to_python_in_short_batches(spark):
         spark.conf.set(setting, before)
 
 
+def test_long_texts_go_to_python_few_at_a_time(spark, monkeypatch):
+    from ledgerfold.functions import html
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = spark.range(60, numPartitions=1).select(F.repeat(F.lit("<p>"), 10_000).alias("x"))
+    size = F.pandas_udf(lambda xs: xs.map(lambda _: len(xs)), "int")
+    monkeypatch.setattr(html, "BATCH_BYTES", 200_000)
+    spark.conf.unset(setting)
+    try:
+        for of in (sanitise_html, html_to_text, sanitise_each, texts_of_each):
+            of(F.col("x"))
+        assert max(r["n"] for r in rows.select(size("x").alias("n")).collect()) <= 10
+        spark.conf.set(setting, "1000b")  # a smaller one that is stated stays
+        sanitise_html(F.col("x"))
+        assert spark.conf.get(setting) == "1000b"
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_payloads_of_one_small_file_are_cleaned_on_all_cores(spark):
     from ledgerfold.plans.catalogue_queries import sanitised_payloads
 
