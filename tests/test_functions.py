@@ -314,6 +314,13 @@ def test_long_texts_go_to_python_few_at_a_time(spark, monkeypatch):
         spark.conf.unset(setting)
 
 
+def test_markup_of_many_columns_is_read_by_one_python_worker(spark):
+    rows = spark.createDataFrame([("<b>a", "<p>b", ["<i>c", None]), (None, None, None)], "x string, y string, z array<string>")
+    out = rows.select(sanitise_html(F.col("x")), html_to_text(F.col("y")), html_to_text(F.col("x")), sanitise_each(F.col("z")), texts_of_each(F.col("z")))
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert [tuple(r) for r in out.collect()] == [("<b>a</b>", "b", "a", ["<i>c</i>", ""], ["c", ""]), ("", "", "", None, None)]
+
+
 def test_payloads_of_one_small_file_are_cleaned_on_all_cores(spark):
     from ledgerfold.plans.catalogue_queries import sanitised_payloads
 
