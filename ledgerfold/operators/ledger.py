@@ -367,6 +367,8 @@ def notice_events(rows: DataFrame) -> DataFrame:
 
 
 BUCKETS = 256
+#: DDL of the stored ledger.
+TABLE_DDL = EVENT_DDL + ", ingest string, bucket int"
 
 
 def bucket_of(key: Column | str, buckets: int = BUCKETS) -> Column:
@@ -397,10 +399,14 @@ def append_events(events: DataFrame, path: str, ingest: str, buckets: int = BUCK
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """The ledger written by :func:`append_events`; no ledger yet reads as empty."""
-    ddl = EVENT_DDL + ", ingest string, bucket int"
     try:
-        return spark.read.schema(ddl).option("basePath", path).parquet(path)
+        return spark.read.schema(TABLE_DDL).option("basePath", path).parquet(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" not in str(exc):
             raise
-        return spark.createDataFrame([], ddl)
+        return spark.createDataFrame([], TABLE_DDL)
+
+
+def stream_table(spark: SparkSession, path: str) -> DataFrame:
+    """A stream of the events that :func:`append_events` writes to this ledger, read from its own files."""
+    return spark.readStream.schema(TABLE_DDL).option("basePath", path).parquet(path)

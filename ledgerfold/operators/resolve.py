@@ -130,9 +130,8 @@ def source_fields(state: DataFrame, spec: LedgerSpec) -> DataFrame:
 
 def local_fields(events: DataFrame) -> DataFrame:
     """Fields set by annotations, one row per event and field."""
-    rows = events.filter(F.col("event_type") == "annotated").select(
-        "identity_key", "observed_at", "seq", "local"
-    )
+    says = (F.col("event_type") == "annotated") & (F.col("local") != "{}")
+    rows = events.filter(says).select("identity_key", "observed_at", "seq", "local")
     return _exploded(rows, "local")
 
 

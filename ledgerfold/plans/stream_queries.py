@@ -5,7 +5,7 @@ The rows of a given table are first written to a new folder of ``spark.checkpoin
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.operators import changes, ledger
@@ -33,6 +33,23 @@ def arriving(parts: list[DataFrame], file_rows: int = FILE_ROWS) -> DataFrame:
     return spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", files).parquet(f"{path}/part=*")
 
 
+def followed(parts: list[DataFrame], generic_routes: list[str] | None = None) -> str:
+    """The store of a stream that follows a ledger: each part is appended and then taken in, one micro-batch per append.
+
+    The stream reads the files of the ledger. A batch folds what was appended until then, so the events of a later part are
+    not read by an earlier batch.
+    """
+    from ledgerfold.streaming.resolve_stream import resolve_continuously
+
+    spark = parts[0].sparkSession
+    path, store, checkpoint = scratch(spark), scratch(spark), scratch(spark)
+    for i, part in enumerate(parts):
+        ledger.append_events(part, path, f"b{i}", FEW)
+        stream = ledger.stream_table(spark, path).select("identity_key", "seq")
+        resolve_continuously(stream, path, store, checkpoint, SPEC, FEW, generic_routes=generic_routes).awaitTermination()
+    return store
+
+
 @query(
     "moves_of_a_stream",
     LEDGER + """
@@ -83,14 +100,10 @@ SELECT id AS identity_key, CAST(count(*) AS BIGINT) AS event_count, min(obs) FIL
 )
 def records_of_a_stream(spark, sf_dir):
     """Events that arrive out of their order: a late one takes its place in the fold."""
-    from ledgerfold.streaming.resolve_stream import resolve_continuously, resolved_now
+    from ledgerfold.streaming.resolve_stream import resolved_now
 
-    events, path, store = ledger_view(spark, sf_dir), scratch(spark), scratch(spark)
-    parts = [events.filter(F.col("seq") % 3 == i) for i in (2, 0, 1)]
-    for i, part in enumerate(parts):
-        ledger.append_events(part, path, f"b{i}", FEW)
-    stream = arriving([p.select("identity_key", "seq") for p in parts])
-    resolve_continuously(stream, path, store, scratch(spark), SPEC, FEW).awaitTermination()
+    events = ledger_view(spark, sf_dir)
+    store = followed([events.filter(F.col("seq") % 3 == i) for i in (2, 0, 1)])
     return resolved_now(spark, store, FEW).select("identity_key", "event_count", "first_seen", "last_seen", "source_key")
 
 
@@ -111,20 +124,15 @@ SELECT u.id AS identity_key, CASE WHEN c.l IS NOT NULL THEN 'cites' WHEN b.l IS
 )
 def scope_of_a_stream(spark, sf_dir):
     """The citation graph over two batches. A system's later scrape takes back what it stated before."""
-    from ledgerfold.streaming.resolve_stream import CitationGraph, resolve_continuously
+    from ledgerfold.streaming.resolve_stream import CitationGraph
 
-    e, path, store = raw_events(spark, sf_dir), scratch(spark), scratch(spark)
+    e = raw_events(spark, sf_dir)
     relation = F.when(F.col("kind") == "view", "IsCitedBy").otherwise("Cites")
     stated = F.concat(F.lit('{"related_identifiers":[{"relation":"'), relation, F.lit('","identifier":"user|'), "k", F.lit('"}]}'))
     scraped = F.col("event_type") == "scraped"
-    events = ledger.event_frame(e.withColumns({"source": F.when(scraped, stated).otherwise("{}"), "local": F.lit("{}")}))
-    at = F.col("observed_at")
-    cuts = [at < "2024-01-15", at >= "2024-01-15"]
-    parts = [events.filter(c) for c in cuts]
-    for i, part in enumerate(parts):
-        ledger.append_events(part, path, f"b{i}", FEW)
-    stream = arriving([p.select("identity_key", "seq") for p in parts])
-    resolve_continuously(stream, path, store, scratch(spark), SPEC, FEW, generic_routes=[]).awaitTermination()
+    events = e.withColumns({"source": F.when(scraped, stated).otherwise("{}"), "local": F.lit("{}")})
+    at = F.col("ts")  # a column of the table, so a part makes no rows of the other
+    store = followed([ledger.event_frame(events.filter(cut)) for cut in (at < "2024-01-15", at >= "2024-01-15")], generic_routes=[])
     names = F.array_join(F.regexp_extract_all("inclusion_evidence", F.lit(r"(user\|\d+)"), 1), " ")
     scope = CitationGraph(spark, f"{store}/graph", [], buckets=FEW).scope.read()
     return scope.select("identity_key", "inclusion_basis", names.alias("names"))

@@ -6,6 +6,7 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A hinted broadcast is only ever used at or below this many rows.
 BROADCAST_ROWS = 200_000
@@ -58,6 +59,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows of a schema, made without Python workers."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when a bounded count proves the side is small.
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ledgerfold.operators.ledger import BUCKETS, bucket_of
-from ledgerfold.session import checkpointed
+from ledgerfold.session import checkpointed, empty_frame
 
 #: Deltas of a bucket before it is written anew, entries of the log that stay readable, writers of one bucket.
 DELTAS, KEEP, WRITERS = 4, 3, 4
@@ -115,7 +115,7 @@ class KeyedTable:
     def _open(self, folders: list[str], schema: StructType) -> DataFrame:
         whole = StructType([*schema.fields, StructField("version", IntegerType()), StructField("bucket", IntegerType())])
         if not folders:
-            return self.spark.createDataFrame([], whole)
+            return empty_frame(self.spark, whole)
         return self.spark.read.schema(whole).option("basePath", self.path).parquet(*folders)
 
     # -- writing ----------------------------------------------------------------------------------------

@@ -6,11 +6,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ledgerfold.operators.graph import alias_owner, decide_scope, stated_citations, stated_names
 from ledgerfold.operators.ledger import BUCKETS, read_table
-from ledgerfold.operators.resolve import resolve
-from ledgerfold.session import checkpointed
+from ledgerfold.operators.resolve import resolve, system_state
+from ledgerfold.session import BROADCAST_ROWS, checkpointed, empty_frame
 from ledgerfold.sources.keyed import KeyedTable
 from ledgerfold.spec import LedgerSpec
 
@@ -23,17 +24,25 @@ def resolved_table(spark: SparkSession, store: str, buckets: int = BUCKETS) -> K
 
 def refresh_identities(
     spark: SparkSession, touched: DataFrame, ledger_path: str, store: str, batch: int,
-    spec: LedgerSpec | None = None, buckets: int = BUCKETS,
+    spec: LedgerSpec | None = None, buckets: int = BUCKETS, few_keys: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Re-fold the touched identities from the ledger and replace their rows; returns these, stored.
 
     The fold orders by observation time, not arrival, so an event that comes late
-    simply takes its place; nothing is dropped behind a watermark.
+    simply takes its place; nothing is dropped behind a watermark. The state per system is stored, so the events of the
+    touched buckets are aggregated once. Few touched identities pick their events first; many pick their states, for
+    that join would move every event.
     """
+    spec = spec or LedgerSpec()
     table = resolved_table(spark, store, buckets)
     keys = checkpointed(touched.select("identity_key").distinct())
-    events = read_table(spark, ledger_path).filter(F.col("bucket").isin(table.buckets_of(keys))).join(keys, "identity_key", "left_semi")
-    fresh = checkpointed(resolve(events, spec or LedgerSpec()))
+    held = read_table(spark, ledger_path).filter(F.col("bucket").isin(table.buckets_of(keys)))
+    few = keys.count() <= few_keys
+    events = held.join(F.broadcast(keys) if few else keys, "identity_key", "left_semi")
+    state = checkpointed(system_state(events if few else held, spec))
+    if not few:
+        state = state.join(keys, "identity_key", "left_semi")
+    fresh = checkpointed(resolve(events, spec, state))
     table.merge(fresh, WRITER, batch)
     return fresh
 
@@ -58,7 +67,7 @@ class CitationGraph:
         """Rows of a table before the batch whose ``column`` is among those of ``at``."""
         entry = table.before(WRITER, batch)
         if entry is None:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, StructType.fromDDL(schema))
         keys = at.select(column).distinct()
         return table.read(entry, table.buckets_of(at.withColumnRenamed(column, table.by))).join(keys, column, "left_semi")
 

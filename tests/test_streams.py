@@ -224,3 +224,50 @@ def test_moves_are_one_value_of_a_key(spark):
     rows = [{"observed_at": t, "seq": n, "source_key": k, "row": k + t} for t, n, k in (("3", 3, "y"), ("2", 2, "x"), ("4", 4, "y"))]
     assert [r["row"] for r in moves.handleInputRows(("a", "s"), iter(rows), None)] == ["y3"]
     assert held.value == (["1", "3"], [1, 3], ["x", "y"]) and (held.reads, held.writes) == (1, 2)
+
+
+def test_the_ledger_is_aggregated_once_for_few_and_for_many_touched(spark, tmp_path, monkeypatch):
+    from ledgerfold.streaming import resolve_stream as rs
+
+    rows = random_citations(random.Random(3), 30, 6)
+    path, asked, folded = str(tmp_path / "l"), [], []
+    lg.append_events(ledger(spark, rows), path, "b0", 2)
+    state, fold = rs.system_state, rs.resolve
+    monkeypatch.setattr(rs, "system_state", lambda events, *a: asked.append(events) or state(events, *a))
+    monkeypatch.setattr(rs, "resolve", lambda *a: folded.append(a[2]) or fold(*a))
+    whole = resolve(ledger(spark, rows))
+    keys = sorted(r[0] for r in whole.select("identity_key").collect())[::2]
+    plain = lambda df: sorted((r["identity_key"], r["event_count"], r["source_key"], sorted(r["effective"].items()), r["discovered_via"]) for r in df.collect())
+    want = plain(whole.filter(F.col("identity_key").isin(keys)))
+    for few in (0, 1000):
+        touched = spark.createDataFrame([(k,) for k in keys * 2], "identity_key string")
+        assert plain(refresh_identities(spark, touched, path, str(tmp_path / f"s{few}"), 0, buckets=2, few_keys=few)) == want
+        assert plain(resolved_table(spark, str(tmp_path / f"s{few}"), 2).read()) == want
+    assert len(asked) == len(folded) == 2
+    joins = [e._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") for e in asked]
+    assert joins == [0, 1]  # many touched: no event moves for the join
+
+
+def test_a_batch_reads_what_was_appended_until_then(spark, tmp_path, monkeypatch):
+    from ledgerfold.plans import stream_queries as sq
+    from ledgerfold.streaming import resolve_stream as rs
+
+    rows, seen = random_citations(random.Random(5), 24, 6), []
+    refresh = rs.refresh_identities
+
+    def kept(spark, touched, path, store, batch, *a):
+        fresh = refresh(spark, touched, path, store, batch, *a)
+        seen.append((batch, sorted(map(tuple, fresh.select("identity_key", "event_count").collect()))))
+        return fresh
+
+    monkeypatch.setattr(rs, "refresh_identities", kept)
+    store = sq.followed([ledger(spark, rows[:10]), ledger(spark, rows[10:])], generic_routes=[])
+    for part, (batch, states) in enumerate(seen):
+        held = rows[: (10, 24)[part]]
+        touched = {r["identity_key"] for r in (rows[:10], rows[10:])[part]}
+        assert batch == part and states == sorted((k, sum(r["identity_key"] == k for r in held)) for k in touched)
+    assert len(seen) == 2
+    whole = resolve(ledger(spark, rows))
+    edges = graph.citation_edges(graph.stated_citations(whole), graph.alias_index_scope(whole))
+    kept_edges = CitationGraph(spark, f"{store}/graph", [], buckets=sq.FEW).standing_edges()
+    assert sorted((e["src"], e["dst"]) for e in kept_edges.collect()) == sorted(map(tuple, edges.collect()))
