@@ -6,11 +6,12 @@ import difflib
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructType
 
 from ledgerfold.functions import text as tx
 from ledgerfold.functions.jsonval import get_strings, json_object, let, quote, text_of
@@ -22,8 +23,8 @@ from ledgerfold.operators.graph import (
 )
 from ledgerfold.operators.ledger import event_frame, with_seq
 from ledgerfold.operators.resolve import precedence_of
-from ledgerfold.operators.skew import BLOCK_ROWS, HOT_ROWS, gridded, lookup_join, per_key_join
-from ledgerfold.session import checkpointed
+from ledgerfold.operators.skew import HOT_ROWS, lookup_join, per_key_join
+from ledgerfold.session import checkpointed, small_side
 from ledgerfold.spec import PROVENANCE_TYPE, UNKNOWN_PRECEDENCE, LedgerSpec
 
 # What a stated relation means for a merge.
@@ -195,51 +196,171 @@ def title_ratio(left: Column | str, right: Column | str, threshold: float) -> Co
     return ratio(left, right)
 
 
-#: 64-bit words of the bitmap that tells how far the characters of two titles differ at least.
-BITMAP_WORDS = 4
+#: 64-bit words of the bitmaps that tell how far the characters, and the runs of two, of two titles differ at least.
+BITMAP_WORDS, PAIR_WORDS = 4, 8
+#: One character that is only in one of two texts changes so many of their runs of two at most: two go and one comes.
+PAIRS_OF_A_CHARACTER = 3
+#: Titles of a group up to which an index by grams is no more work than comparing all of them by bitmaps, and titles of a
+#: block of larger groups: each title of a group is sent to every block of it once.
+FEW_TITLES, GRID_ROWS = 100, 8_000
+#: Titles are compared so many by so many at once, so bitmaps stay in a core's cache.
+TILE_ROWS, TILE_COLUMNS = 256, 1024
 
 
-def character_bitmap(text: Column) -> Column:
-    """Characters of a text with the number of each repeat, hashed to the bits of a few words.
+def character_bitmap(text: Column, width: int = 1, words: int = BITMAP_WORDS) -> Column:
+    """Runs of ``width`` characters of a text with the number of each repeat, hashed to the bits of a few words.
 
-    One character that is only in one of two texts changes one bit at most, so the bits that differ are a lower bound of
-    the characters that do.
+    One character that is only in one of two texts changes one bit at most (``PAIRS_OF_A_CHARACTER`` with runs of two), so
+    the bits that differ are a lower bound of the characters that do.
     """
-    repeats = lambda c: F.sequence(F.lit(1), F.length(text) - F.length(F.replace(text, c, F.lit(""))))
-    bits = F.flatten(F.transform(F.array_distinct(F.split(text, "")), lambda c: F.transform(
-        repeats(c), lambda i: F.pmod(F.xxhash64(c, i), F.lit(64 * BITMAP_WORDS)).cast("int"))))
+    last = F.length(text) - (width - 1)
+    runs = F.when(last > 0, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.substring(text, i, F.lit(width))))
+    repeats = lambda c: F.sequence(F.lit(1), ((F.length(text) - F.length(F.replace(text, c, F.lit("")))) / width).cast("int"))
+    bits = F.flatten(F.transform(F.array_distinct(F.coalesce(runs, F.array().cast("array<string>"))), lambda c: F.transform(
+        repeats(c), lambda i: F.pmod(F.xxhash64(c, i), F.lit(64 * words)).cast("int"))))
     word = lambda all_bits, n: F.aggregate(
         F.filter(all_bits, lambda b: F.floor(b / 64) == n), F.lit(0).cast("bigint"),
         lambda seen, b: seen.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), b % 64)))
-    return let(bits, lambda all_bits: F.struct(*[word(all_bits, n).alias(f"w{n}") for n in range(BITMAP_WORDS)]))
+    return let(bits, lambda all_bits: F.struct(*[word(all_bits, n).alias(f"w{n}") for n in range(words)]))
+
+
+def _places(text: str) -> dict[str, int]:
+    """The places of each character of a text, as bits."""
+    out: dict[str, int] = {}
+    for i, c in enumerate(text):
+        out[c] = out.get(c, 0) | 1 << i
+    return out
+
+
+def _unmatched(places: dict[str, int], size: int, other: str) -> int:
+    """Characters outside of a longest common subsequence of two texts; a whole row of its table is one number."""
+    row = full = (1 << size) - 1
+    for c in other:
+        hit = row & places.get(c, 0)
+        row = (row + hit) | (row - hit)
+    return size + len(other) - 2 * (size - (row & full).bit_count())
+
+
+def unmatched_characters(left: Column | str, right: Column | str) -> Column:
+    """Characters of two texts that no common subsequence matches."""
+
+    @F.pandas_udf(IntegerType())
+    def count(lefts: pd.Series, rights: pd.Series) -> pd.Series:
+        return pd.Series([_unmatched(_places(a), len(a), b) for a, b in zip(lefts, rights)], dtype="int32")
+
+    return count(left, right)
+
+
+class _Block:
+    """Titles of a block by length, with their bitmaps."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.texts = sorted(rows["title"], key=len)
+        self.sizes = np.array([len(t) for t in self.texts], dtype=np.int64)
+        order = np.argsort(rows["title"].map(len).to_numpy(), kind="stable")
+        bits = np.array(rows["_bits"].tolist(), dtype=np.int64).view(np.uint64)[order]
+        self.characters, self.pairs = np.ascontiguousarray(bits[:, :BITMAP_WORDS].T), bits[:, BITMAP_WORDS:]
+
+
+def _near_in_blocks(left: _Block, right: _Block, threshold: float) -> Iterator[tuple[str, str]]:
+    """Pairs of titles of two blocks, or of one, that may reach the threshold; bitmaps leave most pairs out."""
+    most = np.floor(np.arange(left.sizes[-1] + right.sizes[-1] + 1) * (1 - threshold) + 1e-9).astype(np.int64)
+    reach = (2 - threshold) / threshold + 1e-9
+    for i in range(0, len(left.texts), TILE_ROWS):
+        sizes = left.sizes[i : i + TILE_ROWS]
+        first = max(np.searchsorted(right.sizes, sizes[0] / reach), i if left is right else 0)
+        last = np.searchsorted(right.sizes, sizes[-1] * reach, "right")
+        for j in range(first, last, TILE_COLUMNS):
+            to = min(j + TILE_COLUMNS, last)
+            differ = np.zeros((len(sizes), to - j), dtype=np.uint8)  # 256 would wrap to 0, and the pair only stays longer
+            for a, b in zip(left.characters, right.characters, strict=True):
+                differ += np.bitwise_count(a[i : i + TILE_ROWS, None] ^ b[None, j:to])
+            at, on = np.nonzero(differ <= np.minimum(most[sizes[-1] + right.sizes[j:to]], 255).astype(np.uint8))
+            far = differ[at, on]
+            at, on = at + i, on + j
+            allowed = most[left.sizes[at] + right.sizes[on]]
+            stays = far <= allowed
+            if left is right:
+                stays &= at < on
+            at, on, allowed = at[stays], on[stays], allowed[stays]
+            pairs = np.bitwise_count(left.pairs[at] ^ right.pairs[on]).sum(axis=1, dtype=np.int64)
+            stays = pairs <= PAIRS_OF_A_CHARACTER * allowed
+            held = None
+            for x, y, n in zip(at[stays].tolist(), on[stays].tolist(), allowed[stays].tolist()):
+                if x != held:
+                    held, text = x, left.texts[x]
+                    places = _places(text)
+                if _unmatched(places, len(text), right.texts[y]) <= n:
+                    yield text, right.texts[y]
+
+
+def _near_in_grid(titles: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """Similar titles of large groups: a group's titles are dealt to ``_blocks`` blocks, and every two blocks meet once, in a
+    cell of their own. A task holds two blocks, and hands on what is near."""
+    tasks = int(titles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = [character_bitmap(F.col("title")).alias("_c"), character_bitmap(F.col("title"), 2, PAIR_WORDS).alias("_p")]
+    # titles and cells are few bytes and much work, so their tasks are not merged by size
+    coded = titles.repartition(tasks, *keys, "title").select(*keys, "title", "_blocks", F.pmod(F.xxhash64("title"), F.col("_blocks")).cast("int").alias("_block"), *words)
+    bits = F.array(*[f"_c.w{n}" for n in range(BITMAP_WORDS)], *[f"_p.w{n}" for n in range(PAIR_WORDS)])
+    coded = checkpointed(coded.withColumn("_bits", bits).drop("_c", "_p"))
+    sent = coded.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    cell = [F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high")]
+    cells = sent.select(*keys, *cell, "_block", "title", "_bits").repartition(tasks, *keys, "_low", "_high")
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        low = rows["_block"] == rows["_low"]
+        left = _Block(rows[low]) if low.any() else None
+        right = left if rows["_low"].iloc[0] == rows["_high"].iloc[0] else _Block(rows[~low]) if not low.all() else None
+        found = list(_near_in_blocks(left, right, threshold)) if left and right else []
+        named = {k: [rows[k].iloc[0]] * len(found) for k in keys}
+        return pd.DataFrame({**named, "_a": [a for a, _ in found], "_b": [b for _, b in found]}, dtype=None if found else object)
+
+    schema = StructType([*titles.select(*keys).schema.fields]).add("_a", StringType()).add("_b", StringType())
+    near = cells.groupBy(*keys, "_low", "_high").applyInPandas(compare, schema)
+    return near.select(*keys, F.least("_a", "_b").alias("left_title"), F.greatest("_a", "_b").alias("right_title"))
 
 
 def similar_titles(
     titles: DataFrame, keys: list[str], threshold: float = FUZZY_THRESHOLD, hot_rows: int = HOT_ROWS,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int = GRID_ROWS, few_rows: int = FEW_TITLES,
 ) -> DataFrame:
     """Pairs of different titles inside a block that may reach the threshold.
 
-    ``titles`` is distinct ``(keys..., title)``. All pairs of a block are never
-    formed. The ratio is twice the matched characters over the total, and the
-    matched characters are a common subsequence, so similar titles differ by few
-    insertions and deletions and must share many q-grams. Each title is indexed
+    ``titles`` is distinct ``(keys..., title)``. The ratio is twice the matched characters over the total, and the
+    matched characters are a common subsequence, so similar titles differ by few insertions and deletions: those
+    that leave no more characters unmatched than the threshold allows are returned, and the exact ratio decides afterwards.
+
+    Of a block of few titles all pairs are never formed: similar titles must share many q-grams. Each title is indexed
     under just enough of its rarest grams that two titles sharing as many as the
     threshold demands meet in at least one. The index never misses a pair (see the
-    brute-force test); the exact ratio decides afterwards. Titles that meet in a frequent gram are
-    dealt to a grid of blocks. Where few words make all titles, most pairs meet: the characters that differ, by
-    bitmaps, and the edit distance, neither above the unmatched characters that the threshold allows, leave
-    a pair out where it meets.
+    brute-force test). In a block of more than ``few_rows`` titles grams are frequent, most so where few words make all titles,
+    and a pair would meet in many of them. There each pair is compared once, by bitmaps, in a grid whose cells hold twice
+    ``block_rows`` titles at most.
     """
     q = 3 if threshold >= 0.88 else 1
     width = F.length("title")
+    sized = titles.select(*keys, "title").filter(width >= q)
+    for key in keys:
+        sized = sized.filter(F.col(key).isNotNull())
+    large = checkpointed(
+        sized.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > few_rows)
+        .select(*keys, F.ceil(F.col("_rows") / block_rows).cast("int").alias("_blocks"))
+    )
+    if large.isEmpty():
+        return _near_by_grams(sized, keys, threshold, q, hot_rows)
+    few = _near_by_grams(sized.join(small_side(large), keys, "left_anti"), keys, threshold, q, hot_rows)
+    return few.unionByName(_near_in_grid(sized.join(small_side(large), keys), keys, threshold))
+
+
+def _near_by_grams(sized: DataFrame, keys: list[str], threshold: float, q: int, hot_rows: int) -> DataFrame:
+    """Similar titles that meet in one of their rarest q-grams."""
+    width = F.length("title")
     total = width + F.ceil(width * threshold / (2 - threshold))
     need = total * 0.5 - (q - 1) - (2 * q - 1) / 2 * (1 - threshold) * total
     need = F.greatest(F.ceil(need - 1e-9), F.lit(1)).cast("int")
     # Titles this much apart in length are at most one class apart.
     step = math.log((2 - threshold) / threshold) + 1e-9
     length_class = F.floor(F.log(width) / step).cast("int")
-    sized = titles.filter(width >= q)
     plain = sized.select(
         *keys,
         "title",
@@ -266,26 +387,17 @@ def similar_titles(
     indexed = checkpointed(
         weighed.withColumn("_place", place)
         .filter((F.col("_place") <= prefix) & (F.col("seen") > 1))
-        .select(*keys, "gram", "title", length_class.alias("size_class"), character_bitmap(F.col("title")).alias("bits"), "seen")
+        .select(*keys, "gram", "title", length_class.alias("size_class"), character_bitmap(F.col("title")).alias("bits"))
     )
     near = F.explode(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: F.col("size_class") + d))
-    on = [*keys, "gram", "size_class"]
-    frequent = F.col("seen") > block_rows
-
-    def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        named = lambda n: [F.col("title").alias(f"{n}_title"), F.col("bits").alias(f"{n}_bits")]
-        return rows.select(*on, *named("left")), rows.select(*keys, "gram", *named("right"), near.alias("size_class"))
-
-    left, right = sides(indexed.filter(~frequent))
-    met = left.join(right, on)
-    hot = indexed.filter(frequent)
-    if not hot.isEmpty():
-        met = met.unionByName(gridded(*sides(hot), on, "left_title", "right_title", block_rows))
+    named = lambda n: [F.col("title").alias(f"{n}_title"), F.col("bits").alias(f"{n}_bits")]
+    left = indexed.select(*keys, "gram", "size_class", *named("left"))
+    right = indexed.select(*keys, "gram", *named("right"), near.alias("size_class"))
     la, lb = F.length("left_title"), F.length("right_title")
     unmatched = F.floor((la + lb) * (1 - threshold) + 1e-9).cast("int")
     differ = sum(F.bit_count(F.col(f"left_bits.w{n}").bitwiseXOR(F.col(f"right_bits.w{n}"))) for n in range(BITMAP_WORDS))
-    return (
-        met
+    met = (
+        left.join(right, [*keys, "gram", "size_class"])
         .filter((F.col("left_title") < F.col("right_title"))
                 & (F.least(la, lb) * 2.0 / (la + lb) >= threshold)
                 & (differ <= unmatched)
@@ -293,6 +405,7 @@ def similar_titles(
         .select(*keys, "left_title", "right_title")
         .distinct()
     )
+    return met.filter(unmatched_characters("left_title", "right_title") <= unmatched)
 
 
 def title_members(records: DataFrame, keys: list[str]) -> DataFrame:

@@ -121,6 +121,52 @@ def test_titles_of_few_words_meet_only_when_near(spark):
     assert all(differ(a, b) <= (len(a) + len(b)) * 0.1 + 1 for a, b in met)
 
 
+def unmatched(a, b):
+    """Characters outside of a longest common subsequence, by its table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row
+        row = [0]
+        for j, y in enumerate(b, 1):
+            row.append(last[j - 1] + 1 if x == y else max(last[j], row[-1]))
+    return len(a) + len(b) - 2 * row[-1]
+
+
+@pytest.mark.parametrize("threshold", [0.9, 0.8])
+def test_titles_meet_alike_by_grams_and_in_a_grid(spark, threshold):
+    """What is returned leaves few characters unmatched, whether a block's titles are few or many."""
+    rng = random.Random(3)
+    syllables = ["tion", "er", "the", "ing", "an", "é", "oo", "ooo"]
+    words = {"".join(rng.choice(syllables) for _ in range(rng.randrange(1, 16))) for _ in range(70)} | {"x", "xy", "tionx", "t" * 300, "t" * 310, "ab" * 150}
+    for w in sorted(words):
+        changed = list(w)
+        for _ in range(rng.randrange(5)):
+            i = rng.randrange(len(changed) + 1)
+            changed[i:i + rng.randrange(2)] = rng.choice(["", "q", "zz"])
+        words.add("".join(changed) or "x")
+    rows = [(k, w) for k in ("b", "c", None) for w in sorted(words) if k != "c" or len(w) % 9 == 0]
+    df = spark.createDataFrame(rows, "block string, title string").coalesce(2)
+    q = 3 if threshold > 0.88 else 1
+    want = sorted((k, *sorted((u, w))) for (k, u), (n, w) in combinations(rows, 2)
+                  if k and k == n and min(len(u), len(w)) >= q and unmatched(u, w) <= (len(u) + len(w)) * (1 - threshold) + 1e-9)
+    for few, block in ((1000, 1000), (1, 1000), (1, 9), (30, 64)):
+        got = reconcile.similar_titles(df, ["block"], threshold, few_rows=few, block_rows=block).select("block", "left_title", "right_title")
+        assert sorted(map(tuple, got.collect())) == want and len(want) > 30
+
+
+@pytest.mark.parametrize("few", [1, 100])
+def test_titles_that_exchange_letters_are_not_met(spark, few):
+    """Letters that change places leave two unmatched each: too many for these titles, though an edit distance counts one and bitmaps none."""
+    a = "the wake of wind farms and the loads of large turbines in"
+    swapped = list(a)
+    for i, j in ((4, 30), (9, 40), (13, 50), (19, 55)):
+        swapped[i], swapped[j] = swapped[j], swapped[i]
+    b, c = "".join(swapped), a.replace("wind", "wild")
+    df = spark.createDataFrame([("b", t) for t in (a, b, c)], "block string, title string")
+    met = {(r["left_title"], r["right_title"]) for r in reconcile.similar_titles(df, ["block"], few_rows=few).collect()}
+    assert unmatched(a, b) > 11 and met == {tuple(sorted((a, c)))}
+
+
 def replayed(plan, urls):
     """Merges one after another, as a list of what each copies."""
     held, out = {}, set()
