@@ -205,6 +205,8 @@ PAIRS_OF_A_CHARACTER = 3
 FEW_TITLES, GRID_ROWS = 100, 8_000
 #: Titles are compared so many by so many at once, so bitmaps stay in a core's cache.
 TILE_ROWS, TILE_COLUMNS = 256, 1024
+#: Characters of a title whose places are kept in machine words, 64 in each; longer titles are compared one by one.
+WORD_CHARACTERS = 256
 
 
 def character_bitmap(text: Column, width: int = 1, words: int = BITMAP_WORDS) -> Column:
@@ -260,14 +262,55 @@ class _Block:
         order = np.argsort(rows["title"].map(len).to_numpy(), kind="stable")
         bits = np.array(rows["_bits"].tolist(), dtype=np.int64).view(np.uint64)[order]
         self.characters, self.pairs = np.ascontiguousarray(bits[:, :BITMAP_WORDS].T), bits[:, BITMAP_WORDS:]
+        self.short = np.array([len(t) <= WORD_CHARACTERS and "\0" not in t for t in self.texts])
+
+    def coded(self, letters: np.ndarray) -> np.ndarray:
+        """Each short title as the numbers of its letters, zeros behind it."""
+        width = int(max(self.sizes[self.short], default=1))
+        short = np.array([t if s else "" for t, s in zip(self.texts, self.short)], dtype=f"U{width}")
+        return letters[short.view(np.uint32).reshape(len(short), width)]
+
+
+def _numbered(left: _Block, right: _Block) -> np.ndarray:
+    """By code point the numbers, from 1, of the letters of two blocks."""
+    known = sorted({ord(c) for block in (left, right) for c in set("".join(block.texts))} - {0})
+    letters = np.zeros(max(known, default=0) + 1, dtype=np.int32)
+    letters[known] = np.arange(1, len(known) + 1)
+    return letters
+
+
+def _unmatched_of_short(sizes: np.ndarray, mine: np.ndarray, at: np.ndarray, others: np.ndarray, n_letters: int) -> np.ndarray:
+    """:func:`_unmatched` of many pairs at once: of rows ``at`` of ``mine`` with ``others``, both as numbers of letters."""
+    longest = int(sizes[at].max())
+    words = range(-(-longest // 64))
+    places = np.zeros((len(words), len(mine), n_letters + 1), dtype=np.uint64)
+    for i in range(longest):
+        places[i // 64, np.arange(len(mine)), mine[:, i]] |= np.uint64(1) << np.uint64(i % 64)
+    places[:, :, 0] = 0
+    unused = [np.clip(64 * (w + 1) - sizes[at], 0, 64) for w in words]
+    full = [np.where(n < 64, np.uint64(2**64 - 1) >> (n % 64).astype(np.uint64), np.uint64(0)) for n in unused]
+    row = list(full)
+    lengths = (others > 0).sum(axis=1)
+    for letter in np.ascontiguousarray(others[:, : lengths.max()].T):
+        over = np.uint64(0)
+        for w in words:
+            hit = row[w] & places[w][at, letter]
+            total = row[w] + hit
+            more = total + over
+            over = ((total < hit) | (more < total)).astype(np.uint64)
+            row[w] = more | (row[w] - hit)
+    matched = sizes[at] - sum(np.bitwise_count(row[w] & full[w]).astype(np.int64) for w in words)
+    return sizes[at] + lengths - 2 * matched
 
 
 def _near_in_blocks(left: _Block, right: _Block, threshold: float) -> Iterator[tuple[str, str]]:
     """Pairs of titles of two blocks, or of one, that may reach the threshold; bitmaps leave most pairs out."""
     most = np.floor(np.arange(left.sizes[-1] + right.sizes[-1] + 1) * (1 - threshold) + 1e-9).astype(np.int64)
     reach = (2 - threshold) / threshold + 1e-9
+    letters = _numbered(left, right)
+    mine, others = left.coded(letters), right.coded(letters)
     for i in range(0, len(left.texts), TILE_ROWS):
-        sizes = left.sizes[i : i + TILE_ROWS]
+        sizes, met = left.sizes[i : i + TILE_ROWS], []
         first = max(np.searchsorted(right.sizes, sizes[0] / reach), i if left is right else 0)
         last = np.searchsorted(right.sizes, sizes[-1] * reach, "right")
         for j in range(first, last, TILE_COLUMNS):
@@ -275,23 +318,30 @@ def _near_in_blocks(left: _Block, right: _Block, threshold: float) -> Iterator[t
             differ = np.zeros((len(sizes), to - j), dtype=np.uint8)  # 256 would wrap to 0, and the pair only stays longer
             for a, b in zip(left.characters, right.characters, strict=True):
                 differ += np.bitwise_count(a[i : i + TILE_ROWS, None] ^ b[None, j:to])
-            at, on = np.nonzero(differ <= np.minimum(most[sizes[-1] + right.sizes[j:to]], 255).astype(np.uint8))
+            found = np.flatnonzero(differ <= np.minimum(most[sizes[-1] + right.sizes[j:to]], 255).astype(np.uint8))
+            at, on = np.divmod(found, to - j)
             far = differ[at, on]
-            at, on = at + i, on + j
-            allowed = most[left.sizes[at] + right.sizes[on]]
+            on += j
+            allowed = most[sizes[at] + right.sizes[on]]
             stays = far <= allowed
             if left is right:
-                stays &= at < on
+                stays &= at + i < on
             at, on, allowed = at[stays], on[stays], allowed[stays]
-            pairs = np.bitwise_count(left.pairs[at] ^ right.pairs[on]).sum(axis=1, dtype=np.int64)
+            pairs = np.bitwise_count(left.pairs[at + i] ^ right.pairs[on]).sum(axis=1, dtype=np.int64)
             stays = pairs <= PAIRS_OF_A_CHARACTER * allowed
-            held = None
-            for x, y, n in zip(at[stays].tolist(), on[stays].tolist(), allowed[stays].tolist()):
-                if x != held:
-                    held, text = x, left.texts[x]
-                    places = _places(text)
-                if _unmatched(places, len(text), right.texts[y]) <= n:
-                    yield text, right.texts[y]
+            met.append((at[stays], on[stays], allowed[stays]))
+        if not met:
+            continue
+        at, on, allowed = (np.concatenate(x) for x in zip(*met))
+        short = left.short[at + i] & right.short[on]
+        x, y = at[short], on[short]
+        if len(x):
+            near = _unmatched_of_short(sizes, mine[i : i + TILE_ROWS], x, others[y], int(letters.max())) <= allowed[short]
+            yield from ((left.texts[a + i], right.texts[b]) for a, b in zip(x[near].tolist(), y[near].tolist()))
+        for a, b, n in zip(at[~short].tolist(), on[~short].tolist(), allowed[~short].tolist()):
+            text, other = left.texts[a + i], right.texts[b]
+            if _unmatched(_places(text), len(text), other) <= n:
+                yield text, other
 
 
 def _near_in_grid(titles: DataFrame, keys: list[str], threshold: float) -> DataFrame:
@@ -417,10 +467,11 @@ def title_members(records: DataFrame, keys: list[str]) -> DataFrame:
     rows = records.filter(F.col("title") != "")
     if "rank" not in records.columns:
         rows = rows.withColumn("rank", F.col("identity_key"))
+    rows = checkpointed(rows.select(*keys, "title", "rank", "identity_key"))  # what titles are taken from is read once
     heads = rows.groupBy(*keys, "title").agg(
         F.min(F.struct("rank", "identity_key"))["identity_key"].alias("head"), F.count(F.lit(1)).alias("rows")
     )
-    found = per_key_join(rows.select(*keys, "title", "rank", "identity_key"), heads, [*keys, "title"])
+    found = per_key_join(rows, heads, [*keys, "title"])
     return found.select(*keys, "title", "head", F.col("identity_key").alias("member"), "rank")
 
 
@@ -459,7 +510,7 @@ def fuzzy_pairs(records: DataFrame, keys: list[str], threshold: float = FUZZY_TH
     are linked once, between those records. What is alike stays proposed and connected, and rows grow
     with records and near titles, never with the square of a title's records; see ``title_members``.
     """
-    members = title_members(records, keys)
+    members = checkpointed(title_members(records, keys))
     heads = members.filter(F.col("member") == F.col("head")).select(*keys, "title", F.col("head").alias("identity_key")).distinct()
     heads = checkpointed(heads)
     near = near_titles(heads.select(*keys, "title"), keys, threshold)
@@ -469,7 +520,7 @@ def fuzzy_pairs(records: DataFrame, keys: list[str], threshold: float = FUZZY_TH
 def possible_links(records: DataFrame, keys: list[str], threshold: float) -> DataFrame:
     """The links of :func:`fuzzy_pairs` with what may stand in for them: between two near titles, the head of
     either with any record of the other. ``(keys, left_title, right_title, link)`` names one link."""
-    members = title_members(records, keys)
+    members = checkpointed(title_members(records, keys))
     rows = members.select(*keys, "title", F.col("member").alias("identity_key"))
     heads = members.filter(F.col("member") == F.col("head")).select(*keys, "title", F.col("head").alias("identity_key")).distinct()
     near = checkpointed(near_titles(heads.select(*keys, "title"), keys, threshold))

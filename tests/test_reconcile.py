@@ -138,6 +138,7 @@ def test_titles_meet_alike_by_grams_and_in_a_grid(spark, threshold):
     rng = random.Random(3)
     syllables = ["tion", "er", "the", "ing", "an", "é", "oo", "ooo"]
     words = {"".join(rng.choice(syllables) for _ in range(rng.randrange(1, 16))) for _ in range(70)} | {"x", "xy", "tionx", "t" * 300, "t" * 310, "ab" * 150}
+    words |= {"".join(rng.choice(syllables) for _ in range(n)) for n in (24, 30, 60, 75)}  # more than a word's characters
     for w in sorted(words):
         changed = list(w)
         for _ in range(rng.randrange(5)):
