@@ -384,7 +384,7 @@ def similar_titles(
     under just enough of its rarest grams that two titles sharing as many as the
     threshold demands meet in at least one. The index never misses a pair (see the
     brute-force test). In a block of more than ``few_rows`` titles grams are frequent, most so where few words make all titles,
-    and a pair would meet in many of them. There each pair is compared once, by bitmaps, in a grid whose cells hold twice
+    and a pair would meet in many of them. There each pair is compared once, by bitmaps, in a grid whose cells hold about twice
     ``block_rows`` titles at most.
     """
     q = 3 if threshold >= 0.88 else 1
